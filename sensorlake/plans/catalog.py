@@ -91,3 +91,109 @@ def enriched_readings(inp: Inputs) -> DataFrame:
                     "pressure", "pressure_at_sealevel", "customer_id", "customer_name", "region")
 
 
+
+
+# ---------------------------------------------------------------- decode, alerts
+
+from sensorlake.constants import ALERT_UNREGISTERED  # noqa: E402
+from sensorlake.operators import alerts as al  # noqa: E402
+from sensorlake.operators.decode import rekey as _rekey  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+FIRST_RUN_CUT = "2024-01-01 06:00:00"   # end of the first (earlier) pipeline run
+FEED_SINCE = "2024-01-20 00:00:00"      # high-water mark of a feed reader
+
+
+@register("bronze_decode")
+def bronze_decode(inp: Inputs) -> DataFrame:
+    """Messages -> bronze rows (defaults applied; bad payloads to dead-letter)."""
+    return inp.decoded_bronze.drop("_arrival")
+
+
+@register("dead_letter")
+def dead_letter(inp: Inputs) -> DataFrame:
+    return inp.dead_letter.drop("key")
+
+
+@register("rekey")
+def rekey(inp: Inputs) -> DataFrame:
+    r = _rekey(inp.messages)
+    return r.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+
+
+def _pressure(inp: Inputs) -> DataFrame:
+    return al.pressure_alerts(inp.decoded_bronze, inp.dim_sensors, inp.dim_customers, time_col="_arrival")
+
+
+@register("pressure_alerts")
+def pressure_alerts(inp: Inputs) -> DataFrame:
+    """Every breach of the pressure limit, with customer context and payload."""
+    return _pressure(inp).select(
+        "sensor_id", "reading_id", "alert_type", "payload", "created_at",
+        F.get_json_object("payload", "$.pressure").cast("double").alias("pressure"),
+        F.get_json_object("payload", "$.customer_name").alias("customer_name"),
+        F.get_json_object("payload", "$.region").alias("region"))
+
+
+@register("alert_messages")
+def alert_messages(inp: Inputs) -> DataFrame:
+    return _pressure(inp).select("sensor_id", "reading_id", "created_at", "message")
+
+
+@register("unregistered_sensors")
+def unregistered_sensors(inp: Inputs) -> DataFrame:
+    return al.unregistered_sensors(inp.silver, inp.dim_sensors)
+
+
+def _alert_log(inp: Inputs) -> DataFrame:
+    """Alert log as two runs leave it: unregistered alerts of the first run,
+    new ones of the second, and every pressure breach."""
+    first = al.unregistered_alerts(inp.silver.where(F.col("ingested_at") < F.lit(FIRST_RUN_CUT)),
+                                   inp.dim_sensors)
+    second = al.unregistered_alerts(inp.silver, inp.dim_sensors, alert_log=first)
+    return first.unionByName(second).unionByName(_pressure(inp).drop("message"))
+
+
+@register("new_unregistered_alerts")
+def new_unregistered_alerts(inp: Inputs) -> DataFrame:
+    """Second run's unregistered alerts: sensors not alerted by the first run."""
+    first = al.unregistered_alerts(inp.silver.where(F.col("ingested_at") < F.lit(FIRST_RUN_CUT)),
+                                   inp.dim_sensors)
+    new = al.unregistered_alerts(inp.silver, inp.dim_sensors, alert_log=first)
+    return new.select("sensor_id", "alert_type", "payload", "created_at")
+
+
+@register("alert_feed")
+def alert_feed(inp: Inputs) -> DataFrame:
+    feed = al.alert_feed(_alert_log(inp), since_created_at=FEED_SINCE)
+    return feed.select("sensor_id", "reading_id", "alert_type", "created_at", "detail")
+
+
+@register("alert_feed_latest")
+def alert_feed_latest(inp: Inputs) -> DataFrame:
+    return al.latest_alerts(_alert_log(inp)).select("sensor_id", "reading_id", "alert_type",
+                                                    "created_at", "detail")
+
+
+@register("stage_counts")
+def stage_counts(inp: Inputs) -> DataFrame:
+    """Rows per pipeline stage: one aggregate per layer, unpivoted."""
+    from sensorlake.operators.silver import build_silver, classify
+    msgs = inp.messages.agg(F.count(F.lit(1)).alias("messages_in"))
+    dec = classify(inp.decoded_bronze).agg(
+        F.count(F.lit(1)).alias("bronze_rows"),
+        F.count_if(F.col("rejection_reason").isNotNull()).alias("rejected"))
+    dead = inp.dead_letter.agg(F.count(F.lit(1)).alias("dead_letter"))
+    silver = build_silver(inp.decoded_bronze.drop("_arrival")).agg(F.count(F.lit(1)).alias("silver_rows"))
+    alerts = _alert_log(inp).agg(
+        F.count_if(F.col("alert_type") == ALERT_UNREGISTERED).alias("unregistered_alerts"),
+        F.count_if(F.col("alert_type") != ALERT_UNREGISTERED).alias("pressure_alerts"))
+    parts = [msgs, dec, dead, silver, alerts]
+    out = None
+    for part in parts:
+        names = part.columns
+        stack = "stack({}, {}) as (stage, row_count)".format(
+            len(names), ", ".join(f"'{n}', {n}" for n in names))
+        rows = part.selectExpr(stack)
+        out = rows if out is None else out.unionByName(rows)
+    return out

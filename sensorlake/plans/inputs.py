@@ -45,3 +45,18 @@ class Inputs:
     @cached_property
     def dim_sensors(self) -> DataFrame:
         return dt.dim_sensors(self.table("supplier"), self.table("nation"), self.table("region"))
+
+    # message path: decoded bronze (with arrival time) and dead letters
+
+    @cached_property
+    def decoded(self):
+        from sensorlake.operators.decode import decode
+        return decode(self.messages)
+
+    @cached_property
+    def decoded_bronze(self) -> DataFrame:
+        return self.decoded[0]
+
+    @cached_property
+    def dead_letter(self) -> DataFrame:
+        return self.decoded[1]

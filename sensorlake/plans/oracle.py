@@ -193,8 +193,166 @@ FROM classified WHERE rejection_reason IS NOT NULL"""
     return out
 
 
+# ------------------------------------------------------------ messages, decode, alerts
+
+MESSAGES = """
+messages AS (
+    SELECT CASE WHEN event_id % 67 = 8 THEN '' ELSE CAST(sensor_id AS VARCHAR) END AS key,
+           CASE WHEN event_id % 101 = 7 THEN 'corrupt:' || CAST(event_id AS VARCHAR) ELSE
+           '{' || CASE WHEN reading_id IS NOT NULL THEN '"reading_id": "' || reading_id || '", ' ELSE '' END
+           || CASE WHEN event_id % 67 = 8 THEN ''
+                   WHEN event_id % 59 = 9 THEN '"sensor_id": "abc", '
+                   WHEN event_id % 71 = 4 THEN '"sensor_id": "' || CAST(sensor_id AS VARCHAR) || '", '
+                   ELSE '"sensor_id": ' || CAST(sensor_id AS VARCHAR) || ', ' END
+           || '"sensor_type": "' || sensor_type || '", '
+           || '"ingested_at": "' || ingested_at || '", '
+           || '"latitude": ' || CAST(latitude AS VARCHAR) || ', '
+           || '"longitude": ' || CAST(longitude AS VARCHAR) || ', '
+           || CASE WHEN event_id % 61 = 5 THEN '"country": null' ELSE '"country": "' || country || '"' END
+           || CASE WHEN event_id % 53 = 6 THEN '' ELSE ', "values": ' || "values" END
+           || '}' END AS value,
+           arrival AS "timestamp"
+    FROM readings
+),
+msg_json AS (
+    SELECT key, value, "timestamp" FROM messages WHERE json_valid(value) AND json_type(value) = 'OBJECT'
+),
+msg_fields AS (
+    SELECT key, value, "timestamp",
+        json_extract_string(value, '$.reading_id') AS reading_id,
+        CASE WHEN json_type(value, '$.sensor_id') IS NULL OR json_type(value, '$.sensor_id') = 'NULL' THEN 0
+             ELSE TRY_CAST(json_extract_string(value, '$.sensor_id') AS BIGINT) END AS sensor_id,
+        (json_type(value, '$.sensor_id') IS NOT NULL AND json_type(value, '$.sensor_id') <> 'NULL'
+             AND TRY_CAST(json_extract_string(value, '$.sensor_id') AS BIGINT) IS NULL) AS bad_sensor_id,
+        COALESCE(json_extract_string(value, '$.sensor_type'), '') AS sensor_type,
+        COALESCE(json_extract_string(value, '$.ingested_at'), '') AS ingested_at,
+        CASE WHEN json_type(value, '$.latitude') IS NULL OR json_type(value, '$.latitude') = 'NULL' THEN 0.0
+             ELSE TRY_CAST(json_extract_string(value, '$.latitude') AS DOUBLE) END AS latitude,
+        CASE WHEN json_type(value, '$.longitude') IS NULL OR json_type(value, '$.longitude') = 'NULL' THEN 0.0
+             ELSE TRY_CAST(json_extract_string(value, '$.longitude') AS DOUBLE) END AS longitude,
+        COALESCE(json_extract_string(value, '$.country'), '') AS country,
+        COALESCE(CASE WHEN json_type(value, '$.values') <> 'NULL' THEN CAST(json_extract(value, '$.values') AS VARCHAR) END, '{}') AS "values"
+    FROM msg_json
+),
+dbronze AS (
+    SELECT reading_id, sensor_id, sensor_type, ingested_at, latitude, longitude, country, "values",
+           strftime("timestamp", '%Y') AS year, strftime("timestamp", '%m') AS month,
+           strftime("timestamp", '%d') AS day, strftime("timestamp", '%H') AS hour,
+           "timestamp" AS arrival
+    FROM msg_fields WHERE NOT bad_sensor_id AND latitude IS NOT NULL AND longitude IS NOT NULL
+),
+dead AS (
+    SELECT value AS raw_value, "timestamp",
+           CASE WHEN NOT json_valid(value) THEN 'invalid_json' ELSE 'not_a_json_object' END AS reason
+    FROM messages WHERE NOT json_valid(value) OR json_type(value) <> 'OBJECT'
+    UNION ALL
+    SELECT value, "timestamp",
+           CASE WHEN bad_sensor_id THEN 'uncastable_sensor_id'
+                WHEN latitude IS NULL THEN 'uncastable_latitude' ELSE 'uncastable_longitude' END
+    FROM msg_fields WHERE bad_sensor_id OR latitude IS NULL OR longitude IS NULL
+),
+lookup AS (
+    SELECT ds.sensor_id, c.customer_id, c.customer_name, c.region AS customer_region
+    FROM dim_sensors ds JOIN dim_customers c ON ds.customer_id = c.customer_id
+),
+breaches AS (
+    SELECT b.*, l.customer_id, COALESCE(l.customer_name, 'Unknown') AS customer_name,
+           COALESCE(l.customer_region, 'Unknown') AS region
+    FROM (SELECT *, """ + json_num('"values"', 'pressure') + """ AS pressure FROM dbronze) b
+    LEFT JOIN lookup l ON b.sensor_id = l.sensor_id
+    WHERE b.pressure IS NOT NULL AND NOT isnan(b.pressure) AND b.pressure > 130000 AND b.sensor_id IS NOT NULL
+),
+pressure_log AS (
+    SELECT sensor_id, reading_id, 'pressure_threshold_exceeded' AS alert_type,
+           CAST(json_object('pressure', pressure, 'threshold', 130000.0, 'latitude', latitude,
+                            'longitude', longitude, 'customer_id', customer_id,
+                            'customer_name', customer_name, 'region', region) AS VARCHAR) AS payload,
+           arrival AS created_at,
+           '[ALERT] Pressure threshold exceeded: sensor_id=' || CAST(sensor_id AS VARCHAR)
+           || ' pressure=' || printf('%.1f', pressure) || 'Pa (limit=130000Pa) customer=' || customer_name
+           || ' region=' || region || ' location=(' || CAST(latitude AS VARCHAR) || ', '
+           || CAST(longitude AS VARCHAR) || ')' AS message
+    FROM breaches
+)"""
+
+
+def unregistered_cte(name: str, where: str) -> str:
+    return f"""
+{name} AS (
+    SELECT sensor_id, 'unregistered_device' AS alert_type,
+           CAST(json_object('sensor_id', sensor_id, 'country', country, 'latitude', latitude,
+                            'longitude', longitude, 'sensor_type', sensor_type, 'source', 'gold_build') AS VARCHAR) AS payload,
+           first_seen AS created_at
+    FROM (
+        SELECT f.*, MIN(f.ingested_at) OVER (PARTITION BY f.sensor_id) AS first_seen,
+               ROW_NUMBER() OVER (PARTITION BY f.sensor_id ORDER BY f.country NULLS FIRST, f.latitude NULLS FIRST,
+                                  f.longitude NULLS FIRST, f.sensor_type NULLS FIRST) AS rn
+        FROM silver f
+        WHERE NOT EXISTS (SELECT 1 FROM dim_sensors ds WHERE ds.sensor_id = f.sensor_id) AND {where}
+    ) WHERE rn = 1
+)"""
+
+
+ALERT_CTES = ("," + MESSAGES + "," + unregistered_cte("unreg_first", "f.ingested_at < TIMESTAMP '2024-01-01 06:00:00'")
+              + "," + unregistered_cte("unreg_all", "TRUE") + """,
+unreg_new AS (
+    SELECT * FROM unreg_all a WHERE NOT EXISTS (SELECT 1 FROM unreg_first f WHERE f.sensor_id = a.sensor_id)
+),
+alert_log AS (
+    SELECT sensor_id, CAST(NULL AS VARCHAR) AS reading_id, alert_type, payload, created_at FROM unreg_first
+    UNION ALL
+    SELECT sensor_id, CAST(NULL AS VARCHAR), alert_type, payload, created_at FROM unreg_new
+    UNION ALL
+    SELECT sensor_id, reading_id, alert_type, payload, created_at FROM pressure_log
+),
+feed AS (
+    SELECT sensor_id, reading_id, alert_type, created_at,
+           CASE WHEN alert_type = 'pressure_threshold_exceeded'
+                THEN 'pressure=' || COALESCE(json_extract_string(payload, '$.pressure'), '?')
+                     || 'Pa  customer=' || COALESCE(json_extract_string(payload, '$.customer_name'), 'Unknown')
+                ELSE 'sensor_type=' || COALESCE(json_extract_string(payload, '$.sensor_type'), '?') END AS detail
+    FROM alert_log
+)""")
+
+ABASE = BASE.rstrip().rstrip("\n") + ALERT_CTES + "\n"
+
+
+def alert_queries() -> dict[str, str]:
+    return {
+        "bronze_decode": ABASE + """SELECT reading_id, sensor_id, sensor_type, ingested_at, latitude, longitude,
+            country, "values", year, month, day, hour FROM dbronze""",
+        "dead_letter": ABASE + "SELECT raw_value, \"timestamp\", reason FROM dead",
+        "rekey": ABASE + """SELECT CASE WHEN json_type(value, '$.sensor_id') IS NULL OR json_type(value, '$.sensor_id') = 'NULL'
+                 OR json_extract_string(value, '$.sensor_id') IN ('0', '') THEN ''
+                 ELSE json_extract_string(value, '$.sensor_id') END AS key, value
+            FROM messages WHERE json_valid(value)""",
+        "pressure_alerts": ABASE + """SELECT sensor_id, reading_id, alert_type, payload, created_at,
+            CAST(json_extract_string(payload, '$.pressure') AS DOUBLE) AS pressure,
+            json_extract_string(payload, '$.customer_name') AS customer_name,
+            json_extract_string(payload, '$.region') AS region FROM pressure_log""",
+        "alert_messages": ABASE + "SELECT sensor_id, reading_id, created_at, message FROM pressure_log",
+        "unregistered_sensors": ABASE + """SELECT DISTINCT f.sensor_id, f.country, f.latitude, f.longitude, f.sensor_type
+            FROM silver f LEFT JOIN dim_sensors ds ON f.sensor_id = ds.sensor_id WHERE ds.sensor_id IS NULL""",
+        "new_unregistered_alerts": ABASE + "SELECT sensor_id, alert_type, payload, created_at FROM unreg_new",
+        "alert_feed": ABASE + "SELECT * FROM feed WHERE created_at > TIMESTAMP '2024-01-20 00:00:00'",
+        "alert_feed_latest": ABASE + """SELECT * FROM feed ORDER BY created_at DESC, alert_type DESC, sensor_id DESC,
+            reading_id DESC NULLS LAST LIMIT 30""",
+        "stage_counts": ABASE.replace("silver AS (", "silver AS (", 1) + """
+SELECT 'messages_in' AS stage, COUNT(*) AS row_count FROM messages
+UNION ALL SELECT 'bronze_rows', COUNT(*) FROM dbronze
+UNION ALL SELECT 'rejected', COUNT(*) FROM dbronze WHERE reading_id IS NULL
+    OR """ + parse_ts('ingested_at') + """ IS NULL OR sensor_type IS NULL OR sensor_type IN ('', 'test')
+UNION ALL SELECT 'dead_letter', COUNT(*) FROM dead
+UNION ALL SELECT 'silver_rows', COUNT(DISTINCT reading_id) FROM dbronze WHERE reading_id IS NOT NULL
+    AND """ + parse_ts('ingested_at') + """ IS NOT NULL AND sensor_type IS NOT NULL AND sensor_type NOT IN ('', 'test')
+UNION ALL SELECT 'pressure_alerts', COUNT(*) FROM alert_log WHERE alert_type <> 'unregistered_device'
+UNION ALL SELECT 'unregistered_alerts', COUNT(*) FROM alert_log WHERE alert_type = 'unregistered_device'""",
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     """Every query with an SQL statement of its result."""
     out = {}
     out.update(base_queries())
+    out.update(alert_queries())
     return out

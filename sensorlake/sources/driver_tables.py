@@ -70,14 +70,15 @@ def _deliveries(events: DataFrame) -> DataFrame:
     """One row per delivery: redelivered events appear twice (one scan)."""
     copies = F.sequence(F.lit(0), F.when(F.col("event_id") % 10 == 3, 1).otherwise(0))
     return (events
-            .select("event_id", "ts", "user_id", "event_type", "value", "props",
+            .select("event_id", "ts", "user_id", "event_type", "value",
+                    F.get_json_object("props", "$.k").cast("int").alias("k"),
                     F.explode(copies).alias("copy"))
             .withColumn("arrival", F.col("ts") + F.make_dt_interval(mins=F.col("copy"))))
 
 
 def _reading_columns(d: DataFrame) -> DataFrame:
     eid = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.col("k")
     good_time = F.concat(F.date_format("arrival", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
     bad_time = F.when(eid % 2 == 0, F.lit(BAD_TIME_TEXT)).otherwise(F.lit(BAD_DATE_TEXT))
     return d.select(
