@@ -38,6 +38,14 @@ class Inputs:
     def silver(self) -> DataFrame:
         return build_silver(self.bronze)
 
+    @cached_property
+    def snapshot(self) -> DataFrame:
+        """Snapshot derived from ``supplier``, landed as JSON lines and scanned back."""
+        from sensorlake.session import scratch_path
+        from sensorlake.sources.snapshot import land_snapshot, read_snapshot, snapshot_from_supplier
+        path = land_snapshot(snapshot_from_supplier(self.table("supplier")), scratch_path(self.spark, "snapshot"))
+        return read_snapshot(self.spark, path)
+
     @cached_property
     def dim_customers(self) -> DataFrame:
         return dt.dim_customers(self.table("nation"), self.table("region"))

@@ -4,10 +4,11 @@ The common table expressions mirror the adapter in
 ``sensorlake.sources.driver_tables`` and the operators' contracts.
 """
 
-from sensorlake.constants import INVALID_SENSOR_TYPES
+from sensorlake.constants import EUROPE_COUNTRIES, INVALID_SENSOR_TYPES
 from sensorlake.sources.driver_tables import NATION_COUNTRY
 
 _COUNTRIES = "[" + ", ".join(f"'{c}'" for c in NATION_COUNTRY) + "]"
+_EUROPE = ", ".join(f"'{c}'" for c in EUROPE_COUNTRIES)
 _INVALID = ", ".join(f"'{t}'" for t in INVALID_SENSOR_TYPES)
 
 
@@ -350,9 +351,119 @@ UNION ALL SELECT 'unregistered_alerts', COUNT(*) FROM alert_log WHERE alert_type
     }
 
 
+# ------------------------------------------------------------------- registry
+
+_SNAP_TYPES = "['SDS011', 'BME280', 'DHT22', 'SPS30', 'PMS5003']"
+
+SNAPSHOT = f"""
+snap_src AS (
+    SELECT s_suppkey AS sid, s_nationkey, s_acctbal, 0 AS c FROM supplier
+    UNION ALL SELECT s_suppkey, s_nationkey, s_acctbal, 1 FROM supplier WHERE s_suppkey % 7 = 0
+    UNION ALL SELECT s_suppkey, s_nationkey, s_acctbal, 2 FROM supplier WHERE s_suppkey % 23 = 11
+),
+snap_items AS (
+    SELECT *, [
+        {{'value_type': 'P1', 'value': CAST(CAST(s_acctbal AS DECIMAL(12,2)) AS VARCHAR), 'keep': true}},
+        {{'value_type': 'P2', 'value': CASE WHEN sid % 13 = 0 THEN 'n/a' ELSE CAST(sid % 50 AS VARCHAR) END, 'keep': true}},
+        {{'value_type': 'temperature', 'value': CAST(sid % 35 AS VARCHAR), 'keep': true}},
+        {{'value_type': 'P1', 'value': '42.5', 'keep': sid % 17 = 10}},
+        {{'value_type': '', 'value': '5', 'keep': sid % 11 = 1}},
+        {{'value_type': 'humidity', 'value': CAST(NULL AS VARCHAR), 'keep': sid % 11 = 1}}
+    ] AS items FROM snap_src
+),
+snap AS (
+    SELECT CAST(sid * 10 + c AS BIGINT) AS id,
+        CASE WHEN c = 1 THEN '2024-01-30T08:00:00'
+             ELSE '2024-01-31T' || lpad(CAST(sid % 24 AS VARCHAR), 2, '0') || ':00:00' END AS "timestamp",
+        CASE WHEN sid % 41 <> 3 THEN CAST(sid AS BIGINT) END AS sensor_id,
+        CASE WHEN c = 2 THEN 'SEN5x' WHEN sid % 37 = 4 THEN NULL
+             ELSE {_SNAP_TYPES}[CAST(sid % 5 AS INTEGER) + 1] END AS type_name,
+        CASE WHEN sid % 29 = 5 AND c = 0 THEN '999' WHEN sid % 31 = 6 THEN 'not_a_number'
+             ELSE CAST(CAST((sid * 37) % 170 - 85 AS DOUBLE) + c AS VARCHAR) END AS lat_text,
+        CASE WHEN sid % 43 = 7 THEN '999' ELSE CAST(CAST((sid * 53) % 360 - 180 AS DOUBLE) AS VARCHAR) END AS lon_text,
+        CASE WHEN sid % 47 = 8 THEN NULL ELSE {_COUNTRIES}[CAST(s_nationkey % 25 AS INTEGER) + 1] END AS country,
+        CASE WHEN sid % 19 = 9 THEN [] ELSE
+            list_transform(list_filter(items, lambda e: e.keep), lambda e: {{'value_type': e.value_type, 'value': e.value}}) END AS sdv
+    FROM snap_items
+),
+latest AS (
+    SELECT * FROM snap WHERE sensor_id IS NOT NULL
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY sensor_id ORDER BY COALESCE("timestamp", '') DESC, id DESC) = 1
+),
+prof AS (
+    SELECT sensor_id AS id, COALESCE(type_name, 'unknown') AS sensor_type,
+           TRY_CAST(lat_text AS DOUBLE) AS latitude, TRY_CAST(lon_text AS DOUBLE) AS longitude,
+           COALESCE(country, '') AS country, sdv
+    FROM latest
+    WHERE len(sdv) > 0 AND TRY_CAST(lat_text AS DOUBLE) BETWEEN -90 AND 90
+      AND TRY_CAST(lon_text AS DOUBLE) BETWEEN -180 AND 180
+),
+pv AS (
+    SELECT id, pos, sdv[pos].value_type AS k,
+           CASE WHEN sdv[pos].value IS NULL THEN 0.0 ELSE TRY_CAST(sdv[pos].value AS DOUBLE) END AS v
+    FROM (SELECT id, sdv, unnest(generate_series(1, len(sdv))) AS pos FROM prof)
+),
+pv_last AS (
+    SELECT * FROM pv WHERE k IS NOT NULL AND k <> '' AND v IS NOT NULL
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY id, k ORDER BY pos DESC) = 1
+),
+prof_flat AS (
+    SELECT p.id, p.sensor_type, p.latitude, p.longitude, p.country, l.k AS value_type,
+           l.v AS mean, greatest(l.v * 0.05, 0.5) AS std
+    FROM prof p LEFT JOIN pv_last l ON p.id = l.id
+),
+prof_region AS (
+    SELECT id, sensor_type, latitude, longitude, country,
+        CASE WHEN country IN ({_EUROPE}) THEN 'Europe'
+             WHEN longitude BETWEEN -170 AND -30 AND latitude BETWEEN 10 AND 85 THEN 'North America'
+             WHEN longitude BETWEEN 60 AND 180 AND latitude BETWEEN -15 AND 75 THEN 'Asia-Pacific'
+             ELSE 'Other' END AS region
+    FROM prof
+),
+cdims AS (
+    SELECT CAST(c_custkey AS BIGINT) AS sensor_id,
+           CASE WHEN c_mktsegment = 'BUILDING' THEN 'SPS30' ELSE 'DHT22' END AS sensor_type,
+           CAST((c_custkey * 37) % 170 - 85 AS DOUBLE) AS latitude,
+           CAST((c_custkey * 53) % 360 - 180 AS DOUBLE) AS longitude,
+           {_COUNTRIES}[CAST(c_nationkey % 25 AS INTEGER) + 1] AS country,
+           dc.region AS region, CAST(c_nationkey AS INTEGER) AS customer_id
+    FROM customer LEFT JOIN dim_customers dc ON c_nationkey = dc.customer_id
+)"""
+
+RBASE = with_ctes(DIMS, SNAPSHOT)
+
+_FLAT = """SELECT id, "timestamp", sensor_id, COALESCE(type_name, 'unknown') AS sensor_type,
+       lat_text AS latitude, lon_text AS longitude, COALESCE(country, '') AS country,
+       CAST(len(sdv) AS INTEGER) AS n_values FROM {src}"""
+
+
+def registry_queries() -> dict[str, str]:
+    pool = ("CAST(CASE region WHEN 'Europe' THEN [1, 2][(id % 2 + 2) % 2 + 1] "
+            "WHEN 'North America' THEN [3, 4][(id % 2 + 2) % 2 + 1] "
+            "WHEN 'Asia-Pacific' THEN 5 ELSE 6 END AS INTEGER)")
+    return {
+        "snapshot_flat": RBASE + _FLAT.format(src="snap"),
+        "snapshot_country": RBASE + _FLAT.format(src="snap WHERE country = 'DE'"),
+        "latest_per_sensor": RBASE + _FLAT.format(src="latest"),
+        "sensor_profiles": RBASE + "SELECT * FROM prof_flat",
+        "stored_profiles": RBASE + "SELECT * FROM prof_flat",
+        "region_assignment": RBASE + "SELECT id, country, latitude, longitude, region FROM prof_region",
+        "customer_assignment": RBASE + f"""SELECT id AS sensor_id, sensor_type, latitude, longitude, country, region,
+            {pool} AS customer_id FROM prof_region""",
+        "profile_sample_count": RBASE + "SELECT LEAST(1000, COUNT(*)) AS sampled FROM prof",
+        "upsert_dims": RBASE + """SELECT * FROM dim_sensors WHERE sensor_id NOT IN (SELECT sensor_id FROM cdims)
+            UNION ALL SELECT * FROM cdims""",
+        "insert_if_absent": RBASE + """SELECT * FROM dim_sensors
+            UNION ALL SELECT * FROM cdims WHERE sensor_id NOT IN (SELECT sensor_id FROM dim_sensors)""",
+        "jdbc_registry": RBASE + """SELECT ds.sensor_id, ds.sensor_type, ds.latitude, ds.longitude, ds.country, ds.region,
+            ds.customer_id, dc.customer_name FROM dim_sensors ds LEFT JOIN dim_customers dc ON ds.customer_id = dc.customer_id""",
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     """Every query with an SQL statement of its result."""
     out = {}
     out.update(base_queries())
     out.update(alert_queries())
+    out.update(registry_queries())
     return out
