@@ -289,3 +289,161 @@ def jdbc_registry(inp: Inputs) -> DataFrame:
     return sensors.join(customers.withColumnRenamed("region", "customer_region"), "customer_id", "left") \
         .select("sensor_id", "sensor_type", "latitude", "longitude", "country", "region",
                 "customer_id", "customer_name")
+
+
+# ------------------------------------------------- layout, partitions, merges, quality
+
+from sensorlake.operators import merge as mg  # noqa: E402
+from sensorlake.operators import partitions as pt  # noqa: E402
+from sensorlake.operators import quality as qa  # noqa: E402
+from sensorlake.schemas import BRONZE, PARTITION_COLUMNS, SILVER  # noqa: E402
+
+NOW = "2024-01-20 12:30:00"            # fixed "now" of the partition scenario
+CONSUMER_STOPPED = "2024-01-19 06:00:00"  # last rollover the live consumer saw
+INCREMENT_CUT = "2024011600"            # bronze hours before this went to the first run
+
+
+@register("bronze_roundtrip")
+def bronze_roundtrip(inp: Inputs) -> DataFrame:
+    """Bronze written partitioned by hour and read back with string partitions."""
+    return inp.landed_bronze
+
+
+@register("partition_columns")
+def partition_columns(inp: Inputs) -> DataFrame:
+    return inp.landed_bronze.select(*PARTITION_COLUMNS).distinct()
+
+
+def _status(inp: Inputs) -> DataFrame:
+    return pt.rollover_status(inp.landed_bronze, CONSUMER_STOPPED)
+
+
+@register("missing_markers")
+def missing_markers(inp: Inputs) -> DataFrame:
+    return pt.missing_markers(inp.landed_bronze, _status(inp), NOW)
+
+
+@register("partition_status")
+def partition_status(inp: Inputs) -> DataFrame:
+    return pt.backfill(inp.landed_bronze, _status(inp), NOW)
+
+
+@register("ready_hours")
+def ready_hours(inp: Inputs) -> DataFrame:
+    return pt.ready_hours(inp.landed_bronze, pt.backfill(inp.landed_bronze, _status(inp), NOW))
+
+
+@register("file_manifest")
+def file_manifest(inp: Inputs) -> DataFrame:
+    """Files of the current and previous hour (names are random: rows only)."""
+    return pt.file_manifest(inp.landed_bronze, "2024-01-20 00:30:00")
+
+
+def _two_runs(inp: Inputs, marts: list[str]) -> tuple[str, dict[str, str]]:
+    """First run: full build over bronze hours before the cut. Second run:
+    incremental over all bronze (increment chosen by the high-water mark)."""
+    spark, bronze = inp.spark, inp.landed_bronze
+    silver_path = scratch_path(spark, "silver")
+    mart_paths = {m: scratch_path(spark, m) for m in marts}
+    first = mg.refresh_silver(spark, bronze.where(mg.hour_key() < F.lit(INCREMENT_CUT)), silver_path)
+    for m in marts:
+        mg.refresh_mart(spark, m, first, None, inp.dim_sensors, inp.dim_customers, mart_paths[m])
+    increment = mg.refresh_silver(spark, bronze, silver_path)
+    silver = mg.read_silver(spark, silver_path)
+    for m in marts:
+        mg.refresh_mart(spark, m, silver, increment, inp.dim_sensors, inp.dim_customers, mart_paths[m])
+    return silver_path, mart_paths
+
+
+@register("incremental_silver")
+def incremental_silver(inp: Inputs) -> DataFrame:
+    path, _ = _two_runs(inp, [])
+    return mg.read_silver(inp.spark, path).select(*[f.name for f in SILVER.fields])
+
+
+def _incremental_mart(inp: Inputs, name: str) -> DataFrame:
+    _, paths = _two_runs(inp, [name])
+    return mg.read_mart(inp.spark, paths[name])
+
+
+@register("incremental_gold_pm25")
+def incremental_gold_pm25(inp: Inputs) -> DataFrame:
+    return _incremental_mart(inp, "pm25_by_country_hour")
+
+
+@register("incremental_gold_temperature")
+def incremental_gold_temperature(inp: Inputs) -> DataFrame:
+    return _incremental_mart(inp, "temperature_by_region_day")
+
+
+@register("incremental_gold_activity")
+def incremental_gold_activity(inp: Inputs) -> DataFrame:
+    return _incremental_mart(inp, "sensor_activity_by_customer")
+
+
+@register("schema_sync")
+def schema_sync(inp: Inputs) -> DataFrame:
+    """A silver table stored under an older schema, brought to the model's columns."""
+    path = scratch_path(inp.spark, "old_silver")
+    old = inp.silver.drop("pressure_at_sealevel").withColumn("legacy_flag", F.lit(True))
+    old.write.mode("overwrite").parquet(path)
+    return mg.sync_columns(inp.spark.read.parquet(path), SILVER)
+
+
+@register("full_refresh_counts")
+def full_refresh_counts(inp: Inputs) -> DataFrame:
+    """Create-or-replace every table, then count rows of what was written."""
+    from sensorlake.operators.silver import build_rejected
+    tables = {"silver": inp.silver, "rejected": build_rejected(inp.bronze)}
+    tables.update(gold.build_marts(inp.silver, inp.dim_sensors, inp.dim_customers))
+    out = None
+    for name, df in tables.items():
+        path = scratch_path(inp.spark, name)
+        df.write.mode("overwrite").parquet(path)
+        c = inp.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@register("quality_report")
+def quality_report(inp: Inputs) -> DataFrame:
+    from sensorlake.operators.silver import build_rejected
+    marts = gold.build_marts(inp.silver, inp.dim_sensors, inp.dim_customers)
+    return qa.quality_report(inp.bronze, inp.silver, build_rejected(inp.bronze), marts)
+
+
+@register("quality_schema")
+def quality_schema(inp: Inputs) -> DataFrame:
+    """Schema, required columns, layout and future timestamps of landed bronze."""
+    b = inp.landed_bronze
+    rows = qa.schema_checks(b, BRONZE, required=["reading_id", "sensor_id", "ingested_at", "values"])
+    meta = inp.spark.createDataFrame(rows, "check string, column_name string, expected string, actual string, ok boolean")
+    meta = meta.withColumn("failing_rows", F.when(F.col("ok"), 0).otherwise(1).cast("bigint"))
+    layout = pt.layout_violations(b).agg(F.count(F.lit(1)).alias("failing_rows")).select(
+        F.lit("hive_layout").alias("check"), F.lit("_metadata.file_path").alias("column_name"),
+        F.lit(None).cast("string").alias("expected"), F.lit(None).cast("string").alias("actual"),
+        (F.col("failing_rows") == 0).alias("ok"), "failing_rows")
+    from sensorlake.functions.scalar import parse_instant
+    future = qa.future_timestamps(b, parse_instant("ingested_at"), NOW).select(
+        F.lit("future_timestamp").alias("check"), F.lit("ingested_at").alias("column_name"),
+        F.lit(None).cast("string").alias("expected"), F.lit(None).cast("string").alias("actual"),
+        (F.col("failing_rows") == 0).alias("ok"), "failing_rows")
+    return meta.unionByName(layout).unionByName(future)
+
+
+@register("scalar_suite")
+def scalar_suite(inp: Inputs) -> DataFrame:
+    """Per-row scalar functions: parse, interval arithmetic, division, JSON text, casts."""
+    from sensorlake.functions.scalar import parse_instant
+    b = inp.bronze
+    ts = parse_instant("ingested_at")
+    return b.select(
+        "reading_id", "sensor_id",
+        ts.alias("parsed_at"),
+        (ts - F.expr("INTERVAL 1 HOUR")).alias("hour_before"),
+        (ts - F.make_dt_interval(hours=F.lit(48))).alias("lookback_start"),
+        (F.col("sensor_id") / 7).alias("ratio"),
+        F.to_json(F.struct("reading_id", "sensor_id"), {"ignoreNullFields": "false"}).alias("as_json"),
+        F.col("reading_id").try_cast("bigint").alias("id_number"),
+        F.date_format(ts, "HH").alias("hour_text"))

@@ -46,6 +46,15 @@ class Inputs:
         path = land_snapshot(snapshot_from_supplier(self.table("supplier")), scratch_path(self.spark, "snapshot"))
         return read_snapshot(self.spark, path)
 
+    @cached_property
+    def landed_bronze(self) -> DataFrame:
+        """Bronze written in the Hive hour layout and scanned back."""
+        from sensorlake.operators.partitions import read_bronze, write_bronze
+        from sensorlake.session import scratch_path
+        path = write_bronze(self.bronze, scratch_path(self.spark, "bronze"))
+        self.bronze_path = path
+        return read_bronze(self.spark, path)
+
     @cached_property
     def dim_customers(self) -> DataFrame:
         return dt.dim_customers(self.table("nation"), self.table("region"))

@@ -4,7 +4,7 @@ The common table expressions mirror the adapter in
 ``sensorlake.sources.driver_tables`` and the operators' contracts.
 """
 
-from sensorlake.constants import EUROPE_COUNTRIES, INVALID_SENSOR_TYPES
+from sensorlake.constants import ACCEPTED_SENSOR_TYPES, EUROPE_COUNTRIES, INVALID_SENSOR_TYPES
 from sensorlake.sources.driver_tables import NATION_COUNTRY
 
 _COUNTRIES = "[" + ", ".join(f"'{c}'" for c in NATION_COUNTRY) + "]"
@@ -460,10 +460,94 @@ def registry_queries() -> dict[str, str]:
     }
 
 
+# --------------------------------------------------- layout, partitions, merges, quality
+
+PARTS = """,
+parts AS (
+    SELECT DISTINCT year, month, day, hour,
+           strptime(year || '-' || month || '-' || day || '-' || hour, '%Y-%m-%d-%H') AS start
+    FROM bronze
+),
+rollover AS (
+    SELECT year, month, day, hour, true AS has_data, start + INTERVAL 1 HOUR AS closed_at
+    FROM parts WHERE start < TIMESTAMP '2024-01-19 06:00:00'
+),
+missing AS (
+    SELECT year, month, day, hour, true AS has_data, TIMESTAMP '2024-01-20 12:30:00' AS closed_at
+    FROM parts p
+    WHERE start < TIMESTAMP '2024-01-20 12:00:00' AND start >= TIMESTAMP '2024-01-18 12:00:00'
+      AND NOT EXISTS (SELECT 1 FROM rollover r WHERE r.year = p.year AND r.month = p.month
+                      AND r.day = p.day AND r.hour = p.hour)
+),
+status AS (SELECT * FROM rollover UNION ALL SELECT * FROM missing)
+"""
+
+PBASE = BASE.rstrip().rstrip("\n") + PARTS
+
+
+def layout_queries() -> dict[str, str]:
+    g = GOLD
+    sel_silver = SILVER_COLS
+    counts = " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM ({q})" for n, q in [
+            ("silver", "SELECT * FROM silver"),
+            ("rejected", "SELECT * FROM classified WHERE rejection_reason IS NOT NULL"),
+            ("pm25_by_country_hour", g["pm25"]),
+            ("temperature_by_region_day", g["temperature"]),
+            ("sensor_activity_by_customer", g["activity"]),
+        ])
+    europe_null = "CAST(NULL AS DOUBLE) AS pressure_at_sealevel"
+    q_bronze = """
+SELECT 'range' AS "check", 'bronze' AS table_name, 'sensor_id' AS column_name, COUNT(*) FILTER (WHERE NOT (sensor_id > 0)) AS failing_rows FROM bronze
+UNION ALL SELECT 'range', 'bronze', 'latitude', COUNT(*) FILTER (WHERE NOT (latitude BETWEEN -90 AND 90)) FROM bronze
+UNION ALL SELECT 'range', 'bronze', 'longitude', COUNT(*) FILTER (WHERE NOT (longitude BETWEEN -180 AND 180)) FROM bronze
+UNION ALL SELECT 'valid_json', 'bronze', 'values', COUNT(*) FILTER (WHERE NOT json_valid("values")) FROM bronze
+UNION ALL SELECT 'non_empty_object', 'bronze', 'values', COUNT(*) FILTER (WHERE json_valid("values") AND json_type("values") = 'OBJECT' AND len(json_keys("values")) = 0) FROM bronze
+UNION ALL SELECT 'duplicate_ids', 'bronze', 'reading_id', COUNT(reading_id) - COUNT(DISTINCT reading_id) FROM bronze"""
+    accepted = ", ".join("'" + t + "'" for t in ACCEPTED_SENSOR_TYPES)
+    q_silver = f"""
+UNION ALL SELECT 'not_null', 'silver', 'reading_id', COUNT(*) FILTER (WHERE reading_id IS NULL) FROM silver
+UNION ALL SELECT 'not_null', 'silver', 'sensor_id', COUNT(*) FILTER (WHERE sensor_id IS NULL) FROM silver
+UNION ALL SELECT 'not_null', 'silver', 'ingested_at', COUNT(*) FILTER (WHERE ingested_at IS NULL) FROM silver
+UNION ALL SELECT 'not_null', 'silver', 'sensor_type', COUNT(*) FILTER (WHERE sensor_type IS NULL) FROM silver
+UNION ALL SELECT 'accepted_values', 'silver', 'sensor_type', COUNT(*) FILTER (WHERE sensor_type IS NOT NULL AND sensor_type NOT IN ({accepted})) FROM silver
+UNION ALL SELECT 'unique', 'silver', 'reading_id', COALESCE(SUM(n), 0) FROM (SELECT reading_id, COUNT(*) AS n FROM silver WHERE reading_id IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)
+UNION ALL SELECT 'not_null', 'rejected', 'rejection_reason', COUNT(*) FILTER (WHERE rejection_reason IS NULL) FROM classified WHERE rejection_reason IS NOT NULL
+UNION ALL SELECT 'accepted_values', 'rejected', 'rejection_reason', COUNT(*) FILTER (WHERE rejection_reason NOT IN ('null_reading_id', 'unparseable_ingested_at', 'invalid_sensor_type')) FROM classified WHERE rejection_reason IS NOT NULL
+UNION ALL SELECT 'not_null', 'pm25_by_country_hour', 'hour', COUNT(*) FILTER (WHERE hour IS NULL) FROM ({g['pm25']})
+UNION ALL SELECT 'not_null', 'pm25_by_country_hour', 'country', COUNT(*) FILTER (WHERE country IS NULL) FROM ({g['pm25']})
+UNION ALL SELECT 'not_null', 'pm25_by_country_hour', 'avg_pm25', COUNT(*) FILTER (WHERE avg_pm25 IS NULL) FROM ({g['pm25']})
+UNION ALL SELECT 'not_null', 'temperature_by_region_day', 'day', COUNT(*) FILTER (WHERE day IS NULL) FROM ({g['temperature']})
+UNION ALL SELECT 'not_null', 'temperature_by_region_day', 'region', COUNT(*) FILTER (WHERE region IS NULL) FROM ({g['temperature']})
+UNION ALL SELECT 'not_null', 'sensor_activity_by_customer', 'day', COUNT(*) FILTER (WHERE day IS NULL) FROM ({g['activity']})
+UNION ALL SELECT 'not_null', 'sensor_activity_by_customer', 'customer_name', COUNT(*) FILTER (WHERE customer_name IS NULL) FROM ({g['activity']})
+UNION ALL SELECT 'not_null', 'sensor_activity_by_customer', 'active_sensors', COUNT(*) FILTER (WHERE active_sensors IS NULL) FROM ({g['activity']})"""
+    return {
+        "bronze_roundtrip": BASE + "SELECT * FROM bronze",
+        "partition_columns": BASE + "SELECT DISTINCT year, month, day, hour FROM bronze",
+        "missing_markers": PBASE + "SELECT * FROM missing",
+        "partition_status": PBASE + "SELECT * FROM status",
+        "ready_hours": PBASE + "SELECT * FROM status s WHERE EXISTS (SELECT 1 FROM parts p WHERE p.year = s.year AND p.month = s.month AND p.day = s.day AND p.hour = s.hour)",
+        "incremental_silver": BASE + "SELECT * FROM silver",
+        "incremental_gold_pm25": BASE + g["pm25"],
+        "incremental_gold_temperature": BASE + g["temperature"],
+        "incremental_gold_activity": BASE + g["activity"],
+        "schema_sync": BASE + f"SELECT {sel_silver.replace('pressure_at_sealevel', europe_null)} FROM silver",
+        "full_refresh_counts": BASE + counts,
+        "quality_report": BASE + q_bronze + q_silver,
+        "scalar_suite": BASE + """SELECT reading_id, sensor_id, ts AS parsed_at, ts - INTERVAL 1 HOUR AS hour_before,
+            ts - INTERVAL 48 HOUR AS lookback_start, sensor_id / 7 AS ratio,
+            CAST(json_object('reading_id', reading_id, 'sensor_id', sensor_id) AS VARCHAR) AS as_json,
+            TRY_CAST(reading_id AS BIGINT) AS id_number, strftime(ts, '%H') AS hour_text
+            FROM (SELECT *, """ + parse_ts("ingested_at") + " AS ts FROM bronze)",
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     """Every query with an SQL statement of its result."""
     out = {}
     out.update(base_queries())
     out.update(alert_queries())
     out.update(registry_queries())
+    out.update(layout_queries())
     return out
