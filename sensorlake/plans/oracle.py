@@ -543,6 +543,50 @@ UNION ALL SELECT 'not_null', 'sensor_activity_by_customer', 'active_sensors', CO
     }
 
 
+# ---------------------------------------------------------------- streaming
+
+def _d(sql: str) -> str:
+    return (sql.replace("classified", "dclassified").replace("typed", "dtyped")
+            .replace("FROM bronze)", "FROM dbronze)"))
+
+
+DSILVER = ("," + _d(CLASSIFIED) + """,
+dsilver AS (
+    SELECT """ + SILVER_COLS + """ FROM dtyped WHERE rejection_reason IS NULL
+    QUALIFY ROW_NUMBER() OVER (PARTITION BY reading_id ORDER BY """ + DEDUP_ORDER + """) = 1
+),
+draw_unreg AS (
+    SELECT sensor_id, 'unregistered_device' AS alert_type,
+           CAST(json_object('sensor_id', sensor_id, 'country', country, 'latitude', latitude,
+                            'longitude', longitude, 'sensor_type', sensor_type, 'source', 'bridge') AS VARCHAR) AS payload,
+           first_seen AS created_at
+    FROM (
+        SELECT b.*, MIN(b.arrival) OVER (PARTITION BY b.sensor_id) AS first_seen,
+               ROW_NUMBER() OVER (PARTITION BY b.sensor_id ORDER BY b.country NULLS FIRST, b.latitude NULLS FIRST,
+                                  b.longitude NULLS FIRST, b.sensor_type NULLS FIRST) AS rn
+        FROM dbronze b
+        WHERE b.sensor_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_sensors ds WHERE ds.sensor_id = b.sensor_id)
+    ) WHERE rn = 1
+)
+""")
+
+SBASE = ABASE.rstrip().rstrip("\n") + DSILVER
+
+
+def stream_queries() -> dict[str, str]:
+    rekey = alert_queries()["rekey"]
+    return {
+        "stream_bronze": SBASE + """SELECT reading_id, sensor_id, sensor_type, ingested_at, latitude, longitude,
+            country, "values", year, month, day, hour FROM dbronze""",
+        "stream_silver_dedup": SBASE + "SELECT * FROM dsilver",
+        "stream_alerts": SBASE + "SELECT sensor_id, reading_id, alert_type, payload, created_at FROM pressure_log",
+        "stream_unregistered": SBASE + "SELECT * FROM draw_unreg",
+        "stream_hourly": SBASE + f"""SELECT date_trunc('hour', ingested_at) AS hour, sensor_type,
+            COUNT(*) AS reading_count, {avg_exact('pm25')} AS avg_pm25 FROM dsilver GROUP BY 1, 2""",
+        "stream_from_kafka_frame": rekey,
+    }
+
+
 def oracle_queries() -> dict[str, str]:
     """Every query with an SQL statement of its result."""
     out = {}
@@ -550,4 +594,5 @@ def oracle_queries() -> dict[str, str]:
     out.update(alert_queries())
     out.update(registry_queries())
     out.update(layout_queries())
+    out.update(stream_queries())
     return out

@@ -92,6 +92,7 @@ def _reading_columns(d: DataFrame) -> DataFrame:
         _values_text(F.col("event_type"), F.col("value"), k).alias("values"),
         F.col("arrival"),
         eid.alias("event_id"),
+        F.col("copy"),
     )
 
 
@@ -107,7 +108,7 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
                     "longitude", "country", "values", *hour_parts(F.col("arrival")))
 
 
-def messages_from_events(events: DataFrame) -> DataFrame:
+def messages_from_events(events: DataFrame, copy: int | None = None) -> DataFrame:
     """Kafka-shaped frame (key, value, timestamp) of JSON reading messages.
 
     Extra dirt on the wire: missing reading_id, sensor_id as numeric text
@@ -116,6 +117,8 @@ def messages_from_events(events: DataFrame) -> DataFrame:
     payload (% 101 = 7).
     """
     r = readings(events)
+    if copy is not None:
+        r = r.where(F.col("copy") == copy)
     eid = F.col("event_id")
     q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     sid = F.col("sensor_id").cast("string")
