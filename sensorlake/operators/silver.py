@@ -17,17 +17,22 @@ _TS = "_ts"
 _REASON = "rejection_reason"
 
 
-def rejection_reason():
-    """First matching reason wins; NULL sensor_type counts as invalid."""
+def rejection_reason(parsed_ts=None):
+    """First matching reason wins; NULL sensor_type counts as invalid.
+
+    Pass the already parsed instant to avoid parsing the text twice.
+    """
+    ts = parse_instant("ingested_at") if parsed_ts is None else parsed_ts
     return (F.when(F.col("reading_id").isNull(), F.lit("null_reading_id"))
-            .when(parse_instant("ingested_at").isNull(), F.lit("unparseable_ingested_at"))
+            .when(ts.isNull(), F.lit("unparseable_ingested_at"))
             .when(F.col("sensor_type").isNull() | F.col("sensor_type").isin(*INVALID_SENSOR_TYPES),
                   F.lit("invalid_sensor_type")))
 
 
 def classify(bronze: DataFrame) -> DataFrame:
     """Bronze plus the parsed instant ``_ts`` and ``rejection_reason``."""
-    return bronze.withColumn(_TS, parse_instant("ingested_at")).withColumn(_REASON, rejection_reason())
+    return (bronze.withColumn(_TS, parse_instant("ingested_at"))
+            .withColumn(_REASON, rejection_reason(F.col(_TS))))
 
 
 def _typed(df: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ class Inputs:
 
     @cached_property
     def events(self) -> DataFrame:
-        return self.table("events")
+        return dt.spread(self.table("events"))
 
     @cached_property
     def bronze(self) -> DataFrame:

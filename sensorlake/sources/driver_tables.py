@@ -37,6 +37,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than the cluster has cores a round-robin
+    spread; a large input (many files / row groups) is left untouched."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _dec(col: Column) -> Column:
     """Two-decimal text of a double, the same in every engine."""
     return col.cast("decimal(12,2)").cast("string")
