@@ -5,6 +5,7 @@ Every operator is a function from DataFrames to a DataFrame, written with
 keep the work inside whole-stage codegen.
 """
 
+from sensorlake import schemas
 from sensorlake.session import get_session, scratch_path
 
-__all__ = ["get_session", "scratch_path"]
+__all__ = ["get_session", "scratch_path", "schemas"]

@@ -514,3 +514,12 @@ def stream_from_kafka_frame(inp: Inputs) -> DataFrame:
             .trigger(availableNow=True).start()
     _two_waves(inp, start)
     return inp.spark.read.parquet(out)
+
+
+@register("new_items")
+def new_items(inp: Inputs) -> DataFrame:
+    """Set difference: sensors first seen after the first run (anti join on id)."""
+    s = inp.silver
+    before = s.where(F.col("ingested_at") < F.lit(FIRST_RUN_CUT)).select("sensor_id")
+    return s.where(F.col("ingested_at") >= F.lit(FIRST_RUN_CUT)).select("sensor_id").distinct() \
+        .join(before, "sensor_id", "left_anti")

@@ -70,8 +70,13 @@ def silver_dedup(messages: DataFrame, silver_path: str, checkpoint: str, delay:
     return _start(s.writeStream.format("parquet").option("path", silver_path), checkpoint, trigger)
 
 
-def _append_once(target: str):
-    """foreachBatch body: append unless this batch id was already committed."""
+def _append_once(target: str, notify=None):
+    """foreachBatch body: append unless this batch id was already committed.
+
+    ``notify(batch_df)`` (optional) delivers the batch's alerts, e.g. to a
+    webhook, after they are logged; a delivery failure is reported but does
+    not undo or block the logging.
+    """
     def run(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         if path_exists(spark, target):
@@ -79,15 +84,20 @@ def _append_once(target: str):
             if seen:
                 return
         df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(target)
+        if notify is not None:
+            try:
+                notify(spark.read.parquet(target).where(F.col("batch_id") == batch_id))
+            except Exception as exc:  # noqa: BLE001 - delivery must not stop logging
+                print(f"alert delivery failed for batch {batch_id}: {exc}")
     return run
 
 
 def pressure_alerts(messages: DataFrame, dim_sensors: DataFrame, dim_customers: DataFrame, alert_path: str,
-                    checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+                    checkpoint: str, trigger: dict | None = None, notify=None) -> StreamingQuery:
     """Every breach, enriched by a stream-static join to the registry."""
     b, _ = decode(messages)
     alerts = al.pressure_alerts(b, dim_sensors, dim_customers, time_col="_arrival")
-    return _start(alerts.writeStream.foreachBatch(_append_once(alert_path)), checkpoint, trigger)
+    return _start(alerts.writeStream.foreachBatch(_append_once(alert_path, notify)), checkpoint, trigger)
 
 
 def unregistered_alerts(messages: DataFrame, dim_sensors: DataFrame, alert_path: str, checkpoint: str,
