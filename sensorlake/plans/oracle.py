@@ -511,7 +511,7 @@ UNION ALL SELECT 'not_null', 'silver', 'sensor_id', COUNT(*) FILTER (WHERE senso
 UNION ALL SELECT 'not_null', 'silver', 'ingested_at', COUNT(*) FILTER (WHERE ingested_at IS NULL) FROM silver
 UNION ALL SELECT 'not_null', 'silver', 'sensor_type', COUNT(*) FILTER (WHERE sensor_type IS NULL) FROM silver
 UNION ALL SELECT 'accepted_values', 'silver', 'sensor_type', COUNT(*) FILTER (WHERE sensor_type IS NOT NULL AND sensor_type NOT IN ({accepted})) FROM silver
-UNION ALL SELECT 'unique', 'silver', 'reading_id', COALESCE(SUM(n), 0) FROM (SELECT reading_id, COUNT(*) AS n FROM silver WHERE reading_id IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)
+UNION ALL SELECT 'unique', 'silver', 'reading_id', CAST(COALESCE(SUM(n), 0) AS BIGINT) FROM (SELECT reading_id, COUNT(*) AS n FROM silver WHERE reading_id IS NOT NULL GROUP BY 1 HAVING COUNT(*) > 1)
 UNION ALL SELECT 'not_null', 'rejected', 'rejection_reason', COUNT(*) FILTER (WHERE rejection_reason IS NULL) FROM classified WHERE rejection_reason IS NOT NULL
 UNION ALL SELECT 'accepted_values', 'rejected', 'rejection_reason', COUNT(*) FILTER (WHERE rejection_reason NOT IN ('null_reading_id', 'unparseable_ingested_at', 'invalid_sensor_type')) FROM classified WHERE rejection_reason IS NOT NULL
 UNION ALL SELECT 'not_null', 'pm25_by_country_hour', 'hour', COUNT(*) FILTER (WHERE hour IS NULL) FROM ({g['pm25']})
