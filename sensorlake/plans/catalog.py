@@ -523,3 +523,11 @@ def new_items(inp: Inputs) -> DataFrame:
     before = s.where(F.col("ingested_at") < F.lit(FIRST_RUN_CUT)).select("sensor_id")
     return s.where(F.col("ingested_at") >= F.lit(FIRST_RUN_CUT)).select("sensor_id").distinct() \
         .join(before, "sensor_id", "left_anti")
+
+
+@register("stream_partition_status")
+def stream_partition_status(inp: Inputs) -> DataFrame:
+    """Hour partitions closed by the streaming ingest as it passes them."""
+    hours, status = scratch_path(inp.spark, "s_hours"), scratch_path(inp.spark, "s_status")
+    _two_waves(inp, lambda m, c: sq.rollover_status(m, hours, status, c))
+    return inp.spark.read.parquet(status)

@@ -584,6 +584,12 @@ def stream_queries() -> dict[str, str]:
         "stream_hourly": SBASE + f"""SELECT date_trunc('hour', ingested_at) AS hour, sensor_type,
             COUNT(*) AS reading_count, {avg_exact('pm25')} AS avg_pm25 FROM dsilver GROUP BY 1, 2""",
         "stream_from_kafka_frame": rekey,
+        "stream_partition_status": SBASE + """SELECT year, month, day, hour, true AS has_data,
+            start + INTERVAL 1 HOUR AS closed_at
+            FROM (SELECT DISTINCT year, month, day, hour,
+                         strptime(year || '-' || month || '-' || day || '-' || hour, '%Y-%m-%d-%H') AS start
+                  FROM dbronze)
+            WHERE start < (SELECT MAX(strptime(year || '-' || month || '-' || day || '-' || hour, '%Y-%m-%d-%H')) FROM dbronze)""",
         "new_items": BASE + """SELECT DISTINCT sensor_id FROM silver WHERE ingested_at >= TIMESTAMP '2024-01-01 06:00:00'
             AND sensor_id NOT IN (SELECT sensor_id FROM silver WHERE ingested_at < TIMESTAMP '2024-01-01 06:00:00')""",
     }

@@ -149,3 +149,38 @@ def run_to_end(queries: list[StreamingQuery] | StreamingQuery) -> None:
             raise q.exception()
 
 
+
+
+def rollover_status(messages: DataFrame, hours_path: str, status_path: str, checkpoint: str,
+                    trigger: dict | None = None) -> StreamingQuery:
+    """Close hour partitions as the stream moves past them.
+
+    Each micro-batch appends the hours it holds data for to a small hours
+    table (one row per hour and batch, skipped when the batch id is already
+    there). Every recorded hour older than the newest recorded hour then gets
+    one status row (``closed_at`` = the hour's end); the anti join against the
+    status table makes a replayed batch harmless.
+    """
+    from sensorlake.operators.partitions import hour_start
+
+    b, _ = decode(messages)
+    key = F.concat(*[F.col(c) for c in PARTITION_COLUMNS])
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        seen = path_exists(spark, hours_path) and spark.read.parquet(hours_path) \
+            .where(F.col("batch_id") == batch_id).limit(1).count() > 0
+        if not seen:
+            df.select(*PARTITION_COLUMNS).distinct().withColumn("batch_id", F.lit(batch_id)) \
+                .write.mode("append").parquet(hours_path)
+        hours = spark.read.parquet(hours_path).select(*PARTITION_COLUMNS).distinct()
+        newest = hours.agg(F.max(key).alias("k")).first()["k"]   # one literal: yyyyMMddHH
+        closed = (hours.where(key < F.lit(newest))
+                  .select(*PARTITION_COLUMNS, F.lit(True).alias("has_data"),
+                          (hour_start() + F.expr("INTERVAL 1 HOUR")).alias("closed_at")))
+        if path_exists(spark, status_path):
+            closed = closed.join(spark.read.parquet(status_path).select(*PARTITION_COLUMNS),
+                                 PARTITION_COLUMNS, "left_anti")
+        closed.write.mode("append").parquet(status_path)
+
+    return _start(b.select(*PARTITION_COLUMNS).writeStream.foreachBatch(run), checkpoint, trigger)
