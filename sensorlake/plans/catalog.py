@@ -10,12 +10,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorlake.functions.scalar import ntz_columns
+from sensorlake.constants import ALERT_UNREGISTERED
+from sensorlake.functions.scalar import ntz_columns, parse_instant
 from sensorlake.operators import gold
 from sensorlake.operators.joins import enrich
-from sensorlake.operators.silver import build_rejected, build_silver
+from sensorlake.operators.silver import build_rejected, build_silver, classify
 from sensorlake.plans.inputs import Inputs
+from sensorlake.operators import alerts as al
+from sensorlake.operators import merge as mg
+from sensorlake.operators import partitions as pt
+from sensorlake.operators import quality as qa
+from sensorlake.operators import registry as rg
+from sensorlake.operators.decode import rekey as _rekey
+from sensorlake.schemas import BRONZE, PARTITION_COLUMNS, SILVER
+from sensorlake.session import scratch_path
+from sensorlake.sources import driver_tables as _dt
+from sensorlake.sources import jdbc as _jdbc
+from sensorlake.sources.profiles import load_profiles, write_profiles
+from sensorlake.sources.snapshot import by_country
+from sensorlake.streaming import queries as sq
+from sensorlake.streaming.sources import file_messages, land_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
@@ -91,14 +107,8 @@ def enriched_readings(inp: Inputs) -> DataFrame:
                     "pressure", "pressure_at_sealevel", "customer_id", "customer_name", "region")
 
 
-
-
 # ---------------------------------------------------------------- decode, alerts
 
-from sensorlake.constants import ALERT_UNREGISTERED  # noqa: E402
-from sensorlake.operators import alerts as al  # noqa: E402
-from sensorlake.operators.decode import rekey as _rekey  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 FIRST_RUN_CUT = "2024-01-01 06:00:00"   # end of the first (earlier) pipeline run
 FEED_SINCE = "2024-01-20 00:00:00"      # high-water mark of a feed reader
@@ -178,7 +188,6 @@ def alert_feed_latest(inp: Inputs) -> DataFrame:
 @register("stage_counts")
 def stage_counts(inp: Inputs) -> DataFrame:
     """Rows per pipeline stage: one aggregate per layer, unpivoted."""
-    from sensorlake.operators.silver import build_silver, classify
     msgs = inp.messages.agg(F.count(F.lit(1)).alias("messages_in"))
     dec = classify(inp.decoded_bronze).agg(
         F.count(F.lit(1)).alias("bronze_rows"),
@@ -201,13 +210,6 @@ def stage_counts(inp: Inputs) -> DataFrame:
 
 # ---------------------------------------------------------------- registry
 
-from sensorlake.operators import registry as rg  # noqa: E402
-from sensorlake.session import scratch_path  # noqa: E402
-from sensorlake.sources import driver_tables as _dt  # noqa: E402
-from sensorlake.sources import jdbc as _jdbc  # noqa: E402
-from sensorlake.sources.profiles import load_profiles, write_profiles  # noqa: E402
-from sensorlake.sources.snapshot import by_country  # noqa: E402
-
 
 def _flat_snapshot(snap: DataFrame) -> DataFrame:
     return snap.select(
@@ -293,10 +295,6 @@ def jdbc_registry(inp: Inputs) -> DataFrame:
 
 # ------------------------------------------------- layout, partitions, merges, quality
 
-from sensorlake.operators import merge as mg  # noqa: E402
-from sensorlake.operators import partitions as pt  # noqa: E402
-from sensorlake.operators import quality as qa  # noqa: E402
-from sensorlake.schemas import BRONZE, PARTITION_COLUMNS, SILVER  # noqa: E402
 
 NOW = "2024-01-20 12:30:00"            # fixed "now" of the partition scenario
 CONSUMER_STOPPED = "2024-01-19 06:00:00"  # last rollover the live consumer saw
@@ -393,7 +391,6 @@ def schema_sync(inp: Inputs) -> DataFrame:
 @register("full_refresh_counts")
 def full_refresh_counts(inp: Inputs) -> DataFrame:
     """Create-or-replace every table, then count rows of what was written."""
-    from sensorlake.operators.silver import build_rejected
     tables = {"silver": inp.silver, "rejected": build_rejected(inp.bronze)}
     tables.update(gold.build_marts(inp.silver, inp.dim_sensors, inp.dim_customers))
     out = None
@@ -408,7 +405,6 @@ def full_refresh_counts(inp: Inputs) -> DataFrame:
 
 @register("quality_report")
 def quality_report(inp: Inputs) -> DataFrame:
-    from sensorlake.operators.silver import build_rejected
     marts = gold.build_marts(inp.silver, inp.dim_sensors, inp.dim_customers)
     return qa.quality_report(inp.bronze, inp.silver, build_rejected(inp.bronze), marts)
 
@@ -424,7 +420,6 @@ def quality_schema(inp: Inputs) -> DataFrame:
         F.lit("hive_layout").alias("check"), F.lit("_metadata.file_path").alias("column_name"),
         F.lit(None).cast("string").alias("expected"), F.lit(None).cast("string").alias("actual"),
         (F.col("failing_rows") == 0).alias("ok"), "failing_rows")
-    from sensorlake.functions.scalar import parse_instant
     future = qa.future_timestamps(b, parse_instant("ingested_at"), NOW).select(
         F.lit("future_timestamp").alias("check"), F.lit("ingested_at").alias("column_name"),
         F.lit(None).cast("string").alias("expected"), F.lit(None).cast("string").alias("actual"),
@@ -435,7 +430,6 @@ def quality_schema(inp: Inputs) -> DataFrame:
 @register("scalar_suite")
 def scalar_suite(inp: Inputs) -> DataFrame:
     """Per-row scalar functions: parse, interval arithmetic, division, JSON text, casts."""
-    from sensorlake.functions.scalar import parse_instant
     b = inp.bronze
     ts = parse_instant("ingested_at")
     return b.select(
@@ -451,10 +445,6 @@ def scalar_suite(inp: Inputs) -> DataFrame:
 
 # ---------------------------------------------------------------- streaming
 
-from sensorlake.operators.decode import rekey as _rekey_frame  # noqa: E402
-from sensorlake.streaming import queries as sq  # noqa: E402
-from sensorlake.streaming.sources import file_messages, land_messages  # noqa: E402
-
 
 def _two_waves(inp: Inputs, start) -> None:
     """Land originals, run the query to the end; land redeliveries, restart
@@ -508,7 +498,7 @@ def stream_from_kafka_frame(inp: Inputs) -> DataFrame:
     out = scratch_path(inp.spark, "s_rekey")
 
     def start(m, c):
-        r = _rekey_frame(m).select(F.col("key").cast("string").alias("key"),
+        r = _rekey(m).select(F.col("key").cast("string").alias("key"),
                                    F.col("value").cast("string").alias("value"))
         return r.writeStream.format("parquet").option("path", out).option("checkpointLocation", c) \
             .trigger(availableNow=True).start()
