@@ -52,12 +52,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must already be set to storage every executor can
-    reach. Only when it is unset (local runs, tests) do we create one.
+    reach; a machine-local folder would vanish with the executor that wrote
+    it, so outside local mode an unset value is an error. Only local runs
+    and tests get a fresh folder of their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder on shared storage "
+                             "(HDFS, S3, ...) that every executor can reach")
         root = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
