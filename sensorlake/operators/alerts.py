@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sensorlake.constants import (ALERT_PRESSURE, ALERT_UNREGISTERED, FEED_WINDOW_ROWS,
                                   PRESSURE_THRESHOLD_PA)
 from sensorlake.functions.scalar import fmt_fixed, json_double, parse_values, python_str
-from sensorlake.operators.joins import bounded_broadcast, customer_lookup
+from sensorlake.operators.joins import as_registry, customer_lookup
 
 # FIXED VALUES: text of the pressure notification, in order.
 PRESSURE_MESSAGE = ("[ALERT] Pressure threshold exceeded: sensor_id={sensor_id} "
@@ -51,13 +51,14 @@ def pressure_message(limit: float = PRESSURE_THRESHOLD_PA) -> Column:
         python_str(F.col("longitude")), F.lit(")"))
 
 
-def pressure_alerts(readings: DataFrame, dim_sensors: DataFrame, dim_customers: DataFrame,
+def pressure_alerts(readings: DataFrame, dim_sensors, dim_customers: DataFrame | None,
                     time_col: str = "timestamp", limit: float = PRESSURE_THRESHOLD_PA) -> DataFrame:
     """Every breach is its own alert (an incident timeline, no dedup).
 
     Customer context comes from the sensors INNER customers registry; a
     sensor without it gets customer 'Unknown'. Adds ``message`` (the
-    notification text) beside the alert-log columns.
+    notification text) beside the alert-log columns. ``dim_sensors`` may be
+    a ``Registry`` (then ``dim_customers`` is unused).
     """
     b = customer_lookup(pressure_breaches(readings, limit), dim_sensors, dim_customers)
     b = (b.withColumn("customer_name", F.coalesce(F.col("customer_name"), F.lit(UNKNOWN)))
@@ -74,14 +75,17 @@ def pressure_alerts(readings: DataFrame, dim_sensors: DataFrame, dim_customers:
         pressure_message(limit).alias("message"))
 
 
-def unregistered_sensors(silver: DataFrame, dim_sensors: DataFrame) -> DataFrame:
-    """Distinct (sensor_id, country, latitude, longitude, sensor_type) with no registry row."""
-    known = bounded_broadcast(dim_sensors.select("sensor_id"))
+def unregistered_sensors(silver: DataFrame, dim_sensors) -> DataFrame:
+    """Distinct (sensor_id, country, latitude, longitude, sensor_type) with no registry row.
+
+    ``dim_sensors`` may be a ``Registry``.
+    """
+    known = as_registry(dim_sensors).known_ids
     return (silver.select("sensor_id", "country", "latitude", "longitude", "sensor_type")
             .join(known, "sensor_id", "left_anti").distinct())
 
 
-def unregistered_alerts(silver: DataFrame, dim_sensors: DataFrame, alert_log: DataFrame | None = None,
+def unregistered_alerts(silver: DataFrame, dim_sensors, alert_log: DataFrame | None = None,
                         source: str = "gold_build") -> DataFrame:
     """One alert per unregistered sensor, ever.
 
@@ -91,7 +95,7 @@ def unregistered_alerts(silver: DataFrame, dim_sensors: DataFrame, alert_log: Da
     The per-sensor choice is an aggregation, so a sensor with a third of all
     readings is combined map-side before the shuffle.
     """
-    known = bounded_broadcast(dim_sensors.select("sensor_id"))
+    known = as_registry(dim_sensors).known_ids
     per_sensor = (silver.join(known, "sensor_id", "left_anti")
                   .groupBy("sensor_id")
                   .agg(F.min(F.struct("country", "latitude", "longitude", "sensor_type")).alias("a"),

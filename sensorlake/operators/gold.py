@@ -81,8 +81,11 @@ def sorted_mart(name: str, mart: DataFrame) -> DataFrame:
     return mart.orderBy(*cols)
 
 
-def build_marts(silver: DataFrame, dim_sensors: DataFrame, dim_customers: DataFrame,
+def build_marts(silver: DataFrame, dim_sensors, dim_customers: DataFrame | None = None,
                 names=None) -> dict[str, DataFrame]:
-    """All marts over one enriched frame (the registry join is planned once each)."""
+    """All marts over one enriched frame (the registry join is planned once each).
+
+    ``dim_sensors`` may be a ``Registry`` whose size checks are already done.
+    """
     enriched = enrich(silver, dim_sensors, dim_customers)
     return {name: MARTS[name](enriched) for name in (names or MARTS)}

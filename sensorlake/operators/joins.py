@@ -3,10 +3,15 @@
 Dimension tables are broadcast only after their row count has been checked
 against a bound; above it the join is left to Catalyst/AQE (sort-merge or
 shuffled hash), so a registry that outgrows memory never breaks the job.
+
+A ``Registry`` holds one refresh's dimensions and checks each broadcast side
+once, however many marts and alert queries then join against it.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,14 +41,57 @@ def registry(dim_sensors: DataFrame, dim_customers: DataFrame) -> DataFrame:
     return ds.join(dc, "customer_id", "left")
 
 
-def enrich(facts: DataFrame, dim_sensors: DataFrame, dim_customers: DataFrame,
+def lookup_registry(dim_sensors: DataFrame, dim_customers: DataFrame) -> DataFrame:
+    """sensors INNER customers: the per-sensor customer lookup, set-wise."""
+    return (dim_sensors.select("sensor_id", F.col("customer_id").alias("_cid"))
+            .join(dim_customers.select(F.col("customer_id").alias("_cid"), "customer_name",
+                                       F.col("region").alias("_cregion")), "_cid", "inner")
+            .select("sensor_id", F.col("_cid").alias("customer_id"), "customer_name",
+                    F.col("_cregion").alias("customer_region")))
+
+
+class Registry:
+    """Sensors and customers of one refresh, with size-checked join sides.
+
+    Each side (enrichment, customer lookup, known ids) is counted at most
+    once, when first used; it is broadcast only within ``max_rows``.
+    """
+
+    def __init__(self, dim_sensors: DataFrame, dim_customers: DataFrame,
+                 max_rows: int = MAX_BROADCAST_ROWS):
+        self.dim_sensors = dim_sensors
+        self.dim_customers = dim_customers
+        self.max_rows = max_rows
+
+    @cached_property
+    def enrich_side(self) -> DataFrame:
+        return bounded_broadcast(registry(self.dim_sensors, self.dim_customers), self.max_rows)
+
+    @cached_property
+    def lookup_side(self) -> DataFrame:
+        return bounded_broadcast(lookup_registry(self.dim_sensors, self.dim_customers), self.max_rows)
+
+    @cached_property
+    def known_ids(self) -> DataFrame:
+        return bounded_broadcast(self.dim_sensors.select("sensor_id"), self.max_rows)
+
+
+def as_registry(dim_sensors, dim_customers=None, max_rows: int = MAX_BROADCAST_ROWS) -> Registry:
+    """Accept either a ready ``Registry`` or the two dimension frames."""
+    if isinstance(dim_sensors, Registry):
+        return dim_sensors
+    return Registry(dim_sensors, dim_customers, max_rows)
+
+
+def enrich(facts: DataFrame, dim_sensors, dim_customers: DataFrame | None = None,
            max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Facts LEFT JOIN sensors LEFT JOIN customers, with 'Unknown' fallbacks.
 
     Adds ``country`` = registry country else the reading's, ``region`` and
     ``customer_name`` from the customer row (not the sensor row).
+    ``dim_sensors`` may be a ``Registry`` (then ``dim_customers`` is unused).
     """
-    reg = bounded_broadcast(registry(dim_sensors, dim_customers), max_rows)
+    reg = as_registry(dim_sensors, dim_customers, max_rows).enrich_side
     joined = facts.join(reg, "sensor_id", "left")
     return (joined
             .withColumn("country", F.coalesce(F.col("ds_country"), F.col("country")))
@@ -52,16 +100,11 @@ def enrich(facts: DataFrame, dim_sensors: DataFrame, dim_customers: DataFrame,
             .drop("ds_country", "dc_region"))
 
 
-def customer_lookup(facts: DataFrame, dim_sensors: DataFrame, dim_customers: DataFrame,
+def customer_lookup(facts: DataFrame, dim_sensors, dim_customers: DataFrame | None = None,
                     max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Set-wise form of the per-sensor customer lookup (sensors INNER customers).
 
-    Adds ``customer_id``, ``customer_name``, ``region`` (NULL when the sensor
-    has no customer row), keeping every fact row.
+    Adds ``customer_id``, ``customer_name``, ``customer_region`` (NULL when the
+    sensor has no customer row), keeping every fact row.
     """
-    inner = (dim_sensors.select("sensor_id", F.col("customer_id").alias("_cid"))
-             .join(dim_customers.select(F.col("customer_id").alias("_cid"), "customer_name",
-                                        F.col("region").alias("_cregion")), "_cid", "inner")
-             .select("sensor_id", F.col("_cid").alias("customer_id"), "customer_name",
-                     F.col("_cregion").alias("customer_region")))
-    return facts.join(bounded_broadcast(inner, max_rows), "sensor_id", "left")
+    return facts.join(as_registry(dim_sensors, dim_customers, max_rows).lookup_side, "sensor_id", "left")

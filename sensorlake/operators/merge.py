@@ -111,7 +111,7 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, loo
 
 
 def refresh_mart(spark: SparkSession, name: str, silver: DataFrame, increment: DataFrame | None,
-                 dim_sensors: DataFrame, dim_customers: DataFrame, mart_path: str) -> None:
+                 dim_sensors, dim_customers: DataFrame | None, mart_path: str) -> None:
     """Recompute every mart partition (calendar day) the increment touches.
 
     The recompute grain is the storage partition, never finer: a day that

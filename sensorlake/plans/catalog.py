@@ -49,7 +49,7 @@ def register(name: str):
 
 
 def _mart(name: str, inp: Inputs) -> DataFrame:
-    return gold.MARTS[name](enrich(inp.silver, inp.dim_sensors, inp.dim_customers))
+    return gold.MARTS[name](enrich(inp.silver, inp.registry))
 
 
 @register("gold_pm25")
@@ -101,7 +101,7 @@ def rejected_readings(inp: Inputs) -> DataFrame:
 
 @register("enriched_readings")
 def enriched_readings(inp: Inputs) -> DataFrame:
-    e = enrich(inp.silver, inp.dim_sensors, inp.dim_customers)
+    e = enrich(inp.silver, inp.registry)
     return e.select("reading_id", "sensor_id", "sensor_type", "ingested_at", "latitude",
                     "longitude", "country", "pm25", "pm10", "temperature", "humidity",
                     "pressure", "pressure_at_sealevel", "customer_id", "customer_name", "region")
@@ -132,7 +132,7 @@ def rekey(inp: Inputs) -> DataFrame:
 
 
 def _pressure(inp: Inputs) -> DataFrame:
-    return al.pressure_alerts(inp.decoded_bronze, inp.dim_sensors, inp.dim_customers, time_col="_arrival")
+    return al.pressure_alerts(inp.decoded_bronze, inp.registry, None, time_col="_arrival")
 
 
 @register("pressure_alerts")
@@ -152,15 +152,15 @@ def alert_messages(inp: Inputs) -> DataFrame:
 
 @register("unregistered_sensors")
 def unregistered_sensors(inp: Inputs) -> DataFrame:
-    return al.unregistered_sensors(inp.silver, inp.dim_sensors)
+    return al.unregistered_sensors(inp.silver, inp.registry)
 
 
 def _alert_log(inp: Inputs) -> DataFrame:
     """Alert log as two runs leave it: unregistered alerts of the first run,
     new ones of the second, and every pressure breach."""
     first = al.unregistered_alerts(inp.silver.where(F.col("ingested_at") < F.lit(FIRST_RUN_CUT)),
-                                   inp.dim_sensors)
-    second = al.unregistered_alerts(inp.silver, inp.dim_sensors, alert_log=first)
+                                   inp.registry)
+    second = al.unregistered_alerts(inp.silver, inp.registry, alert_log=first)
     return first.unionByName(second).unionByName(_pressure(inp).drop("message"))
 
 
@@ -168,8 +168,8 @@ def _alert_log(inp: Inputs) -> DataFrame:
 def new_unregistered_alerts(inp: Inputs) -> DataFrame:
     """Second run's unregistered alerts: sensors not alerted by the first run."""
     first = al.unregistered_alerts(inp.silver.where(F.col("ingested_at") < F.lit(FIRST_RUN_CUT)),
-                                   inp.dim_sensors)
-    new = al.unregistered_alerts(inp.silver, inp.dim_sensors, alert_log=first)
+                                   inp.registry)
+    new = al.unregistered_alerts(inp.silver, inp.registry, alert_log=first)
     return new.select("sensor_id", "alert_type", "payload", "created_at")
 
 
@@ -347,11 +347,11 @@ def _two_runs(inp: Inputs, marts: list[str]) -> tuple[str, dict[str, str]]:
     mart_paths = {m: scratch_path(spark, m) for m in marts}
     first = mg.refresh_silver(spark, bronze.where(mg.hour_key() < F.lit(INCREMENT_CUT)), silver_path)
     for m in marts:
-        mg.refresh_mart(spark, m, first, None, inp.dim_sensors, inp.dim_customers, mart_paths[m])
+        mg.refresh_mart(spark, m, first, None, inp.registry, None, mart_paths[m])
     increment = mg.refresh_silver(spark, bronze, silver_path)
     silver = mg.read_silver(spark, silver_path)
     for m in marts:
-        mg.refresh_mart(spark, m, silver, increment, inp.dim_sensors, inp.dim_customers, mart_paths[m])
+        mg.refresh_mart(spark, m, silver, increment, inp.registry, None, mart_paths[m])
     return silver_path, mart_paths
 
 
@@ -394,7 +394,7 @@ def schema_sync(inp: Inputs) -> DataFrame:
 def full_refresh_counts(inp: Inputs) -> DataFrame:
     """Create-or-replace every table, then count rows of what was written."""
     tables = {"silver": inp.silver, "rejected": build_rejected(inp.bronze)}
-    tables.update(gold.build_marts(inp.silver, inp.dim_sensors, inp.dim_customers))
+    tables.update(gold.build_marts(inp.silver, inp.registry))
     out = None
     for name, df in tables.items():
         path = scratch_path(inp.spark, name)
@@ -407,7 +407,7 @@ def full_refresh_counts(inp: Inputs) -> DataFrame:
 
 @register("quality_report")
 def quality_report(inp: Inputs) -> DataFrame:
-    marts = gold.build_marts(inp.silver, inp.dim_sensors, inp.dim_customers)
+    marts = gold.build_marts(inp.silver, inp.registry)
     return qa.quality_report(inp.bronze, inp.silver, build_rejected(inp.bronze), marts)
 
 

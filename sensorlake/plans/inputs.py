@@ -1,15 +1,41 @@
-"""Lazily built inputs shared by the catalog's queries."""
+"""Inputs shared by the catalog's queries.
+
+The lazy plans over the driver tables (events -> bronze -> silver, the
+dimensions and the size-checked registry) are built once per session and
+table folder, like views registered at start-up: each query still executes
+its whole plan, only the driver-side analysis and the broadcast size checks
+are not repeated. Anything that writes files (landed bronze, the snapshot)
+is done by each query for itself.
+"""
 
 from __future__ import annotations
 
+import weakref
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sensorlake.operators.joins import Registry
 from sensorlake.operators.silver import build_silver
 from sensorlake.session import use_utc
 from sensorlake.sources import driver_tables as dt
 
+_SHARED: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
+def shared(fn):
+    """A property computed once per (session, table folder)."""
+    name = fn.__name__
+
+    def get(self):
+        store = _SHARED.setdefault(self.spark, {})
+        key = (self.sf_dir, name)
+        if key not in store:
+            store[key] = fn(self)
+        return store[key]
+    get.__doc__ = fn.__doc__
+    return property(get)
+
 
 class Inputs:
     """Driver tables and the pipeline layers derived from them (all lazy)."""
@@ -17,63 +43,70 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         use_utc(spark)
         self.spark = spark
-        self.sf_dir = sf_dir
+        self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
         return dt.load(self.spark, self.sf_dir, name)
 
-    @cached_property
+    @shared
     def events(self) -> DataFrame:
         return dt.spread(self.table("events"))
 
-    @cached_property
+    @shared
     def bronze(self) -> DataFrame:
         return dt.bronze_from_events(self.events)
 
-    @cached_property
+    @shared
     def messages(self) -> DataFrame:
         return dt.messages_from_events(self.events)
 
-    @cached_property
+    @shared
     def silver(self) -> DataFrame:
         return build_silver(self.bronze)
 
-    @cached_property
-    def snapshot(self) -> DataFrame:
-        """Snapshot derived from ``supplier``, landed as JSON lines and scanned back."""
-        from sensorlake.session import scratch_path
-        from sensorlake.sources.snapshot import land_snapshot, read_snapshot, snapshot_from_supplier
-        path = land_snapshot(snapshot_from_supplier(self.table("supplier")), scratch_path(self.spark, "snapshot"))
-        return read_snapshot(self.spark, path)
-
-    @cached_property
-    def landed_bronze(self) -> DataFrame:
-        """Bronze written in the Hive hour layout and scanned back."""
-        from sensorlake.operators.partitions import read_bronze, write_bronze
-        from sensorlake.session import scratch_path
-        path = write_bronze(self.bronze, scratch_path(self.spark, "bronze"))
-        self.bronze_path = path
-        return read_bronze(self.spark, path)
-
-    @cached_property
+    @shared
     def dim_customers(self) -> DataFrame:
         return dt.dim_customers(self.table("nation"), self.table("region"))
 
-    @cached_property
+    @shared
     def dim_sensors(self) -> DataFrame:
         return dt.dim_sensors(self.table("supplier"), self.table("nation"), self.table("region"))
 
+    @shared
+    def registry(self) -> Registry:
+        """Sensors and customers with each broadcast side checked once."""
+        return Registry(self.dim_sensors, self.dim_customers)
+
     # message path: decoded bronze (with arrival time) and dead letters
 
-    @cached_property
+    @shared
     def decoded(self):
         from sensorlake.operators.decode import decode
         return decode(self.messages)
 
-    @cached_property
+    @property
     def decoded_bronze(self) -> DataFrame:
         return self.decoded[0]
 
-    @cached_property
+    @property
     def dead_letter(self) -> DataFrame:
         return self.decoded[1]
+
+    # written by each query for itself
+
+    @cached_property
+    def snapshot(self) -> DataFrame:
+        """Snapshot derived from ``supplier``, landed as JSON lines and scanned back."""
+        from sensorlake.session import scratch_path
+        from sensorlake.sources.snapshot import land_snapshot, read_snapshot, snapshot_from_supplier
+        path = land_snapshot(snapshot_from_supplier(self.table("supplier")), scratch_path(self.spark, "snapshot"))
+        return read_snapshot(self.spark, path)
+
+    @cached_property
+    def landed_bronze(self) -> DataFrame:
+        """Bronze written in the Hive hour layout and scanned back."""
+        from sensorlake.operators.partitions import read_bronze, write_bronze
+        from sensorlake.session import scratch_path
+        path = write_bronze(self.bronze, scratch_path(self.spark, "bronze"))
+        self.bronze_path = path
+        return read_bronze(self.spark, path)

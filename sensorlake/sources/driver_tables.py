@@ -16,6 +16,8 @@ the customers, ``region`` names their regions.
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,8 +35,18 @@ BAD_TIME_TEXT = "garbage"
 BAD_DATE_TEXT = "2024-13-45T00:00:00+00:00"
 
 
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The table's DataFrame, resolved once per session (like a registered
+    view): the footer read and file listing are not repeated for every
+    query. Only the lazy plan is kept; each action scans the files again."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    tables = _TABLES.setdefault(spark, {})
+    if path not in tables:
+        tables[path] = spark.read.parquet(path)
+    return tables[path]
 
 
 def spread(df: DataFrame) -> DataFrame:
