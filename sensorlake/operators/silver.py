@@ -30,9 +30,16 @@ def rejection_reason(parsed_ts=None):
 
 
 def classify(bronze: DataFrame) -> DataFrame:
-    """Bronze plus the parsed instant ``_ts`` and ``rejection_reason``."""
-    return (bronze.withColumn(_TS, parse_instant("ingested_at"))
-            .withColumn(_REASON, rejection_reason(F.col(_TS))))
+    """Bronze plus the parsed instant ``_ts`` and ``rejection_reason``.
+
+    The reason is guarded by ``spark_partition_id() >= 0`` (always true, so the
+    value is unchanged). That makes the column nondeterministic, and the
+    optimizer then keeps the silver / rejected filters on it above this
+    projection, instead of pushing them below and parsing every timestamp a
+    second time inside the filter.
+    """
+    pinned = F.when(F.spark_partition_id() >= 0, rejection_reason(F.col(_TS)))
+    return bronze.withColumn(_TS, parse_instant("ingested_at")).withColumn(_REASON, pinned)
 
 
 def _typed(df: DataFrame) -> DataFrame:

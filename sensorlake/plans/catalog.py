@@ -392,23 +392,26 @@ def schema_sync(inp: Inputs) -> DataFrame:
 
 @register("full_refresh_counts")
 def full_refresh_counts(inp: Inputs) -> DataFrame:
-    """Create-or-replace every table, then count rows of what was written."""
-    tables = {"silver": inp.silver, "rejected": build_rejected(inp.bronze)}
-    tables.update(gold.build_marts(inp.silver, inp.registry))
+    """Create-or-replace every table in build order (silver first, the marts
+    from the written silver), then count rows of what was written."""
+    silver = _tables.stage_table(inp.silver, "silver")
+    tables = {"silver": silver, "rejected": _tables.stage_table(build_rejected(inp.bronze), "rejected")}
+    tables.update({name: _tables.stage_table(df, name)
+                   for name, df in gold.build_marts(silver, inp.registry).items()})
     out = None
     for name, df in tables.items():
-        path = scratch_path(inp.spark, name)
-        df.write.mode("overwrite").parquet(path)
-        c = inp.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count")
+        c = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         out = c if out is None else out.unionByName(c)
     return out
 
 
 @register("quality_report")
 def quality_report(inp: Inputs) -> DataFrame:
-    marts = gold.build_marts(inp.silver, inp.registry)
-    return qa.quality_report(inp.bronze, inp.silver, build_rejected(inp.bronze), marts)
+    """Post-build checks over the written tables: silver is stored once and
+    the marts are built from it, so no table is recomputed per check."""
+    silver = _tables.stage_table(inp.silver, "silver")
+    marts = gold.build_marts(silver, inp.registry)
+    return qa.quality_report(inp.bronze, silver, build_rejected(inp.bronze), marts)
 
 
 @register("quality_schema")

@@ -51,3 +51,15 @@ def read_registry(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]
     sensors = spark.read.schema(DIM_SENSORS).parquet(f"{root}/dim_sensors").select(*_columns(DIM_SENSORS))
     customers = spark.read.schema(DIM_CUSTOMERS).parquet(f"{root}/customers").select(*_columns(DIM_CUSTOMERS))
     return sensors, customers
+
+
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a fresh folder under the shared checkpoint root and
+    scan it back: several consumers then read the stored rows (with column
+    pruning) instead of each recomputing the plan, and lineage is cut, so a
+    lost executor costs a re-read, not a recompute from raw input."""
+    from sensorlake.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
