@@ -42,14 +42,31 @@ def hour_key() -> F.Column:
     return F.concat(F.col("year"), F.col("month"), F.col("day"), F.col("hour"))
 
 
-def increment_start(target: DataFrame, col: str, lookback_hours: int, now=None) -> str | None:
+def increment_start(target: DataFrame, col: str, lookback_hours: int, now=None,
+                    partition_col: str | None = None) -> str | None:
     """Partition key 'yyyyMMddHH' of (high-water - look-back), or None if empty.
 
+    With ``partition_col`` (the calendar day of ``col``), the newest day is
+    found from partition values alone and the maximum is taken inside it, so
+    the scan is one day of one column instead of the whole table. Only when
+    that day holds nothing at or before ``now`` is the whole table consulted.
     Computed in the session time zone (UTC) and collected as one string.
     """
-    d = target if now is None else target.where(F.col(col) <= F.lit(now).cast("timestamp"))
-    start = F.date_trunc("hour", F.max(col) - F.make_dt_interval(hours=F.lit(lookback_hours)))
-    return d.agg(F.date_format(start, "yyyyMMddHH").alias("k")).first()["k"]
+    def start_of(d: DataFrame):
+        if now is not None:
+            d = d.where(F.col(col) <= F.lit(now).cast("timestamp"))
+        start = F.date_trunc("hour", F.max(col) - F.make_dt_interval(hours=F.lit(lookback_hours)))
+        return d.agg(F.date_format(start, "yyyyMMddHH").alias("k")).first()["k"]
+
+    if partition_col is None:
+        return start_of(target)
+    days = target
+    if now is not None:
+        days = days.where(F.col(partition_col) <= F.to_date(F.lit(now).cast("timestamp")))
+    last = days.agg(F.max(partition_col).alias("d")).first()["d"]
+    if last is None:
+        return None
+    return start_of(target.where(F.col(partition_col) >= F.lit(last))) or start_of(target)
 
 
 def bronze_since(bronze: DataFrame, key: str) -> DataFrame:
@@ -93,15 +110,17 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, loo
     """
     exists = path_exists(spark, silver_path)
     start = None if (full_refresh or not exists) else increment_start(
-        read_silver(spark, silver_path), "ingested_at", lookback_hours, now)
+        spark.read.parquet(silver_path), "ingested_at", lookback_hours, now, SILVER_PARTITION)
     if start is None:
         new = build_silver(bronze)
         replace_partitions(spark, _silver_with_day(new), silver_path, [SILVER_PARTITION], full=True)
         return read_silver(spark, silver_path)
     new = _silver_with_day(build_silver(bronze_since(bronze, start)))
     target = spark.read.parquet(silver_path)
-    new_ids = new.select("reading_id").distinct()
-    # days holding an older copy of a new reading (exact: no window on how far back)
+    new_ids = bounded_broadcast(new.select("reading_id").distinct())
+    # days holding an older copy of a new reading (exact: no window on how far
+    # back). One scan of two columns; with the increment's ids broadcast it is
+    # a map-side filter and the stored table is never shuffled.
     old_days = target.select("reading_id", SILVER_PARTITION).join(new_ids, "reading_id", "left_semi")
     touched = new.select(SILVER_PARTITION).union(old_days.select(SILVER_PARTITION)).distinct()
     affected = target.join(bounded_broadcast(touched), SILVER_PARTITION, "left_semi")
@@ -116,14 +135,21 @@ def refresh_mart(spark: SparkSession, name: str, silver: DataFrame, increment: D
 
     The recompute grain is the storage partition, never finer: a day that
     receives one late reading is rebuilt from all of that day's silver rows,
-    so the overwrite cannot drop the day's other hours.
+    so the overwrite cannot drop the day's other hours. When ``silver`` is
+    the stored table with its ``day`` partition column, the touched days are
+    joined on that column, so dynamic partition pruning reads only them.
     """
     unit = "hour" if name == "pm25_by_country_hour" else "day"
     source = silver
     full = increment is None or not path_exists(spark, mart_path)
     if not full:
-        days = increment.select(F.to_date("ingested_at").alias("_d")).distinct()
-        source = silver.join(bounded_broadcast(days), F.to_date(silver["ingested_at"]) == days["_d"], "left_semi")
+        days = bounded_broadcast(increment.select(F.to_date("ingested_at").alias("_d")).distinct())
+        if SILVER_PARTITION in silver.columns:
+            source = silver.join(days, F.col(SILVER_PARTITION) == days["_d"], "left_semi")
+        else:
+            source = silver.join(days, F.to_date(silver["ingested_at"]) == days["_d"], "left_semi")
+    if SILVER_PARTITION in source.columns:
+        source = source.drop(SILVER_PARTITION)
     mart = gold.MARTS[name](enrich(source, dim_sensors, dim_customers))
     mart = mart.withColumn(MART_PARTITION, F.date_format(unit, "yyyy-MM-dd"))
     replace_partitions(spark, mart, mart_path, [MART_PARTITION], full=full)
