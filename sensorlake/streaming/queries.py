@@ -70,23 +70,27 @@ def silver_dedup(messages: DataFrame, silver_path: str, checkpoint: str, delay:
     return _start(s.writeStream.format("parquet").option("path", silver_path), checkpoint, trigger)
 
 
+def _write_batch(df: DataFrame, target: str, batch_id: int) -> None:
+    """Idempotent micro-batch append: the batch's rows go to their own
+    ``batch_id=N`` partition with dynamic partition overwrite, so a replayed
+    batch replaces its earlier output. No existing data is read or checked,
+    so the cost per batch does not grow with the log."""
+    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target))
+
+
 def _append_once(target: str, notify=None):
-    """foreachBatch body: append unless this batch id was already committed.
+    """foreachBatch body: log the batch's alerts exactly once (see ``_write_batch``).
 
     ``notify(batch_df)`` (optional) delivers the batch's alerts, e.g. to a
     webhook, after they are logged; a delivery failure is reported but does
     not undo or block the logging.
     """
     def run(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        if path_exists(spark, target):
-            seen = spark.read.parquet(target).where(F.col("batch_id") == batch_id).limit(1).count()
-            if seen:
-                return
-        df.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(target)
+        _write_batch(df, target, batch_id)
         if notify is not None:
             try:
-                notify(spark.read.parquet(target).where(F.col("batch_id") == batch_id))
+                notify(df.sparkSession.read.parquet(f"{target}/batch_id={batch_id}"))
             except Exception as exc:  # noqa: BLE001 - delivery must not stop logging
                 print(f"alert delivery failed for batch {batch_id}: {exc}")
     return run
@@ -108,11 +112,12 @@ def unregistered_alerts(messages: DataFrame, dim_sensors: DataFrame, alert_path:
 
     def run(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        log = spark.read.parquet(alert_path) if path_exists(spark, alert_path) else None
-        if log is not None and log.where(F.col("batch_id") == batch_id).limit(1).count():
-            return
+        # earlier batches only: a replayed batch recomputes its own alerts
+        # and replaces its partition (the log is one row per sensor, ever)
+        log = (spark.read.parquet(alert_path).where(F.col("batch_id") != batch_id)
+               if path_exists(spark, alert_path) else None)
         new = al.unregistered_alerts(df, dim_sensors, alert_log=log, source="bridge")
-        new.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(alert_path)
+        _write_batch(new, alert_path, batch_id)
 
     return _start(rows.writeStream.foreachBatch(run), checkpoint, trigger)
 
@@ -155,9 +160,9 @@ def rollover_status(messages: DataFrame, hours_path: str, status_path: str, chec
                     trigger: dict | None = None) -> StreamingQuery:
     """Close hour partitions as the stream moves past them.
 
-    Each micro-batch appends the hours it holds data for to a small hours
-    table (one row per hour and batch, skipped when the batch id is already
-    there). Every recorded hour older than the newest recorded hour then gets
+    Each micro-batch writes the hours it holds data for to a small hours
+    table (one row per hour and batch, in the batch's own partition, so a
+    replay replaces it). Every recorded hour older than the newest recorded hour then gets
     one status row (``closed_at`` = the hour's end); the anti join against the
     status table makes a replayed batch harmless.
     """
@@ -168,11 +173,7 @@ def rollover_status(messages: DataFrame, hours_path: str, status_path: str, chec
 
     def run(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        seen = path_exists(spark, hours_path) and spark.read.parquet(hours_path) \
-            .where(F.col("batch_id") == batch_id).limit(1).count() > 0
-        if not seen:
-            df.select(*PARTITION_COLUMNS).distinct().withColumn("batch_id", F.lit(batch_id)) \
-                .write.mode("append").parquet(hours_path)
+        _write_batch(df.select(*PARTITION_COLUMNS).distinct(), hours_path, batch_id)
         hours = spark.read.parquet(hours_path).select(*PARTITION_COLUMNS).distinct()
         newest = hours.agg(F.max(key).alias("k")).first()["k"]   # one literal: yyyyMMddHH
         closed = (hours.where(key < F.lit(newest))

@@ -123,3 +123,16 @@ def test_checkpoint_root_refuses_a_local_folder_on_a_cluster():
 
 def test_checkpoint_root_reads_the_session_setting(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_replayed_micro_batch_is_logged_once(spark):
+    from sensorlake.streaming.queries import _append_once
+    target = scratch_path(spark, "alerts")
+    run = _append_once(target)
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "sensor_id bigint, reading_id string")
+    second = spark.createDataFrame([(3, "c")], "sensor_id bigint, reading_id string")
+    run(first, 0)
+    run(second, 1)
+    run(first, 0)          # replay after a failure between sink commit and offset commit
+    rows = sorted((r.batch_id, r.sensor_id) for r in spark.read.parquet(target).collect())
+    assert rows == [(0, 1), (0, 2), (1, 3)]
