@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -43,6 +44,50 @@ def get_session(master: str | None = None, app: str = "sensorlake",
     return spark
 
 
+MB = 1 << 20
+GB = 1 << 30
+
+
+def scale_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Scan split and shuffle sizes for a job reading ``input_bytes``.
+
+    - Scan splits: 128 MB, or 512 MB from 10 TB up, so a 100 TB scan is about
+      200k map tasks rather than 800k (Parquet decodes a few times larger in
+      memory; 512 MB stays within one core's share of a typical executor).
+    - Shuffle partitions: about 1 GB of input per reducer, at least two waves
+      over the cores and at most 100k, which keeps the map x reduce block count
+      manageable. AQE then coalesces small reducers to 256 MB and splits
+      skewed ones, so the figure is a ceiling, not a guess to get exactly right.
+    """
+    split = 512 * MB if input_bytes >= 10 * (1 << 40) else 128 * MB
+    reducers = min(100_000, max(2 * total_cores, math.ceil(input_bytes / GB)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(reducers),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * MB),
+    }
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of files under ``paths`` from file-system metadata (no data read)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        total += hpath.getFileSystem(conf).getContentSummary(hpath).getLength()
+    return int(total)
+
+
+def size_for_input(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Apply ``scale_settings`` for the files a job is about to read."""
+    settings = scale_settings(input_bytes(spark, paths), spark.sparkContext.defaultParallelism)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    return settings
+
+
 def use_utc(spark: SparkSession) -> None:
     """All hour/day truncation is in UTC (readings carry their own offset)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -88,5 +133,6 @@ def local_path(path: str) -> str:
 
 
 __all__ = ["get_session", "use_utc", "checkpoint_root", "scratch_path",
-           "path_exists", "local_path", "SESSION_DEFAULTS"]
+           "path_exists", "local_path", "SESSION_DEFAULTS", "scale_settings",
+           "input_bytes", "size_for_input"]
 

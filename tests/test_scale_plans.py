@@ -136,3 +136,23 @@ def test_replayed_micro_batch_is_logged_once(spark):
     run(first, 0)          # replay after a failure between sink commit and offset commit
     rows = sorted((r.batch_id, r.sensor_id) for r in spark.read.parquet(target).collect())
     assert rows == [(0, 1), (0, 2), (1, 3)]
+
+
+def test_scale_settings_bound_tasks_and_reducers():
+    from sensorlake.session import scale_settings
+    tb = 1 << 40
+    big = scale_settings(100 * tb, 8000)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
+    assert big["spark.sql.shuffle.partitions"] == "100000"          # capped
+    mid = scale_settings(5 * tb, 2000)
+    assert mid["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
+    assert mid["spark.sql.shuffle.partitions"] == str(5 * 1024)      # ~1 GB per reducer
+    small = scale_settings(10 << 20, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"             # two waves over the cores
+
+
+def test_input_bytes_from_metadata(spark):
+    from sensorlake.session import input_bytes
+    import os
+    path = "/root/testdata/sf0.001/events.parquet"
+    assert input_bytes(spark, [path]) == os.path.getsize(path)
