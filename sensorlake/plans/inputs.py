@@ -74,8 +74,9 @@ class Inputs:
 
     @shared
     def registry(self) -> Registry:
-        """Sensors and customers with each broadcast side checked once."""
-        return Registry(self.dim_sensors, self.dim_customers)
+        """Sensors and customers with each broadcast side checked once; the
+        sensor side is ``dim_sensors``' registry columns only."""
+        return Registry(dt.sensor_keys(self.table("supplier")), self.dim_customers)
 
     # message path: decoded bronze (with arrival time) and dead letters
 

@@ -170,6 +170,17 @@ def dim_customers(nation: DataFrame, region: DataFrame) -> DataFrame:
                     F.col("r_name").alias("region")))
 
 
+def sensor_keys(supplier: DataFrame) -> DataFrame:
+    """The registry columns of ``dim_sensors`` (sensor_id, country,
+    customer_id), read from ``supplier`` alone. Joins that need only these
+    use this frame: the customer-region join that ``dim_sensors`` adds for
+    its ``region`` column cannot be dropped by the optimizer, and would be
+    one more broadcast stage in every registry side."""
+    return supplier.select(F.col("s_suppkey").cast("bigint").alias("sensor_id"),
+                           country_of(F.col("s_nationkey")).alias("country"),
+                           F.col("s_nationkey").cast("int").alias("customer_id"))
+
+
 def dim_sensors(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """Registered sensors: one per supplier, customer = the supplier's nation."""
     customers = dim_customers(nation, region)
