@@ -147,6 +147,23 @@ def hourly(messages: DataFrame, target: str, checkpoint: str, delay: str = "7 da
     return _start(agg.writeStream.outputMode("update").foreachBatch(run), checkpoint, trigger)
 
 
+def republish(messages: DataFrame, bootstrap: str, topic: str, checkpoint: str,
+              trigger: dict | None = None) -> StreamingQuery:
+    """Re-keyed messages (key = sensor id text) to a Kafka topic.
+
+    Offsets of the source and the sink's progress live in the checkpoint; the
+    producer is idempotent, so a retried batch does not duplicate records
+    within a producer session (Kafka sinks are at-least-once across restarts;
+    silver's dedup removes such copies). Needs the Kafka connector on the
+    classpath, which this sandbox does not have.
+    """
+    from sensorlake.operators.decode import rekey
+    w = (rekey(messages).writeStream.format("kafka")
+         .option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
+         .option("kafka.enable.idempotence", "true").option("kafka.acks", "all"))
+    return _start(w, checkpoint, trigger)
+
+
 def run_to_end(queries: list[StreamingQuery] | StreamingQuery) -> None:
     for q in queries if isinstance(queries, list) else [queries]:
         q.awaitTermination()
