@@ -156,3 +156,47 @@ def test_input_bytes_from_metadata(spark):
     import os
     path = "/root/testdata/sf0.001/events.parquet"
     assert input_bytes(spark, [path]) == os.path.getsize(path)
+
+
+def _below_exchange(plan: str, operator: str) -> bool:
+    """``operator`` occurs in the plan below (after, in tree text) the first Exchange."""
+    lines = plan.splitlines()
+    first_exchange = next(i for i, line in enumerate(lines) if "Exchange" in line)
+    return any(operator in line for line in lines[first_exchange + 1:])
+
+
+def test_hot_reading_id_is_cut_before_the_shuffle(spark):
+    copies = [("hot", 1, "SDS011", f"2024-03-01T10:{i // 60:02d}:{i % 60:02d}+00:00", 0.0, 0.0, "DE", '{"P1": 1}')
+              for i in range(3000)]
+    cold = [(f"c{i}", 2, "SDS011", "2024-03-01T11:00:00+00:00", 0.0, 0.0, "DE", '{"P1": 2}') for i in range(50)]
+    b = _bronze(spark, list(reversed(copies)) + cold).repartition(8)
+    silver = build_silver(b)
+    plan = _plan(silver)
+    assert "WindowGroupLimit" in plan and _below_exchange(plan, "WindowGroupLimit"), plan
+    hot = silver.where("reading_id = 'hot'").collect()
+    assert len(hot) == 1 and str(hot[0].ingested_at.time()) == "10:00:00"
+    assert silver.count() == 51
+    stored = mg.earliest_silver(silver.unionByName(silver))
+    assert _below_exchange(_plan(stored), "WindowGroupLimit")
+
+
+def test_marts_and_alerts_aggregate_map_side(spark):
+    from sensorlake.operators import alerts, gold
+    ds, dc = _dims(spark)
+    b = _bronze(spark, [(f"r{i}", i % 3, "SDS011", "2024-03-01T10:00:00+00:00", 0.0, 0.0, "DE",
+                         '{"P1": 1, "temperature": 2}') for i in range(30)])
+    silver = build_silver(b)
+    for mart in gold.build_marts(silver, Registry(ds, dc)).values():
+        plan = _plan(mart)
+        assert "partial_count" in plan and "BroadcastHashJoin" in plan, plan
+    per_sensor = alerts.unregistered_alerts(silver, Registry(ds, dc))
+    assert "partial_min" in _plan(per_sensor)
+
+
+def test_top_k_not_global_sort(spark):
+    from sensorlake.operators import alerts, registry
+    assert "TakeOrderedAndProject" in _plan(registry.sample(spark.range(100), k=10))
+    log = spark.createDataFrame([(1, 5, None, "pressure_threshold_exceeded", "{}", None)],
+                                "alert_id bigint, sensor_id bigint, reading_id string, alert_type string, "
+                                "payload string, created_at timestamp")
+    assert "TakeOrderedAndProject" in _plan(alerts.latest_alerts(log))
