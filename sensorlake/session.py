@@ -10,13 +10,19 @@ from pyspark.sql import SparkSession
 
 # Settings every entry point relies on: instants are truncated in UTC, AQE
 # re-plans joins and partition counts from runtime sizes, skewed join
-# partitions are split.
+# partitions are split. Streaming state (dedup keys within the watermark
+# delay, hourly windows) lives in RocksDB: off-heap, spilled to local disk,
+# checkpointed incrementally as changelogs, so days of keys do not have to
+# fit in executor heap.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
