@@ -177,11 +177,14 @@ def rollover_status(messages: DataFrame, hours_path: str, status_path: str, chec
                     trigger: dict | None = None) -> StreamingQuery:
     """Close hour partitions as the stream moves past them.
 
-    Each micro-batch writes the hours it holds data for to a small hours
-    table (one row per hour and batch, in the batch's own partition, so a
-    replay replaces it). Every recorded hour older than the newest recorded hour then gets
-    one status row (``closed_at`` = the hour's end); the anti join against the
-    status table makes a replayed batch harmless.
+    Each micro-batch takes the hours it holds data for plus the hours still
+    open after the previous batch (``hours_path/batch_id=N-1``); every hour
+    older than the newest of them gets one status row (``closed_at`` = the
+    hour's end), and the newest hour(s) are written as the open set of this
+    batch (``batch_id=N``). The per-batch work is one batch plus a handful of
+    open hours, however long the stream runs. Batch ids are consecutive and a
+    replayed batch reads the same previous open set and overwrites its own;
+    the anti join against the status table makes a replay harmless.
     """
     from sensorlake.operators.partitions import hour_start
 
@@ -190,15 +193,24 @@ def rollover_status(messages: DataFrame, hours_path: str, status_path: str, chec
 
     def run(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        _write_batch(df.select(*PARTITION_COLUMNS).distinct(), hours_path, batch_id)
-        hours = spark.read.parquet(hours_path).select(*PARTITION_COLUMNS).distinct()
-        newest = hours.agg(F.max(key).alias("k")).first()["k"]   # one literal: yyyyMMddHH
-        closed = (hours.where(key < F.lit(newest))
-                  .select(*PARTITION_COLUMNS, F.lit(True).alias("has_data"),
-                          (hour_start() + F.expr("INTERVAL 1 HOUR")).alias("closed_at")))
-        if path_exists(spark, status_path):
-            closed = closed.join(spark.read.parquet(status_path).select(*PARTITION_COLUMNS),
-                                 PARTITION_COLUMNS, "left_anti")
-        closed.write.mode("append").parquet(status_path)
+        hours = df.select(*PARTITION_COLUMNS).distinct()
+        previous = f"{hours_path}/batch_id={batch_id - 1}"
+        if batch_id > 0 and path_exists(spark, previous):
+            hours = hours.unionByName(spark.read.parquet(previous).select(*PARTITION_COLUMNS)).distinct()
+        hours = hours.persist()    # a handful of rows; the batch is decoded once, not per action
+        try:
+            newest = hours.agg(F.max(key).alias("k")).first()["k"]   # one literal: yyyyMMddHH
+            if newest is None:
+                return
+            closed = (hours.where(key < F.lit(newest))
+                      .select(*PARTITION_COLUMNS, F.lit(True).alias("has_data"),
+                              (hour_start() + F.expr("INTERVAL 1 HOUR")).alias("closed_at")))
+            if path_exists(spark, status_path):
+                closed = closed.join(spark.read.parquet(status_path).select(*PARTITION_COLUMNS),
+                                     PARTITION_COLUMNS, "left_anti")
+            closed.write.mode("append").parquet(status_path)
+            _write_batch(hours.where(key >= F.lit(newest)), hours_path, batch_id)
+        finally:
+            hours.unpersist()
 
     return _start(b.select(*PARTITION_COLUMNS).writeStream.foreachBatch(run), checkpoint, trigger)

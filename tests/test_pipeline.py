@@ -52,3 +52,9 @@ def test_streaming_dedup_survives_restart(spark, con):
 def test_streaming_alerts_replay_safe(spark, con):
     q = entry_mod.queries()
     assert_matches(q["stream_alerts"](spark, SF), entry_mod.oracle_sql()["stream_alerts"], con)
+
+
+def test_streaming_partition_status_carries_open_hours(spark, con):
+    """Two waves and a restart; hours stay open across batches until passed."""
+    q = entry_mod.queries()
+    assert_matches(q["stream_partition_status"](spark, SF), entry_mod.oracle_sql()["stream_partition_status"], con)

@@ -200,3 +200,39 @@ def test_top_k_not_global_sort(spark):
                                 "alert_id bigint, sensor_id bigint, reading_id string, alert_type string, "
                                 "payload string, created_at timestamp")
     assert "TakeOrderedAndProject" in _plan(alerts.latest_alerts(log))
+
+
+def test_rollover_replay_keeps_one_status_row_per_hour(spark):
+    """A replayed batch re-reads the same previous open set and adds nothing."""
+    from sensorlake.streaming import queries as sq
+    from sensorlake.schemas import MESSAGE
+    hours_path, status_path = scratch_path(spark, "hours"), scratch_path(spark, "status")
+    captured = {}
+
+    class Writer:     # stands in for writeStream: captures the batch function
+        def foreachBatch(self, fn):
+            captured["run"] = fn
+            return self
+
+    class Frame:
+        writeStream = Writer()
+
+    import sensorlake.streaming.queries as mod
+    real_decode, real_start = mod.decode, mod._start
+    mod.decode = lambda m: (types.SimpleNamespace(select=lambda *c: Frame()), None)
+    mod._start = lambda w, c, t: None
+    try:
+        sq.rollover_status(spark.createDataFrame([], MESSAGE), hours_path, status_path, "unused")
+    finally:
+        mod.decode, mod._start = real_decode, real_start
+    run = captured["run"]
+
+    def batch(*hours):
+        return spark.createDataFrame([("2024", "05", "01", h) for h in hours], "year string, month string, day string, hour string")
+
+    run(batch("01", "02"), 0)          # 01 closed, 02 open
+    run(batch("02", "03"), 1)          # 02 closed, 03 open
+    run(batch("02", "03"), 1)          # replay of batch 1
+    run(batch("04"), 2)                # 03 closed via the carried open set
+    status = sorted(r.hour for r in spark.read.parquet(status_path).collect())
+    assert status == ["01", "02", "03"]
