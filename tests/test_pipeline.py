@@ -58,3 +58,9 @@ def test_streaming_partition_status_carries_open_hours(spark, con):
     """Two waves and a restart; hours stay open across batches until passed."""
     q = entry_mod.queries()
     assert_matches(q["stream_partition_status"](spark, SF), entry_mod.oracle_sql()["stream_partition_status"], con)
+
+
+def test_streaming_hourly_merge_survives_restart(spark, con):
+    """Update-mode hourly windows merged per batch into day folders, restarted once."""
+    q = entry_mod.queries()
+    assert_matches(q["stream_hourly"](spark, SF), entry_mod.oracle_sql()["stream_hourly"], con)
