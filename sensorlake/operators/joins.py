@@ -1,8 +1,9 @@
 """Registry joins with a checked broadcast.
 
-Dimension tables are broadcast only after their row count has been checked
-against a bound; above it the join is left to Catalyst/AQE (sort-merge or
-shuffled hash), so a registry that outgrows memory never breaks the job.
+Dimension tables are broadcast only after their row count and payload bytes
+have been measured against bounds; above them the join is left to
+Catalyst/AQE (sort-merge or shuffled hash), so a registry that outgrows
+memory never breaks the job.
 
 A ``Registry`` holds one refresh's dimensions and checks each broadcast side
 once, however many marts and alert queries then join against it.
@@ -12,22 +13,57 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A registry row is a few ids and short strings (< 100 bytes); two million
-# rows stay well under a 200 MB broadcast.
+# rows stay well under a 200 MB broadcast. Both bounds must hold.
 MAX_BROADCAST_ROWS = 2_000_000
+MAX_BROADCAST_BYTES = 256 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+# Bytes of fixed-width values (decimals up to 18 digits fit a long).
+_WIDTH = {T.ByteType: 1, T.BooleanType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4,
+          T.DateType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8}
 
-    The count runs one cheap job on the small side; ``limit(max_rows + 1)``
+
+def _fixed_width(t: T.DataType) -> int:
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    return _WIDTH.get(type(t), 8)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """Payload bytes of a row: string/binary lengths plus fixed-width sizes
+    (complex values by the length of their JSON text)."""
+    sizes = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
+        else:
+            sizes.append(F.lit(_fixed_width(f.dataType)))
+    total = F.lit(0)
+    for size in sizes:
+        total = total + size
+    return total.cast("bigint")
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
+                      max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows and
+    ``max_bytes`` bytes of payload, else ``df`` (Catalyst / AQE then choose a
+    shuffled join).
+
+    One cheap job on the small side measures both; ``limit(max_rows + 1)``
     stops it early when the side is large.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    m = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+                                   F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if m["n"] <= max_rows and m["b"] <= max_bytes else df
 
 
 def registry(dim_sensors: DataFrame, dim_customers: DataFrame) -> DataFrame:
@@ -53,11 +89,11 @@ def lookup_registry(dim_sensors: DataFrame, dim_customers: DataFrame) -> DataFra
 class Registry:
     """Sensors and customers of one refresh, with size-checked join sides.
 
-    Each side (enrichment, customer lookup, known ids) is counted at most
-    once, when first used; it is broadcast only within ``max_rows``.
+    Each side (enrichment, customer lookup, known ids) is measured at most
+    once, when first used; it is broadcast only within the row and byte bounds.
     """
 
-    def __init__(self, dim_sensors: DataFrame, dim_customers: DataFrame,
+    def __init__(self, dim_sensors: DataFrame, dim_customers: DataFrame | None,
                  max_rows: int = MAX_BROADCAST_ROWS):
         self.dim_sensors = dim_sensors
         self.dim_customers = dim_customers

@@ -50,6 +50,10 @@ def test_bounded_broadcast_falls_back_above_the_bound(spark):
     try:
         unhinted = big.join(bounded_broadcast(small, max_rows=9), "k")
         assert "BroadcastHashJoin" not in _plan(unhinted)
+        wide = big.join(bounded_broadcast(small.withColumn("pad", F.lit("x" * 100)), max_bytes=999), "k")
+        assert "BroadcastHashJoin" not in _plan(wide)          # 10 rows x > 100 bytes
+        fits = big.join(bounded_broadcast(small.withColumn("pad", F.lit("x" * 100)), max_bytes=2000), "k")
+        assert "BroadcastHashJoin" in _plan(fits)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
