@@ -21,6 +21,7 @@ from sensorlake.operators import gold
 from sensorlake.operators.joins import bounded_broadcast, enrich
 from sensorlake.operators.silver import build_silver
 from sensorlake.session import path_exists, scratch_path
+from sensorlake.sources.tables import stage_table
 
 SILVER_PARTITION = "day"
 MART_PARTITION = "part_day"
@@ -115,7 +116,9 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, loo
         new = build_silver(bronze)
         replace_partitions(spark, _silver_with_day(new), silver_path, [SILVER_PARTITION], full=True)
         return read_silver(spark, silver_path)
-    new = _silver_with_day(build_silver(bronze_since(bronze, start)))
+    # The increment feeds two size checks, the id lookup, the touched-day set,
+    # the merge and the marts: stage it once instead of recomputing it each time.
+    new = stage_table(_silver_with_day(build_silver(bronze_since(bronze, start))), "silver_increment")
     target = spark.read.parquet(silver_path)
     new_ids = bounded_broadcast(new.select("reading_id").distinct())
     # days holding an older copy of a new reading (exact: no window on how far
