@@ -135,18 +135,22 @@ def hourly(messages: DataFrame, target: str, checkpoint: str, delay: str = "7 da
 
     def run(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        updates = df.withColumn("part_day", F.date_format("hour", "yyyy-MM-dd"))
-        # the few days this batch touches (bounded by the watermark delay),
-        # read by their own folders: no listing or scan of the other days
-        days = [r[0] for r in updates.select("part_day").distinct().collect()]
-        paths = [f"{target}/part_day={d}" for d in days]
-        paths = [p for p in paths if path_exists(spark, p)]
-        if not paths:
-            replace_partitions(spark, updates, target, ["part_day"])
-            return
-        current = spark.read.option("basePath", target).parquet(*paths)
-        replace_partitions(spark, upsert(current, updates.select(*current.columns), HOURLY_KEYS),
-                           target, ["part_day"])
+        # used twice below: evaluate the batch's window updates once
+        updates = df.withColumn("part_day", F.date_format("hour", "yyyy-MM-dd")).persist()
+        try:
+            # the few days this batch touches (bounded by the watermark delay),
+            # read by their own folders: no listing or scan of the other days
+            days = [r[0] for r in updates.select("part_day").distinct().collect()]
+            paths = [f"{target}/part_day={d}" for d in days]
+            paths = [p for p in paths if path_exists(spark, p)]
+            if not paths:
+                replace_partitions(spark, updates, target, ["part_day"])
+                return
+            current = spark.read.option("basePath", target).parquet(*paths)
+            replace_partitions(spark, upsert(current, updates.select(*current.columns), HOURLY_KEYS),
+                               target, ["part_day"])
+        finally:
+            updates.unpersist()
 
     return _start(agg.writeStream.outputMode("update").foreachBatch(run), checkpoint, trigger)
 
