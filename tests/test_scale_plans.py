@@ -240,3 +240,19 @@ def test_rollover_replay_keeps_one_status_row_per_hour(spark):
     run(batch("04"), 2)                # 03 closed via the carried open set
     status = sorted(r.hour for r in spark.read.parquet(status_path).collect())
     assert status == ["01", "02", "03"]
+
+
+def test_streaming_stage_counts_from_observed_metrics(spark):
+    from sensorlake.plans.inputs import Inputs
+    from sensorlake.sources import driver_tables as dt
+    from sensorlake.streaming import queries as sq
+    from sensorlake.streaming.sources import file_messages, land_messages
+    inp = Inputs(spark, "/root/testdata/sf0.001")
+    msgs, out, dead, ckpt = (scratch_path(spark, n) for n in ("msgs", "bronze", "dead", "ckpt"))
+    land_messages(dt.messages_from_events(inp.events), msgs)
+    queries = sq.bronze(file_messages(spark, msgs), out, dead, ckpt)
+    sq.run_to_end(queries)
+    counts = sq.observed_counts(queries)
+    assert counts["bronze"] == spark.read.parquet(out).count()
+    assert counts["dead_letter"] == spark.read.parquet(dead).count()
+    assert counts["bronze"] + counts["dead_letter"] == spark.read.parquet(msgs).count()
