@@ -20,10 +20,15 @@ from pyspark.sql import types as T
 from sensorlake.operators import gold
 from sensorlake.operators.joins import bounded_broadcast, enrich
 from sensorlake.operators.silver import build_silver
+from sensorlake.schemas import SILVER
 from sensorlake.session import path_exists, scratch_path
 from sensorlake.sources.tables import stage_table
 
 SILVER_PARTITION = "day"
+# Storage partitions of silver, and the grain an incremental run recomputes:
+# an hourly run rewrites the hours it touches, not the whole current day.
+SILVER_PARTITIONS = ["day", "hour"]
+SILVER_STORED = T.StructType(SILVER.fields + [T.StructField(c, T.StringType()) for c in SILVER_PARTITIONS])
 MART_PARTITION = "part_day"
 
 
@@ -87,7 +92,9 @@ def replace_partitions(spark: SparkSession, fresh: DataFrame, target: str, parti
 
 
 def _silver_with_day(df: DataFrame) -> DataFrame:
-    return df.withColumn(SILVER_PARTITION, F.date_format("ingested_at", "yyyy-MM-dd"))
+    """Silver rows with their storage partitions: calendar day and hour (UTC)."""
+    return (df.withColumn("day", F.date_format("ingested_at", "yyyy-MM-dd"))
+              .withColumn("hour", F.date_format("ingested_at", "HH")))
 
 
 def earliest_silver(df: DataFrame) -> DataFrame:
@@ -99,8 +106,27 @@ def earliest_silver(df: DataFrame) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def read_stored_silver(spark: SparkSession, path: str) -> DataFrame:
+    """Stored silver with its partition columns kept as zero-padded strings
+    (an explicit schema, so "07" is not read back as the number 7)."""
+    return spark.read.schema(SILVER_STORED).parquet(path)
+
+
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(SILVER_PARTITION)
+    return read_stored_silver(spark, path).drop(*SILVER_PARTITIONS)
+
+
+def _clear_partitions(spark: SparkSession, root: str, keys: DataFrame) -> None:
+    """Delete the partition folders named by ``keys`` (a handful of
+    (day, hour) rows, collected as literals): touched partitions whose every
+    row was superseded by an earlier copy elsewhere produce no output, so a
+    dynamic overwrite would leave their stale rows in place."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for row in keys.collect():
+        folder = jvm.org.apache.hadoop.fs.Path(
+            root + "/" + "/".join(f"{c}={row[c]}" for c in SILVER_PARTITIONS))
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, lookback_hours: int = 2,
@@ -111,25 +137,31 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, loo
     """
     exists = path_exists(spark, silver_path)
     start = None if (full_refresh or not exists) else increment_start(
-        spark.read.parquet(silver_path), "ingested_at", lookback_hours, now, SILVER_PARTITION)
+        read_stored_silver(spark, silver_path), "ingested_at", lookback_hours, now, SILVER_PARTITION)
     if start is None:
         new = build_silver(bronze)
-        replace_partitions(spark, _silver_with_day(new), silver_path, [SILVER_PARTITION], full=True)
+        replace_partitions(spark, _silver_with_day(new), silver_path, SILVER_PARTITIONS, full=True)
         return read_silver(spark, silver_path)
-    # The increment feeds two size checks, the id lookup, the touched-day set,
+    # The increment feeds two size checks, the id lookup, the touched-hour set,
     # the merge and the marts: stage it once instead of recomputing it each time.
     new = stage_table(_silver_with_day(build_silver(bronze_since(bronze, start))), "silver_increment")
-    target = spark.read.parquet(silver_path)
+    target = read_stored_silver(spark, silver_path)
     new_ids = bounded_broadcast(new.select("reading_id").distinct())
-    # days holding an older copy of a new reading (exact: no window on how far
-    # back). One scan of two columns; with the increment's ids broadcast it is
-    # a map-side filter and the stored table is never shuffled.
-    old_days = target.select("reading_id", SILVER_PARTITION).join(new_ids, "reading_id", "left_semi")
-    touched = new.select(SILVER_PARTITION).union(old_days.select(SILVER_PARTITION)).distinct()
-    affected = target.join(bounded_broadcast(touched), SILVER_PARTITION, "left_semi")
-    merged = earliest_silver(affected.unionByName(new).drop(SILVER_PARTITION))
-    replace_partitions(spark, _silver_with_day(merged), silver_path, [SILVER_PARTITION])
-    return new.drop(SILVER_PARTITION)
+    # hours holding an older copy of a new reading (exact: no window on how far
+    # back). One scan of three columns; with the increment's ids broadcast it
+    # is a map-side filter and the stored table is never shuffled.
+    old_hours = target.select("reading_id", *SILVER_PARTITIONS).join(new_ids, "reading_id", "left_semi")
+    touched = stage_table(new.select(*SILVER_PARTITIONS).union(old_hours.select(*SILVER_PARTITIONS))
+                          .distinct(), "silver_touched")
+    affected = target.join(bounded_broadcast(touched), SILVER_PARTITIONS, "left_semi")
+    merged = stage_table(_silver_with_day(earliest_silver(affected.unionByName(new).drop(*SILVER_PARTITIONS))),
+                         "silver_merged")
+    # clear first: a crash before the overwrite is repaired by the next run,
+    # which recomputes the same increment (its rows are still in bronze)
+    _clear_partitions(spark, silver_path,
+                      touched.join(merged.select(*SILVER_PARTITIONS).distinct(), SILVER_PARTITIONS, "left_anti"))
+    replace_partitions(spark, merged, silver_path, SILVER_PARTITIONS)
+    return new.drop(*SILVER_PARTITIONS)
 
 
 def refresh_mart(spark: SparkSession, name: str, silver: DataFrame, increment: DataFrame | None,
@@ -146,13 +178,14 @@ def refresh_mart(spark: SparkSession, name: str, silver: DataFrame, increment: D
     source = silver
     full = increment is None or not path_exists(spark, mart_path)
     if not full:
-        days = bounded_broadcast(increment.select(F.to_date("ingested_at").alias("_d")).distinct())
+        days = bounded_broadcast(increment.select(F.date_format("ingested_at", "yyyy-MM-dd").alias("_d"))
+                                 .distinct())
         if SILVER_PARTITION in silver.columns:
             source = silver.join(days, F.col(SILVER_PARTITION) == days["_d"], "left_semi")
         else:
-            source = silver.join(days, F.to_date(silver["ingested_at"]) == days["_d"], "left_semi")
-    if SILVER_PARTITION in source.columns:
-        source = source.drop(SILVER_PARTITION)
+            source = silver.join(days, F.date_format(silver["ingested_at"], "yyyy-MM-dd") == days["_d"],
+                                 "left_semi")
+    source = source.drop(*[c for c in SILVER_PARTITIONS if c in source.columns])
     mart = gold.MARTS[name](enrich(source, dim_sensors, dim_customers))
     mart = mart.withColumn(MART_PARTITION, F.date_format(unit, "yyyy-MM-dd"))
     replace_partitions(spark, mart, mart_path, [MART_PARTITION], full=full)

@@ -349,7 +349,7 @@ def _two_runs(inp: Inputs, marts: list[str]) -> tuple[str, dict[str, str]]:
     for m in marts:
         mg.refresh_mart(spark, m, first, None, inp.registry, None, mart_paths[m])
     increment = mg.refresh_silver(spark, bronze, silver_path)
-    silver = spark.read.parquet(silver_path)   # with its day partition column
+    silver = mg.read_stored_silver(spark, silver_path)   # with its day/hour partition columns
     for m in marts:
         mg.refresh_mart(spark, m, silver, increment, inp.registry, None, mart_paths[m])
     return silver_path, mart_paths

@@ -97,10 +97,10 @@ def test_pruned_high_water_equals_full_scan(spark):
         "2024-03-04T22:00:00+00:00"])]
     path = scratch_path(spark, "silver")
     mg.refresh_silver(spark, _bronze(spark, rows), path)
-    stored = spark.read.parquet(path)
+    stored = mg.read_stored_silver(spark, path)
     for now in (None, "2024-03-04 12:00:00", "2024-03-04 00:30:00", "2024-03-03 00:00:00", "2024-02-01 00:00:00"):
         pruned = mg.increment_start(stored, "ingested_at", 2, now, mg.SILVER_PARTITION)
-        full = mg.increment_start(stored.drop(mg.SILVER_PARTITION), "ingested_at", 2, now)
+        full = mg.increment_start(stored.drop(*mg.SILVER_PARTITIONS), "ingested_at", 2, now)
         assert pruned == full, now
     assert mg.increment_start(stored, "ingested_at", 2, None, mg.SILVER_PARTITION) == "2024030420"
 
@@ -110,9 +110,9 @@ def test_mart_refresh_prunes_silver_days(spark):
             ("b", 1, "SDS011", "2024-03-05T10:00:00+00:00", 0.0, 0.0, "DE", '{"P1": 2}')]
     path = scratch_path(spark, "silver")
     mg.refresh_silver(spark, _bronze(spark, rows), path)
-    silver = spark.read.parquet(path)
-    increment = silver.where("day = '2024-03-05'").drop(mg.SILVER_PARTITION)   # as refresh_mart gets it
-    days = bounded_broadcast(increment.select(F.to_date("ingested_at").alias("_d")).distinct())
+    silver = mg.read_stored_silver(spark, path)
+    increment = silver.where("day = '2024-03-05'").drop(*mg.SILVER_PARTITIONS)   # as refresh_mart gets it
+    days = bounded_broadcast(increment.select(F.date_format("ingested_at", "yyyy-MM-dd").alias("_d")).distinct())
     plan = _plan(silver.join(days, F.col(mg.SILVER_PARTITION) == days["_d"], "left_semi"))
     assert "dynamicpruning" in plan
 
@@ -256,3 +256,25 @@ def test_streaming_stage_counts_from_observed_metrics(spark):
     assert counts["bronze"] == spark.read.parquet(out).count()
     assert counts["dead_letter"] == spark.read.parquet(dead).count()
     assert counts["bronze"] + counts["dead_letter"] == spark.read.parquet(msgs).count()
+
+
+def test_superseded_copy_leaves_no_stale_partition(spark):
+    """A later run brings an earlier copy of a stored reading; the stored copy
+    was the only row of its hour, so that hour must be emptied, not kept."""
+    path = scratch_path(spark, "silver")
+    first = [("r1", 1, "SDS011", "2024-03-01T10:30:00+00:00", 0.0, 0.0, "DE", '{"P1": 1}'),
+             ("r2", 1, "SDS011", "2024-03-01T11:30:00+00:00", 0.0, 0.0, "DE", '{"P1": 2}')]
+    mg.refresh_silver(spark, _bronze(spark, first).withColumn("year", F.lit("2024")).withColumn(
+        "month", F.lit("03")).withColumn("day", F.lit("01")).withColumn("hour", F.lit("11")), path)
+    later = [("r2", 1, "SDS011", "2024-03-01T09:15:00+00:00", 0.0, 0.0, "DE", '{"P1": 3}'),   # earlier copy
+             ("r3", 1, "SDS011", "2024-03-01T12:00:00+00:00", 0.0, 0.0, "DE", '{"P1": 4}')]
+    both = _bronze(spark, first + later).withColumn("year", F.lit("2024")).withColumn(
+        "month", F.lit("03")).withColumn("day", F.lit("01")).withColumn(
+        "hour", F.when(F.col("reading_id") == "r1", "11").otherwise("12"))
+    mg.refresh_silver(spark, both, path)
+    rows = sorted((r.reading_id, r.pm25, r.hour) for r in mg.read_stored_silver(spark, path).collect())
+    assert rows == [("r1", 1.0, "10"), ("r2", 3.0, "09"), ("r3", 4.0, "12")]
+    full = scratch_path(spark, "silver_full")
+    mg.refresh_silver(spark, both, full)
+    assert sorted(tuple(r) for r in mg.read_silver(spark, full).collect()) == \
+        sorted(tuple(r) for r in mg.read_silver(spark, path).collect())
