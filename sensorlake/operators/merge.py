@@ -21,8 +21,8 @@ from sensorlake.operators import gold
 from sensorlake.operators.joins import bounded_broadcast, enrich
 from sensorlake.operators.silver import build_silver
 from sensorlake.schemas import SILVER
-from sensorlake.session import path_exists, scratch_path
-from sensorlake.sources.tables import stage_table
+from sensorlake.session import path_exists, remove_path, scratch_path
+from sensorlake.sources.tables import stage_table, staged_path
 
 SILVER_PARTITION = "day"
 # Storage partitions of silver, and the grain an incremental run recomputes:
@@ -82,13 +82,18 @@ def bronze_since(bronze: DataFrame, key: str) -> DataFrame:
 
 def replace_partitions(spark: SparkSession, fresh: DataFrame, target: str, partition_cols: list[str],
                        full: bool = False) -> None:
-    """Stage ``fresh`` then overwrite only its partitions of ``target``."""
+    """Stage ``fresh`` then overwrite only its partitions of ``target``.
+
+    The staging copy is deleted once the overwrite has committed, so repeated
+    merges do not leave a copy of every rewritten partition behind.
+    """
     staging = scratch_path(spark, "staging")
     fresh.write.mode("overwrite").parquet(staging)
     staged = spark.read.parquet(staging)
     mode = "static" if full else "dynamic"
     (staged.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", mode)
      .partitionBy(*partition_cols).parquet(target))
+    remove_path(spark, staging)
 
 
 def _silver_with_day(df: DataFrame) -> DataFrame:
@@ -161,7 +166,9 @@ def refresh_silver(spark: SparkSession, bronze: DataFrame, silver_path: str, loo
     _clear_partitions(spark, silver_path,
                       touched.join(merged.select(*SILVER_PARTITIONS).distinct(), SILVER_PARTITIONS, "left_anti"))
     replace_partitions(spark, merged, silver_path, SILVER_PARTITIONS)
-    return new.drop(*SILVER_PARTITIONS)
+    for done in (merged, touched):
+        remove_path(spark, staged_path(done))
+    return new.drop(*SILVER_PARTITIONS)   # staged: the marts read it after this returns
 
 
 def refresh_mart(spark: SparkSession, name: str, silver: DataFrame, increment: DataFrame | None,

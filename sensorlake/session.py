@@ -134,11 +134,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library staged, once nothing reads it any more."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
 __all__ = ["get_session", "use_utc", "checkpoint_root", "scratch_path",
-           "path_exists", "local_path", "SESSION_DEFAULTS", "scale_settings",
+           "path_exists", "remove_path", "local_path", "SESSION_DEFAULTS", "scale_settings",
            "input_bytes", "size_for_input"]
 

@@ -53,6 +53,11 @@ def read_registry(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]
     return sensors, customers
 
 
+def staged_path(df: DataFrame) -> str:
+    """Folder of a frame returned by ``stage_table``."""
+    return df._staged_path
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared checkpoint root and
     scan it back: several consumers then read the stored rows (with column
@@ -62,4 +67,6 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_path = path
+    return staged
