@@ -50,7 +50,7 @@ def seeds(text: Column, known: Column | None = None) -> Column:
 
     def some(h: Column, i: Column) -> Column:
         p = pair(h, i)
-        return F.shiftright(F.get(known, F.shiftright(p, 6)), p.bitwiseAND(63)).bitwiseAND(1) == 1
+        return F.call_function("shiftright", F.get(known, F.shiftright(p, 6)), p.bitwiseAND(63)).bitwiseAND(1) == 1
 
     def every(h: Column) -> Column:
         places = F.when(F.size(h) >= WINDOW, F.sequence(F.lit(0), F.size(h) - shortest))
@@ -67,7 +67,7 @@ def pair_bitmap(items: DataFrame) -> Column:
     places = let(token_hashes(F.col("text")), lambda h: F.transform(
         F.when(F.size(h) >= WINDOW, F.sequence(F.lit(0), F.size(h) - min(map(len, MASKS)))), lambda i: pair(h, i)))
     found = items.select(F.explode(places).alias("p")).groupBy(F.shiftright("p", 6).alias("at"))
-    words = {r["at"]: r["bits"] for r in found.agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("p").bitwiseAND(63))).alias("bits")).collect()}
+    words = {r["at"]: r["bits"] for r in found.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(63))).alias("bits")).collect()}
     # the least long has no literal of its own
     return F.expr(f"array({', '.join(f'(CAST({words.get(i, 0) >> 1} AS BIGINT) * 2 + {words.get(i, 0) & 1})' for i in range((1 << PAIRS) >> 6))})")
 
@@ -80,7 +80,8 @@ def text_key() -> list[Column]:
 def seed_rows(rows: DataFrame, keys: list[Column], known: Column | None = None) -> DataFrame:
     """One row per seed and place of each text."""
     each = rows.select(*keys, seeds(F.col("text"), known).alias("seeds"))
-    return each.select(*[c for c in each.columns if c != "seeds"], F.inline("seeds"))
+    # the outer form, as for the other the optimizer would work the array out once more to skip empty ones
+    return each.select(*[c for c in each.columns if c != "seeds"], F.inline_outer("seeds")).where("seed is not null")
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, scratch: Scratch) -> DataFrame:
