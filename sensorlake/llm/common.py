@@ -141,7 +141,7 @@ class Commit:
         self.fs, root = filesystem(folder)
         self.fs.create_dir(root, recursive=True)
         self.last, self.tmp = f"{root}/{name}", f"{root}/_tmp-{uuid.uuid4().hex}-{name}"
-        self.out, self.size = self.fs.open_output_stream(self.tmp), 0
+        self.out, self.size = self.fs.open_output_stream(self.tmp, compression=None), 0
 
     def write(self, data: bytes) -> None:
         self.out.write(data)
