@@ -5,7 +5,7 @@ from __future__ import annotations
 import itertools
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,7 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{next(self.count)}-{name}"
 
-    def stage(self, df: DataFrame, name: str, coalesce: int | None = None) -> DataFrame:
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
@@ -79,17 +79,10 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[list[dict]]:
-    """Consecutive rows with equal keys of a sorted stream, as row lists."""
-    rows: list[dict] = []
-    for b in batches:
-        for r in b.to_pylist():
-            if rows and any(r[k] != rows[0][k] for k in key):
-                yield rows
-                rows = []
-            rows.append(r)
-    if rows:
-        yield rows
+def beside(df: DataFrame, side: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``side`` with column names that ``df`` has none of, and its columns."""
+    names = [free_name(df, f"side_{c}") for c in side.columns]
+    return side.toDF(*names), [F.col(f"`{c}`") for c in names]
 
 
 def sorted_blocks(batches: Iterator[pa.RecordBatch], key: list[str], rows: int = 20_000) -> Iterator[pa.Table]:
@@ -155,11 +148,3 @@ class Commit:
 def crc_mod(col: Column, n: int) -> Column:
     """crc32 of a number's text, modulo n."""
     return F.crc32(col.cast("string").cast("binary")) % n
-
-
-def make_arrow(fn: Callable, schema: pa.Schema) -> Callable:
-    """A mapInArrow function from one that yields dicts of columns."""
-    def run(batches):
-        for cols in fn(batches):
-            yield pa.RecordBatch.from_pydict(cols, schema=schema)
-    return run

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import Scratch, free_name, if_small, table
+from sensorlake.llm.common import Scratch, beside, free_name, if_small, table
 
 #: An overlap is WINDOW tokens in a row of which SAME or more are equal.
 WINDOW = 13
@@ -143,8 +143,8 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text overlaps a benchmark item."""
     scratch = Scratch(docs.sparkSession, "clean")
-    verdicts = contaminated_texts(docs, benchmark, scratch).select("k1", "k2")
-    a, b = free_name(docs, "key_1_"), free_name(docs, "key_2_")
+    verdicts, (v1, v2) = beside(docs, contaminated_texts(docs, benchmark, scratch).select("k1", "k2"))
+    a, b = free_name(docs, "key_1"), free_name(docs, "key_2")
     k1, k2 = text_key()
     rows = docs.withColumn(a, k1).withColumn(b, k2)
-    return rows.join(if_small(verdicts), (rows[a] == F.col("k1")) & (rows[b] == F.col("k2")), "left_anti").drop(a, b)
+    return rows.join(if_small(verdicts), (rows[a] == v1) & (rows[b] == v2), "left_anti").drop(a, b)

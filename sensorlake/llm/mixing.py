@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import Scratch, free_name, same, table
+from sensorlake.llm.common import Scratch, beside, free_name, same, table
 
 WEIGHTS = (5, 2, 1)
 #: A source is taken at most so many times over.
@@ -148,9 +148,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "mixed")
     found = mix(docs, scratch=scratch)
     times = found.groupBy("id_hash", "text_hash", "source").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"), F.count("*").alias("rows"))
-    times = scratch.stage(times.select(F.col("id_hash").alias("i"), F.col("text_hash").alias("h"), F.col("source").alias("s"),
-                                       F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int").alias("times")).where("times > 0"), "times")
+    count = F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).otherwise(0).cast("int").alias("times")
+    times, (i, h, s, n) = beside(docs, scratch.stage(times.select("id_hash", "text_hash", "source", count).where("times > 0"), "times"))
     a, b, c = (free_name(docs, x) for x in ("id_hash", "text_hash", "turn"))
     rows = docs.withColumn(a, F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))).withColumn(b, F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    on = (rows[a] == F.col("i")) & (rows[b] == F.col("h")) & same(rows["source"], F.col("s"))
-    return rows.join(times, on).withColumn(c, F.explode(F.sequence(F.lit(1), F.col("times")))).select(*[rows[x] for x in docs.columns])
+    found = rows.join(times, (rows[a] == i) & (rows[b] == h) & same(rows["source"], s))
+    return found.withColumn(c, F.explode(F.sequence(F.lit(1), n))).select(*docs.columns)

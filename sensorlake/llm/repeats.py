@@ -139,10 +139,11 @@ class Texts:
     def __init__(self, docs: DataFrame, scratch: Scratch):
         spark, self.n = docs.sparkSession, parts(docs.sparkSession)
         small_batches(spark)
-        self.spark, self.name = spark, "texts_" + scratch.path("").split("/")[-2].replace("-", "_")
+        self.spark, path = spark, scratch.path("texts")
+        self.name = "texts_" + path.split("/")[-2].replace("-", "_")
         rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
         rows = rows.withColumn("row", F.monotonically_increasing_id()).repartition(self.n, "row")
-        rows.write.bucketBy(self.n, "row").option("compression", "zstd").saveAsTable(self.name)
+        rows.write.bucketBy(self.n, "row").option("compression", "zstd").option("path", path).saveAsTable(self.name)
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.name)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import Scratch, free_name, if_small, parts, same, small_batches, sorted_blocks, starts
+from sensorlake.llm.common import Scratch, beside, free_name, if_small, parts, same, small_batches, sorted_blocks, starts, table
 from sensorlake.llm.components import connected_components
 
 BITS = 64
@@ -207,20 +207,19 @@ def keep_one(docs: DataFrame, words: int = 3, distance: int = 2) -> DataFrame:
     lost = (found.join(best, "label")
             .where(~same(F.col("best.doc_id"), F.col("doc_id")) | (F.col("best.text_hash") != F.col("text_hash")))
             .select(F.col("doc_id").alias("lost_id"), F.col("text_hash").alias("lost_hash")).distinct())
-    lost = scratch.stage(lost, "lost")
-    again = scratch.stage(found.groupBy("doc_id", "text_hash").count().where("count > 1").drop("count"), "again")
-    mark = free_name(docs, "text_hash_")
+    lost, (lost_id, lost_hash) = beside(docs, scratch.stage(lost, "lost"))
+    again, (again_id, again_hash) = beside(docs, scratch.stage(found.groupBy("doc_id", "text_hash").count().where("count > 1").drop("count"), "again"))
+    mark = free_name(docs, "mark")
     rows = docs.withColumn(mark, F.xxhash64("text"))
-    kept = rows.join(if_small(lost), same(F.col("lost_id"), rows["doc_id"].cast("long")) & (F.col("lost_hash") == rows[mark]), "left_anti")
+    kept = rows.join(if_small(lost), same(lost_id, rows["doc_id"].cast("long")) & (lost_hash == rows[mark]), "left_anti")
     if again.limit(1).count():
-        twice = if_small(again.select(F.col("doc_id").alias("again_id"), F.col("text_hash").alias("again_hash")))
-        on = same(F.col("again_id"), kept["doc_id"].cast("long")) & (F.col("again_hash") == kept[mark])
+        twice = if_small(again)
+        on = same(again_id, F.col("doc_id").cast("long")) & (again_hash == F.col(mark))
         once = kept.join(twice, on, "left_anti")
         kept = once.union(kept.join(twice, on, "left_semi").dropDuplicates(["doc_id", mark]))
     return kept.drop(mark)
 
 
 def op8_simhash(spark, sf_dir: str) -> DataFrame:
-    from sensorlake.llm.common import table
     found = simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
