@@ -77,7 +77,7 @@ def schedule(targets: DataFrame, slots: int, block: int, most: int) -> DataFrame
     k = spark.range(slots).select(F.col("id").alias("slot"), ((F.col("id") * F.lit(STEP)) % RING).alias("at"))
     # ranges of at most some hundred sources, matched as a broadcast range join
     dealt = k.join(F.broadcast(ends), (F.col("at") >= F.col("from")) & (F.col("at") < F.col("upto")))
-    dealt = dealt.withColumn("chunk", F.floor(F.col("slot") / 4096))
+    dealt = dealt.withColumn("chunk", F.floor(F.col("slot") / 1024))
     per_chunk = dealt.groupBy("source_no", "chunk").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     per_chunk = per_chunk.select(F.col("source_no").alias("s"), F.col("chunk").alias("c"), before.alias("before"))
