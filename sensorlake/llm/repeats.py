@@ -41,22 +41,23 @@ def random_table(seed: int) -> np.ndarray:
 
 
 TABLES = [random_table(11), random_table(12)]
-LEFT, RIGHT = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+#: Factors of each doubling. They differ, or bytes at places with as many ones
+#: in their number could change places unseen.
+FACTORS = np.random.default_rng(13).integers(1, 1 << 63, (16, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def identifiers(data: np.ndarray, n: int, of: int = 0) -> np.ndarray:
     """A 64-bit identifier of the n bytes from each place on, by doubling."""
-    x, k = TABLES[of][data], 1
+    x, k, level = TABLES[of][data], 1, 0
     while 2 * k <= n:
-        x = x[:-k] * LEFT + x[k:] * RIGHT
-        k *= 2
+        x = x[:-k] * FACTORS[level, 0] + x[k:] * FACTORS[level, 1]
+        k, level = 2 * k, level + 1
     if k < n:
-        x = x[:len(x) - (n - k)] * RIGHT + x[n - k:] * LEFT
-    x ^= x >> np.uint64(31)
-    x *= LEFT
-    x ^= x >> np.uint64(29)
-    x *= RIGHT
-    x ^= x >> np.uint64(32)
+        x = x[:len(x) - (n - k)] * FACTORS[level, 0] + x[n - k:] * FACTORS[level, 1]
+    for shift, factor in ((31, FACTORS[-1, 0]), (29, FACTORS[-1, 1]), (32, None)):
+        x ^= x >> np.uint64(shift)
+        if factor is not None:
+            x *= factor
     return x
 
 

@@ -47,7 +47,7 @@ def test_odd_vectors_copies_and_ties(spark):
     rng = np.random.default_rng(0)
     rows = [(i, rng.normal(size=6).tolist()) for i in range(300)]
     same = rng.normal(size=6).tolist()
-    rows += [(400 + i, same) for i in range(60)] + [(900, None), (901, []), (902, [0.0] * 6), (903, [float("nan")] * 6), (904, [1.0, None, 1, 1, 1, 1]), (905, [float("inf")] + [1.0] * 5),
+    rows += [(400 + i, same) for i in range(60)] + [(900, None), (901, []), (902, [0.0] * 6), (903, [float("nan")] * 6), (904, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (905, [float("inf")] + [1.0] * 5),
                                                     (906, [1.0, 2.0]), (None, same), (10, rows[10][1]), (400, same)]
     want, got = exact(rows, lambda i: i % 20 == 0), run(spark, rows, 20)
     assert want.keys() == got.keys()

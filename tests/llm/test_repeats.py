@@ -78,5 +78,22 @@ def test_every_string_has_an_anchor_and_equal_ones_the_same():
     assert set(place + 333) <= set(moved)
 
 
+def test_identifiers_tell_orders_apart():
+    rng = np.random.default_rng(2)
+    base = rng.integers(97, 99, 200, dtype=np.uint8)
+    rows = [base] + [np.roll(base, k) for k in range(1, 200)]
+    for _ in range(3000):
+        x = base.copy()
+        i, j = rng.integers(0, 200, 2)
+        x[[i, j]] = x[[j, i]]
+        rows.append(x)
+    for n in (50, 200):
+        for of in (0, 1):
+            values = {}
+            for x in rows:
+                values.setdefault(int(repeats.identifiers(x[:n], n, of)[0]), set()).add(x[:n].tobytes())
+            assert all(len(v) == 1 for v in values.values())
+
+
 def test_empty_table(spark):
     assert repeats.remove_repeats(empty(document_frame(spark))).count() == 0
