@@ -11,11 +11,15 @@ bucket-pointer sort:
 2. a bucket is refined by the identifiers of the bytes around it, as far as
    any string over the anchor reaches: of equal ones all strings repeat;
 3. what is left are members whose surroundings differ from others in their
-   bucket. The strings over them are bucketed by identifiers of LENGTH bytes,
-   worked out by doubling: an identifier of 2n bytes is made of those of n
-   bytes at two offsets, and used for the next.
+   bucket. Their buckets are refined by identifiers of the LENGTH bytes at each
+   offset around the anchor. A bucket is compared in one task up to MEMBERS
+   members; the strings of larger ones are dealt by their identifiers instead.
+
+Identifiers are worked out by doubling: one of 2n bytes is made of those of n
+bytes at two offsets, and used for the next.
 """
 
+import functools
 import gc
 import hashlib
 import itertools
@@ -25,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import Scratch, if_small, parts, small_batches, table
+from sensorlake.llm.common import Scratch, parts, small_batches, sorted_blocks, starts, table
 
 LENGTH = 200
 GRAM = 50
 #: Grams of one string, and the bytes that a string reaches beyond a gram in it.
 GRAMS = LENGTH - GRAM + 1
 REACH = LENGTH - GRAM
+#: Members of a bucket that one task compares.
+MEMBERS = 2048
 #: Bytes that are hashed at once.
 PIECE = 1 << 20
 
@@ -154,7 +160,9 @@ class Texts:
 
 
 def repeated_spans(texts: Texts, scratch: Scratch) -> DataFrame:
-    """(row, spans): of each row with any, what its repeated strings cover."""
+    """(row, spans): of each row with any, its repeated strings. A span is the
+    first and last start of a run, or an anchor (last null) over which all
+    strings repeat."""
     spark = texts.spark
 
     def count(batches):
@@ -179,7 +187,7 @@ def repeated_spans(texts: Texts, scratch: Scratch) -> DataFrame:
     members = scratch.stage(members, "members")
     scratch.drop(many)
     release(spark)
-    by_row = members.groupBy("row").agg(F.collect_set(F.struct("at", "id")).alias("found"))
+    found = members.groupBy("row").agg(F.collect_set(F.struct("at", "id")).alias("found"))
 
     # 2: refined by what is around
     def refine(batches):
@@ -192,36 +200,88 @@ def repeated_spans(texts: Texts, scratch: Scratch) -> DataFrame:
                         c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
-    refined = scratch.stage(texts.meet(by_row, "inner").select("row", "text", "found").mapInArrow(refine, "id long, around long, row long, at int"), "refined")
+    refined = scratch.stage(texts.meet(found, "inner").select("row", "text", "found").mapInArrow(refine, "id long, around long, row long, at int"), "refined")
     scratch.drop(members)
     release(spark)
     classes = scratch.stage(refined.groupBy("id", "around").agg(F.count("*").alias("n"), F.min(F.struct("row", "at")).alias("one")), "classes")
-    mixed = scratch.stage(classes.groupBy("id").agg(F.count("*").alias("k"), F.sum("n").alias("n")).where("k > 1").select("id"), "mixed")
+    mixed = classes.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").select("id", (F.col("k") > MEMBERS).alias("large"))
+    mixed = scratch.stage(mixed, "mixed")
     whole = refined.join(scratch.stage(classes.where("n > 1").select("id", "around"), "whole"), ["id", "around"], "left_semi")
-    whole = scratch.stage(whole.groupBy("row").agg(F.collect_list("at").alias("whole")), "whole-by-row")
-    left = classes.join(mixed, "id", "left_semi").select("one.row", "one.at").groupBy("row").agg(F.collect_list("at").alias("left"))
+    spans = [whole.select("row", F.col("at").alias("first"), F.lit(None).cast("int").alias("last"))]
+    left = scratch.stage(classes.join(mixed, "id").select("id", "one.row", "one.at", "large"), "left")
+
+    # 3: refined at each offset
+    def contexts(batches):
+        schema = pa.schema([("id", pa.int64()), ("row", pa.int64()), ("at", pa.int32()), ("context", pa.binary())])
+        for b in batches:
+            out = ([], [], [], [])
+            for row, t, found in zip(b.column("row").to_pylist(), b.column("text").to_pylist(), b.column("found").to_pylist()):
+                for x in found:
+                    a, z = reach(x["at"], len(t))
+                    for c, v in zip(out, (x["id"], row, x["at"], t[a:z])):
+                        c.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+
+    def compare(batches):
+        for t in sorted_blocks(batches, ["id"], 4000):
+            yield repeated_starts(t)
+
+    def by_row(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("row").agg(F.collect_list(F.struct("at", "id")).alias("found"))
+
+    near = texts.meet(by_row(left.where("not large")), "inner").select("row", "text", "found").mapInArrow(contexts, "id long, row long, at int, context binary")
+    near = near.repartition(texts.n, "id").sortWithinPartitions("id")
+    spans.append(near.mapInArrow(compare, "row long, first int, last int"))
 
-    # 3: the strings over what is left
     def strings(batches):
         schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("row", pa.int64()), ("start", pa.int32())])
         for b in batches:
-            for row, t, left in zip(b.column("row").to_pylist(), b.column("text").to_pylist(), b.column("left").to_pylist()):
-                for a, z in union([reach(at, len(t)) for at in left]):
+            for row, t, found in zip(b.column("row").to_pylist(), b.column("text").to_pylist(), b.column("found").to_pylist()):
+                for a, z in union([reach(x["at"], len(t)) for x in found]):
                     for part in range(a, z - LENGTH + 1, PIECE):
                         data = np.frombuffer(t, np.uint8)[part:min(z, part + PIECE + LENGTH - 1)]
                         h = [identifiers(data, LENGTH, k).view(np.int64) for k in (0, 1)]
                         n = len(h[0])
                         yield pa.RecordBatch.from_arrays([pa.array(h[0]), pa.array(h[1]), pa.array(np.full(n, row)), pa.array(np.arange(part, part + n, dtype=np.int32))], schema=schema)
 
-    starts = scratch.stage(texts.meet(left, "inner").select("row", "text", "left").mapInArrow(strings, "h1 long, h2 long, row long, start int"), "strings")
-    scratch.drop(refined, classes, mixed)
-    release(spark)
-    twice = scratch.stage(starts.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2"), "twice")
-    hits = starts.join(twice, ["h1", "h2"], "left_semi").groupBy("row").agg(F.collect_list("start").alias("starts"))
-    both = scratch.stage(whole.join(hits, "row", "full_outer"), "spans")
-    scratch.drop(starts, twice, whole)
+    if left.where("large").limit(1).count():
+        every = scratch.stage(texts.meet(by_row(left.where("large")), "inner").select("row", "text", "found").mapInArrow(strings, "h1 long, h2 long, row long, start int"), "strings")
+        twice = scratch.stage(every.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2"), "twice")
+        spans.append(every.join(twice, ["h1", "h2"], "left_semi").select("row", F.col("start").alias("first"), F.col("start").alias("last")))
+    found = functools.reduce(DataFrame.union, spans)
+    found = scratch.stage(found.groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("spans")), "spans")
+    scratch.drop(refined, classes, mixed, left)
     release(spark)
-    return both
+    return found
+
+
+def repeated_starts(t: pa.Table) -> pa.RecordBatch:
+    """(row, first, last): runs of starts in whole buckets (id, row, at,
+    context) whose strings another member of the bucket has at the same offset
+    from its anchor."""
+    contexts, at = t.column("context").to_pylist(), t.column("at").to_numpy()
+    size = np.array([len(c) for c in contexts])
+    h = identifiers(np.frombuffer(b"".join(contexts), np.uint8), LENGTH)
+    n = size - LENGTH + 1
+    member = np.repeat(np.arange(len(size)), n)
+    offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    first = np.cumsum(size) - size
+    bucket = np.zeros(len(size), np.uint64)
+    bucket[starts(t, ["id"])[1:]] = 1
+    key = h[first[member] + offset]
+    left = np.minimum(at, REACH)
+    key ^= np.cumsum(bucket)[member] * FACTORS[-2, 0]
+    key += (offset - left[member]).astype(np.uint64) * FACTORS[-2, 1]
+    _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+    hit = times[which] > 1
+    edge = np.zeros(len(hit), bool)
+    edge[np.cumsum(n) - n] = True
+    begins = hit & (edge | ~np.concatenate([[False], hit[:-1]]))
+    ends = hit & (np.concatenate([edge[1:], [True]]) | ~np.concatenate([hit[1:], [False]]))
+    a, z = np.flatnonzero(begins), np.flatnonzero(ends)
+    base = at - left
+    rows = t.column("row").to_numpy()
+    return pa.RecordBatch.from_arrays([pa.array(rows[member[a]]), pa.array((base[member[a]] + offset[a]).astype(np.int32)), pa.array((base[member[z]] + offset[z]).astype(np.int32))], names=["row", "first", "last"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -246,13 +306,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             rows = []
             for r in b.to_pylist():
                 t = r["text"]
-                spans = union([reach(at, len(t)) for at in r["whole"] or []] + [(s, s + LENGTH) for s in r["starts"] or []])
+                spans = union([reach(x["first"], len(t)) if x["last"] is None else (x["first"], x["last"] + LENGTH) for x in r["spans"] or []])
                 edges = [0, *itertools.chain.from_iterable(spans), len(t)]
                 kept = b"".join(t[a:z] for a, z in zip(edges[::2], edges[1::2]))
                 rows.append({"doc_id": r["doc_id"], "n_bytes": len(t), "n_removed": len(t) - len(kept), "n_spans": len(spans), "kept_sha256": hashlib.sha256(kept).hexdigest(), "kept": kept})
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    whole = texts.meet(found, "left").select("doc_id", "text", "whole", "starts")
+    whole = texts.meet(found, "left").select("doc_id", "text", "spans")
     return whole.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
 
