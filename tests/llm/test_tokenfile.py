@@ -1,4 +1,5 @@
 import os
+import random
 import zlib
 
 import numpy as np
@@ -36,6 +37,10 @@ def test_round_trip_of_all_documents(spark, tokenizer):
 def test_words_are_encoded_as_in_their_text(tokenizer):
     import public_tokenizers
     texts = [t or "" for _, t, *_ in documents()] + ["a\x1cb   c d\r\ne", "é ́x ᄀ ᅡ", "ΑΣ ΟΔΟΣ Σ", "'s 't it's<|startoftext|> <|endoftext|>", "🙂🙂 🙂 ퟿", "a  b   c", " ", "\n\n"]
+    texts += ["don't can'T I'LL !'s ''s '' '' 'tis x'y'z 12a3 ×a÷b Ÿ Ǆ ǅ ĳ ſ İI ŉ a'b'c ~!@#$%^&*()_+ `-=[]\\;',./ <|x|>", "Été ÉTÉ naïve ÑANDÚ straße STRASSE Ø ÿ"]
+    rng = random.Random(0)
+    marks = [chr(c) for c in [*range(0x20, 0x250), 0x300, 0x301, 0x3A3, 0x3C2, 0x2019, 0xFB01, 0x1E9E, 0x2028, 0x3000]]
+    texts += ["".join(rng.choice(marks) for _ in range(rng.randrange(1, 40))) for _ in range(3000)]
     got = tf.WordEncoder(public_tokenizers.path(tf.TOKENIZER))(texts)
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [ids_of(tokenizer, t).tolist()[:-1] for t in texts]
 
