@@ -9,12 +9,12 @@ as many byte planes as its largest id needs: plane p has byte p of every id.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,71 +28,66 @@ BLOCK = 1 << 16
 ROLL_BYTES = 64 << 20
 ROLL_DOCS = 1 << 20
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 TOKENIZER = "word_bpe_49k.json"
 END = 2
 
 MANIFEST = "file string, part int, seq int, docs long, tokens long, bytes long"
 
 
-#: A word in which the tokenizer's own parts are found by PART alone: printable
-#: ASCII and composed Latin letters, which no normal form changes.
-PLAIN = re.compile(r"[\x21-\x7E\u00C0-\u024F]+")
-#: The parts that the tokenizer encodes one by one, as its file states them.
-PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: A text in which the tokenizer's own parts are found by PART alone: ASCII and
+#: composed Latin letters, which no normal form changes.
+PLAIN = re.compile(r"[\t\n\x20-\x7E\u00C0-\u024F]*")
+#: The parts that the tokenizer encodes one by one, as its file states them,
+#: for the letters and digits that a plain text has in lower case.
+LETTERS = r"a-z\u00DF-\u00F6\u00F8-\u02AF\u2C60-\u2C7F"
+PART = re.compile(rf"[{LETTERS}]+|[^\s{LETTERS}0-9'][^\s{LETTERS}0-9]*|[0-9]|'(?:s|t|re|ve|m|ll|d)|'[^\s{LETTERS}0-9]*")
 
 
 class WordEncoder:
-    """Ids of whole texts, as bytes. Spaces, tabs and line feeds never join
-    what stands around them in a token of this tokenizer, so a text's ids are
-    those of its words in turn, and each distinct word is encoded once. A plain
-    word's ids are those of its parts, and each distinct part is encoded once:
-    with many others in one text, cut after each id that ends a part."""
+    """Ids of whole texts, as bytes. A plain text's ids are those of its parts
+    in turn, and each distinct part is encoded once: with many others in one
+    text, cut after each id that ends a part. Other texts are cut at spaces,
+    tabs and line feeds, which never join what stands around them in a token of
+    this tokenizer, and each distinct word is encoded as it is."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer, self.ids, self.parts = Tokenizer.from_file(path), {}, {}
+        self.tokenizer, self.words, self.parts = Tokenizer.from_file(path), {}, {}
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [x.replace("\n", " ").replace("\t", " ").split(" ") for x in texts]
-        if len(self.ids) > REMEMBERED:
-            self.ids.clear()
-        known = self.ids
-        self.learn([w for w in set().union(*split) if w not in known])
-        return [b"".join([known[w] for w in words]) for words in split]
+        cut = []
+        for x in texts:
+            if PLAIN.fullmatch(x) and "<|" not in x:
+                cut.append((self.parts, PART.findall(x.lower())))
+            else:
+                cut.append((self.words, x.replace("\n", " ").replace("\t", " ").split(" ")))
+        for known, learn in ((self.parts, self.learn_parts), (self.words, self.learn_words)):
+            if len(known) > REMEMBERED:
+                known.clear()
+            learn(list(set().union(*(pieces for of, pieces in cut if of is known)).difference(known)))
+        return [b"".join(map(known.__getitem__, pieces)) for known, pieces in cut]
 
     def encode(self, words: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def learn(self, words: list[str]) -> None:
-        if len(self.parts) > REMEMBERED:
-            self.parts.clear()
-        plain, other = {}, []
-        for w in words:
-            if PLAIN.fullmatch(w) and "<|" not in w:
-                plain[w] = PART.findall(w.lower())
-            else:
-                other.append(w)
-        new = list({p for parts in plain.values() for p in parts if p not in self.parts})
-        for at in range(0, len(new), 256):
-            some = new[at:at + 256]
+    def learn_words(self, words: list[str]) -> None:
+        for at in range(0, len(words), 4096):
+            some = words[at:at + 4096]
+            self.words.update((w, x.tobytes()) for w, x in zip(some, self.encode(some)))
+
+    def learn_parts(self, parts: list[str]) -> None:
+        for at in range(0, len(parts), 4096):
+            some = parts[at:at + 4096]
             ids, = self.encode([" ".join(some)])
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(some) or cuts[-1] != len(ids):
                 raise ValueError("the tokenizer's file has other parts than this encoder")
-            data, start = ids.tobytes(), 0
-            for p, end in zip(some, (4 * cuts).tolist()):
-                self.parts[p] = data[start:end]
-                start = end
-        known = self.parts
-        for w, parts in plain.items():
-            self.ids[w] = b"".join([known[p] for p in parts])
-        for at in range(0, len(other), 4096):
-            some = other[at:at + 4096]
-            self.ids.update((w, x.tobytes()) for w, x in zip(some, self.encode(some)))
+            data, ends = ids.tobytes(), (4 * cuts).tolist()
+            self.parts.update(zip(some, map(data.__getitem__, map(slice, [0, *ends], ends))))
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -101,6 +96,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 def encoder(name: str) -> WordEncoder:
     """One encoder for each worker process and tokenizer."""
     if name not in _ENCODERS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker for each core
         import public_tokenizers
         _ENCODERS[name] = WordEncoder(public_tokenizers.path(name))
     return _ENCODERS[name]
