@@ -38,8 +38,8 @@ def json_double(variant, path: str) -> Column:
     return F.try_variant_get(_c(variant), path, "double")
 
 
-def json_field(variant, path: str, type_name: str) -> Column:
-    return F.try_variant_get(_c(variant), path, type_name)
+# Doubles from here on are added as doubles: a decimal of 28 digits ends there.
+_HUGE = 1e21
 
 
 def exact_avg(col, scale: int = 6, digits: int = 3) -> Column:
@@ -48,11 +48,16 @@ def exact_avg(col, scale: int = 6, digits: int = 3) -> Column:
     A plain double AVG depends on the order rows are added, which moves
     rounding ties between runs and engines. Summing as a decimal is exact;
     the single division and the decimal rounding are then deterministic.
+    NaN and infinities count and are added like AVG adds them (NaN: NaN),
+    and so are values too large for the decimal; a mean too large to have
+    ``digits`` of its own is given as it is.
     """
     x = _c(col)
-    total = F.sum(x.cast(T.DecimalType(18, scale))).cast("double")
-    mean = F.try_divide(total, F.count(x))
-    return F.round(mean.cast(T.DecimalType(18, scale)), digits).cast("double")
+    plain = F.abs(x) < _HUGE  # false for NaN, which is above every number
+    total = F.sum(F.when(plain, x).cast(T.DecimalType(28, scale))).cast("double")
+    rest = F.sum(F.when(~plain, x))
+    mean = F.try_divide(F.coalesce(total, F.lit(0.0)) + F.coalesce(rest, F.lit(0.0)), F.count(x))
+    return F.when(F.abs(mean) < 1e15, F.round(mean.cast(T.DecimalType(28, scale)), digits).cast("double")).otherwise(mean)
 
 
 def round_max(col, digits: int = 3) -> Column:
@@ -87,13 +92,3 @@ def ntz_columns(df: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(f"`{field.name}`"))
     return df.select(*cols)
-
-
-def fmt_fixed(col, decimals: int) -> Column:
-    """printf-style fixed decimals ('%.1f'); NULL prints as 'null'."""
-    return F.coalesce(F.format_string(f"%.{decimals}f", _c(col)), F.lit("null"))
-
-
-def python_str(col) -> Column:
-    """Text of a double the way a reading's location is printed; NULL -> 'null'."""
-    return F.coalesce(_c(col).cast("string"), F.lit("null"))

@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 
 from sensorlake.constants import (ALERT_PRESSURE, ALERT_UNREGISTERED, FEED_WINDOW_ROWS,
                                   PRESSURE_THRESHOLD_PA)
-from sensorlake.functions.scalar import fmt_fixed, json_double, parse_values, python_str
+from sensorlake.functions.scalar import json_double, parse_values
 from sensorlake.operators.joins import as_registry, customer_lookup
 
-# FIXED VALUES: text of the pressure notification, in order.
-PRESSURE_MESSAGE = ("[ALERT] Pressure threshold exceeded: sensor_id={sensor_id} "
-                    "pressure={pressure}Pa (limit={limit}Pa) customer={customer} "
-                    "region={region} location=({lat}, {lon})")
+# FIXED VALUES: text of the pressure notification.
+PRESSURE_MESSAGE = ("[ALERT] Pressure threshold exceeded: sensor_id=%s pressure=%.1fPa (limit=%.0fPa) "
+                    "customer=%s region=%s location=(%s, %s)")
 UNKNOWN = "Unknown"
 
 
@@ -36,19 +35,22 @@ def breach(pressure: Column, limit: float = PRESSURE_THRESHOLD_PA) -> Column:
 
 
 def pressure_breaches(readings: DataFrame, limit: float = PRESSURE_THRESHOLD_PA) -> DataFrame:
-    """Readings whose ``values.pressure`` exceeds the limit; NULL sensor ids excluded."""
-    return (readings.withColumn("pressure", pressure_of("values"))
-            .where(breach(F.col("pressure"), limit) & F.col("sensor_id").isNotNull()))
+    """Readings whose pressure exceeds the limit; NULL sensor ids excluded.
+
+    ``readings`` are those of ``decode.alert_readings``, or rows with a
+    ``values`` text.
+    """
+    if "pressure" not in readings.columns:
+        readings = readings.withColumn("pressure", pressure_of("values"))
+    return readings.where(breach(F.col("pressure"), limit) & F.col("sensor_id").isNotNull())
 
 
-def pressure_message(limit: float = PRESSURE_THRESHOLD_PA) -> Column:
-    return F.concat(
-        F.lit("[ALERT] Pressure threshold exceeded: sensor_id="), F.col("sensor_id").cast("string"),
-        F.lit(" pressure="), fmt_fixed(F.col("pressure"), 1),
-        F.lit("Pa (limit="), F.lit(f"{limit:.0f}"), F.lit("Pa) customer="), F.col("customer_name"),
-        F.lit(" region="), F.col("region"),
-        F.lit(" location=("), python_str(F.col("latitude")), F.lit(", "),
-        python_str(F.col("longitude")), F.lit(")"))
+def _place(readings: DataFrame, col: str) -> tuple[Column, Column]:
+    """A coordinate as JSON and as text: the number, or what stood for it."""
+    text = F.col(f"{col}_text") if f"{col}_text" in readings.columns else F.lit(None).cast("string")
+    number = F.col(col).cast("string")
+    quoted = F.regexp_extract(F.to_json(F.array(text)), r"^\[(.*)\]$", 1)
+    return F.coalesce(number, F.when(text.isNotNull(), quoted), F.lit("null")), F.coalesce(number, text, F.lit("None"))
 
 
 def pressure_alerts(readings: DataFrame, dim_sensors, dim_customers: DataFrame | None,
@@ -63,16 +65,18 @@ def pressure_alerts(readings: DataFrame, dim_sensors, dim_customers: DataFrame |
     b = customer_lookup(pressure_breaches(readings, limit), dim_sensors, dim_customers)
     b = (b.withColumn("customer_name", F.coalesce(F.col("customer_name"), F.lit(UNKNOWN)))
           .withColumn("region", F.coalesce(F.col("customer_region"), F.lit(UNKNOWN))))
-    payload = F.to_json(F.struct(
-        F.col("pressure"), F.lit(limit).alias("threshold"), F.col("latitude"), F.col("longitude"),
-        F.col("customer_id"), F.col("customer_name"), F.col("region")),
-        {"ignoreNullFields": "false"})
+    (lat_json, lat_text), (lon_json, lon_text) = _place(b, "latitude"), _place(b, "longitude")
+    head = F.to_json(F.struct(F.col("pressure"), F.lit(limit).alias("threshold")))
+    tail = F.to_json(F.struct("customer_id", "customer_name", "region"), {"ignoreNullFields": "false"})
+    payload = F.concat(F.regexp_replace(head, r"\}$", ""), F.lit(',"latitude":'), lat_json,
+                       F.lit(',"longitude":'), lon_json, F.lit(","), F.regexp_replace(tail, r"^\{", ""))
+    message = F.format_string(PRESSURE_MESSAGE, F.col("sensor_id").cast("string"), F.col("pressure"), F.lit(limit),
+                              F.col("customer_name"), F.col("region"), lat_text, lon_text)
     t = F.lit(ALERT_PRESSURE)
     return b.select(
         alert_id(t, F.col("sensor_id"), F.col("reading_id")).alias("alert_id"),
         "sensor_id", "reading_id", t.alias("alert_type"), payload.alias("payload"),
-        F.col(time_col).cast("timestamp").alias("created_at"),
-        pressure_message(limit).alias("message"))
+        F.col(time_col).cast("timestamp").alias("created_at"), message.alias("message"))
 
 
 def unregistered_sensors(silver: DataFrame, dim_sensors) -> DataFrame:
@@ -92,18 +96,19 @@ def unregistered_alerts(silver: DataFrame, dim_sensors, alert_log: DataFrame | N
     A sensor seen with several attribute sets is reported with the smallest
     (country, latitude, longitude, sensor_type); ``created_at`` is its first
     reading. Sensors already in ``alert_log`` as unregistered are skipped.
-    The per-sensor choice is an aggregation, so a sensor with a third of all
-    readings is combined map-side before the shuffle.
+    Readings are first combined by sensor and attributes (a hash aggregate,
+    map-side before the shuffle), so the choice per sensor, whose struct needs
+    a sort, sees one row for each attribute set.
     """
     known = as_registry(dim_sensors).known_ids
     per_sensor = (silver.join(known, "sensor_id", "left_anti")
+                  .groupBy("sensor_id", "country", "latitude", "longitude", "sensor_type")
+                  .agg(F.min("ingested_at").alias("seen"))
                   .groupBy("sensor_id")
                   .agg(F.min(F.struct("country", "latitude", "longitude", "sensor_type")).alias("a"),
-                       F.min("ingested_at").alias("created_at"))
+                       F.min("seen").alias("created_at"))
                   .select("sensor_id", "a.*", "created_at"))
-    if alert_log is not None:
-        done = alert_log.where(F.col("alert_type") == ALERT_UNREGISTERED).select("sensor_id")
-        per_sensor = per_sensor.join(done, "sensor_id", "left_anti")
+    per_sensor = _not_yet_alerted(per_sensor, alert_log)
     payload = F.to_json(F.struct("sensor_id", "country", "latitude", "longitude", "sensor_type",
                                  F.lit(source).alias("source")), {"ignoreNullFields": "false"})
     t = F.lit(ALERT_UNREGISTERED)
@@ -113,6 +118,26 @@ def unregistered_alerts(silver: DataFrame, dim_sensors, alert_log: DataFrame | N
         payload.alias("payload"), F.col("created_at").cast("timestamp").alias("created_at"))
 
 
+def _not_yet_alerted(rows: DataFrame, alert_log: DataFrame | None) -> DataFrame:
+    if alert_log is None:
+        return rows
+    done = alert_log.where(F.col("alert_type") == ALERT_UNREGISTERED).select("sensor_id")
+    return rows.join(done, "sensor_id", "left_anti")
+
+
+def first_messages(readings: DataFrame, dim_sensors, alert_log: DataFrame | None = None) -> DataFrame:
+    """The ingest's form of the unregistered alert: one per sensor, ever, whose
+    payload is the whole first message (of equal times, the smallest text)."""
+    known = as_registry(dim_sensors).known_ids
+    first = (readings.join(known, "sensor_id", "left_anti").groupBy("sensor_id")
+             .agg(F.min(F.struct("timestamp", "message_text")).alias("m")))
+    t = F.lit(ALERT_UNREGISTERED)
+    return _not_yet_alerted(first, alert_log).select(
+        alert_id(t, F.col("sensor_id"), F.lit(None).cast("string")).alias("alert_id"),
+        "sensor_id", F.lit(None).cast("string").alias("reading_id"), t.alias("alert_type"),
+        F.col("m.message_text").alias("payload"), F.col("m.timestamp").cast("timestamp").alias("created_at"))
+
+
 def alert_detail(alert_log: DataFrame) -> DataFrame:
     """Feed line per alert: pressure/customer for breaches, sensor type otherwise."""
     p = F.col("payload")

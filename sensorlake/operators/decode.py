@@ -1,9 +1,14 @@
 """Message decode (bytes -> bronze row) with a dead-letter side, and re-keying.
 
-Each payload is parsed once into a Variant. Missing fields and JSON nulls
-take the bronze defaults; a payload that is not a JSON object, or a field
-that is present but cannot be cast, goes to the dead-letter frame with a
+Each payload is parsed into a Variant; ``values`` alone is also cut out of the
+text, as a Variant would put its keys in another order. Missing fields and
+JSON nulls take the bronze defaults; a payload that is not a JSON object, or a
+field that is present but cannot be cast, goes to the dead-letter frame with a
 reason instead of failing the job.
+
+Alerts are taken from the message, not from bronze: a default would raise them
+for a sensor 0 that sent nothing, and a reading that bronze refuses for its
+place still has a pressure.
 """
 
 from __future__ import annotations
@@ -37,6 +42,11 @@ def _parsed(messages: DataFrame) -> DataFrame:
         "*", F.try_parse_json("_text").alias("_v"), F.spark_partition_id().alias("_part"))
 
 
+def _is_object() -> Column:
+    """Of text that is JSON: whether it is an object, by its first sign."""
+    return F.col("_text").rlike(r"^\s*\{")
+
+
 def _with_fields(p: DataFrame) -> DataFrame:
     v = F.col("_v")
     cols = {"reading_id": F.try_variant_get(v, "$.reading_id", "string")}
@@ -47,9 +57,12 @@ def _with_fields(p: DataFrame) -> DataFrame:
         bad.append(F.when(~_absent(v, key) & cast.isNull(), F.lit(f"uncastable_{key}")))
     for key in _TEXT:
         cols[key] = F.coalesce(F.try_variant_get(v, f"$.{key}", "string"), F.lit(DEFAULTS[key]))
-    cols["values"] = F.coalesce(F.get_json_object("_text", "$.values"), F.lit(DEFAULTS["values"]))
+    sub = F.try_variant_get(v, "$.values", "variant")
+    # a text is kept as JSON, with its quotes
+    raw = F.when(F.schema_of_variant(sub) == "STRING", F.to_json(sub)).otherwise(F.get_json_object("_text", "$.values"))
+    cols["values"] = F.coalesce(raw, F.lit(DEFAULTS["values"]))
     reason = (F.when(v.isNull(), F.lit("invalid_json"))
-              .when(~F.schema_of_variant(v).startswith("OBJECT"), F.lit("not_a_json_object"))
+              .when(~_is_object(), F.lit("not_a_json_object"))
               .otherwise(F.coalesce(*bad)))
     return p.select("*", *[c.alias(k) for k, c in cols.items()], reason.alias("_reason"))
 
@@ -76,12 +89,31 @@ def decode(messages: DataFrame, hour_from: str = "timestamp") -> tuple[DataFrame
     return bronze, dead
 
 
+def alert_readings(messages: DataFrame) -> DataFrame:
+    """What alerts need of every message that is an object and has a sensor id:
+    sensor_id, reading_id, pressure, the place as numbers (NULL if they are
+    none) and as text, country, sensor_type, the message's text and time."""
+    p = _parsed(messages).where(F.col("_v").isNotNull() & _is_object() & (F.col("_part") >= 0))
+    v = F.col("_v")
+    get = lambda key, kind: F.try_variant_get(v, f"$.{key}", kind)
+    return p.select(
+        get("sensor_id", "bigint").alias("sensor_id"), get("reading_id", "string").alias("reading_id"),
+        get("values.pressure", "double").alias("pressure"),
+        get("latitude", "double").alias("latitude"), get("longitude", "double").alias("longitude"),
+        get("latitude", "string").alias("latitude_text"), get("longitude", "string").alias("longitude_text"),
+        get("country", "string").alias("country"), get("sensor_type", "string").alias("sensor_type"),
+        F.col("_text").alias("message_text"), "timestamp").where(F.col("sensor_id").isNotNull())
+
+
 def rekey(messages: DataFrame) -> DataFrame:
-    """Republish shape: value verbatim, key = sensor id text, '' when missing or 0.
+    """Republish shape: value verbatim, key = sensor id text, '' when missing or
+    the number 0 (the text "0" is kept).
 
-    Payloads that are not JSON are not forwarded.
+    Payloads that are not a JSON object are not forwarded.
     """
-    p = _parsed(messages).where(F.col("_v").isNotNull())
+    p = _parsed(messages).where(F.col("_v").isNotNull() & _is_object())
+    raw = F.try_variant_get("_v", "$.sensor_id", "variant")
     sid = F.try_variant_get("_v", "$.sensor_id", "string")
-    key = F.when(sid.isNull() | (sid == "0") | (sid == ""), F.lit("")).otherwise(sid)
+    zero = (F.schema_of_variant(raw) != "STRING") & (F.try_variant_get("_v", "$.sensor_id", "double") == 0)
+    key = F.when(sid.isNull() | F.coalesce(zero, F.lit(False)), F.lit("")).otherwise(sid)
     return p.select(key.cast("binary").alias("key"), F.col("value"))

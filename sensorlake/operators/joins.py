@@ -58,10 +58,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
     ``max_bytes`` bytes of payload, else ``df`` (Catalyst / AQE then choose a
     shuffled join).
 
-    One cheap job on the small side measures both; ``limit(max_rows + 1)``
-    stops it early when the side is large.
+    One job on the side measures both: each task sends one partial row.
     """
-    m = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"),
+    m = df.agg(F.count(F.lit(1)).alias("n"),
                                    F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("b")).first()
     return F.broadcast(df) if m["n"] <= max_rows and m["b"] <= max_bytes else df
 

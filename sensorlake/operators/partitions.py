@@ -7,8 +7,6 @@ of the number of hours, never on driver-side listings.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,6 +90,3 @@ def layout_violations(bronze: DataFrame) -> DataFrame:
     return (bronze.select(F.col("_metadata.file_path").alias("file_path")).distinct()
             .where(~F.col("file_path").rlike(LAYOUT)))
 
-
-def to_datetime(text: str) -> _dt.datetime:
-    return _dt.datetime.fromisoformat(text)

@@ -90,7 +90,7 @@ def quality_report(bronze: DataFrame, silver: DataFrame, rejected: DataFrame,
 
 
 def schema_checks(df: DataFrame, expected: T.StructType, required: list[str] | None = None) -> list[tuple]:
-    """Column presence, type and nullability (extra columns allowed); metadata only."""
+    """Column presence and type (extra columns allowed); metadata only."""
     have = {f.name: f for f in df.schema.fields}
     rows = []
     for f in expected.fields:
@@ -103,5 +103,10 @@ def schema_checks(df: DataFrame, expected: T.StructType, required: list[str] | N
     return rows
 
 
+def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, failing_rows): NULLs of each column, in one pass."""
+    return _report(df, "", not_null_checks("", columns)).select("column_name", "failing_rows")
+
+
 def future_timestamps(df: DataFrame, ts_col: Column, now) -> DataFrame:
     return df.agg(F.count_if(ts_col > F.lit(now).cast("timestamp")).alias("failing_rows"))

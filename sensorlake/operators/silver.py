@@ -49,23 +49,23 @@ def _typed(df: DataFrame) -> DataFrame:
     metrics = [json_double("_v", f"$.{key}").alias(col) for key, col in METRIC_COLUMNS.items()]
     return parsed.select(
         "reading_id", "sensor_id", "sensor_type", F.col(_TS).alias("ingested_at"),
-        "latitude", "longitude", "country", *metrics,
-        F.col("ingested_at").alias("_raw_ts"), F.col("values").alias("_raw_values"),
-    )
+        "latitude", "longitude", "country", *metrics)
+
+
+# The order of a reading's copies: earliest first, then every other column of
+# silver. Copies that tie are the same row, so whichever is kept is the same.
+COPY_ORDER = ["ingested_at", "sensor_id", "sensor_type", "country", *METRIC_COLUMNS.values(), "latitude", "longitude"]
 
 
 def earliest_per_reading(df: DataFrame) -> DataFrame:
-    """Keep the earliest row per reading_id (ties broken on every column).
+    """Keep the first row per reading_id in ``COPY_ORDER``.
 
     ``row_number() == 1`` over a window partitioned by reading_id: Spark plans
     a partial WindowGroupLimit before the shuffle, so a hot reading_id is cut
-    to one row per map task before it is exchanged.
+    to one row per map task before it is exchanged. Only typed columns are
+    shuffled, no raw text.
     """
-    order = [F.col("ingested_at").asc_nulls_last(), F.col("_raw_ts").asc_nulls_last(),
-             F.col("sensor_id").asc_nulls_last(), F.col("sensor_type").asc_nulls_last(),
-             F.col("country").asc_nulls_last(), F.col("_raw_values").asc_nulls_last(),
-             F.col("latitude").asc_nulls_last(), F.col("longitude").asc_nulls_last()]
-    w = Window.partitionBy("reading_id").orderBy(*order)
+    w = Window.partitionBy("reading_id").orderBy(*[F.col(c).asc_nulls_last() for c in COPY_ORDER])
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
@@ -81,7 +81,7 @@ def build_silver(bronze: DataFrame, validate: bool = True, dedup: bool = True) -
     typed = _typed(c)
     if dedup:
         typed = earliest_per_reading(typed)
-    return typed.drop("_raw_ts", "_raw_values")
+    return typed
 
 
 def build_rejected(bronze: DataFrame, detected_at=None) -> DataFrame:

@@ -24,12 +24,12 @@ from sensorlake.operators import partitions as pt
 from sensorlake.operators import quality as qa
 from sensorlake.operators import registry as rg
 from sensorlake.operators.decode import rekey as _rekey
-from sensorlake.schemas import BRONZE, PARTITION_COLUMNS, SILVER
+from sensorlake.schemas import BRONZE, BRONZE_DATA, DIM_CUSTOMERS, PARTITION_COLUMNS, SILVER
 from sensorlake.session import scratch_path
 from sensorlake.sources import driver_tables as _dt
 from sensorlake.sources import tables as _tables
 from sensorlake.sources.profiles import load_profiles, write_profiles
-from sensorlake.sources.snapshot import by_country
+from sensorlake.sources.snapshot import by_country, read_snapshot
 from sensorlake.streaming import queries as sq
 from sensorlake.streaming.sources import file_messages, land_messages
 
@@ -132,7 +132,7 @@ def rekey(inp: Inputs) -> DataFrame:
 
 
 def _pressure(inp: Inputs) -> DataFrame:
-    return al.pressure_alerts(inp.decoded_bronze, inp.registry, None, time_col="_arrival")
+    return al.pressure_alerts(inp.alert_readings, inp.registry, None)
 
 
 @register("pressure_alerts")
@@ -179,6 +179,15 @@ def alert_feed(inp: Inputs) -> DataFrame:
     return feed.select("sensor_id", "reading_id", "alert_type", "created_at", "detail")
 
 
+@register("alert_feed_resumed")
+def alert_feed_resumed(inp: Inputs) -> DataFrame:
+    """The feed of a reader that starts at the high-water mark of what it saw."""
+    log = _tables.stage_table(_alert_log(inp), "alert_log")
+    seen = al.feed_high_water(log.where(F.col("created_at") <= F.lit(FEED_SINCE).cast("timestamp")))
+    feed = al.alert_feed(log, since_created_at=seen.first()["created_at"])
+    return feed.select("sensor_id", "reading_id", "alert_type", "created_at", "detail")
+
+
 @register("alert_feed_latest")
 def alert_feed_latest(inp: Inputs) -> DataFrame:
     return al.latest_alerts(_alert_log(inp)).select("sensor_id", "reading_id", "alert_type",
@@ -226,6 +235,16 @@ def snapshot_flat(inp: Inputs) -> DataFrame:
     return _flat_snapshot(inp.snapshot)
 
 
+@register("snapshot_array")
+def snapshot_array(inp: Inputs) -> DataFrame:
+    """The snapshot as the source sends it: JSON arrays, one to a file."""
+    entries = inp.snapshot.select(F.spark_partition_id().alias("p"), F.to_json(F.struct("*")).alias("j"))
+    arrays = entries.groupBy("p").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("j"), ",\n"), F.lit("\n]")).alias("value"))
+    path = scratch_path(inp.spark, "snapshot_array")
+    arrays.select("value").write.text(path)
+    return _flat_snapshot(read_snapshot(inp.spark, path, multiline=True))
+
+
 @register("snapshot_country")
 def snapshot_country(inp: Inputs) -> DataFrame:
     return _flat_snapshot(by_country(inp.snapshot, "DE"))
@@ -254,15 +273,30 @@ def customer_assignment(inp: Inputs) -> DataFrame:
 
 @register("profile_sample_count")
 def profile_sample_count(inp: Inputs) -> DataFrame:
-    """Size of the uniform profile sample: exactly min(1000, valid profiles)."""
-    return rg.sample(rg.profiles(inp.snapshot)).agg(F.count(F.lit(1)).alias("sampled"))
+    """Sizes of two uniform profile samples (1000, and 20 of more), and how many
+    of the smaller are profiles, each once."""
+    profiles = rg.profiles(inp.snapshot)
+    few = rg.sample(profiles, 20)
+    known = few.select("id").distinct().join(profiles.select("id"), "id", "left_semi")
+    return (rg.sample(profiles).agg(F.count(F.lit(1)).alias("sampled"))
+            .crossJoin(F.broadcast(few.agg(F.count(F.lit(1)).alias("sampled_20"))))
+            .crossJoin(F.broadcast(known.agg(F.count(F.lit(1)).alias("known_20")))))
 
 
 @register("upsert_dims")
 def upsert_dims(inp: Inputs) -> DataFrame:
     """Supplier registry merged with the full-coverage customer registry."""
     newer = _dt.dims_from_customer_table(inp.table("customer"), inp.table("nation"), inp.table("region"))
-    return rg.upsert(inp.dim_sensors, newer, ["sensor_id"])
+    return rg.upsert(inp.dim_sensors, newer.where("sensor_id % 3 <> 0"), ["sensor_id"])
+
+
+@register("upsert_customers")
+def upsert_customers(inp: Inputs) -> DataFrame:
+    """A registry created with the seeded customers, then merged with the even
+    nations: matched rows change, others stay, new ones come in."""
+    path = scratch_path(inp.spark, "customers")
+    stored = _tables.ensure_table(inp.spark, path, DIM_CUSTOMERS, seed=rg.seed_customers(inp.spark))
+    return rg.upsert(stored, inp.dim_customers.where("customer_id % 2 = 0"), ["customer_id"])
 
 
 @register("insert_if_absent")
@@ -278,8 +312,8 @@ def stored_profiles(inp: Inputs) -> DataFrame:
     return rg.flat_ranges(load_profiles(inp.spark, path))
 
 
-@register("jdbc_registry")
-def jdbc_registry(inp: Inputs) -> DataFrame:
+@register("registry_store")
+def registry_store(inp: Inputs) -> DataFrame:
     """Registry round trip through the registry store (S8, S19): tables created
     if missing, replaced in bulk, scanned back with explicit column lists.
 
@@ -335,23 +369,25 @@ def ready_hours(inp: Inputs) -> DataFrame:
 
 @register("file_manifest")
 def file_manifest(inp: Inputs) -> DataFrame:
-    """Files of the current and previous hour (names are random: rows only)."""
-    return pt.file_manifest(inp.landed_bronze, "2024-01-20 00:30:00")
-
-
-def _two_runs(inp: Inputs, marts: list[str]) -> tuple[str, dict[str, str]]:
-    """First run: full build over bronze hours before the cut. Second run:
-    incremental over all bronze (increment chosen by the high-water mark)."""
-    spark, bronze = inp.spark, inp.landed_bronze
+    """Hours of the manifest's files (names are random) and whether each short
+    key names its hour and each file has a size."""
+    m = pt.file_manifest(inp.landed_bronze, "2024-01-20 00:30:00")
+    hour = F.concat(F.lit("hour="), F.col("hour"))
+    return m.groupBy(*PARTITION_COLUMNS).agg(
+        F.bool_and(F.col("short_key").rlike(r"^month=\d{2}/day=\d{2}/hour=\d{2}/[^/]+\.parquet$") & F.col("short_key").contains(hour)).alias("keys_ok"),
+        F.bool_and(F.col("size_kb") > 0).alias("sizes_ok"))
+
+
+def _two_runs(inp: Inputs, marts: list[str], full_again: bool = False) -> tuple[str, dict[str, str]]:
+    """First run: a full build over what has landed. Then the rest lands, some
+    of it in hours already read, and a second run takes the new files (or, with
+    ``full_again``, builds everything anew over the stored tables)."""
+    spark, root = inp.spark, scratch_path(inp.spark, "bronze")
     silver_path = scratch_path(spark, "silver")
     mart_paths = {m: scratch_path(spark, m) for m in marts}
-    first = mg.refresh_silver(spark, bronze.where(mg.hour_key() < F.lit(INCREMENT_CUT)), silver_path)
-    for m in marts:
-        mg.refresh_mart(spark, m, first, None, inp.registry, None, mart_paths[m])
-    increment = mg.refresh_silver(spark, bronze, silver_path)
-    silver = mg.read_stored_silver(spark, silver_path)   # with its day/hour partition columns
-    for m in marts:
-        mg.refresh_mart(spark, m, silver, increment, inp.registry, None, mart_paths[m])
+    for again, landing in enumerate(_dt.two_landings(inp.events, INCREMENT_CUT)):
+        pt.write_bronze(landing, root)
+        mg.refresh(spark, root, silver_path, inp.registry, None, mart_paths, full_refresh=bool(again) and full_again)
     return silver_path, mart_paths
 
 
@@ -361,6 +397,13 @@ def incremental_silver(inp: Inputs) -> DataFrame:
     return mg.read_silver(inp.spark, path).select(*[f.name for f in SILVER.fields])
 
 
+@register("full_refresh_silver")
+def full_refresh_silver(inp: Inputs) -> DataFrame:
+    """The full-refresh switch over a table that already holds a first run."""
+    path, _ = _two_runs(inp, [], full_again=True)
+    return mg.read_silver(inp.spark, path).select(*[f.name for f in SILVER.fields])
+
+
 def _incremental_mart(inp: Inputs, name: str) -> DataFrame:
     _, paths = _two_runs(inp, [name])
     return mg.read_mart(inp.spark, paths[name])
@@ -416,7 +459,7 @@ def quality_report(inp: Inputs) -> DataFrame:
 
 @register("quality_schema")
 def quality_schema(inp: Inputs) -> DataFrame:
-    """Schema, required columns, layout and future timestamps of landed bronze."""
+    """Schema, required columns, NULLs, layout and future timestamps of landed bronze."""
     b = inp.landed_bronze
     rows = qa.schema_checks(b, BRONZE, required=["reading_id", "sensor_id", "ingested_at", "values"])
     meta = inp.spark.createDataFrame(rows, "check string, column_name string, expected string, actual string, ok boolean")
@@ -429,7 +472,10 @@ def quality_schema(inp: Inputs) -> DataFrame:
         F.lit("future_timestamp").alias("check"), F.lit("ingested_at").alias("column_name"),
         F.lit(None).cast("string").alias("expected"), F.lit(None).cast("string").alias("actual"),
         (F.col("failing_rows") == 0).alias("ok"), "failing_rows")
-    return meta.unionByName(layout).unionByName(future)
+    nulls = qa.null_counts(b, [f.name for f in BRONZE_DATA.fields]).select(
+        F.lit("not_null").alias("check"), "column_name", F.lit(None).cast("string").alias("expected"),
+        F.lit(None).cast("string").alias("actual"), (F.col("failing_rows") == 0).alias("ok"), "failing_rows")
+    return meta.unionByName(layout).unionByName(future).unionByName(nulls)
 
 
 @register("scalar_suite")
@@ -451,17 +497,22 @@ def scalar_suite(inp: Inputs) -> DataFrame:
 # ---------------------------------------------------------------- streaming
 
 
-def _two_waves(inp: Inputs, start) -> None:
-    """Land originals, run the query to the end; land redeliveries, restart
-    the same query from its checkpoint and run it to the end again."""
+def _two_waves(inp: Inputs, start, waves: list[DataFrame] | None = None) -> None:
+    """Land one wave, run the query to its end; land the other, restart the
+    same query from its checkpoint and run it to the end again."""
     spark = inp.spark
     msg_dir = scratch_path(spark, "messages")
     ckpt = scratch_path(spark, "checkpoint")
-    for wave in (0, 1):
-        land_messages(_dt.messages_from_events(inp.events, copy=wave), msg_dir)
+    for wave in waves or [_dt.messages_from_events(inp.events, copy=c) for c in (0, 1)]:
+        land_messages(wave, msg_dir)
         sq.run_to_end(start(file_messages(spark, msg_dir), ckpt))
 
 
+def _registry_source(inp: Inputs):
+    """Reads the registry tables anew whenever a batch asks."""
+    return lambda spark: Inputs(spark, inp.sf_dir).registry
+
+
 @register("stream_bronze")
 def stream_bronze(inp: Inputs) -> DataFrame:
     out, dead = scratch_path(inp.spark, "s_bronze"), scratch_path(inp.spark, "s_dead")
@@ -469,31 +520,42 @@ def stream_bronze(inp: Inputs) -> DataFrame:
     return pt.read_bronze(inp.spark, out)
 
 
+def _late_waves(inp: Inputs) -> list[DataFrame]:
+    """Messages with late deliveries, earlier copies and a clock in 2031; the
+    second wave brings deliveries 15 days old, copies 36 hours earlier and all
+    redeliveries."""
+    return list(_dt.late_messages(inp.events))
+
+
 @register("stream_silver_dedup")
 def stream_silver_dedup(inp: Inputs) -> DataFrame:
     out = scratch_path(inp.spark, "s_silver")
-    _two_waves(inp, lambda m, c: sq.silver_dedup(m, out, c))
-    return inp.spark.read.parquet(out)
+    _two_waves(inp, lambda m, c: sq.silver_dedup(m, out, c), _late_waves(inp))
+    return mg.read_silver(inp.spark, out)
 
 
 @register("stream_alerts")
 def stream_alerts(inp: Inputs) -> DataFrame:
     out = scratch_path(inp.spark, "s_alerts")
-    _two_waves(inp, lambda m, c: sq.pressure_alerts(m, inp.dim_sensors, inp.dim_customers, out, c))
+    _two_waves(inp, lambda m, c: sq.pressure_alerts(m, _registry_source(inp), out, c))
     return inp.spark.read.parquet(out).select("sensor_id", "reading_id", "alert_type", "payload", "created_at")
 
 
 @register("stream_unregistered")
 def stream_unregistered(inp: Inputs) -> DataFrame:
+    """The first wave holds registered sensors only, so its batches raise nothing."""
     out = scratch_path(inp.spark, "s_unreg")
-    _two_waves(inp, lambda m, c: sq.unregistered_alerts(m, inp.dim_sensors, out, c))
+    known = inp.dim_sensors.select(F.col("sensor_id").cast("string").cast("binary").alias("key"))
+    quiet = inp.messages.join(known, "key", "left_semi").select(*inp.messages.columns)
+    loud = inp.messages.join(known, "key", "left_anti").select(*inp.messages.columns)
+    _two_waves(inp, lambda m, c: sq.unregistered_alerts(m, _registry_source(inp), out, c), [quiet, loud])
     return inp.spark.read.parquet(out).select("sensor_id", "alert_type", "payload", "created_at")
 
 
 @register("stream_hourly")
 def stream_hourly(inp: Inputs) -> DataFrame:
-    out = scratch_path(inp.spark, "s_hourly")
-    _two_waves(inp, lambda m, c: sq.hourly(m, out, c))
+    silver, out = scratch_path(inp.spark, "s_silver"), scratch_path(inp.spark, "s_hourly")
+    _two_waves(inp, lambda m, c: sq.hourly(m, silver, out, c), _late_waves(inp))
     return inp.spark.read.parquet(out).drop("part_day")
 
 
@@ -517,7 +579,7 @@ def new_items(inp: Inputs) -> DataFrame:
     s = inp.silver
     before = s.where(F.col("ingested_at") < F.lit(FIRST_RUN_CUT)).select("sensor_id")
     return s.where(F.col("ingested_at") >= F.lit(FIRST_RUN_CUT)).select("sensor_id").distinct() \
-        .join(before, "sensor_id", "left_anti")
+        .join(before.distinct(), "sensor_id", "left_anti")
 
 
 @register("stream_partition_status")

@@ -1,16 +1,11 @@
 """Inputs shared by the catalog's queries.
 
-The lazy plans over the driver tables (events -> bronze -> silver, the
-dimensions and the size-checked registry) are built once per session and
-table folder, like views registered at start-up: each query still executes
-its whole plan, only the driver-side analysis and the broadcast size checks
-are not repeated. Anything that writes files (landed bronze, the snapshot)
-is done by each query for itself.
+Every query makes its own: tables are listed, plans are built and broadcast
+sides are measured anew each time, within one query once.
 """
 
 from __future__ import annotations
 
-import weakref
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,23 +15,6 @@ from sensorlake.operators.silver import build_silver
 from sensorlake.session import use_utc
 from sensorlake.sources import driver_tables as dt
 
-_SHARED: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
-
-
-def shared(fn):
-    """A property computed once per (session, table folder)."""
-    name = fn.__name__
-
-    def get(self):
-        store = _SHARED.setdefault(self.spark, {})
-        key = (self.sf_dir, name)
-        if key not in store:
-            store[key] = fn(self)
-        return store[key]
-    get.__doc__ = fn.__doc__
-    return property(get)
-
-
 class Inputs:
     """Driver tables and the pipeline layers derived from them (all lazy)."""
 
@@ -48,31 +26,31 @@ class Inputs:
     def table(self, name: str) -> DataFrame:
         return dt.load(self.spark, self.sf_dir, name)
 
-    @shared
+    @cached_property
     def events(self) -> DataFrame:
-        return dt.spread(self.table("events"))
+        return self.table("events")
 
-    @shared
+    @cached_property
     def bronze(self) -> DataFrame:
         return dt.bronze_from_events(self.events)
 
-    @shared
+    @cached_property
     def messages(self) -> DataFrame:
         return dt.messages_from_events(self.events)
 
-    @shared
+    @cached_property
     def silver(self) -> DataFrame:
         return build_silver(self.bronze)
 
-    @shared
+    @cached_property
     def dim_customers(self) -> DataFrame:
         return dt.dim_customers(self.table("nation"), self.table("region"))
 
-    @shared
+    @cached_property
     def dim_sensors(self) -> DataFrame:
         return dt.dim_sensors(self.table("supplier"), self.table("nation"), self.table("region"))
 
-    @shared
+    @cached_property
     def registry(self) -> Registry:
         """Sensors and customers with each broadcast side checked once; the
         sensor side is ``dim_sensors``' registry columns only."""
@@ -80,11 +58,16 @@ class Inputs:
 
     # message path: decoded bronze (with arrival time) and dead letters
 
-    @shared
+    @cached_property
     def decoded(self):
         from sensorlake.operators.decode import decode
         return decode(self.messages)
 
+    @cached_property
+    def alert_readings(self) -> DataFrame:
+        from sensorlake.operators.decode import alert_readings
+        return alert_readings(self.messages)
+
     @property
     def decoded_bronze(self) -> DataFrame:
         return self.decoded[0]

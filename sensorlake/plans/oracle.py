@@ -4,7 +4,8 @@ The common table expressions mirror the adapter in
 ``sensorlake.sources.driver_tables`` and the operators' contracts.
 """
 
-from sensorlake.constants import ACCEPTED_SENSOR_TYPES, EUROPE_COUNTRIES, INVALID_SENSOR_TYPES
+from sensorlake.constants import ACCEPTED_SENSOR_TYPES, EUROPE_COUNTRIES, INVALID_SENSOR_TYPES, SEED_CUSTOMERS
+from sensorlake.schemas import BRONZE as BRONZE_SCHEMA
 from sensorlake.sources.driver_tables import NATION_COUNTRY
 
 _COUNTRIES = "[" + ", ".join(f"'{c}'" for c in NATION_COUNTRY) + "]"
@@ -13,8 +14,11 @@ _INVALID = ", ".join(f"'{t}'" for t in INVALID_SENSOR_TYPES)
 
 
 def avg_exact(x: str) -> str:
-    return (f"CAST(ROUND(CAST(CAST(SUM(CAST({x} AS DECIMAL(18,6))) AS DOUBLE) / "
-            f"NULLIF(COUNT({x}), 0) AS DECIMAL(18,6)), 3) AS DOUBLE)")
+    plain = f"NOT isnan({x}) AND abs({x}) < 1e21"
+    mean = (f"((COALESCE(CAST(SUM(CASE WHEN {plain} THEN CAST({x} AS DECIMAL(28,6)) END) AS DOUBLE), 0) "
+            f"+ COALESCE(SUM(CASE WHEN NOT ({plain}) THEN {x} END), 0)) / NULLIF(COUNT({x}), 0))")
+    return (f"(CASE WHEN isnan({mean}) OR abs({mean}) >= 1e15 THEN {mean} "
+            f"ELSE CAST(ROUND(CAST({mean} AS DECIMAL(28,6)), 3) AS DOUBLE) END)")
 
 
 def parse_ts(x: str) -> str:
@@ -49,7 +53,10 @@ readings AS (
         CAST((user_id * 37) % 170 - 85 AS DOUBLE) AS latitude,
         CAST((user_id * 53) % 360 - 180 AS DOUBLE) AS longitude,
         {_COUNTRIES}[CAST(user_id % 25 AS INTEGER) + 1] AS country,
-        CASE WHEN event_type IN ('view', 'click') THEN
+        CASE WHEN event_id % 307 = 11 THEN '{{"P1": "NaN", "P2": 3}}'
+             WHEN event_id % 311 = 12 THEN '{{"P1": "Infinity", "temperature": "-Infinity", "humidity": 5}}'
+             WHEN event_id % 313 = 13 THEN '{{"P1": "2500000000000.5", "P2": "4e24", "temperature": "1e300", "pressure": "NaN"}}'
+             WHEN event_type IN ('view', 'click') THEN
                  '{{"P1": ' || CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) || ', "P2": ' || CAST(k AS VARCHAR) || '}}'
              WHEN event_type IN ('purchase', 'signup') THEN
                  '{{"temperature": ' || CAST(CAST(value - 20 AS DECIMAL(12,2)) AS VARCHAR)
@@ -88,13 +95,13 @@ typed AS (
         {json_num('"values"', 'humidity')} AS humidity,
         {json_num('"values"', 'pressure')} AS pressure,
         {json_num('"values"', 'pressure_at_sealevel')} AS pressure_at_sealevel,
-        ingested_at AS raw_ts, "values" AS raw_values, rejection_reason
+        rejection_reason
     FROM classified
 )"""
 
-DEDUP_ORDER = ("ingested_at NULLS LAST, raw_ts NULLS LAST, sensor_id NULLS LAST, "
-               "sensor_type NULLS LAST, country NULLS LAST, raw_values NULLS LAST, "
-               "latitude NULLS LAST, longitude NULLS LAST")
+DEDUP_ORDER = ", ".join(f"{c} NULLS LAST" for c in (
+    "ingested_at", "sensor_id", "sensor_type", "country", "pm25", "pm10", "temperature", "humidity",
+    "pressure", "pressure_at_sealevel", "latitude", "longitude"))
 
 SILVER_COLS = ("reading_id, sensor_id, sensor_type, ingested_at, latitude, longitude, country, "
                "pm25, pm10, temperature, humidity, pressure, pressure_at_sealevel")
@@ -199,18 +206,20 @@ FROM classified WHERE rejection_reason IS NOT NULL"""
 MESSAGES = """
 messages AS (
     SELECT CASE WHEN event_id % 67 = 8 THEN '' ELSE CAST(sensor_id AS VARCHAR) END AS key,
-           CASE WHEN event_id % 101 = 7 THEN 'corrupt:' || CAST(event_id AS VARCHAR) ELSE
+           CASE WHEN event_id % 101 = 7 THEN 'corrupt:' || CAST(event_id AS VARCHAR)
+           WHEN event_id % 103 = 8 THEN CASE WHEN event_id % 2 = 0 THEN '[1]' ELSE '42' END ELSE
            '{' || CASE WHEN reading_id IS NOT NULL THEN '"reading_id": "' || reading_id || '", ' ELSE '' END
            || CASE WHEN event_id % 67 = 8 THEN ''
                    WHEN event_id % 59 = 9 THEN '"sensor_id": "abc", '
+                   WHEN event_id % 109 = 10 THEN '"sensor_id": "0", '
                    WHEN event_id % 71 = 4 THEN '"sensor_id": "' || CAST(sensor_id AS VARCHAR) || '", '
                    ELSE '"sensor_id": ' || CAST(sensor_id AS VARCHAR) || ', ' END
            || '"sensor_type": "' || sensor_type || '", '
            || '"ingested_at": "' || ingested_at || '", '
-           || '"latitude": ' || CAST(latitude AS VARCHAR) || ', '
+           || CASE WHEN event_id % 73 = 10 THEN '"latitude": "unknown", ' ELSE '"latitude": ' || CAST(latitude AS VARCHAR) || ', ' END
            || '"longitude": ' || CAST(longitude AS VARCHAR) || ', '
            || CASE WHEN event_id % 61 = 5 THEN '"country": null' ELSE '"country": "' || country || '"' END
-           || CASE WHEN event_id % 53 = 6 THEN '' ELSE ', "values": ' || "values" END
+           || CASE WHEN event_id % 53 = 6 THEN '' WHEN event_id % 107 = 9 THEN ', "values": "abc"' ELSE ', "values": ' || "values" END
            || '}' END AS value,
            arrival AS "timestamp"
     FROM readings
@@ -256,23 +265,34 @@ lookup AS (
     SELECT ds.sensor_id, c.customer_id, c.customer_name, c.region AS customer_region
     FROM dim_sensors ds JOIN dim_customers c ON ds.customer_id = c.customer_id
 ),
+alert_src AS (
+    SELECT TRY_CAST(json_extract_string(value, '$.sensor_id') AS BIGINT) AS sensor_id,
+           json_extract_string(value, '$.reading_id') AS reading_id,
+           """ + json_num("value", "values.pressure") + """ AS pressure,
+           TRY_CAST(json_extract_string(value, '$.latitude') AS DOUBLE) AS latitude,
+           TRY_CAST(json_extract_string(value, '$.longitude') AS DOUBLE) AS longitude,
+           json_extract_string(value, '$.latitude') AS lat_text, json_extract_string(value, '$.longitude') AS lon_text,
+           value, "timestamp" AS arrival
+    FROM msg_json WHERE TRY_CAST(json_extract_string(value, '$.sensor_id') AS BIGINT) IS NOT NULL
+),
 breaches AS (
     SELECT b.*, l.customer_id, COALESCE(l.customer_name, 'Unknown') AS customer_name,
            COALESCE(l.customer_region, 'Unknown') AS region
-    FROM (SELECT *, """ + json_num('"values"', 'pressure') + """ AS pressure FROM dbronze) b
-    LEFT JOIN lookup l ON b.sensor_id = l.sensor_id
-    WHERE b.pressure IS NOT NULL AND NOT isnan(b.pressure) AND b.pressure > 130000 AND b.sensor_id IS NOT NULL
+    FROM alert_src b LEFT JOIN lookup l ON b.sensor_id = l.sensor_id
+    WHERE b.pressure IS NOT NULL AND NOT isnan(b.pressure) AND b.pressure > 130000
 ),
 pressure_log AS (
     SELECT sensor_id, reading_id, 'pressure_threshold_exceeded' AS alert_type,
-           CAST(json_object('pressure', pressure, 'threshold', 130000.0, 'latitude', latitude,
-                            'longitude', longitude, 'customer_id', customer_id,
+           CAST(json_object('pressure', pressure, 'threshold', 130000.0,
+                            'latitude', CASE WHEN latitude IS NULL THEN to_json(lat_text) ELSE to_json(latitude) END,
+                            'longitude', CASE WHEN longitude IS NULL THEN to_json(lon_text) ELSE to_json(longitude) END,
+                            'customer_id', customer_id,
                             'customer_name', customer_name, 'region', region) AS VARCHAR) AS payload,
            arrival AS created_at,
            '[ALERT] Pressure threshold exceeded: sensor_id=' || CAST(sensor_id AS VARCHAR)
            || ' pressure=' || printf('%.1f', pressure) || 'Pa (limit=130000Pa) customer=' || customer_name
-           || ' region=' || region || ' location=(' || CAST(latitude AS VARCHAR) || ', '
-           || CAST(longitude AS VARCHAR) || ')' AS message
+           || ' region=' || region || ' location=(' || COALESCE(CAST(latitude AS VARCHAR), lat_text) || ', '
+           || COALESCE(CAST(longitude AS VARCHAR), lon_text) || ')' AS message
     FROM breaches
 )"""
 
@@ -324,9 +344,11 @@ def alert_queries() -> dict[str, str]:
             country, "values", year, month, day, hour FROM dbronze""",
         "dead_letter": ABASE + "SELECT raw_value, \"timestamp\", reason FROM dead",
         "rekey": ABASE + """SELECT CASE WHEN json_type(value, '$.sensor_id') IS NULL OR json_type(value, '$.sensor_id') = 'NULL'
-                 OR json_extract_string(value, '$.sensor_id') IN ('0', '') THEN ''
+                 OR (json_type(value, '$.sensor_id') <> 'VARCHAR' AND json_extract_string(value, '$.sensor_id') = '0') THEN ''
                  ELSE json_extract_string(value, '$.sensor_id') END AS key, value
-            FROM messages WHERE json_valid(value)""",
+            FROM msg_json""",
+        "alert_feed_resumed": ABASE + """SELECT * FROM feed WHERE created_at >
+            (SELECT MAX(created_at) FROM alert_log WHERE created_at <= TIMESTAMP '2024-01-20 00:00:00')""",
         "pressure_alerts": ABASE + """SELECT sensor_id, reading_id, alert_type, payload, created_at,
             CAST(json_extract_string(payload, '$.pressure') AS DOUBLE) AS pressure,
             json_extract_string(payload, '$.customer_name') AS customer_name,
@@ -443,6 +465,7 @@ def registry_queries() -> dict[str, str]:
             "WHEN 'Asia-Pacific' THEN 5 ELSE 6 END AS INTEGER)")
     return {
         "snapshot_flat": RBASE + _FLAT.format(src="snap"),
+        "snapshot_array": RBASE + _FLAT.format(src="snap"),
         "snapshot_country": RBASE + _FLAT.format(src="snap WHERE country = 'DE'"),
         "latest_per_sensor": RBASE + _FLAT.format(src="latest"),
         "sensor_profiles": RBASE + "SELECT * FROM prof_flat",
@@ -450,12 +473,16 @@ def registry_queries() -> dict[str, str]:
         "region_assignment": RBASE + "SELECT id, country, latitude, longitude, region FROM prof_region",
         "customer_assignment": RBASE + f"""SELECT id AS sensor_id, sensor_type, latitude, longitude, country, region,
             {pool} AS customer_id FROM prof_region""",
-        "profile_sample_count": RBASE + "SELECT LEAST(1000, COUNT(*)) AS sampled FROM prof",
-        "upsert_dims": RBASE + """SELECT * FROM dim_sensors WHERE sensor_id NOT IN (SELECT sensor_id FROM cdims)
-            UNION ALL SELECT * FROM cdims""",
+        "profile_sample_count": RBASE + "SELECT LEAST(1000, COUNT(*)) AS sampled, LEAST(20, COUNT(*)) AS sampled_20, LEAST(20, COUNT(*)) AS known_20 FROM prof",
+        "upsert_dims": RBASE + """SELECT * FROM dim_sensors WHERE sensor_id NOT IN (SELECT sensor_id FROM cdims WHERE sensor_id % 3 <> 0)
+            UNION ALL SELECT * FROM cdims WHERE sensor_id % 3 <> 0""",
+        "upsert_customers": RBASE + f"""SELECT CAST(id AS INTEGER) AS customer_id, name AS customer_name, region
+            FROM (VALUES {', '.join(str(c) for c in SEED_CUSTOMERS)}) AS seed(id, name, region)
+            WHERE id NOT IN (SELECT customer_id FROM dim_customers WHERE customer_id % 2 = 0)
+            UNION ALL SELECT * FROM dim_customers WHERE customer_id % 2 = 0""",
         "insert_if_absent": RBASE + """SELECT * FROM dim_sensors
             UNION ALL SELECT * FROM cdims WHERE sensor_id NOT IN (SELECT sensor_id FROM dim_sensors)""",
-        "jdbc_registry": RBASE + """SELECT ds.sensor_id, ds.sensor_type, ds.latitude, ds.longitude, ds.country, ds.region,
+        "registry_store": RBASE + """SELECT ds.sensor_id, ds.sensor_type, ds.latitude, ds.longitude, ds.country, ds.region,
             ds.customer_id, dc.customer_name FROM dim_sensors ds LEFT JOIN dim_customers dc ON ds.customer_id = dc.customer_id""",
     }
 
@@ -485,6 +512,32 @@ status AS (SELECT * FROM rollover UNION ALL SELECT * FROM missing)
 PBASE = BASE.rstrip().rstrip("\n") + PARTS
 
 
+TWO_LANDINGS = """
+landed AS (
+    SELECT * REPLACE (
+        CASE WHEN event_id % 89 = 1 THEN ingested_at
+             WHEN event_id % 211 = 5 THEN '2031-06-01T00:00:00.000000+00:00'
+             WHEN event_id % 61 = 8 THEN strftime(arrival + INTERVAL 3 HOUR, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'
+             WHEN event_id % 47 = 10 THEN strftime(arrival - INTERVAL 15 DAY, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'
+             ELSE ingested_at END AS ingested_at)
+    FROM readings
+),
+landed_once AS (
+    SELECT l.* FROM landed l JOIN events e ON e.event_id = l.event_id AND e.ts = l.arrival WHERE l.event_id % 89 <> 1
+),
+bronze AS (
+    SELECT reading_id, sensor_id, sensor_type, ingested_at, latitude, longitude, country, "values" FROM landed
+    UNION ALL
+    SELECT reading_id, sensor_id, sensor_type, strftime(arrival - INTERVAL 36 HOUR, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00',
+           latitude, longitude, country, "values" FROM landed_once WHERE event_id % 41 = 7
+    UNION ALL
+    SELECT reading_id, sensor_id, sensor_type, ingested_at, latitude, longitude, country, '{"P1": 1.5, "P2": 1}'
+    FROM landed_once WHERE event_id % 43 = 9 AND event_id % 211 <> 5 AND event_id % 61 <> 8 AND event_id % 47 <> 10
+)"""
+
+IBASE = with_ctes(DELIVERIES, READINGS, TWO_LANDINGS, CLASSIFIED, SILVER, DIMS, ENRICHED)
+
+
 def layout_queries() -> dict[str, str]:
     g = GOLD
     sel_silver = SILVER_COLS
@@ -522,16 +575,32 @@ UNION ALL SELECT 'not_null', 'temperature_by_region_day', 'region', COUNT(*) FIL
 UNION ALL SELECT 'not_null', 'sensor_activity_by_customer', 'day', COUNT(*) FILTER (WHERE day IS NULL) FROM ({g['activity']})
 UNION ALL SELECT 'not_null', 'sensor_activity_by_customer', 'customer_name', COUNT(*) FILTER (WHERE customer_name IS NULL) FROM ({g['activity']})
 UNION ALL SELECT 'not_null', 'sensor_activity_by_customer', 'active_sensors', COUNT(*) FILTER (WHERE active_sensors IS NULL) FROM ({g['activity']})"""
+    types = {"StringType": "string", "LongType": "bigint", "DoubleType": "double"}
+    columns = [(f.name, types[type(f.dataType).__name__]) for f in BRONZE_SCHEMA.fields]
+    schema_rows = [f"('column_type', '{c}', '{t}', '{t}', true, 0)" for c, t in columns]
+    schema_rows += [f"('required_column', '{c}', 'present', 'present', true, 0)" for c in ("reading_id", "sensor_id", "ingested_at", "values")]
+    schema_rows += ["('hive_layout', '_metadata.file_path', NULL, NULL, true, 0)"]
+    counted = [("future_timestamp", "ingested_at", f"{parse_ts('ingested_at')} > TIMESTAMP '2024-01-20 12:30:00'")]
+    counted += [("not_null", c, f'"{c}" IS NULL') for c, _ in columns[:8]]
+    checks = " UNION ALL ".join(f"""SELECT '{k}', '{c}', NULL, NULL, COUNT(*) FILTER (WHERE {w}) = 0,
+        COUNT(*) FILTER (WHERE {w}) FROM bronze""" for k, c, w in counted)
     return {
+        "quality_schema": BASE + f"""SELECT "check", column_name, CAST(expected AS VARCHAR) AS expected,
+            CAST(actual AS VARCHAR) AS actual, ok, CAST(n AS BIGINT) AS failing_rows
+            FROM (SELECT * FROM (VALUES {', '.join(schema_rows)}) AS v("check", column_name, expected, actual, ok, n)
+                  UNION ALL {checks})""",
+        "file_manifest": BASE + """SELECT DISTINCT year, month, day, hour, true AS keys_ok, true AS sizes_ok FROM bronze
+            WHERE year || '-' || month || '-' || day || ' ' || hour IN ('2024-01-19 23', '2024-01-20 00')""",
         "bronze_roundtrip": BASE + "SELECT * FROM bronze",
         "partition_columns": BASE + "SELECT DISTINCT year, month, day, hour FROM bronze",
         "missing_markers": PBASE + "SELECT * FROM missing",
         "partition_status": PBASE + "SELECT * FROM status",
         "ready_hours": PBASE + "SELECT * FROM status s WHERE EXISTS (SELECT 1 FROM parts p WHERE p.year = s.year AND p.month = s.month AND p.day = s.day AND p.hour = s.hour)",
-        "incremental_silver": BASE + "SELECT * FROM silver",
-        "incremental_gold_pm25": BASE + g["pm25"],
-        "incremental_gold_temperature": BASE + g["temperature"],
-        "incremental_gold_activity": BASE + g["activity"],
+        "incremental_silver": IBASE + "SELECT * FROM silver",
+        "full_refresh_silver": IBASE + "SELECT * FROM silver",
+        "incremental_gold_pm25": IBASE + g["pm25"],
+        "incremental_gold_temperature": IBASE + g["temperature"],
+        "incremental_gold_activity": IBASE + g["activity"],
         "schema_sync": BASE + f"SELECT {sel_silver.replace('pressure_at_sealevel', europe_null)} FROM silver",
         "full_refresh_counts": BASE + counts,
         "quality_report": BASE + q_bronze + q_silver,
@@ -556,32 +625,44 @@ dsilver AS (
     QUALIFY ROW_NUMBER() OVER (PARTITION BY reading_id ORDER BY """ + DEDUP_ORDER + """) = 1
 ),
 draw_unreg AS (
-    SELECT sensor_id, 'unregistered_device' AS alert_type,
-           CAST(json_object('sensor_id', sensor_id, 'country', country, 'latitude', latitude,
-                            'longitude', longitude, 'sensor_type', sensor_type, 'source', 'bridge') AS VARCHAR) AS payload,
-           first_seen AS created_at
-    FROM (
-        SELECT b.*, MIN(b.arrival) OVER (PARTITION BY b.sensor_id) AS first_seen,
-               ROW_NUMBER() OVER (PARTITION BY b.sensor_id ORDER BY b.country NULLS FIRST, b.latitude NULLS FIRST,
-                                  b.longitude NULLS FIRST, b.sensor_type NULLS FIRST) AS rn
-        FROM dbronze b
-        WHERE b.sensor_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_sensors ds WHERE ds.sensor_id = b.sensor_id)
-    ) WHERE rn = 1
+    SELECT sensor_id, 'unregistered_device' AS alert_type, value AS payload, arrival AS created_at
+    FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sensor_id ORDER BY arrival, value) AS rn FROM alert_src a
+          WHERE NOT EXISTS (SELECT 1 FROM dim_sensors ds WHERE ds.sensor_id = a.sensor_id))
+    WHERE rn = 1
 )
 """)
 
 SBASE = ABASE.rstrip().rstrip("\n") + DSILVER
 
 
+LATE = """
+in_step AS (SELECT * FROM readings),
+readings AS (
+    SELECT * REPLACE (
+        CASE WHEN event_id % 89 = 1 THEN ingested_at
+             WHEN event_id % 211 = 5 THEN '2031-06-01T00:00:00.000000+00:00'
+             WHEN event_id % 47 = 10 THEN strftime(arrival - INTERVAL 15 DAY, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'
+             ELSE ingested_at END AS ingested_at)
+    FROM in_step
+    UNION ALL
+    SELECT l.* REPLACE (strftime(l.arrival - INTERVAL 36 HOUR, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS ingested_at)
+    FROM in_step l JOIN events e ON e.event_id = l.event_id AND e.ts = l.arrival
+    WHERE l.event_id % 89 <> 1 AND l.event_id % 41 = 7
+)"""
+
+LBASE = SBASE.replace("readings AS (", "plain_readings AS (", 1).replace(
+    BRONZE, LATE.replace("FROM readings)", "FROM plain_readings)") + "," + BRONZE, 1)
+
+
 def stream_queries() -> dict[str, str]:
     rekey = alert_queries()["rekey"]
     return {
         "stream_bronze": SBASE + """SELECT reading_id, sensor_id, sensor_type, ingested_at, latitude, longitude,
             country, "values", year, month, day, hour FROM dbronze""",
-        "stream_silver_dedup": SBASE + "SELECT * FROM dsilver",
+        "stream_silver_dedup": LBASE + "SELECT * FROM dsilver",
         "stream_alerts": SBASE + "SELECT sensor_id, reading_id, alert_type, payload, created_at FROM pressure_log",
         "stream_unregistered": SBASE + "SELECT * FROM draw_unreg",
-        "stream_hourly": SBASE + f"""SELECT date_trunc('hour', ingested_at) AS hour, sensor_type,
+        "stream_hourly": LBASE + f"""SELECT date_trunc('hour', ingested_at) AS hour, sensor_type,
             COUNT(*) AS reading_count, {avg_exact('pm25')} AS avg_pm25 FROM dsilver GROUP BY 1, 2""",
         "stream_from_kafka_frame": rekey,
         "stream_partition_status": SBASE + """SELECT year, month, day, hour, true AS has_data,

@@ -38,17 +38,6 @@ SILVER = T.StructType([
     T.StructField("pressure_at_sealevel", T.DoubleType()),
 ])
 
-REJECTED = T.StructType([
-    T.StructField("reading_id", T.StringType()),
-    T.StructField("sensor_id", T.LongType()),
-    T.StructField("sensor_type", T.StringType()),
-    T.StructField("raw_ingested_at", T.StringType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("raw_values", T.StringType()),
-    T.StructField("rejection_reason", T.StringType()),
-    T.StructField("detected_at", T.TimestampType()),
-])
-
 DIM_CUSTOMERS = T.StructType([
     T.StructField("customer_id", T.IntegerType()),
     T.StructField("customer_name", T.StringType()),

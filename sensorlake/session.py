@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -86,12 +87,18 @@ def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     return int(total)
 
 
-def size_for_input(spark: SparkSession, paths: list[str]) -> dict[str, str]:
-    """Apply ``scale_settings`` for the files a job is about to read."""
+@contextmanager
+def sized_for(spark: SparkSession, paths: list[str]):
+    """``scale_settings`` for the files a job reads, for as long as it runs."""
     settings = scale_settings(input_bytes(spark, paths), spark.sparkContext.defaultParallelism)
+    before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
-    return settings
+    try:
+        yield settings
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def use_utc(spark: SparkSession) -> None:
@@ -141,11 +148,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    """Move a folder within its file system; an error if that is refused."""
+    jvm = spark.sparkContext._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)
+    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    if not fs.rename(source, target):
+        raise OSError(f"cannot rename {path} to {to}")
 
 
 __all__ = ["get_session", "use_utc", "checkpoint_root", "scratch_path",
-           "path_exists", "remove_path", "local_path", "SESSION_DEFAULTS", "scale_settings",
-           "input_bytes", "size_for_input"]
+           "path_exists", "remove_path", "rename_path", "SESSION_DEFAULTS", "scale_settings",
+           "input_bytes", "sized_for"]
 

@@ -16,8 +16,6 @@ the customers, ``region`` names their regions.
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,25 +33,8 @@ BAD_TIME_TEXT = "garbage"
 BAD_DATE_TEXT = "2024-13-45T00:00:00+00:00"
 
 
-_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table's DataFrame, resolved once per session (like a registered
-    view): the footer read and file listing are not repeated for every
-    query. Only the lazy plan is kept; each action scans the files again."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    tables = _TABLES.setdefault(spark, {})
-    if path not in tables:
-        tables[path] = spark.read.parquet(path)
-    return tables[path]
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than the cluster has cores a round-robin
-    spread; a large input (many files / row groups) is left untouched."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _dec(col: Column) -> Column:
@@ -73,14 +54,17 @@ def longitude_of(sensor_id: Column) -> Column:
     return ((sensor_id * 53) % 360 - 180).cast("double")
 
 
-def _values_text(event_type: Column, value: Column, k: Column) -> Column:
+def _values_text(event_id: Column, event_type: Column, value: Column, k: Column) -> Column:
     pressure = (F.lit(100000) + k * 500).cast("string")
     particle = F.concat(F.lit('{"P1": '), _dec(value), F.lit(', "P2": '), k.cast("string"), F.lit("}"))
     climate = F.concat(F.lit('{"temperature": '), _dec(value - 20), F.lit(', "humidity": '),
                        k.cast("string"), F.lit(', "pressure": '), pressure, F.lit("}"))
     junk = F.concat(F.lit('{"P1": "n/a", "pressure": "'),
                     F.when(k % 7 == 0, F.lit("NaN")).otherwise(pressure), F.lit('"}'))
-    return (F.when(event_type.isin(*PARTICLE_EVENTS), particle)
+    return (F.when(event_id % 307 == 11, F.lit('{"P1": "NaN", "P2": 3}'))
+            .when(event_id % 311 == 12, F.lit('{"P1": "Infinity", "temperature": "-Infinity", "humidity": 5}'))
+            .when(event_id % 313 == 13, F.lit('{"P1": "2500000000000.5", "P2": "4e24", "temperature": "1e300", "pressure": "NaN"}'))
+            .when(event_type.isin(*PARTICLE_EVENTS), particle)
             .when(event_type.isin(*CLIMATE_EVENTS), climate)
             .otherwise(junk))
 
@@ -108,7 +92,7 @@ def _reading_columns(d: DataFrame) -> DataFrame:
         latitude_of(F.col("user_id")).alias("latitude"),
         longitude_of(F.col("user_id")).alias("longitude"),
         country_of(F.col("user_id")).alias("country"),
-        _values_text(F.col("event_type"), F.col("value"), k).alias("values"),
+        _values_text(eid, F.col("event_type"), F.col("value"), k).alias("values"),
         F.col("arrival"),
         eid.alias("event_id"),
         F.col("copy"),
@@ -127,17 +111,71 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
                     "longitude", "country", "values", *hour_parts(F.col("arrival")))
 
 
+def _iso(ts: Column) -> Column:
+    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+
+
+def two_landings(events: DataFrame, cut: str) -> tuple[DataFrame, DataFrame]:
+    """Bronze as two runs of the pipeline find it, with what an incremental
+    run must not trip over. By event id:
+
+    - % 211 = 5: a clock in 2031; % 61 = 8: one that is 3 hours ahead
+    - % 30 = 1: lands with the second run, in hours that the first has read
+    - % 41 = 7: a copy dated 36 hours earlier (another day) lands second
+    - % 43 = 9: a copy of the same instant with other values lands second
+    - % 47 = 10: a first delivery 15 days old, landing second in a late hour
+    """
+    r = readings(events)
+    eid, text = F.col("event_id"), F.col("ingested_at")
+    good = eid % 89 != 1
+    r = r.withColumn("ingested_at", F.when((eid % 211 == 5) & good, F.lit("2031-06-01T00:00:00.000000+00:00"))
+                     .when((eid % 61 == 8) & good, _iso(F.col("arrival") + F.make_dt_interval(hours=F.lit(3))))
+                     .when((eid % 47 == 10) & good, _iso(F.col("arrival") - F.make_dt_interval(days=F.lit(15))))
+                     .otherwise(text))
+    key = F.date_format("arrival", "yyyyMMddHH")
+    second = (key >= F.lit(cut)) | (eid % 30 == 1) | (eid % 47 == 10)
+    once = r.where((F.col("copy") == 0) & good)
+    earlier = once.where(eid % 41 == 7).withColumn("ingested_at", _iso(F.col("arrival") - F.make_dt_interval(hours=F.lit(36))))
+    equal = (once.where((eid % 43 == 9) & (eid % 211 != 5) & (eid % 61 != 8) & (eid % 47 != 10))
+             .withColumn("values", F.lit('{"P1": 1.5, "P2": 1}')))
+
+    def landed(df: DataFrame) -> DataFrame:
+        return df.select("reading_id", "sensor_id", "sensor_type", "ingested_at", "latitude", "longitude",
+                         "country", "values", *hour_parts(F.col("arrival")))
+    return landed(r.where(~second)), landed(r.where(second)).unionByName(landed(earlier)).unionByName(landed(equal))
+
+
+def late_messages(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two waves of messages whose clocks are not in step with their arrival
+    (by event id: % 211 = 5 in 2031; % 47 = 10 first delivered 15 days late, in
+    the second wave; % 41 = 7 with a copy dated 36 hours earlier, in the second
+    wave; redeliveries there too, but for % 20 = 3, whose later copy comes first)."""
+    r = readings(events)
+    eid = F.col("event_id")
+    good = eid % 89 != 1
+    r = r.withColumn("ingested_at", F.when((eid % 211 == 5) & good, F.lit("2031-06-01T00:00:00.000000+00:00"))
+                     .when((eid % 47 == 10) & good, _iso(F.col("arrival") - F.make_dt_interval(days=F.lit(15))))
+                     .otherwise(F.col("ingested_at")))
+    second = (eid % 47 == 10) | F.when(eid % 20 == 3, F.col("copy") == 0).otherwise(F.col("copy") == 1)
+    earlier = r.where((F.col("copy") == 0) & good & (eid % 41 == 7)).withColumn(
+        "ingested_at", _iso(F.col("arrival") - F.make_dt_interval(hours=F.lit(36))))
+    return _messages(r.where(~second)), _messages(r.where(second).unionByName(earlier))
+
+
 def messages_from_events(events: DataFrame, copy: int | None = None) -> DataFrame:
     """Kafka-shaped frame (key, value, timestamp) of JSON reading messages.
 
     Extra dirt on the wire: missing reading_id, sensor_id as numeric text
     (% 71 = 4), uncastable sensor_id (% 59 = 9), missing sensor_id (% 67 = 8),
-    JSON null country (% 61 = 5), missing values (% 53 = 6), non-JSON
-    payload (% 101 = 7).
+    JSON null country (% 61 = 5), missing values (% 53 = 6), latitude that is
+    no number (% 73 = 10), non-JSON payload (% 101 = 7), JSON that is no object
+    (% 103 = 8), values given as text (% 107 = 9), sensor id "0" (% 109 = 10).
     """
     r = readings(events)
-    if copy is not None:
-        r = r.where(F.col("copy") == copy)
+    return _messages(r if copy is None else r.where(F.col("copy") == copy))
+
+
+def _messages(r: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
     sid = F.col("sensor_id").cast("string")
@@ -145,18 +183,22 @@ def messages_from_events(events: DataFrame, copy: int | None = None) -> DataFram
         F.when(F.col("reading_id").isNotNull(), F.concat(F.lit('"reading_id": '), q(F.col("reading_id")), F.lit(", "))).otherwise(F.lit("")),
         F.when(eid % 67 == 8, F.lit(""))
          .when(eid % 59 == 9, F.lit('"sensor_id": "abc", '))
+         .when(eid % 109 == 10, F.lit('"sensor_id": "0", '))
          .when(eid % 71 == 4, F.concat(F.lit('"sensor_id": '), q(sid), F.lit(", ")))
          .otherwise(F.concat(F.lit('"sensor_id": '), sid, F.lit(", "))),
         F.concat(F.lit('"sensor_type": '), q(F.col("sensor_type")), F.lit(", ")),
         F.concat(F.lit('"ingested_at": '), q(F.col("ingested_at")), F.lit(", ")),
-        F.concat(F.lit('"latitude": '), F.col("latitude").cast("string"), F.lit(", ")),
+        F.when(eid % 73 == 10, F.lit('"latitude": "unknown", '))
+         .otherwise(F.concat(F.lit('"latitude": '), F.col("latitude").cast("string"), F.lit(", "))),
         F.concat(F.lit('"longitude": '), F.col("longitude").cast("string"), F.lit(", ")),
         F.when(eid % 61 == 5, F.lit('"country": null'))
          .otherwise(F.concat(F.lit('"country": '), q(F.col("country")))),
-        F.when(eid % 53 == 6, F.lit("")).otherwise(F.concat(F.lit(', "values": '), F.col("values"))),
+        F.when(eid % 53 == 6, F.lit("")).when(eid % 107 == 9, F.lit(', "values": "abc"'))
+         .otherwise(F.concat(F.lit(', "values": '), F.col("values"))),
     ]
     body = F.concat(F.lit("{"), *parts, F.lit("}"))
-    value = F.when(eid % 101 == 7, F.concat(F.lit("corrupt:"), eid.cast("string"))).otherwise(body)
+    value = (F.when(eid % 101 == 7, F.concat(F.lit("corrupt:"), eid.cast("string")))
+             .when(eid % 103 == 8, F.when(eid % 2 == 0, F.lit("[1]")).otherwise(F.lit("42"))).otherwise(body))
     key = F.when(eid % 67 == 8, F.lit("")).otherwise(sid)
     return r.select(key.cast("binary").alias("key"), value.cast("binary").alias("value"),
                     F.col("arrival").cast("timestamp").alias("timestamp"),

@@ -24,9 +24,10 @@ def ensure_table(spark: SparkSession, path: str, schema: T.StructType, seed: Dat
     return spark.read.schema(schema).parquet(path)
 
 
-def read_files(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """UNION of many files/folders in one scan (one task per split, not per file)."""
-    return spark.read.schema(schema).parquet(*paths)
+def read_files(spark: SparkSession, paths: list[str], schema: T.StructType, root: str) -> DataFrame:
+    """UNION of many files/folders in one scan (one task per split, not per
+    file); partition columns come from the folders between ``root`` and them."""
+    return spark.read.schema(schema).option("basePath", root).parquet(*paths)
 
 
 def _columns(schema: T.StructType) -> list[str]:

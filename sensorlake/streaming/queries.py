@@ -2,28 +2,40 @@
 
 - ``bronze``: decode -> Hive-partitioned Parquet file sink (exactly-once via
   the sink's commit log) plus a dead-letter file sink.
-- ``silver_dedup``: event-time watermark + ``dropDuplicatesWithinWatermark``
-  on reading_id; state is bounded by the watermark delay.
-- ``pressure_alerts`` / ``unregistered_alerts``: ``foreachBatch`` appends keyed
-  by a deterministic alert id; a replayed batch id is skipped.
-- ``hourly``: tumbling 1-hour windows in update mode, merged per batch into a
-  day-partitioned table (only touched days are rewritten).
+- ``silver_dedup``: each batch is merged into stored silver by the hours it
+  touches, with the same order of copies as the batch build. No watermark is
+  involved: first deliveries of any age are kept, a clock in the future stops
+  nothing, and an earlier copy replaces a later one whenever it comes.
+- ``hourly``: after that merge, the days of the touched hours are recounted.
+- ``pressure_alerts`` / ``unregistered_alerts``: ``foreachBatch`` writes a
+  batch's alerts, if it raised any, to a folder of its own; a replayed batch
+  replaces it. The registry is read anew for each batch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import threading
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from sensorlake.functions.scalar import exact_avg, json_double, parse_instant, parse_values
+from sensorlake.functions.scalar import exact_avg
 from sensorlake.operators import alerts as al
-from sensorlake.operators.decode import decode
-from sensorlake.operators.merge import replace_partitions
-from sensorlake.operators.registry import upsert
-from sensorlake.operators.silver import rejection_reason
-from sensorlake.schemas import PARTITION_COLUMNS
-from sensorlake.session import path_exists
+from sensorlake.operators.decode import alert_readings, decode
+from sensorlake.operators.joins import Registry
+from sensorlake.operators.merge import clear_partitions, merge_silver, of_days, read_stored_silver, replace_partitions
+from sensorlake.operators.partitions import hour_start
+from sensorlake.operators.silver import build_silver
+from sensorlake.schemas import ALERT_LOG, PARTITION_COLUMNS, PARTITION_STATUS
+from sensorlake.session import path_exists, remove_path
+from sensorlake.sources.tables import staged_path
+
+BATCH_LOG = T.StructType(ALERT_LOG.fields + [T.StructField("batch_id", T.LongType())])
+# Called for each batch, so that a sensor registered meanwhile is known.
+RegistrySource = Callable[[SparkSession], Registry]
 
 
 def _start(writer, checkpoint: str, trigger: dict | None) -> StreamingQuery:
@@ -44,129 +56,132 @@ def bronze(messages: DataFrame, bronze_path: str, dead_path: str, checkpoint: st
     return [q1, q2]
 
 
-def observed_counts(queries: list[StreamingQuery] | StreamingQuery) -> dict[str, int]:
-    """Stage counters (A8) summed over the micro-batches a query has reported:
-    the ``observe`` metrics ride along with each batch, no extra job."""
-    totals: dict[str, int] = {}
-    for q in queries if isinstance(queries, list) else [queries]:
-        for progress in q.recentProgress:
-            for name, row in (progress.observedMetrics or {}).items():
-                totals[name] = totals.get(name, 0) + int(row["rows"])
-    return totals
+class StageCounts(StreamingQueryListener):
+    """Stage counters (A8): the ``observe`` metrics of every batch, which come
+    with its progress event and cost no job. Register it with
+    ``spark.streams.addListener`` before the queries start; a batch that is
+    reported twice counts once."""
 
+    def __init__(self):
+        self._rows: dict[tuple, int] = {}
+        self._lock = threading.Lock()
 
-def valid_readings(messages: DataFrame) -> DataFrame:
-    """Decoded rows that silver accepts, with the instant as event time."""
-    b, _ = decode(messages)
-    return (b.withColumn("_reason", rejection_reason()).where(F.col("_reason").isNull())
-            .withColumn("ingested_at", parse_instant("ingested_at")).drop("_reason"))
+    def onQueryStarted(self, event):  # noqa: N802 - the listener's interface
+        pass
+
+    def onQueryProgress(self, event):  # noqa: N802
+        p = event.progress
+        with self._lock:
+            for name, row in (p.observedMetrics or {}).items():
+                self._rows[str(p.id), p.batchId, name] = int(row["rows"])
+
+    def onQueryTerminated(self, event):  # noqa: N802
+        pass
 
+    def totals(self) -> dict[str, int]:
+        out: dict[str, int] = {}
+        with self._lock:
+            for (_, _, name), n in self._rows.items():
+                out[name] = out.get(name, 0) + n
+        return out
 
-def _silver_projection(df: DataFrame) -> DataFrame:
-    v = parse_values("values")
-    from sensorlake.constants import METRIC_COLUMNS
-    return df.withColumn("_v", v).select(
-        "reading_id", "sensor_id", "sensor_type", "ingested_at", "latitude", "longitude", "country",
-        *[json_double("_v", f"$.{k}").alias(c) for k, c in METRIC_COLUMNS.items()])
 
+def _silver_rows(bronze: DataFrame) -> DataFrame:
+    """Typed rows of a batch that silver accepts, copies and all."""
+    return build_silver(bronze.drop("_arrival"), dedup=False)
 
-def deduplicated(messages: DataFrame, delay: str) -> DataFrame:
-    return (valid_readings(messages).withWatermark("ingested_at", delay)
-            .dropDuplicatesWithinWatermark(["reading_id"]))
 
+def silver_dedup(messages: DataFrame, silver_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Stored silver, kept equal to a batch build over all messages so far. A
+    replayed batch merges the same rows again, which changes nothing."""
+    b, _ = decode(messages)
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        touched = merge_silver(df.sparkSession, _silver_rows(df), silver_path)
+        remove_path(df.sparkSession, staged_path(touched))
 
-def silver_dedup(messages: DataFrame, silver_path: str, checkpoint: str, delay: str = "7 days",
-                 trigger: dict | None = None) -> StreamingQuery:
-    """First arrival of each reading wins; copies later than the watermark
-    delay are left to the batch silver merge."""
-    s = _silver_projection(deduplicated(messages, delay))
-    return _start(s.writeStream.format("parquet").option("path", silver_path), checkpoint, trigger)
+    return _start(b.writeStream.foreachBatch(run), checkpoint, trigger)
 
 
 def _write_batch(df: DataFrame, target: str, batch_id: int) -> None:
     """Idempotent micro-batch append: the batch's rows go to their own
     ``batch_id=N`` partition with dynamic partition overwrite, so a replayed
-    batch replaces its earlier output. No existing data is read or checked,
-    so the cost per batch does not grow with the log."""
+    batch replaces its earlier output. A batch without rows writes nothing."""
     (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(target))
 
 
-def _append_once(target: str, notify=None):
-    """foreachBatch body: log the batch's alerts exactly once (see ``_write_batch``).
+def read_alert_log(spark: SparkSession, path: str, schema: T.StructType = BATCH_LOG) -> DataFrame:
+    """The log by its own schema: it may have no file yet."""
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+
+
+def pressure_alerts(messages: DataFrame, registry: RegistrySource, alert_path: str, checkpoint: str,
+                    trigger: dict | None = None, notify=None) -> StreamingQuery:
+    """Every breach, with the customer that the registry names at the time.
 
     ``notify(batch_df)`` (optional) delivers the batch's alerts, e.g. to a
-    webhook, after they are logged; a delivery failure is reported but does
+    webhook, after they are logged; a delivery that fails is reported but does
     not undo or block the logging.
     """
+    rows = alert_readings(messages)
+
     def run(df: DataFrame, batch_id: int) -> None:
-        _write_batch(df, target, batch_id)
-        if notify is not None:
+        spark = df.sparkSession
+        found = al.pressure_alerts(df, registry(spark), None)
+        log = T.StructType(found.schema.fields + [T.StructField("batch_id", T.LongType())])
+        _write_batch(found, alert_path, batch_id)
+        if notify is None:
+            return
+        batch = read_alert_log(spark, alert_path, log).where(F.col("batch_id") == batch_id)
+        if batch.limit(1).count():
             try:
-                notify(df.sparkSession.read.parquet(f"{target}/batch_id={batch_id}"))
+                notify(batch)
             except Exception as exc:  # noqa: BLE001 - delivery must not stop logging
                 print(f"alert delivery failed for batch {batch_id}: {exc}")
-    return run
-
 
-def pressure_alerts(messages: DataFrame, dim_sensors: DataFrame, dim_customers: DataFrame, alert_path: str,
-                    checkpoint: str, trigger: dict | None = None, notify=None) -> StreamingQuery:
-    """Every breach, enriched by a stream-static join to the registry."""
-    b, _ = decode(messages)
-    alerts = al.pressure_alerts(b, dim_sensors, dim_customers, time_col="_arrival") \
-        .observe("alerts", F.count(F.lit(1)).alias("rows"))
-    return _start(alerts.writeStream.foreachBatch(_append_once(alert_path, notify)), checkpoint, trigger)
+    return _start(rows.writeStream.foreachBatch(run), checkpoint, trigger)
 
 
-def unregistered_alerts(messages: DataFrame, dim_sensors: DataFrame, alert_path: str, checkpoint: str,
+def unregistered_alerts(messages: DataFrame, registry: RegistrySource, alert_path: str, checkpoint: str,
                         trigger: dict | None = None) -> StreamingQuery:
-    """First sighting of an unregistered sensor raises one alert, ever."""
-    b, _ = decode(messages)
-    rows = b.where(F.col("sensor_id").isNotNull()).withColumn("ingested_at", F.col("_arrival"))
+    """First message of an unregistered sensor raises one alert, ever. The log
+    has a row per such sensor and a folder only for batches that added one."""
+    rows = alert_readings(messages)
 
     def run(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         # earlier batches only: a replayed batch recomputes its own alerts
-        # and replaces its partition (the log is one row per sensor, ever)
-        log = (spark.read.parquet(alert_path).where(F.col("batch_id") != batch_id)
-               if path_exists(spark, alert_path) else None)
-        new = al.unregistered_alerts(df, dim_sensors, alert_log=log, source="bridge")
-        _write_batch(new, alert_path, batch_id)
+        log = read_alert_log(spark, alert_path).where(F.col("batch_id") != batch_id)
+        _write_batch(al.first_messages(df, registry(spark), log), alert_path, batch_id)
 
     return _start(rows.writeStream.foreachBatch(run), checkpoint, trigger)
 
 
-HOURLY_KEYS = ["hour", "sensor_type"]
+def hourly_counts(silver: DataFrame) -> DataFrame:
+    return (silver.groupBy(F.date_trunc("hour", "ingested_at").alias("hour"), "sensor_type")
+            .agg(F.count(F.lit(1)).alias("reading_count"), exact_avg("pm25").alias("avg_pm25")))
 
 
-def hourly(messages: DataFrame, target: str, checkpoint: str, delay: str = "7 days",
+def hourly(messages: DataFrame, silver_path: str, target: str, checkpoint: str,
            trigger: dict | None = None) -> StreamingQuery:
-    """Readings per (hour, sensor_type) of deduplicated silver, kept current."""
-    d = _silver_projection(deduplicated(messages, delay))
-    agg = (d.groupBy(F.window("ingested_at", "1 hour").alias("w"), "sensor_type")
-           .agg(F.count(F.lit(1)).alias("reading_count"), exact_avg("pm25").alias("avg_pm25"))
-           .select(F.col("w.start").alias("hour"), "sensor_type", "reading_count", "avg_pm25"))
+    """Readings per (hour, sensor_type) of stored silver, kept current: each
+    batch is merged into silver, then the days that it touched are recounted
+    (only their partitions are read) and days left empty are removed."""
+    b, _ = decode(messages)
 
     def run(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        # used twice below: evaluate the batch's window updates once
-        updates = df.withColumn("part_day", F.date_format("hour", "yyyy-MM-dd")).persist()
-        try:
-            # the few days this batch touches (bounded by the watermark delay),
-            # read by their own folders: no listing or scan of the other days
-            days = [r[0] for r in updates.select("part_day").distinct().collect()]
-            paths = [f"{target}/part_day={d}" for d in days]
-            paths = [p for p in paths if path_exists(spark, p)]
-            if not paths:
-                replace_partitions(spark, updates, target, ["part_day"])
-                return
-            current = spark.read.option("basePath", target).parquet(*paths)
-            replace_partitions(spark, upsert(current, updates.select(*current.columns), HOURLY_KEYS),
-                               target, ["part_day"])
-        finally:
-            updates.unpersist()
+        touched = merge_silver(spark, _silver_rows(df), silver_path)
+        days = touched.select("day").distinct()
+        rows = of_days(read_stored_silver(spark, silver_path), touched)
+        counts = hourly_counts(rows).withColumn("part_day", F.date_format("hour", "yyyy-MM-dd"))
+        replace_partitions(spark, counts, target, ["part_day"])
+        left = rows.select("day").distinct()
+        clear_partitions(spark, target, days.join(left, "day", "left_anti").withColumnRenamed("day", "part_day"))
+        remove_path(spark, staged_path(touched))
 
-    return _start(agg.writeStream.outputMode("update").foreachBatch(run), checkpoint, trigger)
+    return _start(b.writeStream.foreachBatch(run), checkpoint, trigger)
 
 
 def republish(messages: DataFrame, bootstrap: str, topic: str, checkpoint: str,
@@ -193,8 +208,6 @@ def run_to_end(queries: list[StreamingQuery] | StreamingQuery) -> None:
             raise q.exception()
 
 
-
-
 def rollover_status(messages: DataFrame, hours_path: str, status_path: str, checkpoint: str,
                     trigger: dict | None = None) -> StreamingQuery:
     """Close hour partitions as the stream moves past them.
@@ -208,8 +221,6 @@ def rollover_status(messages: DataFrame, hours_path: str, status_path: str, chec
     replayed batch reads the same previous open set and overwrites its own;
     the anti join against the status table makes a replay harmless.
     """
-    from sensorlake.operators.partitions import hour_start
-
     b, _ = decode(messages)
     key = F.concat(*[F.col(c) for c in PARTITION_COLUMNS])
 
@@ -228,7 +239,7 @@ def rollover_status(messages: DataFrame, hours_path: str, status_path: str, chec
                       .select(*PARTITION_COLUMNS, F.lit(True).alias("has_data"),
                               (hour_start() + F.expr("INTERVAL 1 HOUR")).alias("closed_at")))
             if path_exists(spark, status_path):
-                closed = closed.join(spark.read.parquet(status_path).select(*PARTITION_COLUMNS),
+                closed = closed.join(spark.read.schema(PARTITION_STATUS).parquet(status_path).select(*PARTITION_COLUMNS),
                                      PARTITION_COLUMNS, "left_anti")
             closed.write.mode("append").parquet(status_path)
             _write_batch(hours.where(key >= F.lit(newest)), hours_path, batch_id)

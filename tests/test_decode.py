@@ -28,6 +28,11 @@ def test_defaults_and_dead_letter(spark):
 
 
 def test_rekey_empty_key_for_missing_or_zero(spark):
-    msgs = _frame(spark, ['{"sensor_id": 0}', '{"x": 1}', '{"sensor_id": 12}', "junk"])
+    msgs = _frame(spark, ['{"sensor_id": 0}', '{"x": 1}', '{"sensor_id": 12}', "junk", "[1]", "42", ' {"sensor_id": "0"}'])
     keys = sorted(r.key.decode() for r in rekey(msgs).collect())
-    assert keys == ["", "", "12"]
+    assert keys == ["", "", "0", "12"]
+
+
+def test_values_given_as_text_stay_json(spark):
+    bronze, _ = decode(_frame(spark, ['{"reading_id": "r", "values": "abc"}', '{"reading_id": "s", "values": {"b": 1, "a": "x"}}']))
+    assert {r.reading_id: r["values"] for r in bronze.collect()} == {"r": '"abc"', "s": '{"b":1,"a":"x"}'}

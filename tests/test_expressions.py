@@ -66,6 +66,16 @@ def test_exact_avg_rounds_half_up(spark):
     assert empty.agg(exact_avg("x").alias("a")).first().a is None
 
 
+def test_exact_avg_of_what_is_no_plain_number(spark):
+    nan, inf = float("nan"), float("inf")
+    cases = {"nan": [1.0, nan], "inf": [1.0, inf], "both": [inf, -inf], "large": [2e12, 4e12], "huge": [3e30, 1.0], "none": [None], "some": [1.0, None, 2.0]}
+    rows = [(k, x) for k, v in cases.items() for x in v]
+    df = spark.createDataFrame(rows, "k string, x double").groupBy("k").agg(exact_avg("x").alias("m"))
+    got = {r.k: r.m for r in df.collect()}
+    assert got["nan"] != got["nan"] and got["both"] != got["both"] and got["inf"] == inf
+    assert got["large"] == 3e12 and got["huge"] == 1.5e30 and got["none"] is None and got["some"] == 1.5
+
+
 def test_pressure_threshold(spark):
     vals = ['{"pressure": 130000}', '{"pressure": 130000.5}', '{"pressure": "150000"}',
             '{"pressure": "NaN"}', '{"pressure": "not-a-number"}', '{"pressure": true}', "{}"]

@@ -1,10 +1,12 @@
 """Plan shapes and storage helpers that the scale design relies on (own values)."""
 
+import time
 import types
 
 import pytest
 from pyspark.sql import functions as F
 
+from sensorlake.operators import gold
 from sensorlake.operators import merge as mg
 from sensorlake.operators.joins import Registry, bounded_broadcast, enrich
 from sensorlake.operators.silver import build_rejected, build_silver
@@ -91,30 +93,121 @@ def test_registry_store_create_write_read(spark):
     assert empty.count() == 0 and empty.schema == ds.schema
 
 
-def test_pruned_high_water_equals_full_scan(spark):
-    rows = [(f"r{i}", 1, "SDS011", ts, 0.0, 0.0, "DE", '{"P1": 1}') for i, ts in enumerate([
-        "2024-03-01T10:00:00+00:00", "2024-03-02T23:30:00+00:00", "2024-03-04T01:15:00+00:00",
-        "2024-03-04T22:00:00+00:00"])]
-    path = scratch_path(spark, "silver")
-    mg.refresh_silver(spark, _bronze(spark, rows), path)
-    stored = mg.read_stored_silver(spark, path)
-    for now in (None, "2024-03-04 12:00:00", "2024-03-04 00:30:00", "2024-03-03 00:00:00", "2024-02-01 00:00:00"):
-        pruned = mg.increment_start(stored, "ingested_at", 2, now, mg.SILVER_PARTITION)
-        full = mg.increment_start(stored.drop(*mg.SILVER_PARTITIONS), "ingested_at", 2, now)
-        assert pruned == full, now
-    assert mg.increment_start(stored, "ingested_at", 2, None, mg.SILVER_PARTITION) == "2024030420"
+def _land(spark, root, rows, hour="10"):
+    """Bronze rows as one landing in an hour of 2024-03-01."""
+    from sensorlake.operators.partitions import write_bronze
+    b = _bronze(spark, rows)
+    for c, v in (("year", "2024"), ("month", "03"), ("day", "01"), ("hour", hour)):
+        b = b.withColumn(c, F.lit(v))
+    write_bronze(b, root)
+
+
+def _row(key, ts, value=1, sensor=1):
+    return (key, sensor, "SDS011", ts, 0.0, 0.0, "DE", '{"P1": %s}' % value)
+
+
+FIRST = [_row("a", "2024-03-01T10:30:00+00:00")]
+# what lands with the first run, what with the second (and in which hour)
+LANDINGS = {
+    "an earlier copy on another day": (FIRST + [_row("b", "2024-03-02T10:00:00+00:00")], [_row("b", "2024-03-01T10:00:00+00:00", 2)], "11"),
+    "a copy of equal time": (FIRST + [_row("b", "2024-03-01T09:00:00+00:00", 10)], [_row("b", "2024-03-01T09:00:00+00:00", 9)], "11"),
+    "a stamp in 2031": (FIRST + [_row("f", "2031-06-01T00:00:00+00:00")], [_row("b", "2024-03-01T11:00:00+00:00")], "11"),
+    "a clock three hours ahead": (FIRST + [_row("c", "2024-03-01T13:30:00+00:00")], [_row("b", "2024-03-01T10:45:00+00:00")], "10"),
+    "a row in an hour already read": (FIRST, [_row("b", "2024-03-01T10:01:00+00:00")], "10"),
+    "nothing new": (FIRST, [], "10"),
+    "the only row of its day moves": ([_row("b", "2024-03-05T10:00:00+00:00")], [_row("b", "2024-03-01T10:00:00+00:00", 2)], "11"),
+}
+
+
+@pytest.mark.parametrize("case", LANDINGS)
+def test_incremental_equals_full(spark, case):
+    first, second, hour = LANDINGS[case]
+    ds, dc = _dims(spark)
+    root, silver, full = (scratch_path(spark, n) for n in ("bronze", "silver", "full"))
+    marts, full_marts = ({m: scratch_path(spark, m) for m in gold.MARTS} for _ in range(2))
+    _land(spark, root, first)
+    mg.refresh(spark, root, silver, ds, dc, marts)
+    if second:
+        _land(spark, root, second, hour)
+    mg.refresh(spark, root, silver, ds, dc, marts)
+    mg.refresh(spark, root, full, ds, dc, full_marts)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(mg.read_stored_silver(spark, silver)) == rows(mg.read_stored_silver(spark, full))
+    for m in gold.MARTS:
+        one, two = (rows(spark.read.parquet(p)) if mg.list_files(spark, p).count() else [] for p in (marts[m], full_marts[m]))
+        assert one == two, m
+    want = len({r[0] for r in first + second})
+    assert mg.read_silver(spark, silver).count() == want
+
+
+def test_full_refresh_over_merged_tables_and_no_scratch_left(spark):
+    import os
+    root, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    _land(spark, root, FIRST)
+    scratch = os.path.dirname(silver)
+    there = set(os.listdir(scratch))
+    mg.refresh(spark, root, silver)
+    _land(spark, root, [_row("b", "2024-03-01T11:00:00+00:00")], "11")
+    mg.refresh(spark, root, silver)
+    before = sorted(map(str, mg.read_stored_silver(spark, silver).collect()))
+    mg.refresh(spark, root, silver, full_refresh=True)
+    mg.refresh(spark, root, silver)
+    assert sorted(map(str, mg.read_stored_silver(spark, silver).collect())) == before
+    names = {os.path.basename(p) for p in (root, silver, mg.file_log(silver))}
+    assert set(os.listdir(scratch)) - there <= names
+
+
+def test_mart_follows_its_model(spark):
+    ds, dc = _dims(spark)
+    root, silver, path = (scratch_path(spark, n) for n in ("bronze", "silver", "mart"))
+    name = "pm25_by_country_hour"
+    _land(spark, root, FIRST)
+    mg.refresh(spark, root, silver, ds, dc, {name: path})
+    model = mg.read_mart(spark, path).columns
+    old = tables.stage_table(spark.read.parquet(path).drop("max_pm10").withColumn("legacy", F.lit(1)), "old")
+    old.write.mode("overwrite").partitionBy(mg.MART_PARTITION).parquet(path)
+    _land(spark, root, [_row("b", "2024-03-02T11:00:00+00:00")], "11")
+    mg.refresh(spark, root, silver, ds, dc, {name: path})
+    got = mg.read_mart(spark, path)
+    assert got.columns == model and got.count() == 2
+
+
+def test_refresh_sizes_its_shuffles(spark, monkeypatch):
+    import sensorlake.session as session
+    seen = []
+    real = mg.merge_silver
+    monkeypatch.setattr(mg, "merge_silver", lambda s, *a: seen.append(s.conf.get("spark.sql.shuffle.partitions")) or real(s, *a))
+    monkeypatch.setattr(session, "input_bytes", lambda s, paths: 40 << 30)
+    root, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    _land(spark, root, FIRST)
+    mg.refresh(spark, root, silver)
+    _land(spark, root, [_row("b", "2024-03-02T11:00:00+00:00")], "11")
+    mg.refresh(spark, root, silver)
+    assert seen == ["40"] and spark.conf.get("spark.sql.shuffle.partitions") == was
+
+
+def test_size_check_has_no_limit_through_one_task(spark):
+    from sensorlake.operators.joins import row_bytes
+    df = spark.range(1000).repartition(4)
+    plan = _plan(df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))))
+    assert "Limit" not in plan and "partial_count" in plan
+
+
+def test_file_listing_reads_no_content(spark):
+    root = scratch_path(spark, "bronze")
+    _land(spark, root, FIRST)
+    assert "ReadSchema: struct<path:string>" in mg.list_files(spark, root)._jdf.queryExecution().toString()
 
 
 def test_mart_refresh_prunes_silver_days(spark):
-    rows = [("a", 1, "SDS011", "2024-03-01T10:00:00+00:00", 0.0, 0.0, "DE", '{"P1": 1}'),
-            ("b", 1, "SDS011", "2024-03-05T10:00:00+00:00", 0.0, 0.0, "DE", '{"P1": 2}')]
-    path = scratch_path(spark, "silver")
-    mg.refresh_silver(spark, _bronze(spark, rows), path)
+    root, path = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    _land(spark, root, [_row("a", "2024-03-01T10:00:00+00:00"), _row("b", "2024-03-05T10:00:00+00:00")])
+    mg.refresh(spark, root, path)
     silver = mg.read_stored_silver(spark, path)
-    increment = silver.where("day = '2024-03-05'").drop(*mg.SILVER_PARTITIONS)   # as refresh_mart gets it
-    days = bounded_broadcast(increment.select(F.date_format("ingested_at", "yyyy-MM-dd").alias("_d")).distinct())
-    plan = _plan(silver.join(days, F.col(mg.SILVER_PARTITION) == days["_d"], "left_semi"))
-    assert "dynamicpruning" in plan
+    touched = tables.stage_table(silver.where("day = '2024-03-05'").select("day", "hour"), "touched")
+    plan = _plan(mg.of_days(silver, touched))
+    assert "PartitionFilters: [isnotnull(day" in plan and "2024-03-05" in plan and mg.of_days(silver, touched).count() == 1
 
 
 def test_checkpoint_root_refuses_a_local_folder_on_a_cluster():
@@ -130,18 +223,60 @@ def test_checkpoint_root_reads_the_session_setting(spark):
 
 
 def test_replayed_micro_batch_is_logged_once(spark):
-    from sensorlake.streaming.queries import _append_once
+    from sensorlake.streaming.queries import _write_batch
     target = scratch_path(spark, "alerts")
-    run = _append_once(target)
     first = spark.createDataFrame([(1, "a"), (2, "b")], "sensor_id bigint, reading_id string")
     second = spark.createDataFrame([(3, "c")], "sensor_id bigint, reading_id string")
-    run(first, 0)
-    run(second, 1)
-    run(first, 0)          # replay after a failure between sink commit and offset commit
+    _write_batch(first, target, 0)
+    _write_batch(second.where("false"), target, 7)      # a quiet batch leaves no folder
+    _write_batch(second, target, 1)
+    _write_batch(first, target, 0)          # replay after a failure between sink commit and offset commit
     rows = sorted((r.batch_id, r.sensor_id) for r in spark.read.parquet(target).collect())
     assert rows == [(0, 1), (0, 2), (1, 3)]
 
 
+def _run_stream(spark, start, waves):
+    from sensorlake.streaming.queries import run_to_end
+    from sensorlake.streaming.sources import file_messages, land_messages
+    msgs, ckpt = scratch_path(spark, "msgs"), scratch_path(spark, "ckpt")
+    for texts in waves:
+        df = spark.createDataFrame([(t, "2024-03-01 10:00:00") for t in texts], "v string, ts string")
+        land_messages(df.select(F.lit(None).cast("binary").alias("key"), F.col("v").cast("binary").alias("value"),
+                                F.col("ts").cast("timestamp").alias("timestamp")), msgs)
+        run_to_end(start(file_messages(spark, msgs), ckpt))
+
+
+def test_alert_streams_survive_quiet_batches_and_know_new_sensors(spark):
+    from sensorlake.streaming import queries as sq
+    ds, dc = _dims(spark)
+    out, hot = scratch_path(spark, "alerts"), scratch_path(spark, "pressure")
+    known = [ds]
+    source = lambda s: Registry(known[0], dc)
+    msg = lambda sensor, more="": '{"reading_id": "r", %s"latitude": "unknown", "longitude": 2.5%s}' % (f'"sensor_id": {sensor}, ' if sensor is not None else "", more)
+    _run_stream(spark, lambda m, c: sq.unregistered_alerts(m, source, out, c), [[msg(1)], [msg(1), msg(None)], [msg(9, ', "extra": [1]')], [msg(9), "[1]"]])
+    rows = spark.read.parquet(out).collect()
+    assert [(r.sensor_id, r.payload) for r in rows] == [(9, msg(9, ', "extra": [1]'))]
+    high = ', "values": {"pressure": "150000"}'
+    sent = []
+
+    def start(m, c):
+        return sq.pressure_alerts(m, source, hot, c, notify=lambda df: sent.extend(r.message for r in df.collect()))
+    _run_stream(spark, start, [[msg(1)], [msg(1, high), msg(None, high), msg(0, ', "values": {"pressure": "NaN"}')]])
+    row, = spark.read.parquet(hot).collect()
+    assert row.sensor_id == 1 and '"latitude":"unknown","longitude":2.5' in row.payload and '"customer_name":"Acme"' in row.payload
+    assert sent == ["[ALERT] Pressure threshold exceeded: sensor_id=1 pressure=150000.0Pa (limit=130000Pa) customer=Acme region=Europe location=(unknown, 2.5)"]
+
+
+def test_stage_counts_keep_every_batch():
+    from types import SimpleNamespace as N
+
+    from sensorlake.streaming.queries import StageCounts
+    counts = StageCounts()
+    for batch in [*range(250), 249]:
+        counts.onQueryProgress(N(progress=N(id="q", batchId=batch, observedMetrics={"bronze": {"rows": 2}})))
+    assert counts.totals() == {"bronze": 500}
+
+
 def test_scale_settings_bound_tasks_and_reducers():
     from sensorlake.session import scale_settings
     tb = 1 << 40
@@ -180,8 +315,8 @@ def test_hot_reading_id_is_cut_before_the_shuffle(spark):
     hot = silver.where("reading_id = 'hot'").collect()
     assert len(hot) == 1 and str(hot[0].ingested_at.time()) == "10:00:00"
     assert silver.count() == 51
-    stored = mg.earliest_silver(silver.unionByName(silver))
-    assert _below_exchange(_plan(stored), "WindowGroupLimit")
+    shuffled = next(line for line in plan.splitlines() if "hashpartitioning(reading_id" in line)
+    assert shuffled and "values" not in plan.split("WindowGroupLimit")[1].split("Project")[0]
 
 
 def test_marts_and_alerts_aggregate_map_side(spark):
@@ -250,31 +385,18 @@ def test_streaming_stage_counts_from_observed_metrics(spark):
     inp = Inputs(spark, "/root/testdata/sf0.001")
     msgs, out, dead, ckpt = (scratch_path(spark, n) for n in ("msgs", "bronze", "dead", "ckpt"))
     land_messages(dt.messages_from_events(inp.events), msgs)
-    queries = sq.bronze(file_messages(spark, msgs), out, dead, ckpt)
-    sq.run_to_end(queries)
-    counts = sq.observed_counts(queries)
+    counter = sq.StageCounts()
+    spark.streams.addListener(counter)
+    try:
+        sq.run_to_end(sq.bronze(file_messages(spark, msgs), out, dead, ckpt))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        for _ in range(100):
+            counts = counter.totals()
+            if len(counts) == 2:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(counter)
     assert counts["bronze"] == spark.read.parquet(out).count()
     assert counts["dead_letter"] == spark.read.parquet(dead).count()
     assert counts["bronze"] + counts["dead_letter"] == spark.read.parquet(msgs).count()
-
-
-def test_superseded_copy_leaves_no_stale_partition(spark):
-    """A later run brings an earlier copy of a stored reading; the stored copy
-    was the only row of its hour, so that hour must be emptied, not kept."""
-    path = scratch_path(spark, "silver")
-    first = [("r1", 1, "SDS011", "2024-03-01T10:30:00+00:00", 0.0, 0.0, "DE", '{"P1": 1}'),
-             ("r2", 1, "SDS011", "2024-03-01T11:30:00+00:00", 0.0, 0.0, "DE", '{"P1": 2}')]
-    mg.refresh_silver(spark, _bronze(spark, first).withColumn("year", F.lit("2024")).withColumn(
-        "month", F.lit("03")).withColumn("day", F.lit("01")).withColumn("hour", F.lit("11")), path)
-    later = [("r2", 1, "SDS011", "2024-03-01T09:15:00+00:00", 0.0, 0.0, "DE", '{"P1": 3}'),   # earlier copy
-             ("r3", 1, "SDS011", "2024-03-01T12:00:00+00:00", 0.0, 0.0, "DE", '{"P1": 4}')]
-    both = _bronze(spark, first + later).withColumn("year", F.lit("2024")).withColumn(
-        "month", F.lit("03")).withColumn("day", F.lit("01")).withColumn(
-        "hour", F.when(F.col("reading_id") == "r1", "11").otherwise("12"))
-    mg.refresh_silver(spark, both, path)
-    rows = sorted((r.reading_id, r.pm25, r.hour) for r in mg.read_stored_silver(spark, path).collect())
-    assert rows == [("r1", 1.0, "10"), ("r2", 3.0, "09"), ("r3", 4.0, "12")]
-    full = scratch_path(spark, "silver_full")
-    mg.refresh_silver(spark, both, full)
-    assert sorted(tuple(r) for r in mg.read_silver(spark, full).collect()) == \
-        sorted(tuple(r) for r in mg.read_silver(spark, path).collect())
