@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from sensorlake.operators import gold
 from sensorlake.operators.joins import bounded_broadcast, enrich
+from sensorlake.operators.partitions import list_files
 from sensorlake.operators.silver import build_silver, earliest_per_reading
 from sensorlake.schemas import BRONZE, SILVER
 from sensorlake.session import path_exists, remove_path, rename_path, scratch_path, sized_for
@@ -41,13 +42,6 @@ FILE_LOG = T.StructType([T.StructField("path", T.StringType())])
 # ------------------------------------------------------------- the increment
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Paths of the Parquet files under ``root``: a listing only (the content
-    column of the binary source is pruned, so no file is opened)."""
-    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet").load(root).select("path"))
-
-
 def file_log(silver_path: str) -> str:
     return silver_path.rstrip("/") + "__files"
 
@@ -55,7 +49,7 @@ def file_log(silver_path: str) -> str:
 def new_files(spark: SparkSession, bronze_root: str, log_path: str) -> DataFrame:
     """Files that the log does not hold, staged so that the run and the log
     entry it writes at its end agree."""
-    files = list_files(spark, bronze_root)
+    files = list_files(spark, bronze_root).select("path")
     if path_exists(spark, log_path):
         files = files.join(spark.read.schema(FILE_LOG).parquet(log_path), "path", "left_anti")
     return stage_table(files, "new_files")
@@ -230,7 +224,7 @@ def refresh(spark: SparkSession, bronze_root: str, silver_path: str, dim_sensors
     """
     log = file_log(silver_path)
     full = full_refresh or not path_exists(spark, silver_path)
-    files = stage_table(list_files(spark, bronze_root), "new_files") if full else new_files(spark, bronze_root, log)
+    files = stage_table(list_files(spark, bronze_root).select("path"), "new_files") if full else new_files(spark, bronze_root, log)
     with sized_for(spark, [bronze_root] if full else [r["path"] for r in files.collect()]):
         touched = None
         if full:

@@ -36,6 +36,28 @@ def hour_start(year="year", month="month", day="day", hour="hour") -> F.Column:
     return F.to_timestamp(F.concat_ws("-", F.col(year), F.col(month), F.col(day), F.col(hour)), "yyyy-MM-dd-HH")
 
 
+def list_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, length) of the Parquet files under ``root``: a listing only (the
+    content column of the binary source is pruned, so no file is opened)."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet").load(root).select("path", "length"))
+
+
+HOUR_FOLDERS = r"year=(\d{4})/month=(\d{2})/day=(\d{2})/hour=(\d{2})/[^/]+$"
+
+
+def with_hour(files: DataFrame) -> DataFrame:
+    """The files of the hour layout, with the partition values of their paths."""
+    return files.where(F.col("path").rlike(HOUR_FOLDERS)).select(
+        "*", *[F.regexp_extract("path", HOUR_FOLDERS, i + 1).alias(c) for i, c in enumerate(PARTITION_COLUMNS)])
+
+
+def listed_hours(spark: SparkSession, root: str) -> DataFrame:
+    """The hours that hold files, from the listing: no file of bronze is read.
+    It takes the place of ``bronze`` in the functions below."""
+    return with_hour(list_files(spark, root)).select(*PARTITION_COLUMNS).distinct()
+
+
 def partitions(bronze: DataFrame) -> DataFrame:
     """Distinct hour partitions holding data (has_data = true)."""
     return (bronze.select(*PARTITION_COLUMNS).distinct()
@@ -72,21 +94,18 @@ def ready_hours(bronze: DataFrame, status: DataFrame) -> DataFrame:
     return status.join(partitions(bronze).select(*PARTITION_COLUMNS), PARTITION_COLUMNS, "left_semi")
 
 
-def file_manifest(bronze: DataFrame, now) -> DataFrame:
-    """Parquet files of the current and previous hour, with size and short key."""
+def file_manifest(spark: SparkSession, root: str, now) -> DataFrame:
+    """Parquet files of the current and previous hour, with size and short key,
+    from the listing."""
     now_ts = F.lit(now).cast("timestamp")
     hours = [F.date_trunc("hour", now_ts), F.date_trunc("hour", now_ts) - F.expr("INTERVAL 1 HOUR")]
-    f = bronze.select(*PARTITION_COLUMNS, F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size"))
-    f = f.where(hour_start().isin(*hours) & F.col("file_path").endswith(".parquet")).distinct()
-    parts = F.split("file_path", "/")
+    f = with_hour(list_files(spark, root)).where(hour_start().isin(*hours))
+    parts = F.split("path", "/")
     short = F.concat_ws("/", *[F.element_at(parts, -i) for i in (4, 3, 2, 1)])
-    return f.select("file_path", short.alias("short_key"),
-                    F.round(F.col("file_size") / 1024, 1).alias("size_kb"), *PARTITION_COLUMNS)
+    return f.select(F.col("path").alias("file_path"), short.alias("short_key"),
+                    F.round(F.col("length") / 1024, 1).alias("size_kb"), *PARTITION_COLUMNS)
 
 
-def layout_violations(bronze: DataFrame) -> DataFrame:
+def layout_violations(spark: SparkSession, root: str) -> DataFrame:
     """Files whose path does not follow the zero-padded Hive layout."""
-    return (bronze.select(F.col("_metadata.file_path").alias("file_path")).distinct()
-            .where(~F.col("file_path").rlike(LAYOUT)))
-
+    return list_files(spark, root).select(F.col("path").alias("file_path")).where(~F.col("file_path").rlike(LAYOUT))

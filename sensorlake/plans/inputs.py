@@ -87,10 +87,19 @@ class Inputs:
         return read_snapshot(self.spark, path)
 
     @cached_property
+    def landed_path(self) -> str:
+        from sensorlake.operators.partitions import write_bronze
+        from sensorlake.session import scratch_path
+        return write_bronze(self.bronze, scratch_path(self.spark, "bronze"))
+
+    @property
     def landed_bronze(self) -> DataFrame:
         """Bronze written in the Hive hour layout and scanned back."""
-        from sensorlake.operators.partitions import read_bronze, write_bronze
-        from sensorlake.session import scratch_path
-        path = write_bronze(self.bronze, scratch_path(self.spark, "bronze"))
-        self.bronze_path = path
-        return read_bronze(self.spark, path)
+        from sensorlake.operators.partitions import read_bronze
+        return read_bronze(self.spark, self.landed_path)
+
+    @property
+    def landed_hours(self) -> DataFrame:
+        """The hours of landed bronze, from its file listing."""
+        from sensorlake.operators.partitions import listed_hours
+        return listed_hours(self.spark, self.landed_path)

@@ -27,7 +27,7 @@ from sensorlake.operators import alerts as al
 from sensorlake.operators.decode import alert_readings, decode
 from sensorlake.operators.joins import Registry
 from sensorlake.operators.merge import clear_partitions, merge_silver, of_days, read_stored_silver, replace_partitions
-from sensorlake.operators.partitions import hour_start
+from sensorlake.operators.partitions import hour_start, listed_hours, missing_markers
 from sensorlake.operators.silver import build_silver
 from sensorlake.schemas import ALERT_LOG, PARTITION_COLUMNS, PARTITION_STATUS
 from sensorlake.session import path_exists, remove_path
@@ -208,9 +208,17 @@ def run_to_end(queries: list[StreamingQuery] | StreamingQuery) -> None:
             raise q.exception()
 
 
+def backfill_status(spark: SparkSession, bronze_path: str, status_path: str, now) -> None:
+    """What the ingest does before it starts: closed hours of the look-back
+    that hold files and have no status row get one."""
+    status = read_alert_log(spark, status_path, PARTITION_STATUS)
+    missing_markers(listed_hours(spark, bronze_path), status, now).write.mode("append").parquet(status_path)
+
+
 def rollover_status(messages: DataFrame, hours_path: str, status_path: str, checkpoint: str,
-                    trigger: dict | None = None) -> StreamingQuery:
-    """Close hour partitions as the stream moves past them.
+                    trigger: dict | None = None, bronze_path: str | None = None, now=None) -> StreamingQuery:
+    """Close hour partitions as the stream moves past them; with ``bronze_path``
+    those that an earlier run left open as of ``now`` are closed first.
 
     Each micro-batch takes the hours it holds data for plus the hours still
     open after the previous batch (``hours_path/batch_id=N-1``); every hour
@@ -221,6 +229,8 @@ def rollover_status(messages: DataFrame, hours_path: str, status_path: str, chec
     replayed batch reads the same previous open set and overwrites its own;
     the anti join against the status table makes a replay harmless.
     """
+    if bronze_path is not None:
+        backfill_status(messages.sparkSession, bronze_path, status_path, now or F.current_timestamp())
     b, _ = decode(messages)
     key = F.concat(*[F.col(c) for c in PARTITION_COLUMNS])
 

@@ -24,3 +24,23 @@ def test_backfill_cases(spark):
     # outside the 48 h look-back a missing marker is not back-filled
     old = _bronze(spark, [("2024", "02", "07", "05")])
     assert pt.missing_markers(old, status, now).count() == 0
+
+
+def test_listing_reads_no_bronze_and_backfill_runs_before_a_stream(spark):
+    from pyspark.sql import functions as F
+
+    from sensorlake.session import scratch_path
+    from sensorlake.streaming.queries import backfill_status
+    root, status = scratch_path(spark, "bronze"), scratch_path(spark, "status")
+    rows = spark.createDataFrame([("a", 1, "t", "x", 0.0, 0.0, "DE", "{}", "2024", "05", "01", h) for h in ("07", "08", "09")], BRONZE)
+    pt.write_bronze(rows, root)
+    hours = pt.listed_hours(spark, root)
+    plan = hours._jdf.queryExecution().toString()
+    assert "Format: Parquet" not in plan and "content" not in plan.split("== Physical Plan ==")[1]
+    assert sorted(r.hour for r in hours.collect()) == ["07", "08", "09"]
+    assert pt.layout_violations(spark, root).count() == 0
+    rows.write.parquet(f"{root}/year=2024/month=5/day=1/hour=7")
+    assert pt.layout_violations(spark, root).count() > 0
+    for _ in range(2):
+        backfill_status(spark, root, status, "2024-05-01 09:30:00")
+    assert sorted(r.hour for r in spark.read.parquet(status).where(F.col("has_data")).collect()) == ["07", "08"]
