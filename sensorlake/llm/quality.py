@@ -36,6 +36,10 @@ def shape(word: str) -> str:
     return f"\0{kind}{case}{min(len(word), 12)}{word[-1:].lower()}" if kind != "#" else f"\0#{min(len(word), 6)}{word[:1]}"
 
 
+def kind(word: str) -> int:
+    return word.isalpha() + 2 * (len(word) > 1 and word.isupper())
+
+
 def tokens(text: str | None) -> list[str]:
     return TOKEN.findall(text or "")
 
@@ -65,25 +69,35 @@ class Vocabulary:
     SHAPES = 2048
 
     def __init__(self, words: list[str]):
-        self.known = {w: i for i, w in enumerate(words)}
-        self.rows = len(words) + self.SHAPES
-        self.others: dict[str, int] = {}
+        self.words, self.rows = words, len(words) + self.SHAPES
+        self.forget()
 
     def __getstate__(self):
-        return {"known": self.known, "rows": self.rows, "others": {}}
-
-    def row(self, w: str) -> int:
-        if (i := self.known.get(w)) is not None:
-            return i
-        if (i := self.others.get(w)) is None:
-            if len(self.others) > HELD:
-                self.others.clear()
-            i = self.others[w] = self.rows - 1 - zlib.crc32(shape(w).encode("utf-8", "replace")) % self.SHAPES
-        return i
+        return {"words": self.words, "rows": self.rows}
+
+    def __setstate__(self, state):
+        self.__dict__ |= state
+        self.forget()
+
+    def forget(self) -> None:
+        """Keeps what the list says only: the row, and 1 for letters plus 2 for
+        capitals, of each word seen."""
+        self.row, self.kind = {w: i for i, w in enumerate(self.words)}, {w: kind(w) for w in self.words}
+
+    def meet(self, words) -> None:
+        """Makes sure that the words are known."""
+        if new := set(words).difference(self.row):
+            if len(self.row) > len(self.words) + HELD:
+                self.forget()
+                new = set(words).difference(self.row)
+            for w in new:
+                self.row[w] = self.rows - 1 - zlib.crc32(shape(w).encode("utf-8", "replace")) % self.SHAPES
+                self.kind[w] = kind(w)
 
     def encode(self, text: str | None) -> np.ndarray:
-        row = self.row
-        return np.fromiter((row(w) for w in tokens(text)), np.int64)
+        found = tokens(text)
+        self.meet(found)
+        return np.array([*map(self.row.__getitem__, found)], np.int64)
 
 
 def index_vectors(rows: int, dim: int = DIM, ones: int = ONES) -> tuple[np.ndarray, np.ndarray]:
@@ -113,9 +127,9 @@ def context_sums(docs: DataFrame, words: list[str]) -> np.ndarray:
                 ids = np.concatenate(held)
                 for step in range(1, REACH + 1):
                     ok = (ids[step:] >= 0) & (ids[:-step] >= 0)
-                    for w, c in ((ids[step:][ok], ids[:-step][ok]), (ids[:-step][ok], ids[step:][ok])):
-                        pair, n = np.unique(w * v.rows + c, return_counts=True)
-                        w, c = pair // v.rows, pair % v.rows
+                    pair, n = np.unique(ids[step:][ok] * v.rows + ids[:-step][ok], return_counts=True)
+                    a, b = pair // v.rows, pair % v.rows
+                    for w, c in ((a, b), (b, a)):
                         for k in range(places.shape[1]):
                             np.add.at(total, w * DIM + places[c, k], signs[c, k] * n)
 
@@ -170,15 +184,16 @@ class Features:
         n = len(found)
         if not n:
             return np.zeros(2 * self.vectors.shape[1] + 8, np.float32)
-        row = self.vocabulary.row
         counts = Counter(found)
-        ids = np.fromiter((row(w) for w in counts), np.int64)
-        times = np.fromiter(counts.values(), np.float32)
+        self.vocabulary.meet(counts)
+        ids = [*map(self.vocabulary.row.__getitem__, counts)]
+        times = np.array([*counts.values()], np.float32)
+        kinds = np.array([*map(self.vocabulary.kind.__getitem__, counts)])
         x = self.vectors[ids]
         mean = times @ x / n
         spread = np.sqrt(np.maximum(times @ (x * x) / n - mean * mean, 0))
         line = text.split("\n")
-        upper, letters = sum(t for w, t in counts.items() if len(w) > 1 and w.isupper()), sum(t for w, t in counts.items() if w.isalpha())
+        letters, upper = float(times @ (kinds & 1)), float(times @ (kinds >> 1))
         rest = [np.log1p(n), len(counts) / n, upper / max(letters, 1), letters / n, counts.get("\n", 0) / n,
                 len(set(line)) / len(line), max(counts.values()) / n, min(1.0, 50 / n)]
         return np.concatenate([mean, spread, rest]).astype(np.float32)
