@@ -36,8 +36,8 @@ GRAM = 50
 #: Grams of one string, and the bytes that a string reaches beyond a gram in it.
 GRAMS = LENGTH - GRAM + 1
 REACH = LENGTH - GRAM
-#: Members of a bucket that one task compares.
-MEMBERS = 2048
+#: Members of a bucket that one task compares, in some 60 MB.
+MEMBERS = 8192
 #: Bytes that are hashed at once.
 PIECE = 1 << 20
 
