@@ -197,7 +197,7 @@ def test_size_check_has_no_limit_through_one_task(spark):
 def test_file_listing_reads_no_content(spark):
     root = scratch_path(spark, "bronze")
     _land(spark, root, FIRST)
-    assert "ReadSchema: struct<path:string>" in mg.list_files(spark, root)._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<path:string,length:bigint>" in mg.list_files(spark, root)._jdf.queryExecution().toString()
 
 
 def test_mart_refresh_prunes_silver_days(spark):
