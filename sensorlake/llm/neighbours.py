@@ -22,6 +22,8 @@ ROUNDS = 3
 #: Nodes that a query holds on to while it searches, and rounds at most.
 BEAM = 64
 HOPS = 12
+#: Queries whose vectors are broadcast, at most; more of them are joined by a shuffle.
+QUERIES = 10_000
 #: Nodes that every search may begin at.
 ENTRIES = 128
 
@@ -113,13 +115,11 @@ def first_links(nodes: DataFrame, dim: int, degree: int) -> DataFrame:
 
 
 def nearest(links: DataFrame, by: str, to: str, k: int) -> DataFrame:
-    """The k nearest distinct ``to`` of each ``by``. A node named by very many
-    is cut down in parts first."""
+    """The k nearest distinct ``to`` of each ``by``. Each task ranks its own
+    rows of a node and sends k of them, so a node named by very many is no
+    large group where they meet."""
     links = links.groupBy(by, to).agg(F.min("d").alias("d"))
-    order = ["d", to]
-    part = Window.partitionBy(by, F.pmod(F.xxhash64(to), F.lit(32))).orderBy(*order)
-    cut = links.withColumn("r", F.row_number().over(part)).where(F.col("r") <= k).drop("r")
-    return cut.withColumn("r", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("r") <= k).drop("r")
+    return links.withColumn("r", F.row_number().over(Window.partitionBy(by).orderBy("d", to))).where(F.col("r") <= k).drop("r")
 
 
 def descend(nodes: DataFrame, graph: DataFrame, degree: int, scratch: Scratch) -> DataFrame:
@@ -172,12 +172,9 @@ class Index:
     def __init__(self, rows: DataFrame, scratch: Scratch, copies: int, degree: int = DEGREE, rounds: int = ROUNDS):
         self.scratch = scratch
         rows = rows.withColumn("h", F.xxhash64("v"))
-        # the first ids of each vector, by parts first, as one may be that of very many rows
-        part = Window.partitionBy("h", "v", F.pmod(F.xxhash64("id"), F.lit(64))).orderBy("id")
-        some = scratch.stage(rows.withColumn("r", F.row_number().over(part)).where(F.col("r") <= copies).drop("r"), "rows")
-        ranked = some.withColumn("r", F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))).where(F.col("r") <= copies)
+        # the first ids of each vector; each task sends as many of its own, as one may be that of very many rows
+        ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("h", "v").orderBy("id"))).where(F.col("r") <= copies)
         grouped = scratch.stage(ranked.groupBy("h", "v").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("id"), "ids", "v"), "nodes")
-        scratch.drop(some)
         self.nodes, self.members = grouped.select("id", "v"), grouped.select("id", "ids")
         self.dim = len((self.nodes.select("v").limit(1).collect() or [[[0.0]]])[0][0])
         graph = scratch.stage(nearest(first_links(self.nodes, self.dim, degree), "node", "near", degree), "graph")
@@ -202,17 +199,18 @@ class Index:
         # a query that is a node begins there too
         own = queries.join(self.nodes.select(F.col("id").alias("node"), "v"), F.col("query_id") == F.col("node"))
         held = scratch.stage(nearest(at.unionByName(distances(own)), "query_id", "node", beam).withColumn("done", F.lit(False)), "beam")
+        queries = if_small(queries, QUERIES)
         for _ in range(hops):
-            todo = held.where("not done").select("query_id", F.col("node").alias("of"))
-            ahead = todo.join(self.graph.select(F.col("node").alias("of"), F.col("near").alias("node")), "of").select("query_id", "node").distinct()
-            ahead = scratch.stage(ahead.join(held.select("query_id", "node"), ["query_id", "node"], "left_anti"), "ahead")
+            todo = scratch.stage(held.where("not done").select("query_id", F.col("node").alias("of")), "todo")
+            ahead = self.graph.select(F.col("node").alias("of"), F.col("near").alias("node")).join(if_small(todo), "of").select("query_id", "node").distinct()
+            ahead = scratch.stage(ahead.join(if_small(held.select("query_id", "node")), ["query_id", "node"], "left_anti"), "ahead")
             if not ahead.limit(1).count():
                 break
-            pairs = ahead.join(self.nodes.select(F.col("id").alias("node"), "v"), "node").join(queries, "query_id")
+            pairs = self.nodes.select(F.col("id").alias("node"), "v").join(if_small(ahead), "node").join(queries, "query_id")
             new = distances(pairs).withColumn("done", F.lit(False)).unionByName(held.withColumn("done", F.lit(True)))
             ranked = new.withColumn("r", F.row_number().over(Window.partitionBy("query_id").orderBy("d", "node"))).where(F.col("r") <= beam).drop("r")
             held, old = scratch.stage(ranked, "beam"), held
-            scratch.drop(old, ahead)
+            scratch.drop(old, ahead, todo)
         return held.drop("done")
 
 
