@@ -25,6 +25,9 @@ SAMPLE = 16_000
 HIDDEN = 32
 EPOCHS = 60
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|\n")
+#: The same for texts of ASCII and Latin letters only, with classes that match faster.
+PLAIN = re.compile(r"[\t\n\x20-\x7E\u00C0-\u024F]*")
+PLAIN_TOKEN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+|[0-9]+|[!-/:-@\[-^`{-~\u00D7\u00F7]+|\n")
 #: Distinct words a task counts before it emits them.
 HELD = 200_000
 
@@ -41,7 +44,8 @@ def kind(word: str) -> int:
 
 
 def tokens(text: str | None) -> list[str]:
-    return TOKEN.findall(text or "")
+    text = text or ""
+    return (PLAIN_TOKEN if PLAIN.fullmatch(text) else TOKEN).findall(text)
 
 
 def frequent_words(docs: DataFrame, k: int) -> list[str]:
@@ -127,11 +131,10 @@ def context_sums(docs: DataFrame, words: list[str]) -> np.ndarray:
                 ids = np.concatenate(held)
                 for step in range(1, REACH + 1):
                     ok = (ids[step:] >= 0) & (ids[:-step] >= 0)
-                    pair, n = np.unique(ids[step:][ok] * v.rows + ids[:-step][ok], return_counts=True)
-                    a, b = pair // v.rows, pair % v.rows
-                    for w, c in ((a, b), (b, a)):
+                    one, two = ids[step:][ok], ids[:-step][ok]
+                    for w, c in ((one, two), (two, one)):
                         for k in range(places.shape[1]):
-                            np.add.at(total, w * DIM + places[c, k], signs[c, k] * n)
+                            total[:] += np.bincount(w * DIM + places[c, k], weights=signs[c, k], minlength=len(total))
 
             for x in b.column("text").to_pylist():
                 held += [v.encode(x), gap]

@@ -56,3 +56,12 @@ def test_temperature_calibrates():
     for low in (0.1, 0.4, 0.7):
         s = (p >= low) & (p < low + 0.2)
         assert abs(p[s].mean() - y[2000:][s].mean()) < 0.08
+
+
+def test_plain_tokens_are_those_of_any_text():
+    import random
+    rng = random.Random(0)
+    marks = [*map(chr, [9, 10, *range(0x20, 0x7F), *range(0xC0, 0x250)])]
+    for _ in range(3000):
+        text = "".join(rng.choice(marks) for _ in range(rng.randrange(40)))
+        assert quality.tokens(text) == quality.TOKEN.findall(text)
