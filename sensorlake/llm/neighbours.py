@@ -13,15 +13,14 @@ from pyspark.sql import functions as F
 from sensorlake.llm.common import Scratch, if_small, parts, table
 
 #: Neighbours kept of each node.
-DEGREE = 24
+DEGREE = 32
 #: Orders of random projections that the first graph is drawn from, and the rows of a block.
 ORDERS = 6
 LEAF = 64
-#: Rounds of neighbours of neighbours.
-ROUNDS = 3
-#: Nodes that a query holds on to while it searches, and rounds at most.
-BEAM = 64
-HOPS = 12
+#: Rounds of neighbours of neighbours go on until a smaller share of the links is new.
+SETTLED = 0.02
+#: Nodes that a query holds on to while it searches.
+BEAM = 256
 #: Queries whose vectors are broadcast, at most; more of them are joined by a shuffle.
 QUERIES = 10_000
 #: Nodes that every search may begin at.
@@ -50,10 +49,13 @@ def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 LINK = "node long, near long, d double"
 
 
-def links_of(ids: np.ndarray, x: np.ndarray, k: int, limit: np.ndarray | None = None):
-    """Each row's k nearest others within a block, nearer than ``limit``."""
+def links_of(ids: np.ndarray, x: np.ndarray, k: int, limit: np.ndarray | None = None, fresh: np.ndarray | None = None):
+    """Each row's k nearest others within a block, nearer than ``limit``; only
+    pairs of which one is ``fresh``, if that is given."""
     d = squared(x, x)
     np.fill_diagonal(d, np.inf)
+    if fresh is not None:
+        d[np.ix_(~fresh, ~fresh)] = np.inf
     k = min(k, len(ids) - 1)
     if k <= 0:
         return None
@@ -122,32 +124,44 @@ def nearest(links: DataFrame, by: str, to: str, k: int) -> DataFrame:
     return links.withColumn("r", F.row_number().over(Window.partitionBy(by).orderBy("d", to))).where(F.col("r") <= k).drop("r")
 
 
-def descend(nodes: DataFrame, graph: DataFrame, degree: int, scratch: Scratch) -> DataFrame:
-    """One round: the neighbours of a node, and those it is a neighbour of, are
+def descend(nodes: DataFrame, graph: DataFrame, degree: int, scratch: Scratch, met: DataFrame | None = None) -> tuple[DataFrame, DataFrame, float]:
+    """One round: a node, its neighbours, and those it is a neighbour of, are
     compared with each other; a pair is kept where it beats the farthest
-    neighbour that one of them has."""
+    neighbour that one of them has. A member's pairs beyond its ``degree``
+    nearest of a meeting can't be among its neighbours. Pairs that met at the
+    same node in the round before (``met``) are not compared again.
+
+    Returns the graph, who met where, and the share of links that are new."""
     spark = nodes.sparkSession
     back = nearest(graph.select(F.col("near").alias("node"), F.col("node").alias("near"), "d"), "node", "near", degree // 2)
-    around = graph.unionByName(back).select(F.col("node").alias("centre"), F.col("near").alias("id")).distinct()
+    around = graph.select("node", "near").unionByName(back.select("node", "near")).select(F.col("node").alias("centre"), F.col("near").alias("id"))
+    around = around.unionByName(nodes.select(F.col("id").alias("centre"), "id")).distinct()
+    if met is None:
+        around = around.withColumn("fresh", F.lit(True))
+    else:
+        around = around.join(met.select("centre", "id", F.lit(False).alias("fresh")), ["centre", "id"], "left").withColumn("fresh", F.coalesce("fresh", F.lit(True)))
+    around = scratch.stage(around, "around")
     reach = graph.groupBy("node").agg(F.max("d").alias("far"), F.count("*").alias("n"))
     reach = scratch.stage(nodes.join(reach, nodes["id"] == reach["node"], "left")
                           .select("id", "v", F.when(F.col("n") >= degree, F.col("far")).otherwise(float("inf")).alias("far")), "reach")
-    met = around.join(reach, "id").select("centre", "id", "v", "far")
-    dealt = met.repartition(parts(spark), "centre").sortWithinPartitions("centre", "id")
+    dealt = around.join(reach, "id").select("centre", "id", "v", "far", "fresh").repartition(parts(spark), "centre").sortWithinPartitions("centre", "id")
 
     def meet(batches):
         from sensorlake.llm.common import sorted_blocks, starts
         for t in sorted_blocks(batches, ["centre"], 4000):
             first = starts(t, ["centre"])
             ids, x, far = t.column("id").to_numpy(), vectors(t, "v"), t.column("far").to_numpy()
-            out = [links_of(ids[a:b], x[a:b], 8, far[a:b]) for a, b in zip(first, [*first[1:], len(ids)])]
+            fresh = t.column("fresh").to_numpy(zero_copy_only=False).astype(bool)
+            out = [links_of(ids[a:b], x[a:b], degree, far[a:b], fresh[a:b]) for a, b in zip(first, [*first[1:], len(ids)]) if fresh[a:b].any()]
             yield link_batch([y for y in out if y])
 
-    new = scratch.stage(dealt.mapInArrow(meet, LINK).groupBy("node", "near").agg(F.min("d").alias("d")), "met")
-    both = graph.unionByName(new)
-    out = scratch.stage(nearest(both, "node", "near", degree), "graph")
-    scratch.drop(reach, new)
-    return out
+    new = dealt.mapInArrow(meet, LINK).withColumn("new", F.lit(True))
+    links = graph.select("node", "near", "d", F.lit(False).alias("new")).unionByName(new).groupBy("node", "near").agg(F.min("d").alias("d"), F.min("new").alias("new"))
+    best = Window.partitionBy("node").orderBy("d", "near")
+    out = scratch.stage(links.withColumn("r", F.row_number().over(best)).where(F.col("r") <= degree).drop("r"), "graph")
+    share = out.agg(F.avg(F.col("new").cast("int"))).first()[0] or 0.0
+    scratch.drop(reach)
+    return out, around, share
 
 
 def distance(a: str, b: str) -> Column:
@@ -169,7 +183,7 @@ class Index:
     """nodes (id, v), graph (node, near, d), and members (id, ids): the
     smallest row ids of each node's vector, at most ``copies`` of them."""
 
-    def __init__(self, rows: DataFrame, scratch: Scratch, copies: int, degree: int = DEGREE, rounds: int = ROUNDS):
+    def __init__(self, rows: DataFrame, scratch: Scratch, copies: int, degree: int = DEGREE, settled: float = SETTLED):
         self.scratch = scratch
         rows = rows.withColumn("h", F.xxhash64("v"))
         # the first ids of each vector; each task sends as many of its own, as one may be that of very many rows
@@ -178,15 +192,18 @@ class Index:
         self.nodes, self.members = grouped.select("id", "v"), grouped.select("id", "ids")
         self.dim = len((self.nodes.select("v").limit(1).collect() or [[[0.0]]])[0][0])
         graph = scratch.stage(nearest(first_links(self.nodes, self.dim, degree), "node", "near", degree), "graph")
-        for _ in range(rounds):
-            graph, old = descend(self.nodes, graph, degree, scratch), graph
-            scratch.drop(old)
+        met, share = None, 1.0
+        while share > settled:
+            old, seen = graph, met
+            graph, met, share = descend(self.nodes, graph, degree, scratch, met)
+            scratch.drop(old, seen)
+        scratch.drop(met)
         # searched both ways: a node may be in no other's list
-        both = graph.unionByName(nearest(graph.select(F.col("near").alias("node"), F.col("node").alias("near"), "d"), "node", "near", degree))
+        both = graph.select("node", "near", "d").unionByName(nearest(graph.select(F.col("near").alias("node"), F.col("node").alias("near"), "d"), "node", "near", degree))
         self.graph = scratch.stage(both.groupBy("node", "near").agg(F.min("d").alias("d")), "graph")
         scratch.drop(graph)
 
-    def search(self, queries: DataFrame, beam: int = BEAM, hops: int = HOPS) -> DataFrame:
+    def search(self, queries: DataFrame, beam: int = BEAM) -> DataFrame:
         """(query_id, node, d): the ``beam`` nearest nodes found for each query
         (query_id, q), by squared distance. A round looks at the neighbours of
         the nodes in the beam that were not looked at; it ends when no query
@@ -200,7 +217,7 @@ class Index:
         own = queries.join(self.nodes.select(F.col("id").alias("node"), "v"), F.col("query_id") == F.col("node"))
         held = scratch.stage(nearest(at.unionByName(distances(own)), "query_id", "node", beam).withColumn("done", F.lit(False)), "beam")
         queries = if_small(queries, QUERIES)
-        for _ in range(hops):
+        while True:
             todo = scratch.stage(held.where("not done").select("query_id", F.col("node").alias("of")), "todo")
             ahead = self.graph.select(F.col("node").alias("of"), F.col("near").alias("node")).join(if_small(todo), "of").select("query_id", "node").distinct()
             ahead = scratch.stage(ahead.join(if_small(held.select("query_id", "node")), ["query_id", "node"], "left_anti"), "ahead")

@@ -66,3 +66,11 @@ def test_few_rows_and_none(spark):
     assert {q: [i for _, i in x] for q, x in got.items()} == {0: [1, 2, 20], 20: [1, 2, 0]}
     assert run(spark, [(0, [1.0])], 20) == {}
     assert neighbours.search_table(empty(frame(spark, rows)), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_recall_where_three_rounds_are_too_few(spark):
+    x = np.random.default_rng(5).normal(size=(8000, 64)).astype(np.float32)
+    got = run(spark, list(enumerate(x.tolist())), 80)
+    d = lambda q: np.where(np.arange(len(x)) == q, np.inf, ((x - x[q]) ** 2).sum(1))
+    assert len(got) == 100
+    assert sum(len({i for _, i in got[q]} & set(np.argsort(d(q))[:10].tolist())) for q in got) >= 0.95 * 10 * len(got)
