@@ -213,8 +213,13 @@ class Index:
         # a fixed number of entries against the queries, which come in blocks
         start = distances(queries.join(F.broadcast(seeds.withColumn("all", F.lit(1))), F.lit(1) == F.col("all")))
         at = nearest(start, "query_id", "node", 8)
-        # a query that is a node begins there too
-        own = queries.join(self.nodes.select(F.col("id").alias("node"), "v"), F.col("query_id") == F.col("node"))
+        # a query whose vector is a node's begins there too, whichever copy it is; the
+        # nodes of the queries' vectors are found first, a row for each vector, so that
+        # very many copies don't meet in one task
+        asked = queries.select(F.xxhash64("q").alias("h")).distinct()
+        homes = self.nodes.select(F.xxhash64("v").alias("h"), F.col("id").alias("node"), "v").join(asked, "h", "left_semi")
+        homes = if_small(scratch.stage(homes, "homes"), QUERIES)
+        own = queries.join(homes, (F.xxhash64("q") == F.col("h")) & (F.col("q") == F.col("v")))
         held = scratch.stage(nearest(at.unionByName(distances(own)), "query_id", "node", beam).withColumn("done", F.lit(False)), "beam")
         queries = if_small(queries, QUERIES)
         while True:

@@ -74,3 +74,12 @@ def test_recall_where_three_rounds_are_too_few(spark):
     d = lambda q: np.where(np.arange(len(x)) == q, np.inf, ((x - x[q]) ** 2).sum(1))
     assert len(got) == 100
     assert sum(len({i for _, i in got[q]} & set(np.argsort(d(q))[:10].tolist())) for q in got) >= 0.95 * 10 * len(got)
+
+
+def test_every_copy_starts_at_its_own_vector(spark):
+    rng = np.random.default_rng(6)
+    x = np.repeat(rng.normal(size=(200, 16)) * 100, 15, 0) + rng.normal(size=(3000, 16)) * 0.01
+    x = np.concatenate([x, x]).astype(np.float32)
+    got = run(spark, list(enumerate(x.tolist())), 61)
+    assert len(got) == 99
+    assert all(s[0] == (0.0, (q + 3000) % 6000) for q, s in got.items())
