@@ -10,10 +10,13 @@ from sensorlake.llm.common import Scratch, beside, free_name, same, table
 WEIGHTS = (5, 2, 1)
 #: A source is taken at most so many times over.
 MOST = 3
-#: Slots of the schedule for each source, and the longest block in words: a
-#: block is as long as the first allows and no longer than the second.
+#: Blocks of the average source and the longest block in words: blocks are as
+#: long as the first allows and no longer than the second. A smaller source is
+#: cut into as many blocks, or into words if it has fewer.
 SLOTS = 4096
 BLOCK = 4096
+#: A source of fewer blocks has a run of slots of its own.
+FEW = 512
 #: 2**32 over the golden ratio, and 2**32: slot k is at (k * STEP) mod RING.
 STEP = 2654435769
 RING = 1 << 32
@@ -57,23 +60,47 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST)
     return per.select("source", "source_no", "source_size", "capped", target.alias("target"))
 
 
-def schedule(targets: DataFrame, slots: int, block: int, most: int) -> DataFrame:
+def cut_targets(targets: DataFrame, block: int) -> DataFrame:
+    """``targets`` with each source's own blocks: how many, and how many uses
+    of them, in real numbers, make up its target. A source's blocks differ by
+    a word at most, so that none is short."""
+    blocks = F.greatest(F.ceil(F.col("source_size") / block), F.least("source_size", F.lit(SLOTS))).cast("long")
+    targets = targets.withColumn("blocks", blocks)
+    return targets.withColumn("shares", F.when(F.col("target") > 0, F.col("target") * F.col("blocks") / F.col("source_size")).otherwise(0.0))
+
+
+def block_start(block_no: Column) -> Column:
+    """The first word of a block: a source's first blocks are a word longer if
+    its words don't divide by its blocks."""
+    return block_no * F.expr("source_size div blocks") + F.least(block_no, F.expr("source_size % blocks"))
+
+
+def block_of(word: Column) -> Column:
+    """The block that holds a source's word."""
+    length, longer = F.expr("source_size div blocks"), F.expr("source_size % blocks")
+    return F.when(word < longer * (length + 1), F.floor(word / (length + 1))).otherwise(longer + F.floor((word - longer * (length + 1)) / length))
+
+
+def schedule(targets: DataFrame, slots: int, most: int) -> DataFrame:
     """(source_no, block_no, uses): golden-ratio slots mapped through the
-    cumulative targets, ranked within their source and dealt to its blocks in
-    turn, at most ``most`` turns.
+    cumulative ``shares``, ranked within their source and dealt to its blocks in
+    turn, at most ``most`` turns. In a run of its own all slots are the
+    source's, as many as its shares to the nearest whole number.
 
     A source's slots are ranked in chunks of slots: a count of each chunk, and
     a rank within it, so that no source's slots meet in one task.
     """
     spark = targets.sparkSession
+    few = targets.where((F.col("shares") > 0) & (F.col("blocks") < FEW)).withColumn("n", F.least(F.round("shares").cast("long"), F.col("blocks") * most)).where("n > 0")
+    few = few.select("source_no", "n", "blocks", F.explode(F.sequence(F.lit(0).cast("long"), F.least("n", "blocks") - 1)).alias("block_no"))
+    few = few.select("source_no", "block_no", F.floor((F.col("n") - 1 - F.col("block_no")) / F.col("blocks") + 1).alias("uses"))
+    targets = targets.where((F.col("shares") > 0) & (F.col("blocks") >= FEW))
     bounds = Window.orderBy("source_no").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.sum("target").over(bounds) / F.sum("target").over(Window.partitionBy())
-    ends = targets.where("target > 0").select("source_no", "source_size", F.floor(upto * RING).cast("long").alias("upto"))
+    upto = F.sum("shares").over(bounds) / F.sum("shares").over(Window.partitionBy())
+    ends = targets.select("source_no", "blocks", F.floor(upto * RING).cast("long").alias("upto"))
     ends = ends.withColumn("from", F.coalesce(F.lag("upto").over(Window.orderBy("source_no")), F.lit(0).cast("long")))
     last = F.lead("source_no").over(Window.orderBy("source_no")).isNull()
     ends = ends.withColumn("upto", F.when(last, F.lit(RING)).otherwise(F.col("upto")))
-    blocks = F.ceil(F.col("source_size") / block).cast("long")
-    ends = ends.select("source_no", "from", "upto", blocks.alias("blocks"))
     k = spark.range(slots).select(F.col("id").alias("slot"), ((F.col("id") * F.lit(STEP)) % RING).alias("at"))
     # ranges of at most some hundred sources, matched as a broadcast range join
     dealt = k.join(F.broadcast(ends), (F.col("at") >= F.col("from")) & (F.col("at") < F.col("upto")))
@@ -84,14 +111,14 @@ def schedule(targets: DataFrame, slots: int, block: int, most: int) -> DataFrame
     rank = F.row_number().over(Window.partitionBy("source_no", "chunk").orderBy("slot")) - 1
     ranked = dealt.withColumn("rank", rank).join(per_chunk, (F.col("source_no") == F.col("s")) & (F.col("chunk") == F.col("c")))
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("before")).where(F.col("rank") < F.col("blocks") * most)
-    return ranked.groupBy("source_no", (F.col("rank") % F.col("blocks")).alias("block_no")).agg(F.count("*").alias("uses"))
+    return ranked.groupBy("source_no", (F.col("rank") % F.col("blocks")).alias("block_no")).agg(F.count("*").alias("uses")).unionByName(few)
 
 
 def place(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """Each row's place in its source's shuffled words: ``start``. Rows are
     ordered by hash; each of 4,096 ranges of hashes is summed first, so that a
     source's rows are never ordered in one task."""
-    t = F.broadcast(targets.select(F.col("source").alias("t_source"), "source_no", "source_size", "target"))
+    t = F.broadcast(targets.select(F.col("source").alias("t_source"), "source_no", "source_size", "target", "blocks"))
     rows = sizes.join(t, same(F.col("source"), F.col("t_source"))).drop("t_source")
     rows = rows.withColumn("part", F.substring(F.md5(F.concat("id_hash", "text_hash")), 1, 3))
     sums = rows.groupBy("source_no", "part").agg(F.sum("size").alias("n"))
@@ -111,7 +138,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, scratch: Sc
     weigh ``weights`` in turn, in code-point order with null last; together
     they share as many words as there are, no source over ``most`` times its
     own. A source's words, in the order of the rows' hashes, are cut into
-    blocks of equal length; the schedule says how often each block is used, and
+    blocks of the source's own length; the schedule says how often each block is used, and
     ``taken`` is a row's words in used blocks. Reruns agree; rows alike in id
     and text are told apart by nothing but their order, which changes no set
     of results. Rows may repeat and ids be null. An empty table gives no row.
@@ -122,15 +149,16 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, scratch: Sc
     targets = scratch.stage(source_targets(sizes, weights, most), "targets")
     sources, words = targets.agg(F.count("*"), F.coalesce(F.sum("source_size"), F.lit(0))).first()
     block = max(1, min(BLOCK, words // max(1, SLOTS * sources)))
-    slots = -(-words // block)
+    targets = scratch.stage(cut_targets(targets, block), "blocks")
+    slots = round(targets.where(F.col("blocks") >= FEW).agg(F.coalesce(F.sum("shares"), F.lit(0.0))).first()[0])
     if slots * STEP >= 1 << 63:
         raise ValueError("more slots than the schedule's integers hold; use longer blocks")
-    uses = scratch.stage(schedule(targets, slots, block, most), "uses")
+    uses = scratch.stage(schedule(targets, slots, most), "uses")
     rows = scratch.stage(place(sizes, targets), "placed")
-    first, last = F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block)
-    cut = rows.where("size > 0").select("source_no", "part", "row_no", "start", "size", F.explode(F.sequence(first, last)).alias("block_no"))
+    first, last = block_of(F.col("start")), block_of(F.col("start") + F.col("size") - 1)
+    cut = rows.where("size > 0").select("source_no", "part", "row_no", "start", "size", "source_size", "blocks", F.explode(F.sequence(first, last)).alias("block_no"))
     used = cut.join(uses, ["source_no", "block_no"])
-    overlap = F.least(F.col("start") + F.col("size"), (F.col("block_no") + 1) * block) - F.greatest("start", F.col("block_no") * block)
+    overlap = F.least(F.col("start") + F.col("size"), block_start(F.col("block_no") + 1)) - F.greatest("start", block_start(F.col("block_no")))
     taken = used.groupBy("source_no", "part", "row_no").agg(F.sum(overlap * F.col("uses")).alias("taken"))
     return (rows.join(taken, ["source_no", "part", "row_no"], "left")
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken"), "id_hash", "text_hash", "source", "row_no"))

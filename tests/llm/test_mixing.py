@@ -81,3 +81,16 @@ def test_documents_are_repeated_as_often_as_they_are_taken(spark):
 def test_plans_hold_no_python(spark):
     text = mixing.mix(document_frame(spark))._jdf.queryExecution().toString() + mixing.mixed_documents(document_frame(spark))._jdf.queryExecution().toString()
     assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text
+
+
+def test_small_sources_beside_large_ones(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLOTS", 16)  # blocks as long, for their sources, as those of far larger tables
+    monkeypatch.setattr(mixing, "FEW", 8)
+    small = [(n, f"s{n}") for n in (3, 7, 30, 60, 150, 300, 500, 1000)]
+    rows = [(i, "w " * n, None, s) for i, (n, s) in enumerate(small)]
+    rows += [(100 + i, "w " * 500, None, "abcd"[i % 4]) for i in range(400)]
+    found = mixing.mix(document_frame(spark, rows)).collect()
+    taken = {r["source"]: r["taken"] for r in found if r["source"].startswith("s")}
+    for n, s in small:
+        assert taken[s] == pytest.approx(3 * n, rel=0.1), s
+    assert {r["doc_id"] for r in mixing.mixed_documents(document_frame(spark, rows)).where("source like 's%'").collect()} == set(range(8))
