@@ -133,7 +133,7 @@ def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: int
     scratch = Scratch(spark, "langid")
     counts = scratch.stage(word_counts(docs), "words")
     kept = top(counts, ["lang"], "word", words).collect()
-    shapes = top(gram_counts(counts.where("n > 1"), longest), ["lang", "size"], "gram", grams).collect()
+    shapes = top(gram_counts(counts, longest), ["lang", "size"], "gram", grams).collect()
     prior = {r["lang"]: r["n"] for r in docs.where("lang is not null and text is not null").groupBy("lang").agg(F.count("*").alias("n")).collect()}
     scratch.drop(counts)
     langs = sorted({r["lang"] for r in kept})

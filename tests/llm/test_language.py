@@ -57,3 +57,10 @@ def test_counts_cover_whole_texts(spark):
     assert counts == {("x", "a"): 5000, ("x", "b"): 3, ("y", "b"): 1}
     most = language.top(spark.createDataFrame([("x", w, 1) for w in "dcba"], "lang string, word string, n long"), ["lang"], "word", 2)
     assert sorted(r["word"] for r in most.select(F.col("word")).collect()) == ["a", "b"]
+
+
+def test_words_that_occur_once_teach_ngrams(spark):
+    train = spark.createDataFrame([("the cat the cat the dog the dog", "en"), ("perro gato casas mesas", "es")], "text string, lang string")
+    model = language.train(train)
+    assert "rro" in model.grams[2]
+    assert model.predict("perros")[0] == "es" and model.predict("gatos perra")[0] == "es"
