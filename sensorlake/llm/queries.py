@@ -5,6 +5,7 @@ from __future__ import annotations
 from sensorlake.llm.chat import op10_chat
 from sensorlake.llm.decontaminate import op5_decontaminate
 from sensorlake.llm.language import op4_langid
+from sensorlake.llm.lines import OP11_SQL, op11_lines
 from sensorlake.llm.mixing import op9_mix
 from sensorlake.llm.neighbours import op7_neighbours
 from sensorlake.llm.quality import op3_quality
@@ -24,6 +25,7 @@ CATALOG = {
     "op8_simhash": op8_simhash,
     "op9_mix": op9_mix,
     "op10_chat": op10_chat,
+    "op11_lines": op11_lines,
 }
 
-ORACLE: dict[str, str] = {"op1_warc": OP1_SQL}
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op11_lines": OP11_SQL}
