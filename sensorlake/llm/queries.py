@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from sensorlake.llm.chat import op10_chat
 from sensorlake.llm.decontaminate import op5_decontaminate
+from sensorlake.llm.divergence import OP12_SQL, op12_divergence
 from sensorlake.llm.language import op4_langid
 from sensorlake.llm.lines import OP11_SQL, op11_lines
 from sensorlake.llm.mixing import op9_mix
@@ -26,6 +27,7 @@ CATALOG = {
     "op9_mix": op9_mix,
     "op10_chat": op10_chat,
     "op11_lines": op11_lines,
+    "op12_divergence": op12_divergence,
 }
 
-ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op11_lines": OP11_SQL}
+ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op11_lines": OP11_SQL, "op12_divergence": OP12_SQL}
