@@ -10,6 +10,7 @@ from sensorlake.llm.lines import OP11_SQL, op11_lines
 from sensorlake.llm.mixing import op9_mix
 from sensorlake.llm.neighbours import op7_neighbours
 from sensorlake.llm.quality import op3_quality
+from sensorlake.llm.repair import op13_repair
 from sensorlake.llm.repeats import op6_repeats
 from sensorlake.llm.simhash import op8_simhash
 from sensorlake.llm.tokenfile import op2_tokens
@@ -28,6 +29,7 @@ CATALOG = {
     "op10_chat": op10_chat,
     "op11_lines": op11_lines,
     "op12_divergence": op12_divergence,
+    "op13_repair": op13_repair,
 }
 
 ORACLE: dict[str, str] = {"op1_warc": OP1_SQL, "op11_lines": OP11_SQL, "op12_divergence": OP12_SQL}
