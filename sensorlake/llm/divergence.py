@@ -31,7 +31,7 @@ SHARD = 500_000
 #: Bytes of transducers that a pass over the texts loads; more take more passes.
 LOADED = 256 << 20
 #: Cells of a block's matrix of sources and ordinals.
-CELLS = 1 << 20
+CELLS = 1 << 16
 SCALE = 1_000_000_000
 SMOOTH = 5
 
@@ -233,19 +233,21 @@ class Vocabulary:
             of.setdefault(r["lang"], []).append((r["first"], i, r["base"]))
 
         def flush(held):
-            machines = loaded(folder, files)
+            machines, of_lang = loaded(folder, files), {}
             for (lang, source), c in held.items():
-                terms = sorted(c)
-                cuts = of[lang]
-                edges = [bisect.bisect_left(terms, first) for first, _, _ in cuts] + [len(terms)]
-                for (first, i, base), a, z in zip(cuts, edges, edges[1:]):
-                    some = terms[a:z]
-                    if not some:
-                        continue
-                    ordinal = machines[i].ordinals(some)
-                    n = np.fromiter((c[t] for t in some), np.int64, len(some))
-                    ordinal, n = ordinal[ordinal >= 0] + base, n[ordinal >= 0]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), pa.array([source] * len(n), pa.string()), pa.array(ordinal), pa.array(n)], schema=schema)
+                of_lang.setdefault(lang, []).append((source, c))
+            for lang, some in of_lang.items():
+                # the sources of a language share most terms: each walks once
+                terms, known = sorted(set().union(*(c for _, c in some))), {}
+                edges = [bisect.bisect_left(terms, first) for first, _, _ in of[lang]] + [len(terms)]
+                for (_, i, base), a, z in zip(of[lang], edges, edges[1:]):
+                    ordinal = machines[i].ordinals(terms[a:z])
+                    hits = np.flatnonzero(ordinal >= 0)
+                    known.update(zip((terms[a + k] for k in hits.tolist()), (ordinal[hits] + base).tolist()))
+                for source, c in some:
+                    both = known.keys() & c.keys()
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(both), pa.string()), pa.array([source] * len(both), pa.string()),
+                                                      pa.array([known[t] for t in both], pa.int64()), pa.array([c[t] for t in both], pa.int64())], schema=schema)
             held.clear()
 
         def run(batches):
