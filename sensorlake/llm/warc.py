@@ -16,13 +16,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import Commit, Scratch, filesystem, if_small, parts, small_batches, table
+from sensorlake.llm.common import Commit, Scratch, filesystem, parts, small_batches, table
+from sensorlake.operators.joins import bounded_broadcast
 
 #: Compressed bytes of a file.
 ROLL_BYTES = 32 << 20
 #: Payloads from this size on are stored once.
 LEAST_SHARED = 100
 LEVEL = 6
+#: Tasks that write or read files at most; beyond, neighbouring files share one.
+TASKS = 20_000
 #: Records carry no clock time, or two runs would differ.
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -96,8 +99,10 @@ def read_records(f):
             yield headers, block
 
 
-def packed_pages(pages: DataFrame) -> DataFrame:
-    """Every row as the response record it may become, with its size."""
+def packed_pages(pages: DataFrame, with_bytes: bool) -> DataFrame:
+    """Every row's digest and lengths as the response record it may become,
+    with the record itself or without. Packing is deterministic, so records are
+    made twice and never staged: for their sizes, and to be written."""
     small_batches(pages.sparkSession)
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("digest", pa.string()), ("n", pa.int64()), ("packed", pa.binary()), ("size", pa.int64())])
 
@@ -108,14 +113,15 @@ def packed_pages(pages: DataFrame) -> DataFrame:
                 payload = (html or "").encode()
                 digest = hashlib.sha256(payload).hexdigest()
                 packed = record(page_id, url, digest, len(payload), payload)
-                rows.append((page_id, url, digest, len(payload), packed, len(packed)))
+                rows.append((page_id, url, digest, len(payload), packed if with_bytes else None, len(packed)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)] if rows else [pa.array([], t.type) for t in schema], schema=schema)
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
-    return rows.mapInArrow(run, "page_id long, url string, digest string, n long, packed binary, size long").withColumn("row", F.monotonically_increasing_id())
+    return rows.mapInArrow(run, "page_id long, url string, digest string, n long, packed binary, size long")
 
 
-ORDER = ["page_null", "page_id", "url_null", "url", "digest", "row"]
+#: Rows equal in all of these are the same record and may change places.
+ORDER = ["page_null", "page_id", "url_null", "url", "digest"]
 
 
 def ordered(rows: DataFrame) -> DataFrame:
@@ -123,38 +129,41 @@ def ordered(rows: DataFrame) -> DataFrame:
     return rows.select("*", F.col("page_id").isNull().alias("page_null"), F.col("url").isNull().alias("url_null"))
 
 
-def decisions(packed: DataFrame, scratch: Scratch, roll_bytes: int) -> tuple[DataFrame, list]:
-    """For each row what it becomes (small columns only), and the first sort
-    key of each file but the first.
-
-    The response of a payload is its first row in sort order. The running
-    total of record sizes is kept as a sum per range of rows and one within
-    the range."""
-    spark = packed.sparkSession
-    key = F.struct(F.col("page_id").isNull().alias("page_null"), "page_id", F.col("url").isNull().alias("url_null"), "url", "row")
-    first = (packed.where(F.col("n") >= LEAST_SHARED).groupBy("digest").agg(F.min(key).alias("first"), F.count("*").alias("copies"))
-             .where("copies > 1").select("digest", F.col("first.page_id").alias("to_page"), F.col("first.url").alias("to_url"), F.col("first.row").alias("to_row")))
-    first = scratch.stage(first, "responses")
-    meta = packed.drop("packed")
-    meta = meta.join(if_small(first), "digest", "left").withColumn("to_row", F.when(F.col("to_row") != F.col("row"), F.col("to_row")))
-    meta = meta.withColumn("refers", F.when(F.col("to_row").isNotNull(), F.struct(F.col("to_page").alias("page_id"), F.col("to_url").alias("url"))))
+def decisions(sizes: DataFrame, scratch: Scratch, roll_bytes: int) -> tuple[DataFrame, list]:
+    """What each shared payload's rows refer to (small columns only), and the
+    first sort key of each file but the first.
+
+    The response of a payload is its first row in sort order; of equal rows one
+    is, the others refer to it. The running total of record sizes is kept as a
+    sum per range of rows and one within the range; equal rows are one entry,
+    so a range never splits them."""
+    spark = sizes.sparkSession
+    key = F.struct(F.col("page_id").isNull().alias("page_null"), "page_id", F.col("url").isNull().alias("url_null"), "url")
+    meta = sizes.groupBy("page_id", "url", "digest").agg(F.first("n").alias("n"), F.first("size").alias("size"), F.count("*").alias("times"))
+    first = meta.groupBy("digest", "n").agg(F.min(key).alias("first"), F.sum("times").alias("copies"))
+    first = first.where((F.col("copies") > 1) & (F.col("n") >= LEAST_SHARED)).select("digest", F.struct("first.page_id", "first.url").alias("refers"))
+    meta = meta.join(bounded_broadcast(scratch.stage(first, "responses")), "digest", "left")
+    is_first = F.col("refers.page_id").eqNullSafe(F.col("page_id")) & F.col("refers.url").eqNullSafe(F.col("url"))
     # a revisit has a header only; its size counts as this much
-    meta = meta.withColumn("size", F.when(F.col("refers").isNull(), F.col("size")).otherwise(F.lit(500) + F.length(F.coalesce("url", F.lit("")))))
-    meta = ordered(meta.drop("to_page", "to_url", "to_row", "n"))
-    ranged = meta.repartitionByRange(parts(spark), *ORDER).withColumn("range", F.spark_partition_id())
-    ranged = scratch.stage(ranged, "decisions")
+    revisit = F.lit(500) + F.length(F.coalesce("url", F.lit("")))
+    responses = F.when(F.col("refers").isNull(), F.col("times")).when(is_first, F.lit(1)).otherwise(F.lit(0))
+    meta = meta.withColumn("size", responses * F.col("size") + (F.col("times") - responses) * revisit)
+    meta = scratch.stage(ordered(meta.select("page_id", "url", "digest", "size", "refers", is_first.alias("is_first"))), "decisions")
+    told = meta.where("refers is not null")
+    total = meta.agg(F.sum("size")).first()[0] or 0
+    if total <= roll_bytes:
+        return told, []
+    ranged = scratch.stage(meta.select(*ORDER, "size").repartitionByRange(parts(spark), *ORDER).withColumn("range", F.spark_partition_id()), "ranges")
     sums = {r["range"]: r["size"] for r in ranged.groupBy("range").agg(F.sum("size").alias("size")).collect()}
     upto, before = 0, []
     for k in sorted(sums):  # a number for each range
         before.append((k, upto))
         upto += sums[k]
-    if upto <= roll_bytes:
-        return ranged, []
     offsets = F.broadcast(spark.createDataFrame(before, "range int, before long"))
     inside = F.sum("size").over(Window.partitionBy("range").orderBy(*ORDER)) - F.col("size")
     at = ranged.join(offsets, "range").withColumn("file_no", F.floor((F.col("before") + inside) / roll_bytes))
     cuts = at.where("file_no > 0").groupBy("file_no").agg(F.min(F.struct(*ORDER)).alias("k")).orderBy("file_no").select("k").collect()
-    return ranged, [tuple(r["k"]) for r in cuts]  # a key for each file
+    return told, [tuple(r["k"]) for r in cuts]  # a key for each file
 
 
 def below(a: tuple, b: tuple) -> bool:
@@ -180,25 +189,25 @@ def write_warc(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes: int
     """Write ``pages`` (page_id, url, html) as archives; returns the manifest,
     which is written beside them and alone says which files count.
 
-    Rows are dealt by the file they belong to. A task writes its files one
-    after another, under temporary names, and moves each to its own name when
-    whole, so a task that runs twice leaves the same files. A null html is an empty payload;
-    null urls and page_ids have no header and sort last; repeated rows are
-    records of their own; an empty table writes no file.
+    Each file is dealt to a task of its own (several neighbouring files share
+    one beyond TASKS of them), which writes it under a temporary name and moves
+    it to its own name when whole, so a task that runs twice leaves the same
+    files. A null html is an empty payload; null urls and page_ids have no
+    header and sort last; repeated rows are records of their own; an empty
+    table writes no file.
     """
     spark = pages.sparkSession
-    packed = scratch.stage(packed_pages(pages), "packed")
-    known, cuts = decisions(packed, scratch, roll_bytes)
+    sizes = scratch.stage(packed_pages(pages, False).drop("packed"), "sizes")
+    known, cuts = decisions(sizes, scratch, roll_bytes)
     # decisions travel as rows of their own, just before what they decide on
-    empty = F.lit(None)
-    told = known.where("refers is not null").select(*ORDER, "refers", F.lit(0).alias("kind"), empty.cast("binary").alias("packed"))
-    rows = ordered(packed).select(*ORDER, empty.cast("struct<page_id:bigint,url:string>").alias("refers"), F.lit(1).alias("kind"), "packed", "n")
+    told = known.select(*ORDER, "refers", "is_first", F.lit(0).alias("kind"))
+    rows = ordered(packed_pages(pages, True)).select(*ORDER, F.lit(1).alias("kind"), "packed", "n")
     shared = spark.sparkContext.broadcast(cuts)
 
     @F.pandas_udf("long")
-    def file_number(page_null: pd.Series, page_id: pd.Series, url_null: pd.Series, url: pd.Series, digest: pd.Series, row: pd.Series) -> pd.Series:
+    def file_number(page_null: pd.Series, page_id: pd.Series, url_null: pd.Series, url: pd.Series, digest: pd.Series) -> pd.Series:
         ids = (None if z else int(x) for z, x in zip(page_null, page_id))
-        return pd.Series([file_of(k, shared.value) for k in zip(page_null, ids, url_null, url, digest, row)], dtype="int64")
+        return pd.Series([file_of(k, shared.value) for k in zip(page_null, ids, url_null, url, digest)], dtype="int64")
 
     schema = pa.schema([("file", pa.string()), ("file_no", pa.int64()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
 
@@ -214,13 +223,16 @@ def write_warc(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes: int
                 if row and row["file_no"] != r["file_no"]:
                     yield done()
                     row = None
+                key = tuple(r[c] for c in ORDER)
                 if r["kind"] == 0:
-                    refers = (r["row"], r["refers"])
+                    refers = [key, r["refers"], r["is_first"]]
                     continue
                 if not row:
                     name = f"pages-{r['file_no']:08d}.warc.gz"
                     out, row = Commit(folder, name), {"file": name, "file_no": r["file_no"], "records": 0, "sha256": hashlib.sha256()}
-                to = refers[1] if refers and refers[0] == r["row"] else None
+                to = refers[1] if refers and refers[0] == key else None
+                if to and refers[2]:
+                    to, refers[2] = None, False  # the first of these rows is the response
                 data = record(r["page_id"], r["url"], r["digest"], r["n"], None, (to["page_id"], to["url"])) if to else r["packed"]
                 out.write(data)
                 row["sha256"].update(data)
@@ -228,12 +240,13 @@ def write_warc(pages: DataFrame, folder: str, scratch: Scratch, roll_bytes: int
         if row:
             yield done()
 
-    told = told.withColumn("n", empty.cast("long"))
-    dealt = rows.unionByName(told).withColumn("file_no", file_number(*ORDER) if cuts else F.lit(0).cast("long"))
-    dealt = dealt.repartition(parts(spark), "file_no").sortWithinPartitions("file_no", *ORDER, "kind")
+    dealt = rows.unionByName(told, allowMissingColumns=True).withColumn("file_no", file_number(*ORDER) if cuts else F.lit(0).cast("long"))
+    files = len(cuts) + 1
+    tasks = min(files, TASKS)
+    dealt = dealt.repartitionById(tasks, F.expr(f"cast(file_no * {tasks} div {files} as int)")).sortWithinPartitions("file_no", *ORDER, "kind")
     path = f"{folder}/manifest"
     dealt.mapInArrow(run, MANIFEST).write.parquet(path)
-    scratch.drop(packed, known)
+    scratch.drop(sizes)
     return spark.read.schema(MANIFEST).parquet(path)
 
 
@@ -241,7 +254,9 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """page_id, url, payload_bytes, payload_digest, record_type, refers_to and
     payload (null for revisits) of every record of the manifest's files. Each
     response's payload and each block is checked against its digest."""
-    files = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("file")
+    files = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("file", "file_no")
+    count = max(1, files.count())
+    tasks = min(count, TASKS)
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
 
     def rows(name):
@@ -271,7 +286,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(held, schema=schema)
 
     out = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-    return files.repartition(parts(spark), "file").mapInArrow(run, out)
+    return files.repartitionById(tasks, F.expr(f"cast(file_no * {tasks} div {count} as int)")).mapInArrow(run, out)
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
