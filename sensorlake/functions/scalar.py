@@ -39,7 +39,7 @@ def json_double(variant, path: str) -> Column:
 
 
 # Doubles from here on are added as doubles: a decimal of 28 digits ends there.
-_HUGE = 1e21
+HUGE = 1e21
 
 
 def exact_avg(col, scale: int = 6, digits: int = 3) -> Column:
@@ -53,7 +53,7 @@ def exact_avg(col, scale: int = 6, digits: int = 3) -> Column:
     ``digits`` of its own is given as it is.
     """
     x = _c(col)
-    plain = F.abs(x) < _HUGE  # false for NaN, which is above every number
+    plain = F.abs(x) < HUGE  # false for NaN, which is above every number
     total = F.sum(F.when(plain, x).cast(T.DecimalType(28, scale))).cast("double")
     rest = F.sum(F.when(~plain, x))
     mean = F.try_divide(F.coalesce(total, F.lit(0.0)) + F.coalesce(rest, F.lit(0.0)), F.count(x))

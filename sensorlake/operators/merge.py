@@ -68,12 +68,13 @@ def read_files_of(spark: SparkSession, bronze_root: str, files: DataFrame) -> Da
 
 
 def replace_partitions(spark: SparkSession, fresh: DataFrame, target: str, partition_cols: list[str]) -> None:
-    """Stage ``fresh`` then overwrite only its partitions of ``target``.
+    """Overwrite only the partitions of ``target`` that ``fresh`` has rows for.
 
-    The staging copy is deleted once the overwrite has committed, so repeated
-    merges do not leave a copy of every rewritten partition behind.
+    ``fresh`` is staged first if it isn't yet. The staging copy is deleted once
+    the overwrite has committed, so repeated merges do not leave a copy of every
+    rewritten partition behind.
     """
-    staged = stage_table(fresh, "staging")
+    staged = fresh if hasattr(fresh, "_staged_path") else stage_table(fresh, "staging")
     (staged.hint("rebalance", *partition_cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(target))
     remove_path(spark, staged_path(staged))
@@ -152,10 +153,9 @@ def merge_silver(spark: SparkSession, rows: DataFrame, silver_path: str) -> Data
         kept = merged.select(*SILVER_PARTITIONS).distinct()
         clear_partitions(spark, silver_path, touched.join(kept, SILVER_PARTITIONS, "left_anti"))
         replace_partitions(spark, merged, silver_path, SILVER_PARTITIONS)
-        remove_path(spark, staged_path(merged))
+        remove_path(spark, staged_path(new))
     else:
         replace_partitions(spark, new, silver_path, SILVER_PARTITIONS)
-    remove_path(spark, staged_path(new))
     return touched
 
 
@@ -193,7 +193,6 @@ def refresh_mart(spark: SparkSession, name: str, silver_path: str, touched: Data
     left = mart.select(F.col(MART_PARTITION).alias("day")).distinct()
     clear_partitions(spark, mart_path, days.join(left, "day", "left_anti").withColumnRenamed("day", MART_PARTITION))
     replace_partitions(spark, mart, mart_path, [MART_PARTITION])
-    remove_path(spark, staged_path(mart))
 
 
 def read_mart(spark: SparkSession, path: str) -> DataFrame:

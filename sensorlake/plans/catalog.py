@@ -24,10 +24,12 @@ from sensorlake.operators import partitions as pt
 from sensorlake.operators import quality as qa
 from sensorlake.operators import registry as rg
 from sensorlake.operators.decode import rekey as _rekey
+from sensorlake.operators.deltas import DeltaStore
 from sensorlake.schemas import BRONZE, BRONZE_DATA, DIM_CUSTOMERS, PARTITION_COLUMNS, SILVER
 from sensorlake.session import scratch_path
 from sensorlake.sources import driver_tables as _dt
 from sensorlake.sources import tables as _tables
+from sensorlake.sources.listing import FileLog
 from sensorlake.sources.profiles import load_profiles, write_profiles
 from sensorlake.sources.snapshot import by_country, read_snapshot
 from sensorlake.streaming import queries as sq
@@ -424,6 +426,61 @@ def incremental_gold_activity(inp: Inputs) -> DataFrame:
     return _incremental_mart(inp, "sensor_activity_by_customer")
 
 
+def _delta_store(inp: Inputs, marts: list[str]) -> DeltaStore:
+    """The two landings of ``_two_runs`` through a store that is kept by deltas,
+    the files of each found by the folders that changed."""
+    spark, root = inp.spark, scratch_path(inp.spark, "bronze")
+    store = DeltaStore(spark, scratch_path(spark, "deltas"), inp.registry, marts, buckets=8)
+    for landing in _dt.two_landings(inp.events, INCREMENT_CUT):
+        pt.write_bronze(landing, root)
+        store.refresh(root)
+    return store
+
+
+@register("indexed_silver")
+def indexed_silver(inp: Inputs) -> DataFrame:
+    """Silver merged by way of the id index: stored copies are looked up in the
+    increment's buckets, hours gain batches and are not rewritten."""
+    return _delta_store(inp, []).silver()
+
+
+@register("delta_gold_pm25")
+def delta_gold_pm25(inp: Inputs) -> DataFrame:
+    """The hourly mart kept by retractable aggregates of what merges changed."""
+    return _delta_store(inp, ["pm25_by_country_hour"]).mart("pm25_by_country_hour")
+
+
+@register("delta_gold")
+def delta_gold(inp: Inputs) -> DataFrame:
+    """The daily climate mart kept by retractable aggregates."""
+    return _delta_store(inp, ["temperature_by_region_day"]).mart("temperature_by_region_day")
+
+
+@register("delta_gold_activity")
+def delta_gold_activity(inp: Inputs) -> DataFrame:
+    """Exact distinct counts kept by counted members; read after compaction."""
+    store = _delta_store(inp, ["sensor_activity_by_customer"])
+    store.compact()
+    return store.mart("sensor_activity_by_customer")
+
+
+@register("listed_increment")
+def listed_increment(inp: Inputs) -> DataFrame:
+    """Rows of each landing, from the files that its changed folders hold: the
+    second one adds files to hours that the first has read."""
+    spark, root = inp.spark, scratch_path(inp.spark, "bronze")
+    log, out = FileLog(spark, scratch_path(spark, "file_log")), None
+    for number, landing in enumerate(_dt.two_landings(inp.events, INCREMENT_CUT)):
+        pt.write_bronze(landing, root)
+        found = log.new_files(root)
+        paths = [r["path"] for r in found.files.select("path").collect()]
+        rows = _tables.read_files(spark, paths, BRONZE, root).groupBy(*PARTITION_COLUMNS).agg(F.count(F.lit(1)).alias("row_count"))
+        rows = _tables.stage_table(rows.withColumn("landing", F.lit(number)), "listed")
+        out = rows if out is None else out.unionByName(rows)
+        log.commit(found)
+    return out
+
+
 @register("schema_sync")
 def schema_sync(inp: Inputs) -> DataFrame:
     """A silver table stored under an older schema, brought to the model's columns."""
@@ -559,6 +616,14 @@ def stream_hourly(inp: Inputs) -> DataFrame:
     return inp.spark.read.parquet(out).drop("part_day")
 
 
+@register("stream_hourly_delta")
+def stream_hourly_delta(inp: Inputs) -> DataFrame:
+    """The same counts from partial aggregates of each batch's changes."""
+    root = scratch_path(inp.spark, "s_deltas")
+    _two_waves(inp, lambda m, c: sq.hourly_delta(m, DeltaStore(inp.spark, root, marts=["hourly"], buckets=8), c), _late_waves(inp))
+    return DeltaStore(inp.spark, root, marts=["hourly"]).mart("hourly")
+
+
 @register("stream_from_kafka_frame")
 def stream_from_kafka_frame(inp: Inputs) -> DataFrame:
     """Kafka-shaped frame (fed from files here) re-keyed and republished to a sink."""

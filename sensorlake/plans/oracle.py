@@ -537,6 +537,16 @@ bronze AS (
 
 IBASE = with_ctes(DELIVERIES, READINGS, TWO_LANDINGS, CLASSIFIED, SILVER, DIMS, ENRICHED)
 
+LISTED = """SELECT strftime(arrival, '%Y') AS year, strftime(arrival, '%m') AS month, strftime(arrival, '%d') AS day,
+        strftime(arrival, '%H') AS hour, COUNT(*) AS row_count, CAST(landing AS INTEGER) AS landing
+    FROM (
+        SELECT arrival, CASE WHEN strftime(arrival, '%Y%m%d%H') >= '2024011600' OR event_id % 30 = 1 OR event_id % 47 = 10
+                             THEN 1 ELSE 0 END AS landing FROM landed
+        UNION ALL SELECT arrival, 1 FROM landed_once WHERE event_id % 41 = 7
+        UNION ALL SELECT arrival, 1 FROM landed_once
+            WHERE event_id % 43 = 9 AND event_id % 211 <> 5 AND event_id % 61 <> 8 AND event_id % 47 <> 10
+    ) GROUP BY ALL"""
+
 
 def layout_queries() -> dict[str, str]:
     g = GOLD
@@ -601,6 +611,11 @@ UNION ALL SELECT 'not_null', 'sensor_activity_by_customer', 'active_sensors', CO
         "incremental_gold_pm25": IBASE + g["pm25"],
         "incremental_gold_temperature": IBASE + g["temperature"],
         "incremental_gold_activity": IBASE + g["activity"],
+        "indexed_silver": IBASE + "SELECT * FROM silver",
+        "delta_gold_pm25": IBASE + g["pm25"],
+        "delta_gold": IBASE + g["temperature"],
+        "delta_gold_activity": IBASE + g["activity"],
+        "listed_increment": with_ctes(DELIVERIES, READINGS, TWO_LANDINGS) + LISTED,
         "schema_sync": BASE + f"SELECT {sel_silver.replace('pressure_at_sealevel', europe_null)} FROM silver",
         "full_refresh_counts": BASE + counts,
         "quality_report": BASE + q_bronze + q_silver,
@@ -664,6 +679,8 @@ def stream_queries() -> dict[str, str]:
         "stream_unregistered": SBASE + "SELECT * FROM draw_unreg",
         "stream_hourly": LBASE + f"""SELECT date_trunc('hour', ingested_at) AS hour, sensor_type,
             COUNT(*) AS reading_count, {avg_exact('pm25')} AS avg_pm25 FROM dsilver GROUP BY 1, 2""",
+        "stream_hourly_delta": LBASE + f"""SELECT date_trunc('hour', ingested_at) AS hour, sensor_type,
+            COUNT(*) AS reading_count, {avg_exact('pm25')} AS avg_pm25 FROM dsilver GROUP BY 1, 2""",
         "stream_from_kafka_frame": rekey,
         "stream_partition_status": SBASE + """SELECT year, month, day, hour, true AS has_data,
             start + INTERVAL 1 HOUR AS closed_at
