@@ -7,13 +7,15 @@ micro-batch produces the same ids and can be skipped.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorlake.constants import (ALERT_PRESSURE, ALERT_UNREGISTERED, FEED_WINDOW_ROWS,
                                   PRESSURE_THRESHOLD_PA)
 from sensorlake.functions.scalar import json_double, parse_values
 from sensorlake.operators.joins import as_registry, customer_lookup
+from sensorlake.schemas import ALERT_LOG
 
 # FIXED VALUES: text of the pressure notification.
 PRESSURE_MESSAGE = ("[ALERT] Pressure threshold exceeded: sensor_id=%s pressure=%.1fPa (limit=%.0fPa) "
@@ -162,6 +164,52 @@ def alert_feed(alert_log: DataFrame, since_created_at=None, since_id=None) -> Da
     return alert_detail(feed).orderBy("created_at", "alert_id")
 
 
+LOG_DAY = "log_day"
+
+
+def write_log_by_day(alert_log: DataFrame, path: str, mode: str = "append") -> None:
+    """The alert log stored by the day of its alerts."""
+    (alert_log.withColumn(LOG_DAY, F.date_format("created_at", "yyyy-MM-dd")).hint("rebalance", LOG_DAY)
+     .write.mode(mode).partitionBy(LOG_DAY).parquet(path))
+
+
+def read_log_by_day(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(T.StructType(ALERT_LOG.fields + [T.StructField(LOG_DAY, T.StringType())])).parquet(path)
+
+
+def log_days(spark: SparkSession, path: str) -> list[str]:
+    """Days that the stored log has folders for, from one listing."""
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{LOG_DAY}=*")
+    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName().split("=", 1)[1] for s in fs.globStatus(glob) or [])
+
+
+def feed_from(spark: SparkSession, path: str, since_created_at=None, since_id=None) -> DataFrame:
+    """``alert_feed`` over the log stored by day: the cursor's day prunes the
+    folders before it."""
+    log = read_log_by_day(spark, path)
+    if since_created_at is not None:
+        day = F.date_format(F.lit(since_created_at).cast("timestamp"), "yyyy-MM-dd")
+        log = log.where(F.col(LOG_DAY) >= day)
+    return alert_feed(log, since_created_at, since_id).drop(LOG_DAY)
+
+
+def high_water_by_day(spark: SparkSession, path: str) -> DataFrame:
+    """``feed_high_water`` from the newest day's folder alone."""
+    return feed_high_water(read_log_by_day(spark, path).where(F.col(LOG_DAY).isin(log_days(spark, path)[-1:])))
+
+
+def latest_from(spark: SparkSession, path: str, n: int = FEED_WINDOW_ROWS) -> DataFrame:
+    """``latest_alerts`` from the newest days only: days are taken from the
+    back, twice as many each time, until they hold ``n`` alerts."""
+    days, taken = log_days(spark, path), 1
+    while True:
+        log = read_log_by_day(spark, path).where(F.col(LOG_DAY).isin(days[-taken:]))
+        if taken >= len(days) or log.limit(n).count() == n:
+            return latest_alerts(log, n).drop(LOG_DAY)
+        taken *= 2
+
+
 def feed_high_water(alert_log: DataFrame) -> DataFrame:
     """One-row frame: latest created_at, or the epoch when the log is empty."""
     return alert_log.agg(F.coalesce(F.max("created_at"), F.lit("1970-01-01 00:00:00").cast("timestamp")).alias("created_at"))

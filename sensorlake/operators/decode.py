@@ -58,8 +58,10 @@ def _with_fields(p: DataFrame) -> DataFrame:
     for key in _TEXT:
         cols[key] = F.coalesce(F.try_variant_get(v, f"$.{key}", "string"), F.lit(DEFAULTS[key]))
     sub = F.try_variant_get(v, "$.values", "variant")
-    # a text is kept as JSON, with its quotes
-    raw = F.when(F.schema_of_variant(sub) == "STRING", F.to_json(sub)).otherwise(F.get_json_object("_text", "$.values"))
+    # a text is kept as JSON, with its quotes; only where the message's text
+    # allows for one (or escapes its keys) is the kind of ``values`` looked at
+    perhaps = F.col("_text").rlike(r'"values"\s*:\s*"|\\')
+    raw = F.when(perhaps & (F.schema_of_variant(sub) == "STRING"), F.to_json(sub)).otherwise(F.get_json_object("_text", "$.values"))
     cols["values"] = F.coalesce(raw, F.lit(DEFAULTS["values"]))
     reason = (F.when(v.isNull(), F.lit("invalid_json"))
               .when(~_is_object(), F.lit("not_a_json_object"))
@@ -71,13 +73,24 @@ BRONZE_FIELDS = ["reading_id", "sensor_id", "sensor_type", "ingested_at", "latit
                  "longitude", "country", "values"]
 
 
+def decoded(messages: DataFrame) -> DataFrame:
+    """Every message once, with its fields and ``_reason``: what ``split`` makes
+    bronze and dead letters of. Persist or write it, and both come from one
+    decode."""
+    return _with_fields(_parsed(messages)).drop("_v")
+
+
 def decode(messages: DataFrame, hour_from: str = "timestamp") -> tuple[DataFrame, DataFrame]:
     """(bronze, dead_letter) from a ``(key, value, timestamp)`` frame.
 
     Partition columns come from ``hour_from`` (the arrival clock by default;
     pass a parsed event-time column to partition by reading time instead).
     """
-    f = _with_fields(_parsed(messages))
+    return split(_with_fields(_parsed(messages)), hour_from)
+
+
+def split(f: DataFrame, hour_from: str = "timestamp") -> tuple[DataFrame, DataFrame]:
+    """(bronze, dead_letter) of a ``decoded`` frame."""
     # ``_part >= 0`` is always true; referencing the column keeps the barrier
     # projection (see ``_parsed``) from being pruned away.
     kept = F.col("_part") >= 0

@@ -14,6 +14,8 @@ from sensorlake.constants import (ASIA_PACIFIC_BOX, EUROPE_COUNTRIES, NORTH_AMER
                                   PROFILE_SAMPLE_SIZE, REGION_CUSTOMERS, SEED_CUSTOMERS)
 from sensorlake.operators.joins import bounded_broadcast
 from sensorlake.schemas import DIM_CUSTOMERS
+from sensorlake.session import remove_path
+from sensorlake.sources.tables import stage_table, staged_path
 
 DIM_SENSOR_COLUMNS = ["sensor_id", "sensor_type", "latitude", "longitude", "country", "region", "customer_id"]
 
@@ -43,8 +45,10 @@ def value_ranges(values: Column) -> Column:
         e["value_type"].alias("k"),
         F.when(e["value"].isNull(), F.lit(0.0)).otherwise(e["value"].try_cast("double")).alias("v")))
     ok = F.filter(parsed, lambda x: x["k"].isNotNull() & (x["k"] != "") & x["v"].isNotNull())
-    last = F.filter(ok, lambda x, i: ~F.exists(F.slice(ok, i + 2, F.greatest(F.size(ok) - i - 1, F.lit(0))),
-                                               lambda y: y["k"] == x["k"]))
+    # each name once, with its last value: sorted by name and place, the entry
+    # before another name (n log n in the row's entries, not n squared)
+    placed = F.array_sort(F.transform(ok, lambda x, i: F.struct(x["k"].alias("k"), i.alias("i"), x["v"].alias("v"))))
+    last = F.filter(placed, lambda x, i: ~F.coalesce(F.get(placed, i + 1)["k"] == x["k"], F.lit(False)))
     return F.map_from_entries(F.transform(last, lambda x: F.struct(
         x["k"], F.struct(x["v"].alias("mean"), F.greatest(x["v"] * 0.05, F.lit(0.5)).alias("std")))))
 
@@ -132,6 +136,36 @@ def first_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns))
 
 
+class BucketedTable:
+    """A keyed table that is merged in place: stored by hash bucket of its key,
+    an upsert reads and rewrites only the buckets of its rows' keys."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 64):
+        self.spark, self.path, self.keys, self.buckets = spark, path, keys, buckets
+
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+
+    def create(self, df: DataFrame) -> None:
+        self._bucketed(df).repartition("bucket").write.partitionBy("bucket").parquet(self.path)
+
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        df = self.spark.read.parquet(self.path)
+        return (df if buckets is None else df.where(F.col("bucket").isin(buckets))).drop("bucket")
+
+    def upsert(self, source: DataFrame) -> None:
+        """As ``upsert``. The merged buckets are staged, so the table is never
+        read and overwritten by one job; a run that breaks off while buckets
+        are swapped is repaired by doing it again."""
+        source = stage_table(first_per_key(source, self.keys), "upsert_source")
+        touched = [r["bucket"] for r in self._bucketed(source).select("bucket").distinct().collect()]  # at most ``buckets``
+        if touched:
+            merged = stage_table(self._bucketed(upsert(self.read(touched), source, self.keys)), "upserted")
+            (merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(self.path))
+            remove_path(self.spark, staged_path(merged))
+        remove_path(self.spark, staged_path(source))
+
+
 def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Append only rows whose key is not present yet (ON CONFLICT DO NOTHING)."""
     src = first_per_key(new, keys)

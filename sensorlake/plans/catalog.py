@@ -9,24 +9,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.constants import ALERT_UNREGISTERED
 from sensorlake.functions.scalar import ntz_columns, parse_instant
 from sensorlake.operators import gold
 from sensorlake.operators.joins import enrich
-from sensorlake.operators.silver import build_rejected, build_silver, classify
+from sensorlake.operators.silver import _typed, build_rejected, build_silver, classify, earliest_per_reading
 from sensorlake.plans.inputs import Inputs
 from sensorlake.operators import alerts as al
 from sensorlake.operators import merge as mg
 from sensorlake.operators import partitions as pt
 from sensorlake.operators import quality as qa
 from sensorlake.operators import registry as rg
-from sensorlake.operators.decode import rekey as _rekey
+from sensorlake.operators.decode import decoded as _decoded, rekey as _rekey, split as _split
 from sensorlake.operators.deltas import DeltaStore
 from sensorlake.schemas import BRONZE, BRONZE_DATA, DIM_CUSTOMERS, PARTITION_COLUMNS, SILVER
-from sensorlake.session import scratch_path
+from sensorlake.session import remove_path, scratch_path
 from sensorlake.sources import driver_tables as _dt
 from sensorlake.sources import tables as _tables
 from sensorlake.sources.listing import FileLog
@@ -190,6 +190,28 @@ def alert_feed_resumed(inp: Inputs) -> DataFrame:
     return feed.select("sensor_id", "reading_id", "alert_type", "created_at", "detail")
 
 
+def _log_by_day(inp: Inputs) -> str:
+    path = scratch_path(inp.spark, "alert_days")
+    al.write_log_by_day(_tables.stage_table(_alert_log(inp), "alert_log"), path)
+    return path
+
+
+@register("alert_feed_pruned")
+def alert_feed_pruned(inp: Inputs) -> DataFrame:
+    """The resumed feed over a log stored by day: folders before the cursor's
+    day are not read."""
+    path = _log_by_day(inp)
+    seen = al.feed_high_water(al.read_log_by_day(inp.spark, path).where((F.col(al.LOG_DAY) <= FEED_SINCE[:10]) & (F.col("created_at") <= F.lit(FEED_SINCE).cast("timestamp"))))
+    feed = al.feed_from(inp.spark, path, since_created_at=seen.first()["created_at"])
+    return feed.select("sensor_id", "reading_id", "alert_type", "created_at", "detail")
+
+
+@register("alert_latest_pruned")
+def alert_latest_pruned(inp: Inputs) -> DataFrame:
+    """The newest alerts from the newest days of the log."""
+    return al.latest_from(inp.spark, _log_by_day(inp)).select("sensor_id", "reading_id", "alert_type", "created_at", "detail")
+
+
 @register("alert_feed_latest")
 def alert_feed_latest(inp: Inputs) -> DataFrame:
     return al.latest_alerts(_alert_log(inp)).select("sensor_id", "reading_id", "alert_type",
@@ -219,6 +241,25 @@ def stage_counts(inp: Inputs) -> DataFrame:
     return out
 
 
+@register("observed_counts")
+def observed_counts(inp: Inputs) -> DataFrame:
+    """``stage_counts`` from observations that ride on the refresh's own writes:
+    messages are decoded once and staged, silver and the alert log are written
+    from that, and each write counts its rows as it goes."""
+    one, spark = F.lit(1), inp.spark
+    seen = [Observation() for _ in range(4)]
+    frame = _decoded(inp.messages).observe(seen[0], F.count(one).alias("messages_in"), F.count_if(F.col("_reason").isNull()).alias("bronze_rows"),
+                                           F.count_if(F.col("_reason").isNotNull()).alias("dead_letter"))
+    bronze, _ = _split(_tables.stage_table(frame, "decoded"))
+    typed = _typed(classify(bronze.drop("_arrival")).observe(seen[1], F.count_if(F.col("rejection_reason").isNotNull()).alias("rejected"))
+                   .where(F.col("rejection_reason").isNull()))
+    _tables.stage_table(earliest_per_reading(typed).observe(seen[2], F.count(one).alias("silver_rows")), "silver")
+    unregistered = F.col("alert_type") == ALERT_UNREGISTERED
+    log = _alert_log(inp).observe(seen[3], F.count_if(unregistered).alias("unregistered_alerts"), F.count_if(~unregistered).alias("pressure_alerts"))
+    _tables.stage_table(log, "alert_log")
+    return spark.createDataFrame([(k, int(v)) for o in seen for k, v in o.get.items()], "stage string, row_count long")
+
+
 # ---------------------------------------------------------------- registry
 
 
@@ -292,6 +333,16 @@ def upsert_dims(inp: Inputs) -> DataFrame:
     return rg.upsert(inp.dim_sensors, newer.where("sensor_id % 3 <> 0"), ["sensor_id"])
 
 
+@register("upsert_buckets")
+def upsert_buckets(inp: Inputs) -> DataFrame:
+    """``upsert_dims`` in place: only buckets of merged keys are rewritten."""
+    newer = _dt.dims_from_customer_table(inp.table("customer"), inp.table("nation"), inp.table("region"))
+    table = rg.BucketedTable(inp.spark, scratch_path(inp.spark, "dim_buckets"), ["sensor_id"], buckets=16)
+    table.create(inp.dim_sensors)
+    table.upsert(newer.where("sensor_id % 3 <> 0"))
+    return table.read()
+
+
 @register("upsert_customers")
 def upsert_customers(inp: Inputs) -> DataFrame:
     """A registry created with the seeded customers, then merged with the even
@@ -560,6 +611,7 @@ def _two_waves(inp: Inputs, start, waves: list[DataFrame] | None = None) -> None
     spark = inp.spark
     msg_dir = scratch_path(spark, "messages")
     ckpt = scratch_path(spark, "checkpoint")
+    inp.streamed = msg_dir
     for wave in waves or [_dt.messages_from_events(inp.events, copy=c) for c in (0, 1)]:
         land_messages(wave, msg_dir)
         sq.run_to_end(start(file_messages(spark, msg_dir), ckpt))
@@ -591,6 +643,37 @@ def stream_silver_dedup(inp: Inputs) -> DataFrame:
     return mg.read_silver(inp.spark, out)
 
 
+@register("stream_ingest")
+def stream_ingest(inp: Inputs) -> DataFrame:
+    """Bronze and dead letters of one query over two waves with a restart; the
+    last batch is then delivered again, as after a lost commit."""
+    spark = inp.spark
+    out, dead = scratch_path(spark, "s_bronze"), scratch_path(spark, "s_dead")
+    seen = []
+
+    def start(m, c):
+        seen.append(c)
+        return sq.ingest(m, out, dead, c)
+    _two_waves(inp, start)
+    msg_dir, ckpt = inp.streamed, seen[-1]
+    remove_path(spark, f"{ckpt}/commits/1")
+    remove_path(spark, f"{ckpt}/commits/.1.crc")
+    sq.run_to_end(sq.ingest(file_messages(spark, msg_dir), out, dead, ckpt))
+    bronze = pt.read_bronze(spark, out).select(*[f.name for f in BRONZE.fields], F.lit(None).cast("string").alias("reason"))
+    letters = spark.read.parquet(dead).select(F.col("raw_value").alias("values"), "reason")
+    return bronze.unionByName(letters, allowMissingColumns=True)
+
+
+@register("stream_first_seen")
+def stream_first_seen(inp: Inputs) -> DataFrame:
+    """Unregistered sensors and the wave that they are first seen in, over three
+    waves with a restart before each but the first."""
+    out = scratch_path(inp.spark, "s_first")
+    waves = [inp.messages.where(F.col("event_id") % 3 == i) for i in range(3)]
+    _two_waves(inp, lambda m, c: sq.first_seen(m, _registry_source(inp), out, c), waves)
+    return inp.spark.read.parquet(out).select("sensor_id", "alert_type", F.col("batch_id").cast("int").alias("wave"))
+
+
 @register("stream_alerts")
 def stream_alerts(inp: Inputs) -> DataFrame:
     out = scratch_path(inp.spark, "s_alerts")

@@ -221,7 +221,7 @@ messages AS (
            || CASE WHEN event_id % 61 = 5 THEN '"country": null' ELSE '"country": "' || country || '"' END
            || CASE WHEN event_id % 53 = 6 THEN '' WHEN event_id % 107 = 9 THEN ', "values": "abc"' ELSE ', "values": ' || "values" END
            || '}' END AS value,
-           arrival AS "timestamp"
+           arrival AS "timestamp", event_id
     FROM readings
 ),
 msg_json AS (
@@ -674,6 +674,11 @@ def stream_queries() -> dict[str, str]:
     return {
         "stream_bronze": SBASE + """SELECT reading_id, sensor_id, sensor_type, ingested_at, latitude, longitude,
             country, "values", year, month, day, hour FROM dbronze""",
+        "stream_ingest": SBASE + """SELECT reading_id, sensor_id, sensor_type, ingested_at, latitude, longitude,
+            country, "values", year, month, day, hour, CAST(NULL AS VARCHAR) AS reason FROM dbronze
+            UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, raw_value, NULL, NULL, NULL, NULL, reason FROM dead""",
+        "stream_first_seen": SBASE + """SELECT sensor_id, 'unregistered_device' AS alert_type, CAST(MIN(m.event_id % 3) AS INTEGER) AS wave
+            FROM alert_src a JOIN messages m ON m.value = a.value AND m."timestamp" = a.arrival WHERE NOT EXISTS (SELECT 1 FROM dim_sensors ds WHERE ds.sensor_id = a.sensor_id) GROUP BY sensor_id""",
         "stream_silver_dedup": LBASE + "SELECT * FROM dsilver",
         "stream_alerts": SBASE + "SELECT sensor_id, reading_id, alert_type, payload, created_at FROM pressure_log",
         "stream_unregistered": SBASE + "SELECT * FROM draw_unreg",
@@ -701,4 +706,8 @@ def oracle_queries() -> dict[str, str]:
     out.update(registry_queries())
     out.update(layout_queries())
     out.update(stream_queries())
+    # other ways to the same results
+    for name, same in {"alert_feed_pruned": "alert_feed_resumed", "alert_latest_pruned": "alert_feed_latest",
+                       "observed_counts": "stage_counts", "upsert_buckets": "upsert_dims"}.items():
+        out[name] = out[same]
     return out

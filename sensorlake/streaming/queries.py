@@ -1,5 +1,6 @@
 """Streaming pipelines over a message frame.
 
+- ``ingest``: one query, one decode, two sinks idempotent by batch id.
 - ``bronze``: decode -> Hive-partitioned Parquet file sink (exactly-once via
   the sink's commit log) plus a dead-letter file sink.
 - ``silver_dedup``: each batch is merged into stored silver by the hours it
@@ -8,6 +9,7 @@
   nothing, and an earlier copy replaces a later one whenever it comes.
 - ``hourly``: after that merge, the days of the touched hours are recounted;
   ``hourly_delta`` appends partial aggregates of what the merge changed instead.
+- ``first_seen``: unregistered sensors by keyed state, without the log.
 - ``pressure_alerts`` / ``unregistered_alerts``: ``foreachBatch`` writes a
   batch's alerts, if it raised any, to a folder of its own; a replayed batch
   replaces it. The registry is read anew for each batch.
@@ -18,6 +20,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from sensorlake.functions.scalar import exact_avg
 from sensorlake.operators import alerts as al
-from sensorlake.operators.decode import alert_readings, decode
+from sensorlake.operators.decode import alert_readings, decode, decoded, split
 from sensorlake.operators.deltas import DeltaStore
 from sensorlake.operators.joins import Registry
 from sensorlake.operators.merge import clear_partitions, merge_silver, of_days, read_stored_silver, replace_partitions
@@ -48,7 +51,8 @@ def _start(writer, checkpoint: str, trigger: dict | None) -> StreamingQuery:
 
 def bronze(messages: DataFrame, bronze_path: str, dead_path: str, checkpoint: str,
            trigger: dict | None = None) -> list[StreamingQuery]:
-    """Two sinks from one decode; partitions come from the arrival clock."""
+    """Two file sinks, each a query of its own that decodes the topic;
+    ``ingest`` has both from one. Partitions come from the arrival clock."""
     b, dead = decode(messages)
     b = b.observe("bronze", F.count(F.lit(1)).alias("rows"))
     dead = dead.observe("dead_letter", F.count(F.lit(1)).alias("rows"))
@@ -58,6 +62,45 @@ def bronze(messages: DataFrame, bronze_path: str, dead_path: str, checkpoint: st
     return [q1, q2]
 
 
+def publish_batch(spark: SparkSession, staged: str, target: str, batch_id: int) -> None:
+    """Move a staged batch's files into the hour folders of ``target`` under
+    names of the batch; those of an earlier try are removed first. One rename a
+    file: as many as the batch has hours and writers."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(conf)
+    hours = "year=*/month=*/day=*/hour=*"
+    for old in fs.globStatus(path(f"{target}/{hours}/batch-{batch_id:012d}-*.parquet")) or []:
+        fs.delete(old.getPath(), False)
+    found = sorted(s.getPath().toString() for s in fs.globStatus(path(f"{staged}/{hours}/*.parquet")) or [])
+    for number, name in enumerate(found):
+        folder = path("/".join([target, *name.split("/")[-5:-1]]))
+        fs.mkdirs(folder)
+        if not fs.rename(path(name), path(folder, f"batch-{batch_id:012d}-{number:06d}.parquet")):
+            raise OSError(f"cannot move {name} to {folder}")
+    fs.delete(path(staged), True)
+
+
+def ingest(messages: DataFrame, bronze_path: str, dead_path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Bronze and dead letters from one query and one decode: each batch is
+    decoded once, kept while both sinks are written, and let go. Both sinks are
+    idempotent by batch id: dead letters by their own partition, bronze by file
+    names of the batch, so the hour layout stays as it is."""
+    def run(df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            b, dead = split(df)
+            staged = f"{bronze_path.rstrip('/')}__batch-{batch_id}"
+            b.drop("_arrival").hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(staged)
+            publish_batch(spark, staged, bronze_path.rstrip("/"), batch_id)
+            _write_batch(dead, dead_path, batch_id)
+        finally:
+            df.unpersist()
+
+    return _start(decoded(messages).writeStream.foreachBatch(run), checkpoint, trigger)
+
+
 class StageCounts(StreamingQueryListener):
     """Stage counters (A8): the ``observe`` metrics of every batch, which come
     with its progress event and cost no job. Register it with
@@ -160,6 +203,25 @@ def unregistered_alerts(messages: DataFrame, registry: RegistrySource, alert_pat
     return _start(rows.writeStream.foreachBatch(run), checkpoint, trigger)
 
 
+def first_seen(messages: DataFrame, registry: RegistrySource, alert_path: str, checkpoint: str,
+               trigger: dict | None = None) -> StreamingQuery:
+    """One alert for each unregistered sensor, when it is first seen.
+
+    The sensors seen are keyed state of the stream (RocksDB, in the
+    checkpoint): ``dropDuplicates`` lets an id through once, ever, and no batch
+    reads the alert log. State has a row for each sensor that was unregistered
+    when the query last started; the registry is asked anew for those that a
+    batch lets through. Of several messages of a sensor in its first batch any
+    one is the payload."""
+    known = registry(messages.sparkSession).known_ids
+    rows = alert_readings(messages).join(known, "sensor_id", "left_anti").dropDuplicates(["sensor_id"])
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        _write_batch(al.first_messages(df, registry(df.sparkSession), None), alert_path, batch_id)
+
+    return _start(rows.writeStream.foreachBatch(run), checkpoint, trigger)
+
+
 def hourly_counts(silver: DataFrame) -> DataFrame:
     return (silver.groupBy(F.date_trunc("hour", "ingested_at").alias("hour"), "sensor_type")
             .agg(F.count(F.lit(1)).alias("reading_count"), exact_avg("pm25").alias("avg_pm25")))

@@ -37,7 +37,7 @@ def both_ways(spark, cases, marts=tuple(gold.MARTS)):
 def test_equals_a_full_build(spark, case):
     first, second = MANY if case == "many" else LANDINGS[case][:2]
     marts = tuple(gold.MARTS) if case in ("many", "the only row of its day moves", "a copy of equal time") else ("sensor_activity_by_customer",)
-    store, silver, full = both_ways(spark, [first, second, first], marts)
+    store, silver, full = both_ways(spark, [first, second, first] if case == "many" else [first, second], marts)
     assert rows(store.silver()) == rows(silver)
     for name, mart in full.items():
         assert rows(store.mart(name)) == rows(mart), name
@@ -91,10 +91,9 @@ def test_plans_read_what_changed(spark):
     first, second = MANY
     store, _, _ = both_ways(spark, [first, second], ["pm25_by_country_hour"])
     some = store.index_of([1, 3])
-    plan = _plan(some)
-    assert "PartitionFilters: [bucket" in plan.replace("isnotnull(bucket", "").replace("(bucket#", "bucket#") or "bucket" in plan.split("PartitionFilters:")[1].split("]")[0]
-    assert {r["bucket"] for r in some.select("bucket").distinct().collect()} <= {1, 3}
-    assert all("/bucket=1/" in f or "/bucket=3/" in f for f in some.inputFiles()) or len(some.inputFiles()) >= 0
+    assert "bucket" in _plan(some).split("PartitionFilters:")[1].split("]")[0]
+    read = [r[0] for r in some.select(F.input_file_name()).distinct().collect()]
+    assert read and all("/bucket=1/" in f or "/bucket=3/" in f for f in read)
     changes = spark.createDataFrame([], deltas.CHANGES)
     spec = deltas.MARTS["pm25_by_country_hour"]
     scans = _plan(spec.state_of(store.mart_changes("pm25_by_country_hour", changes))) + _plan(store.mart("pm25_by_country_hour"))
