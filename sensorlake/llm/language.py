@@ -1,5 +1,6 @@
 """Language identification by words first, then ever shorter n-grams."""
 
+import itertools
 import math
 import re
 from collections import Counter
@@ -49,13 +50,29 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+def up_to(rows: DataFrame, by: list[str], col: str, order: Column, need: Column) -> tuple[DataFrame, DataFrame]:
+    """Rows of each group that are among its first ``need`` in order of ``col``
+    for certain, and those at the value where the number is reached, with
+    ``need`` cut to how many of them are. Only a histogram of ``col`` is ranked."""
+    bins = rows.withColumn("_need", need).groupBy(*by, col).agg(F.count("*").alias("_m"), F.first("_need").alias("_need"))
+    before = F.sum("_m").over(Window.partitionBy(*by).orderBy(order)) - F.col("_m")
+    bins = bins.withColumn("_before", before).where(F.col("_before") < F.col("_need"))
+    edge = bins.groupBy(*by).agg(F.max_by(F.struct(F.col(col).alias("at"), "_before", "_m", "_need"), "_before").alias("_edge"))
+    bins = bins.join(edge, by).select(*by, col, (F.col("_edge.at") == F.col(col)).alias("_last"), (F.col("_edge._need") - F.col("_edge._before")).alias("_left"))
+    found = rows.drop("_left").join(bins, [*by, col])
+    return found.where("not _last").drop("_last", "_left"), found.where("_last").drop("_last")
+
+
 def top(counts: DataFrame, by: list[str], key: str, k: int) -> DataFrame:
-    """The k most frequent of each group, ties to the smaller key. A group's
-    rows are first cut down in 64 parts, so none is ranked in one task whole."""
-    order = [F.desc("n"), F.asc(key)]
-    part = F.pmod(F.xxhash64(key), F.lit(64))
-    cut = counts.withColumn("_part", part).withColumn("_r", F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order))).where(F.col("_r") <= k)
-    return cut.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_r") <= k).drop("_r", "_part")
+    """The k most frequent of each group, ties to the smaller key. Histograms
+    of the counts, then of the first two letters among ties, leave only the
+    ties of one beginning to be ranked."""
+    sure, ties = up_to(counts, by, "n", F.desc("n"), F.lit(k))
+    ties = ties.withColumn("_start", F.substring(key, 1, 2))
+    early, last = up_to(ties, by, "_start", F.asc("_start"), F.col("_left"))
+    ranked = last.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(key))).where(F.col("_r") <= F.col("_left"))
+    names = counts.columns
+    return sure.select(names).unionAll(early.select(names)).unionAll(ranked.select(names))
 
 
 def gram_counts(counts: DataFrame, longest: int) -> DataFrame:
@@ -97,7 +114,8 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         counts = Counter(WORD.findall((text or "").lower()))
-        if not counts or not self.langs:
+        # number signs like \u00bd or \u2167 are word characters, but no letters
+        if not self.langs or not any(map(str.isalpha, itertools.chain.from_iterable(counts))):
             return "und", 0.0
         sums = list(self.prior)
         ways = range(len(sums))
@@ -157,7 +175,7 @@ def identify(docs: DataFrame, model: Model, out: str) -> DataFrame:
     """``docs`` with a struct ``out`` of lang_pred and score (0 to 1, the
     posterior of the predicted language).
 
-    A null text, or one without a letter, is ``und`` with score 0, as is any
+    A null text, or one without a letter (number signs are none), is ``und`` with score 0, as is any
     text if the model knows no language. Words of letters no n-gram knows add
     nothing: the language is then the most frequent one. Ties go to the
     language first by code point. Rows stay as they are, repeated ones too;
@@ -177,7 +195,10 @@ def op4_langid(spark, sf_dir: str) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """``docs`` without rows that have no letter or whose language's posterior
-    is under ``least``. The model is learnt from the rows' own labels."""
-    out = free_name(docs, "found")
-    found = identify(docs, train(docs.select("text", "lang")), out)
+    is under ``least``. The model is learnt from the rows' own labels; if no
+    row has one, nothing is known and all rows stay."""
+    out, model = free_name(docs, "found"), train(docs.select("text", "lang"))
+    if not model.langs:
+        return docs
+    found = identify(docs, model, out)
     return found.where((F.col(f"{out}.lang_pred") != "und") & (F.col(f"{out}.score") >= least)).drop(out)

@@ -64,3 +64,26 @@ def test_words_that_occur_once_teach_ngrams(spark):
     model = language.train(train)
     assert "rro" in model.grams[2]
     assert model.predict("perros")[0] == "es" and model.predict("gatos perra")[0] == "es"
+
+
+def test_number_signs_are_no_letters(spark):
+    model = language.train(document_frame(spark))
+    for text in ("\u00bd", "12 \u00b2 3", "\u2460", "\u2167", "_ 7"):
+        assert model.predict(text) == ("und", 0.0)
+    assert model.predict("\u00bd x")[0] != "und"
+
+
+def test_nothing_is_dropped_without_a_label(spark):
+    docs = document_frame(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert language.keep_identified(docs).count() == docs.count()
+
+
+def test_most_frequent_by_histograms(spark):
+    import random
+    rng = random.Random(2)
+    rows = sorted({(g, "".join(rng.choice("ab\u00e9") for _ in range(rng.randrange(1, 6)))): rng.choice([1, 1, 1, 2, 3, 50]) for g in "xyz" for _ in range(150)}.items())
+    rows = [(g, w, n) for (g, w), n in rows] + [("few", "a", 1)]
+    df = spark.createDataFrame(rows, "g string, w string, n long")
+    for k in (1, 7, 40, 90, 1000):
+        want = [r for g in ("x", "y", "z", "few") for r in sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1].encode()))[:k]]
+        assert sorted(tuple(r) for r in language.top(df, ["g"], "w", k).collect()) == sorted(want)
