@@ -74,3 +74,11 @@ def test_seeds_with_and_without_the_filter(spark):
     every = dc.seed_rows(docs, dc.text_key()).join(marks, "seed").select("k1", "place", "seed").distinct()
     some = dc.seed_rows(docs, dc.text_key(), dc.pair_bitmap(bench)).join(marks, "seed").select("k1", "place", "seed").distinct()
     assert every.exceptAll(some).count() == 0 and every.count() == some.count()
+
+
+def test_items_without_an_id_clean_all_the_same(spark):
+    text = " ".join(f"nameless{i}" for i in range(20))
+    docs = document_frame(spark, [(1, "before it " + text + " behind it", "en", "a"), (2, "no such words here at all", "en", "a")])
+    bench = spark.createDataFrame([(None, text), (1, ITEMS[0][1]), (None, None)], "item_id long, text string")
+    assert [r["doc_id"] for r in dc.clean_documents(docs, bench).collect()] == [2]
+    assert dc.contaminated(docs, bench).count() == 0
