@@ -12,11 +12,14 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorlake.session import remove_path, scratch_path
 
 #: Most rows of a broadcast side; a larger side is joined by a shuffle.
 BROADCAST_ROWS = 200_000
+#: Most bytes of a broadcast side that holds texts or arrays.
+BROADCAST_BYTES = 64 << 20
 #: Rows of an Arrow batch handed to Python; texts can be long.
 BATCH_ROWS = 1000
 
@@ -67,6 +70,28 @@ def if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def payload(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value, however nested; fixed ones count eight."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(value)
+    elif isinstance(kind, T.StructType):
+        size = sum((payload(value[f.name], f.dataType) for f in kind.fields), F.lit(8).cast("long"))
+    elif isinstance(kind, T.ArrayType):
+        size = F.aggregate(value, F.lit(0).cast("long"), lambda n, x: n + payload(x, kind.elementType))
+    else:
+        size = F.lit(0)
+    return F.coalesce(size.cast("long"), F.lit(0).cast("long")) + 8
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A staged table, marked for broadcast only if its rows and their bytes
+    are within bounds: for sides with texts or arrays."""
+    if df.count() > rows:
+        return df
+    size = sum((payload(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0).cast("long"))
+    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
+
+
 def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 

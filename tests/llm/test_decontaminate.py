@@ -7,6 +7,7 @@ from tests.llm.nasty import document_frame, documents, empty
 
 rng = random.Random(5)
 ITEMS = [(i, " ".join(f"{rng.choice(['bench', 'item', 'of'])}{rng.randrange(300)}" for _ in range(n))) for i, n in enumerate([13, 14, 20, 35, 60, 12, 3])]
+ITEMS += [(10, "lonelyword"), (11, "Five words, in a row!"), (12, ", . !"), (13, "five WORDS in a row")]
 ITEMS += [(7, ITEMS[3][1]), (8, None), (9, ""), (None, ITEMS[2][1])]
 
 
@@ -17,6 +18,8 @@ def toks(text):
 def plain(text, item):
     t, i = toks(text), toks(item)
     best = 0
+    if 0 < len(i) < 13:
+        return len(i) if any(t[a:a + len(i)] == i for a in range(len(t))) else 0
     for a in range(len(t) - 12):
         for b in range(len(i) - 12):
             best = max(best, sum(x == y for x, y in zip(t[a:a + 13], i[b:b + 13])))
@@ -37,6 +40,13 @@ def planted():
         three[2] = three[6] = three[10] = "other"
         rows.append((3003 + 10 * k, pad + " ".join(three), "en", "a"))
         rows.append((3004 + 10 * k, " ".join(w[:12]), "en", "a"))
+    for k, (i, text) in enumerate(ITEMS[5:9]):
+        w = text.split()
+        rows.append((4000 + 10 * k, pad + text.upper() + " " + pad, "en", "a"))
+        rows.append((4001 + 10 * k, text, "en", "a"))
+        rows.append((4002 + 10 * k, pad + " ".join(w[:-1] + ["other"]), "en", "a"))
+        rows.append((4003 + 10 * k, pad + " ".join(w[:-1]), "en", "a"))
+        rows.append((4004 + 10 * k, " ".join(w[1:] + w[:1]) + " " + text + " " + text, "en", "a"))
     return rows + [rows[-5], rows[-4]]
 
 
@@ -46,7 +56,7 @@ def test_matches_brute_force(spark):
     want = sorted(((d, sorted({i for i, x in ITEMS if i is not None and plain(t, x)}), max(plain(t, x) for i, x in ITEMS if i is not None))
                    for d, t, *_ in rows if any(plain(t, x) for i, x in ITEMS if i is not None)), key=str)
     got = sorted(((r["doc_id"], r["item_ids"], r["most_same"]) for r in dc.contaminated(docs, bench).collect()), key=str)
-    assert got == want and len(want) >= 15
+    assert got == want and len(want) >= 27
     clean = dc.clean_documents(docs, bench)
     assert clean.columns == docs.columns
     lost = [d for d, t, *_ in rows if any(plain(t, x) for _, x in ITEMS)]
@@ -72,7 +82,7 @@ def test_seeds_with_and_without_the_filter(spark):
     docs, bench = document_frame(spark, planted()), spark.createDataFrame(ITEMS, "item_id long, text string")
     marks = dc.seed_rows(bench, [bench["item_id"]]).select("seed").distinct()
     every = dc.seed_rows(docs, dc.text_key()).join(marks, "seed").select("k1", "place", "seed").distinct()
-    some = dc.seed_rows(docs, dc.text_key(), dc.pair_bitmap(bench)).join(marks, "seed").select("k1", "place", "seed").distinct()
+    some = dc.seed_rows(docs, dc.text_key(), dc.bitmaps(bench)).join(marks, "seed").select("k1", "place", "seed").distinct()
     assert every.exceptAll(some).count() == 0 and every.count() == some.count()
 
 
@@ -82,3 +92,11 @@ def test_items_without_an_id_clean_all_the_same(spark):
     bench = spark.createDataFrame([(None, text), (1, ITEMS[0][1]), (None, None)], "item_id long, text string")
     assert [r["doc_id"] for r in dc.clean_documents(docs, bench).collect()] == [2]
     assert dc.contaminated(docs, bench).count() == 0
+
+
+def test_short_items_without_an_id_clean_too(spark):
+    docs = document_frame(spark, [(1, "here stands, a SHORT item; there", "en", "a"), (2, "a short thing, item", "en", "a"), (3, "zebra", "en", "a"), (None, "x zebra y", "en", "a")])
+    bench = spark.createDataFrame([(None, "A short item."), (4, "zebra")], "item_id long, text string")
+    assert [r["doc_id"] for r in dc.clean_documents(docs, bench).collect()] == [2]
+    found = sorted(((r["doc_id"], r["item_ids"], r["n_items"], r["most_same"]) for r in dc.contaminated(docs, bench).collect()), key=str)
+    assert found == [(3, [4], 1, 1), (None, [4], 1, 1)]
