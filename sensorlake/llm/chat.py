@@ -1,13 +1,17 @@
 """Chat formatting: tool calls linked to their results, ordered, validated and
 written as canonical JSON, one line for each message."""
 
+import functools
 import json
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import Scratch, if_small, small_batches, table
+from sensorlake.llm.common import BATCH_ROWS, Scratch, bounded, if_small, small_batches, table
+
+#: Rows that a task orders at once.
+PIECE = 50_000
 
 #: Argument schemas of the tools that the query's calls name.
 TOOLS = {
@@ -92,32 +96,65 @@ def calls_of(messages: DataFrame, tools: dict) -> DataFrame:
     return messages.where("tool_calls is not null").select("msg", "conv_id", "turn", "tool_calls").mapInArrow(run, CALL)
 
 
-def levels(calls: DataFrame, scratch: Scratch) -> DataFrame:
+EDGE = pa.schema([("conv_id", pa.int64()), ("call_id", pa.string()), ("level", pa.int64())])
+
+
+def place_calls(batches):
+    """The levels of the calls among a task's rows (conv_id, call_id, on,
+    level) that wait, in the end, for nothing but calls with a level. A row
+    with a null ``on`` waits for nothing, one with a level for a placed call."""
+    level, missing, behind = {}, {}, {}
+    for b in batches:
+        for conv, call, on, known in zip(*(b.column(k).to_pylist() for k in ("conv_id", "call_id", "on", "level"))):
+            key = (conv, call)
+            level[key] = max(level.get(key, 0), 0 if known is None else known + 1)
+            missing.setdefault(key, 0)
+            if on is not None and known is None:
+                missing[key] += 1
+                behind.setdefault((conv, on), []).append(key)
+    ready = [k for k, n in missing.items() if not n]
+    for key in ready:
+        for k in behind.get(key, ()):
+            level[k] = max(level[k], level[key] + 1)
+            missing[k] -= 1
+            if not missing[k]:
+                ready.append(k)
+    for i in range(0, len(ready), BATCH_ROWS):
+        part = ready[i:i + BATCH_ROWS]
+        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in part], pa.int64()), pa.array([k[1] for k in part], pa.string()), pa.array([level[k] for k in part], pa.int64())], schema=EDGE)
+
+
+def levels(calls: DataFrame, scratch: Scratch, rows: int = PIECE) -> DataFrame:
     """(conv_id, call_id, level): each call's place in a topological order of
-    its conversation; a level holds calls whose every dependency has a lower
-    one. Calls in or behind a cycle, or behind an identifier that no call has,
-    have none.
-
-    Each round places the calls that wait for nothing more, so there are as
-    many rounds as the longest chain has calls.
+    its conversation, the length of the longest chain of calls before it. Calls
+    in or behind a cycle, or behind an identifier that no call has, have none.
+
+    Waits are range-partitioned by conversation, turn and place, in pieces of
+    some ``rows`` rows. A task orders its piece as far as it goes; what waits
+    for calls of other pieces is dealt anew with their levels. So there are as
+    many rounds as the longest chain goes from piece to piece, not as it has
+    calls, and a long conversation is several tasks'.
     """
-    ids = scratch.stage(calls.where("call_id is not null").select("conv_id", "call_id").distinct(), "ids")
-    waits = calls.where("call_id is not null").select("conv_id", "call_id", F.explode("after").alias("on")).distinct()
-    waits = scratch.stage(waits, "waits")
-    placed = scratch.stage(ids.join(waits.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)), "placed")
-    level = 0
-    while waits.limit(1).count():
-        level += 1
-        done = placed.select("conv_id", F.col("call_id").alias("on"))
-        rest = scratch.stage(waits.join(done, ["conv_id", "on"], "left_anti"), "waits")
-        free = waits.select("conv_id", "call_id").distinct().join(rest.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
-        free = scratch.stage(free.withColumn("level", F.lit(level)), "free")
-        if not free.limit(1).count():
+    key = ["conv_id", "call_id"]
+    known = calls.where("call_id is not null and conv_id is not null")
+    start = known.groupBy(key).agg(F.min(F.struct(F.coalesce("turn", F.lit(0)).alias("turn"), "pos")).alias("start"))
+    waits = known.select(*key, F.explode_outer("after").alias("on")).distinct()
+    pending = scratch.stage(waits.join(start, key).withColumn("level", F.lit(None).cast("long")), "waits")
+    placed = []
+    while n := pending.count():
+        dealt = pending.repartitionByRange(-(-n // rows), "conv_id", "start", "call_id")
+        new = scratch.stage(dealt.select(*key, "on", "level").mapInArrow(place_calls, "conv_id long, call_id string, level long"), "placed")
+        if not new.limit(1).count():
             break
-        grown = scratch.stage(placed.unionByName(free), "placed")
-        scratch.drop(waits, placed, free)
-        waits, placed = rest, grown
-    return placed
+        placed.append(new)
+        done = new.select("conv_id", F.col("call_id").alias("on"), F.col("level").alias("found"))
+        rest = pending.join(new.select(key), key, "left_anti").join(done, ["conv_id", "on"], "left")
+        rest = scratch.stage(rest.select(*key, "on", "start", F.coalesce("level", "found").alias("level"), F.col("found").isNotNull().alias("news")), "waits")
+        scratch.drop(pending)
+        # calls that no new level has reached can't be placed
+        pending = rest if rest.where("news").limit(1).count() else rest.limit(0)
+    empty = pending.select(*key, "level").limit(0)
+    return functools.reduce(DataFrame.unionByName, placed, empty)
 
 
 def format_chat(messages: DataFrame, tools: dict) -> DataFrame:
@@ -134,7 +171,7 @@ def format_chat(messages: DataFrame, tools: dict) -> DataFrame:
     makes no call, rows with a null conv_id or turn are formatted like others
     (calls with a null conv_id link to nothing); repeated rows all stay, and
     calls with the same identifier share its result and level. An empty table
-    gives no row. Nothing gathers a whole conversation: one may be very long.
+    gives no row. No task needs a whole conversation: one may be very long.
     """
     spark = messages.sparkSession
     small_batches(spark)
@@ -147,14 +184,14 @@ def format_chat(messages: DataFrame, tools: dict) -> DataFrame:
     first = scratch.stage(first.select("conv_id", "call_id", F.col("r.text").alias("result"), F.col("r.msg").alias("result_msg")), "results")
     place = levels(calls, scratch)
     key = ["conv_id", "call_id"]
-    linked = calls.join(if_small(first, 20_000), key, "left")
-    linked = linked.join(if_small(place, 20_000), key, "left")
+    linked = calls.join(bounded(first), key, "left")
+    linked = linked.join(bounded(scratch.stage(place, "levels")), key, "left")
     linked = scratch.stage(linked, "linked")
     per = linked.groupBy("msg").agg(F.sort_array(F.collect_list(F.struct(
         F.col("level").isNull().alias("unplaced"), "level", "pos", "call_id", "name", "arguments", "errors", F.col("result_msg").isNotNull().alias("has_result"), "result"))).alias("calls"))
     taken = linked.where("result_msg is not null").select(F.col("result_msg").alias("msg")).distinct().withColumn("used", F.lit(True))
     per, taken = scratch.stage(per, "per-message"), scratch.stage(taken, "used")
-    whole = rows.join(if_small(per, 20_000), "msg", "left").join(if_small(taken), "msg", "left")
+    whole = rows.join(bounded(per), "msg", "left").join(if_small(taken), "msg", "left")
     schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("n_calls", pa.int32()), ("n_linked", pa.int32()), ("n_errors", pa.int32()), ("json", pa.string())])
 
     def run(batches):

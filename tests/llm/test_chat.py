@@ -1,9 +1,11 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from sensorlake.llm import chat
+from sensorlake.llm.common import Scratch
 from tests.llm.nasty import CLASHING, empty
 
 SCHEMA = "conv_id long, turn long, role string, text string, tool_calls string, tool_call_id string"
@@ -82,5 +84,37 @@ def test_schemas(value, schema, n):
     assert len(chat.violations(value, schema)) == n
 
 
+def chain(spark, n):
+    made = [(5, t, "assistant", None, json.dumps([call(f"c{t}", after=[f"c{t - 1}"] if t else [])]), None) for t in range(n)]
+    return messages(spark, made)
+
+
+def test_a_long_chain_takes_few_rounds(spark):
+    calls = chat.calls_of(chain(spark, 1000).withColumn("msg", F.col("turn")), chat.TOOLS)
+    scratch = Scratch(spark, "chain")
+    got = {r["call_id"]: r["level"] for r in chat.levels(calls, scratch).collect()}
+    assert got == {f"c{i}": i for i in range(1000)}
+    assert next(scratch.count) <= 4
+
+
+def test_pieces_give_the_levels_of_one(spark):
+    rng = random.Random(2)
+    made = []
+    for t in range(150):
+        after = rng.sample([f"c{i}" for i in range(max(0, t - 12), t)], min(t, rng.randrange(3)))
+        after += ["c2"] * (t == 1) + [f"c{t + 9}"] * (t % 40 == 39) + ["nobody"] * (t % 37 == 36)
+        made.append((rng.choice([1, 2]) if t > 120 else 1, t, "assistant", None, json.dumps([call(f"c{t}", after=after), call(f"c{t // 2}", after=[])]), None))
+    calls = chat.calls_of(messages(spark, made).withColumn("msg", F.col("turn")), chat.TOOLS)
+    one, many = ({(r["conv_id"], r["call_id"]): r["level"] for r in chat.levels(calls, Scratch(spark, "pieces"), n).collect()} for n in (50_000, 40))
+    on, level, n = {}, {}, 0
+    for conv, _, _, _, c, _ in made:
+        for x in json.loads(c):
+            on.setdefault((conv, x["id"]), set()).update(x["after"])
+    while new := [k for k, v in on.items() if k not in level and all((k[0], x) in level for x in v)]:
+        level |= dict.fromkeys(new, n)
+        n += 1
+    assert one == many == level and 5 < n and len(level) < len(on)
+
+
 def test_empty_table(spark):
     assert chat.format_chat(empty(messages(spark, ROWS)), chat.TOOLS).count() == 0
