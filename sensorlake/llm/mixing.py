@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import Scratch, beside, free_name, same, table
+from sensorlake.llm.common import Scratch, beside, bounded, free_name, if_small, same, table
 
 WEIGHTS = (5, 2, 1)
 #: A source is taken at most so many times over.
@@ -15,11 +15,16 @@ MOST = 3
 #: cut into as many blocks, or into words if it has fewer.
 SLOTS = 4096
 BLOCK = 4096
+#: Blocks are longer than BLOCK where all uses of them would else be more than
+#: twice as many, so that the schedule's 64-bit integers hold any corpus.
+USES = 1 << 30
 #: A source of fewer blocks has a run of slots of its own.
 FEW = 512
 #: 2**32 over the golden ratio, and 2**32: slot k is at (k * STEP) mod RING.
 STEP = 2654435769
 RING = 1 << 32
+#: Bits of a place within a cell of the ring: 65,536 cells.
+CELL = 16
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -38,7 +43,7 @@ def sized(docs: DataFrame) -> DataFrame:
 
 def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST) -> DataFrame:
     """One row per source: source_no (by code point, null last), source_size,
-    target, capped. Sources are few: their sums go through one task.
+    target, capped. The sources' sums, a row each, go through one task.
 
     Sources are capped in order of size / weight: one is capped if its share of
     what the ones before it leave is over ``most`` times its size.
@@ -60,11 +65,17 @@ def source_targets(sizes: DataFrame, weights: tuple = WEIGHTS, most: int = MOST)
     return per.select("source", "source_no", "source_size", "capped", target.alias("target"))
 
 
-def cut_targets(targets: DataFrame, block: int) -> DataFrame:
+def block_lengths(sources: int, words: int, most: int = MOST) -> tuple[int, int]:
+    """Words of a block, and the fewest blocks of a source of enough words."""
+    block = max(1, min(BLOCK, words // max(1, SLOTS * sources)), -(-most * words // USES))
+    return block, max(1, min(SLOTS, USES // max(1, most * sources)))
+
+
+def cut_targets(targets: DataFrame, block: int, least: int = SLOTS) -> DataFrame:
     """``targets`` with each source's own blocks: how many, and how many uses
     of them, in real numbers, make up its target. A source's blocks differ by
     a word at most, so that none is short."""
-    blocks = F.greatest(F.ceil(F.col("source_size") / block), F.least("source_size", F.lit(SLOTS))).cast("long")
+    blocks = F.greatest(F.ceil(F.col("source_size") / block), F.least("source_size", F.lit(least))).cast("long")
     targets = targets.withColumn("blocks", blocks)
     return targets.withColumn("shares", F.when(F.col("target") > 0, F.col("target") * F.col("blocks") / F.col("source_size")).otherwise(0.0))
 
@@ -81,7 +92,7 @@ def block_of(word: Column) -> Column:
     return F.when(word < longer * (length + 1), F.floor(word / (length + 1))).otherwise(longer + F.floor((word - longer * (length + 1)) / length))
 
 
-def schedule(targets: DataFrame, slots: int, most: int) -> DataFrame:
+def schedule(targets: DataFrame, slots: int, most: int, scratch: Scratch) -> DataFrame:
     """(source_no, block_no, uses): golden-ratio slots mapped through the
     cumulative ``shares``, ranked within their source and dealt to its blocks in
     turn, at most ``most`` turns. In a run of its own all slots are the
@@ -102,8 +113,11 @@ def schedule(targets: DataFrame, slots: int, most: int) -> DataFrame:
     last = F.lead("source_no").over(Window.orderBy("source_no")).isNull()
     ends = ends.withColumn("upto", F.when(last, F.lit(RING)).otherwise(F.col("upto")))
     k = spark.range(slots).select(F.col("id").alias("slot"), ((F.col("id") * F.lit(STEP)) % RING).alias("at"))
-    # ranges of at most some hundred sources, matched as a broadcast range join
-    dealt = k.join(F.broadcast(ends), (F.col("at") >= F.col("from")) & (F.col("at") < F.col("upto")))
+    # each source's range is listed in the cells of the ring that it touches
+    cell = F.explode(F.sequence(F.shiftright("from", CELL), F.shiftright(F.col("upto") - 1, CELL))).alias("cell")
+    ends = scratch.stage(ends.where(F.col("upto") > F.col("from")).select("*", cell), "ends")
+    dealt = k.withColumn("cell", F.shiftright("at", CELL)).join(if_small(ends), "cell")
+    dealt = dealt.where((F.col("at") >= F.col("from")) & (F.col("at") < F.col("upto")))
     dealt = dealt.withColumn("chunk", F.floor(F.col("slot") / 1024))
     per_chunk = dealt.groupBy("source_no", "chunk").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -118,7 +132,7 @@ def place(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """Each row's place in its source's shuffled words: ``start``. Rows are
     ordered by hash; each of 4,096 ranges of hashes is summed first, so that a
     source's rows are never ordered in one task."""
-    t = F.broadcast(targets.select(F.col("source").alias("t_source"), "source_no", "source_size", "target", "blocks"))
+    t = bounded(targets.select(F.col("source").alias("t_source"), "source_no", "source_size", "target", "blocks"))
     rows = sizes.join(t, same(F.col("source"), F.col("t_source"))).drop("t_source")
     rows = rows.withColumn("part", F.substring(F.md5(F.concat("id_hash", "text_hash")), 1, 3))
     sums = rows.groupBy("source_no", "part").agg(F.sum("size").alias("n"))
@@ -148,12 +162,9 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: int = MOST, scratch: Sc
     sizes = scratch.stage(sized(docs), "sizes")
     targets = scratch.stage(source_targets(sizes, weights, most), "targets")
     sources, words = targets.agg(F.count("*"), F.coalesce(F.sum("source_size"), F.lit(0))).first()
-    block = max(1, min(BLOCK, words // max(1, SLOTS * sources)))
-    targets = scratch.stage(cut_targets(targets, block), "blocks")
+    targets = scratch.stage(cut_targets(targets, *block_lengths(sources, words, most)), "blocks")
     slots = round(targets.where(F.col("blocks") >= FEW).agg(F.coalesce(F.sum("shares"), F.lit(0.0))).first()[0])
-    if slots * STEP >= 1 << 63:
-        raise ValueError("more slots than the schedule's integers hold; use longer blocks")
-    uses = scratch.stage(schedule(targets, slots, most), "uses")
+    uses = scratch.stage(schedule(targets, slots, most, scratch), "uses")
     rows = scratch.stage(place(sizes, targets), "placed")
     first, last = block_of(F.col("start")), block_of(F.col("start") + F.col("size") - 1)
     cut = rows.where("size > 0").select("source_no", "part", "row_no", "start", "size", "source_size", "blocks", F.explode(F.sequence(first, last)).alias("block_no"))

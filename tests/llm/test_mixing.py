@@ -83,6 +83,28 @@ def test_plans_hold_no_python(spark):
     assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text
 
 
+@pytest.mark.parametrize("sources,words", [(0, 0), (1, 5), (3, 10**9), (20, 10**13), (7, 10**15), (5_000_000, 10**15), (50, 10**17)])
+def test_any_corpus_fits_the_integers_of_the_schedule(sources, words):
+    block, least = mixing.block_lengths(sources, words)
+    uses = 3 * (words / block + sources * (least + 1))
+    assert block >= 1 and least >= 1 and uses * mixing.STEP < 1 << 63
+    if 3 * words < mixing.USES * mixing.BLOCK and sources < 80_000:
+        assert block <= mixing.BLOCK and least == mixing.SLOTS
+
+
+def test_slots_of_many_large_sources(spark):
+    sizes = [(f"s{i}", i, 10**12 * (1 + i % 7)) for i in range(40)]
+    targets = spark.createDataFrame(sizes, "source string, source_no long, source_size long").withColumn("target", mixing.F.col("source_size") * 1.5)
+    words = sum(x[2] for x in sizes)
+    targets = mixing.cut_targets(targets, words // 60_000)
+    slots = round(targets.agg(mixing.F.sum("shares")).first()[0])
+    scratch = mixing.Scratch(spark, "slots")
+    uses = {r["source_no"]: r["n"] for r in mixing.schedule(targets, slots, 3, scratch).groupBy("source_no").agg(mixing.F.sum("uses").alias("n")).collect()}
+    assert sum(uses.values()) == slots
+    for r in targets.collect():
+        assert uses[r["source_no"]] == pytest.approx(r["shares"], abs=8)
+
+
 def test_small_sources_beside_large_ones(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SLOTS", 16)  # blocks as long, for their sources, as those of far larger tables
     monkeypatch.setattr(mixing, "FEW", 8)
