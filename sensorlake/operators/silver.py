@@ -73,8 +73,11 @@ def build_silver(bronze: DataFrame, validate: bool = True, dedup: bool = True) -
     """Silver readings.
 
     ``validate=False`` is the older full-refresh variant: nothing is filtered,
-    so every NULL reading_id collapses into one row.
+    so every NULL reading_id collapses into one row. The checks that need no
+    parse stand below the guarded reason as well, so that they reach the scan.
     """
+    if validate:
+        bronze = bronze.where(F.col("reading_id").isNotNull() & ~F.col("sensor_type").isin(*INVALID_SENSOR_TYPES))
     c = classify(bronze)
     if validate:
         c = c.where(F.col(_REASON).isNull())

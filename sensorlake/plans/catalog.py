@@ -31,7 +31,7 @@ from sensorlake.sources import driver_tables as _dt
 from sensorlake.sources import tables as _tables
 from sensorlake.sources.listing import FileLog
 from sensorlake.sources.profiles import load_profiles, write_profiles
-from sensorlake.sources.snapshot import by_country, read_snapshot
+from sensorlake.sources.snapshot import by_country, land_arrays, read_array, read_snapshot
 from sensorlake.streaming import queries as sq
 from sensorlake.streaming.sources import file_messages, land_messages
 
@@ -281,13 +281,16 @@ def snapshot_flat(inp: Inputs) -> DataFrame:
 @register("snapshot_array")
 def snapshot_array(inp: Inputs) -> DataFrame:
     """The snapshot as the source sends it: JSON arrays, one to a file."""
-    entries = inp.snapshot.select(F.spark_partition_id().alias("p"), F.to_json(F.struct("*")).alias("j"))
-    arrays = entries.groupBy("p").agg(F.concat(F.lit("[\n"), F.array_join(F.collect_list("j"), ",\n"), F.lit("\n]")).alias("value"))
-    path = scratch_path(inp.spark, "snapshot_array")
-    arrays.select("value").write.text(path)
+    path = land_arrays(inp.snapshot, scratch_path(inp.spark, "snapshot_array"))
     return _flat_snapshot(read_snapshot(inp.spark, path, multiline=True))
 
 
+@register("snapshot_split")
+def snapshot_split(inp: Inputs) -> DataFrame:
+    """The same arrays, each split over tasks."""
+    return _flat_snapshot(read_array(inp.spark, land_arrays(inp.snapshot, scratch_path(inp.spark, "snapshot_split"))))
+
+
 @register("snapshot_country")
 def snapshot_country(inp: Inputs) -> DataFrame:
     return _flat_snapshot(by_country(inp.snapshot, "DE"))

@@ -466,6 +466,7 @@ def registry_queries() -> dict[str, str]:
     return {
         "snapshot_flat": RBASE + _FLAT.format(src="snap"),
         "snapshot_array": RBASE + _FLAT.format(src="snap"),
+        "snapshot_split": RBASE + _FLAT.format(src="snap"),
         "snapshot_country": RBASE + _FLAT.format(src="snap WHERE country = 'DE'"),
         "latest_per_sensor": RBASE + _FLAT.format(src="latest"),
         "sensor_profiles": RBASE + "SELECT * FROM prof_flat",
