@@ -3,11 +3,12 @@ two-layer network with temperature-calibrated probabilities."""
 
 import re
 import zlib
-from collections import Counter
+from collections import defaultdict
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +31,8 @@ PLAIN = re.compile(r"[\t\n\x20-\x7E\u00C0-\u024F]*")
 PLAIN_TOKEN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+|[0-9]+|[!-/:-@\[-^`{-~\u00D7\u00F7]+|\n")
 #: Distinct words a task counts before it emits them.
 HELD = 200_000
+#: Tokens whose neighbours are added up at once.
+PIECE = 500_000
 
 
 def shape(word: str) -> str:
@@ -48,21 +51,71 @@ def tokens(text: str | None) -> list[str]:
     return (PLAIN_TOKEN if PLAIN.fullmatch(text) else TOKEN).findall(text)
 
 
-def frequent_words(docs: DataFrame, k: int) -> list[str]:
+CODED = pa.schema([("doc_id", pa.int64()), ("words", pa.string()), ("codes", pa.binary()), ("lines", pa.int32()), ("unlike", pa.int32())])
+
+
+def code(text: str | None) -> tuple[str | None, bytes, int, int]:
+    """A text's distinct tokens, parted by spaces (no token holds one; null if
+    there are none), the number among them of each token as 32-bit integers,
+    its lines and its distinct lines."""
+    number: defaultdict = defaultdict()
+    number.default_factory = number.__len__
+    codes = np.fromiter(map(number.__getitem__, tokens(text)), np.int32)
+    lines = (text or "").split("\n")
+    return " ".join(number) if number else None, codes.tobytes(), len(lines), len(set(lines))
+
+
+def tokenised(docs: DataFrame) -> DataFrame:
+    """doc_id and ``code`` of every row of ``docs`` (doc_id, text). Staged, it
+    spares every later step the texts."""
+
+    def run(batches):
+        for b in batches:
+            columns = zip(*map(code, b.column("text").to_pylist())) if b.num_rows else ((),) * 4
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, list(CODED)[1:]))], schema=CODED)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "doc_id long, words string, codes binary, lines int, unlike int")
+
+
+class Coded:
+    """A batch of coded texts: the distinct words of each, one text after
+    another, as numbers in a list of the batch's words, and the place among them
+    of each token."""
+
+    def __init__(self, batch: pa.RecordBatch):
+        split = pc.split_pattern(batch.column("words"), " ")
+        self.held = pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = split.flatten().dictionary_encode()
+        self.words, self.which = flat.dictionary.to_pylist(), flat.indices.to_numpy(zero_copy_only=False)
+        codes = batch.column("codes")
+        self.sizes = pc.binary_length(codes).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+        self.first = np.cumsum(self.held) - self.held
+        self.codes = np.frombuffer(b"".join(codes.to_pylist()), np.int32) + np.repeat(self.first, self.sizes)
+        self.times = np.bincount(self.codes, minlength=len(self.which))
+        self.lines, self.unlike = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("lines", "unlike"))
+
+
+def frequent_words(coded: DataFrame, k: int) -> list[str]:
     """The k most frequent tokens over all whole texts, ties by token."""
     schema = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
     def run(batches):
-        held: Counter = Counter()
+        held: defaultdict = defaultdict(int)
+
+        def rows():
+            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], schema=schema)
+
         for b in batches:
-            for x in b.column("text").to_pylist():
-                held.update(tokens(x))
-                if len(held) > HELD:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(held)), pa.array(list(held.values()), pa.int64())], schema=schema)
-                    held.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], schema=schema)
-
-    counts = docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+            c = Coded(b)
+            for w, n in zip(c.words, np.bincount(c.which, weights=c.times, minlength=len(c.words)).astype(np.int64).tolist()):
+                held[w] += n
+            if len(held) > HELD:
+                yield rows()
+                held.clear()
+        yield rows()
+
+    counts = coded.select("words", "codes", "lines", "unlike").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(k).collect()]
 
 
@@ -98,6 +151,14 @@ class Vocabulary:
                 self.row[w] = self.rows - 1 - zlib.crc32(shape(w).encode("utf-8", "replace")) % self.SHAPES
                 self.kind[w] = kind(w)
 
+    def rows_of(self, words: list[str]) -> np.ndarray:
+        self.meet(words)
+        return np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
+
+    def kinds_of(self, words: list[str]) -> np.ndarray:
+        self.meet(words)
+        return np.fromiter(map(self.kind.__getitem__, words), np.int64, len(words))
+
     def encode(self, text: str | None) -> np.ndarray:
         found = tokens(text)
         self.meet(found)
@@ -111,11 +172,16 @@ def index_vectors(rows: int, dim: int = DIM, ones: int = ONES) -> tuple[np.ndarr
 
 
 def context_sums(docs: DataFrame, words: list[str]) -> np.ndarray:
+    """``neighbour_sums`` of texts (text) as they are."""
+    return neighbour_sums(tokenised(docs.select(F.lit(None).alias("doc_id"), "text")), words)
+
+
+def neighbour_sums(coded: DataFrame, words: list[str]) -> np.ndarray:
     """For each row of the vocabulary the sum of its neighbours' index vectors
     over all whole texts. A task adds up a matrix of fixed size and emits its
     rows, which are dealt by word and added again."""
     vocabulary = Vocabulary(words)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = coded.sparkSession.sparkContext.broadcast(vocabulary)
     schema = pa.schema([("word", pa.int32()), ("x", pa.binary())])
 
     def run(batches):
@@ -123,27 +189,21 @@ def context_sums(docs: DataFrame, words: list[str]) -> np.ndarray:
         places, signs = index_vectors(v.rows)
         total = np.zeros(v.rows * DIM)
         for b in batches:
+            c = Coded(b)
             # texts are parted by rows that count for nothing
-            gap = np.full(REACH, -1)
-            held, size = [], 0
-
-            def add():
-                ids = np.concatenate(held)
+            ids = np.full(len(c.codes) + REACH * len(c.sizes), -1, np.int64)
+            ids[np.arange(len(c.codes)) + REACH * np.repeat(np.arange(len(c.sizes)), c.sizes)] = v.rows_of(c.words)[c.which][c.codes]
+            for part in range(0, len(ids), PIECE):
+                # links from the piece's words to those after them, in the next piece too
                 for step in range(1, REACH + 1):
-                    ok = (ids[step:] >= 0) & (ids[:-step] >= 0)
-                    one, two = ids[step:][ok], ids[:-step][ok]
-                    for w, c in ((one, two), (two, one)):
+                    two = ids[part:part + PIECE]
+                    one = ids[part + step:part + step + PIECE]
+                    two = two[:len(one)]
+                    ok = (one >= 0) & (two >= 0)
+                    one, two = one[ok], two[ok]
+                    for w, near in ((one, two), (two, one)):
                         for k in range(places.shape[1]):
-                            total[:] += np.bincount(w * DIM + places[c, k], weights=signs[c, k], minlength=len(total))
-
-            for x in b.column("text").to_pylist():
-                held += [v.encode(x), gap]
-                size += len(held[-2])
-                if size > 500_000:
-                    add()
-                    held, size = [], 0
-            if held:
-                add()
+                            total += np.bincount(w * DIM + places[near, k], weights=signs[near, k], minlength=len(total))
         total = total.reshape(-1, DIM).astype(np.float32)
         at = np.flatnonzero(total.any(axis=1))
         for i in range(0, len(at), 10_000):
@@ -160,8 +220,8 @@ def context_sums(docs: DataFrame, words: list[str]) -> np.ndarray:
         at = np.array(sorted(total), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array([total[w].astype(np.float32).tobytes() for w in at.tolist()], pa.binary())], schema=schema)
 
-    parts_of = docs.select("text").mapInArrow(run, "word int, x binary")
-    sums = parts_of.repartition(parts(docs.sparkSession), "word").mapInArrow(add_up, "word int, x binary").toPandas()  # a row for each word of the vocabulary
+    parts_of = coded.select("words", "codes", "lines", "unlike").mapInArrow(run, "word int, x binary")
+    sums = parts_of.repartition(parts(coded.sparkSession), "word").mapInArrow(add_up, "word int, x binary").toPandas()  # a row for each word of the vocabulary
     out = np.zeros((vocabulary.rows, DIM))
     for w, x in zip(sums["word"], sums["x"]):
         out[w] = np.frombuffer(x, np.float32)
@@ -182,24 +242,22 @@ class Features:
         # a word's contexts and the word itself, of equal length
         self.vectors = np.hstack([context / np.where(length > 0, length, 1), own / np.sqrt(ONES)]).astype(np.float32)
 
-    def __call__(self, text: str | None) -> np.ndarray:
-        found = tokens(text)
-        n = len(found)
-        if not n:
-            return np.zeros(2 * self.vectors.shape[1] + 8, np.float32)
-        counts = Counter(found)
-        self.vocabulary.meet(counts)
-        ids = [*map(self.vocabulary.row.__getitem__, counts)]
-        times = np.array([*counts.values()], np.float32)
-        kinds = np.array([*map(self.vocabulary.kind.__getitem__, counts)])
-        x = self.vectors[ids]
-        mean = times @ x / n
-        spread = np.sqrt(np.maximum(times @ (x * x) / n - mean * mean, 0))
-        line = text.split("\n")
-        letters, upper = float(times @ (kinds & 1)), float(times @ (kinds >> 1))
-        rest = [np.log1p(n), len(counts) / n, upper / max(letters, 1), letters / n, counts.get("\n", 0) / n,
-                len(set(line)) / len(line), max(counts.values()) / n, min(1.0, 50 / n)]
-        return np.concatenate([mean, spread, rest]).astype(np.float32)
+    def __call__(self, c: Coded) -> np.ndarray:
+        """A row for each text of the batch."""
+        row, kinds = self.vocabulary.rows_of(c.words)[c.which], self.vocabulary.kinds_of(c.words)[c.which]
+        out = np.zeros((len(c.sizes), 2 * self.vectors.shape[1] + 8), np.float32)
+        for i, (at, held, n) in enumerate(zip(c.first.tolist(), c.held.tolist(), c.sizes.tolist())):
+            if not n:
+                continue
+            x, times = self.vectors[row[at:at + held]], c.times[at:at + held].astype(np.float32)
+            mean = times @ x / n
+            spread = np.sqrt(np.maximum(times @ (x * x) / n - mean * mean, 0))
+            letters, upper = float(times @ (kinds[at:at + held] & 1)), float(times @ (kinds[at:at + held] >> 1))
+            breaks = c.lines[i] - 1
+            rest = [np.log1p(n), held / n, upper / max(letters, 1), letters / n, breaks / n,
+                    c.unlike[i] / c.lines[i], times.max() / n, min(1.0, 50 / n)]
+            out[i] = np.concatenate([mean, spread, rest])
+        return out
 
 
 class Network:
@@ -250,33 +308,46 @@ class Constant:
         return np.full(len(x), self.p)
 
 
-def labelled(docs: DataFrame, labels: DataFrame, scratch: Scratch, sample: int) -> DataFrame:
-    """text and quality of at most ``sample`` labelled documents; a doc_id
-    labelled more than once counts by its lowest label. The chosen ids are at
-    most ``sample`` rows, so they are broadcast."""
-    chosen = (labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("quality"))
-              .orderBy(F.xxhash64("id"), "id").limit(sample))
-    chosen = scratch.stage(chosen, "labels")
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["id"]).select("id", "text", "quality")
+def chosen_labels(labels: DataFrame, sample: int) -> dict[int, int]:
+    """The quality of at most ``sample`` labelled documents; a doc_id labelled
+    more than once counts by its lowest label."""
+    known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.min("quality").alias("quality"))
+    return {r["id"]: r["quality"] for r in known.orderBy(F.xxhash64("id"), "id").limit(sample).collect()}
 
 
 def train(docs: DataFrame, labels: DataFrame, words: int = WORDS, sample: int = SAMPLE) -> tuple:
-    """Word vectors from the whole texts of ``docs``; the network from those
-    that ``labels`` (doc_id, quality) marks, up to ``sample``."""
-    spark = docs.sparkSession
+    """``train_on`` of texts (doc_id, text), tokenised and staged."""
+    small_batches(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, "quality")
+    coded = scratch.stage(tokenised(docs), "coded")
+    model = train_on(coded, labels, words, sample)
+    scratch.drop(coded)
+    return model
+
+
+def train_on(coded: DataFrame, labels: DataFrame, words: int = WORDS, sample: int = SAMPLE) -> tuple:
+    """Word vectors from all texts of ``coded`` (staged ``tokenised``); the
+    network from those that ``labels`` (doc_id, quality) marks, up to ``sample``."""
+    spark = coded.sparkSession
     small_batches(spark)
-    scratch = Scratch(spark, "quality")
-    vocabulary = frequent_words(docs, words)
-    features = Features(vocabulary, context_sums(docs, vocabulary))
-    shared = spark.sparkContext.broadcast(features)
+    vocabulary = frequent_words(coded, words)
+    features = Features(vocabulary, neighbour_sums(coded, vocabulary))
+    chosen = chosen_labels(labels, sample)
+    if not chosen:
+        return features, Constant(0.5)
+    shared = spark.sparkContext.broadcast((features, chosen))
     schema = pa.schema([("id", pa.int64()), ("quality", pa.int32()), ("x", pa.list_(pa.float32()))])
+    ids = pa.array(sorted(chosen), pa.int64())
 
     def run(batches):
+        features, chosen = shared.value
         for b in batches:
-            x = [shared.value(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("quality").cast(pa.int32()), pa.array(x, pa.list_(pa.float32()))], schema=schema)
+            b = b.filter(pc.is_in(b.column("doc_id"), value_set=ids))
+            if b.num_rows:
+                marks = [chosen[i] for i in b.column("doc_id").to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(marks, pa.int32()), pa.array([*features(Coded(b))], pa.list_(pa.float32()))], schema=schema)
 
-    known = labelled(docs, labels, scratch, sample).mapInArrow(run, "id long, quality int, x array<float>")
+    known = coded.mapInArrow(run, "id long, quality int, x array<float>")
     # repeated documents count once, so that the sample's bound holds here too
     rows = known.groupBy("id").agg(F.min(F.struct("x", "quality")).alias("r")).orderBy("id").select("r.*").collect()
     y = np.array([r["quality"] > 0 for r in rows], bool)
@@ -285,6 +356,22 @@ def train(docs: DataFrame, labels: DataFrame, words: int = WORDS, sample: int =
     return features, Network().fit(np.array([r["x"] for r in rows], np.float64), y)
 
 
+def score_coded(coded: DataFrame, model: tuple) -> DataFrame:
+    """doc_id and score, the probability (0 to 1) of label 1, of every row of
+    ``tokenised`` texts; texts without a token have a score like any other."""
+    shared = coded.sparkSession.sparkContext.broadcast(model)
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+
+    def run(batches):
+        features, network = shared.value
+        for b in batches:
+            if b.num_rows:
+                p = network.probability(features(Coded(b)).astype(np.float64))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(p, pa.float64())], schema=schema)
+
+    return coded.mapInArrow(run, "doc_id long, score double")
+
+
 def scorer(spark: SparkSession, model: tuple) -> Column:
     shared = spark.sparkContext.broadcast(model)
 
@@ -293,7 +380,9 @@ def scorer(spark: SparkSession, model: tuple) -> Column:
         features, network = shared.value
         if not len(text):
             return pd.Series([], dtype="float64")
-        return pd.Series(network.probability(np.array([features(x) for x in text], np.float64)), dtype="float64")
+        columns = zip(*map(code, text))
+        rows = pa.RecordBatch.from_arrays([pa.nulls(len(text), pa.int64()), *(pa.array(c, f.type) for c, f in zip(columns, list(CODED)[1:]))], schema=CODED)
+        return pd.Series(network.probability(features(Coded(rows)).astype(np.float64)), dtype="float64")
 
     return score
 
@@ -312,7 +401,8 @@ def score_quality(docs: DataFrame, model: tuple, out: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, x) for x in ("documents", "labels"))
-    model = train(docs.select("doc_id", "text"), labels.where(crc_mod(F.col("doc_id"), 5) != 0))
+    small_batches(spark)
+    coded = Scratch(spark, "quality").stage(tokenised(docs), "coded")
+    model = train_on(coded, labels.where(crc_mod(F.col("doc_id"), 5) != 0))
     held = crc_mod(F.col("doc_id"), 5) == 0
-    found = score_quality(docs.select("doc_id", "text", held.alias("held_out")), model, "score")
-    return found.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return score_coded(coded, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
