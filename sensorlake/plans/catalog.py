@@ -37,6 +37,8 @@ from sensorlake.streaming.sources import file_messages, land_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 CATALOG: dict[str, Query] = {}
+#: What unregistered alerts read of silver.
+ALERT_COLUMNS = ["sensor_id", "country", "latitude", "longitude", "sensor_type", "ingested_at"]
 
 
 def register(name: str):
@@ -157,22 +159,27 @@ def unregistered_sensors(inp: Inputs) -> DataFrame:
     return al.unregistered_sensors(inp.silver, inp.registry)
 
 
-def _alert_log(inp: Inputs) -> DataFrame:
+def _alerted_twice(inp: Inputs, silver: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Unregistered alerts of a first run and the new ones of a second. Without
+    a stored ``silver``, its columns that alerts read are stored once for both
+    runs; the first run's log is stored, as the second reads it."""
+    if silver is None:
+        silver = _tables.stage_table(inp.silver.select(*ALERT_COLUMNS), "alert_silver")
+    first = _tables.stage_table(al.unregistered_alerts(silver.where(F.col("ingested_at") < F.lit(FIRST_RUN_CUT)), inp.registry), "first_alerts")
+    return first, al.unregistered_alerts(silver, inp.registry, alert_log=first)
+
+
+def _alert_log(inp: Inputs, silver: DataFrame | None = None) -> DataFrame:
     """Alert log as two runs leave it: unregistered alerts of the first run,
     new ones of the second, and every pressure breach."""
-    first = al.unregistered_alerts(inp.silver.where(F.col("ingested_at") < F.lit(FIRST_RUN_CUT)),
-                                   inp.registry)
-    second = al.unregistered_alerts(inp.silver, inp.registry, alert_log=first)
+    first, second = _alerted_twice(inp, silver)
     return first.unionByName(second).unionByName(_pressure(inp).drop("message"))
 
 
 @register("new_unregistered_alerts")
 def new_unregistered_alerts(inp: Inputs) -> DataFrame:
     """Second run's unregistered alerts: sensors not alerted by the first run."""
-    first = al.unregistered_alerts(inp.silver.where(F.col("ingested_at") < F.lit(FIRST_RUN_CUT)),
-                                   inp.registry)
-    new = al.unregistered_alerts(inp.silver, inp.registry, alert_log=first)
-    return new.select("sensor_id", "alert_type", "payload", "created_at")
+    return _alerted_twice(inp)[1].select("sensor_id", "alert_type", "payload", "created_at")
 
 
 @register("alert_feed")
@@ -568,6 +575,12 @@ def quality_report(inp: Inputs) -> DataFrame:
     return qa.quality_report(inp.bronze, silver, build_rejected(inp.bronze), marts)
 
 
+@register("observed_quality")
+def observed_quality(inp: Inputs) -> DataFrame:
+    """``quality_report`` counted by the writes that build the tables."""
+    return qa.observed_quality(inp.bronze, build_silver, build_rejected, lambda s: gold.build_marts(s, inp.registry), _tables.stage_table)
+
+
 @register("quality_schema")
 def quality_schema(inp: Inputs) -> DataFrame:
     """Schema, required columns, NULLs, layout and future timestamps of landed bronze."""

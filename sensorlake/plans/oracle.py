@@ -709,6 +709,6 @@ def oracle_queries() -> dict[str, str]:
     out.update(stream_queries())
     # other ways to the same results
     for name, same in {"alert_feed_pruned": "alert_feed_resumed", "alert_latest_pruned": "alert_feed_latest",
-                       "observed_counts": "stage_counts", "upsert_buckets": "upsert_dims"}.items():
+                       "observed_counts": "stage_counts", "observed_quality": "quality_report", "upsert_buckets": "upsert_dims"}.items():
         out[name] = out[same]
     return out

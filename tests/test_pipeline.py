@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 FAST = ["gold_pm25", "gold_temperature", "gold_activity", "silver_readings", "silver_unfiltered",
         "rejected_readings", "bronze_decode", "dead_letter", "pressure_alerts", "alert_messages",
         "unregistered_sensors", "new_unregistered_alerts", "alert_feed_latest", "sensor_profiles",
-        "customer_assignment", "upsert_dims", "insert_if_absent", "quality_report", "scalar_suite",
+        "customer_assignment", "upsert_dims", "insert_if_absent", "quality_report", "observed_quality", "stage_counts", "alert_feed", "scalar_suite",
         "schema_sync", "registry_store", "upsert_customers", "alert_feed_resumed", "snapshot_array",
         "file_manifest", "quality_schema", "profile_sample_count"]
 
