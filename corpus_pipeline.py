@@ -14,12 +14,16 @@ from sensorlake.llm.tokenfile import token_documents
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter and those whose language is in doubt."""
+    """Drops texts without a letter (null and empty ones too) and those whose
+    language is in doubt. Repeated rows go or stay together; without any label
+    in ``lang`` all rows stay."""
     return keep_identified(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of SimHash near copies."""
+    """Keeps one document of each group of SimHash near copies: its smallest
+    doc_id (null last), of equal ids that with the smaller text hash, of equal
+    rows one. Null and wordless texts share a fingerprint, so they are a group."""
     return keep_one(docs)
 
 
