@@ -7,11 +7,13 @@ from collections import Counter
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorlake.llm.common import Scratch, crc_mod, free_name, small_batches, table
+from sensorlake.llm.common import BATCH_ROWS, Scratch, crc_mod, free_name, small_batches, table
+from sensorlake.session import remove_path
 
 #: Words of a language that the model keeps, the most frequent first.
 WORDS = 20_000
@@ -50,29 +52,35 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def up_to(rows: DataFrame, by: list[str], col: str, order: Column, need: Column) -> tuple[DataFrame, DataFrame]:
-    """Rows of each group that are among its first ``need`` in order of ``col``
-    for certain, and those at the value where the number is reached, with
-    ``need`` cut to how many of them are. Only a histogram of ``col`` is ranked."""
-    bins = rows.withColumn("_need", need).groupBy(*by, col).agg(F.count("*").alias("_m"), F.first("_need").alias("_need"))
+def edges(rows: DataFrame, by: list[str], col: str, order: Column, need: Column) -> DataFrame:
+    """A row for each group: the value ``_at`` of ``col`` where its first
+    ``need`` rows in order of ``col`` end, how many of that value's rows are
+    among them (``_left``), and whether all are (``_whole``). Only a histogram
+    of ``col`` is ranked."""
+    bins = rows.groupBy(*by, col).agg(F.count("*").alias("_m"), F.first(need).alias("_need"))
     before = F.sum("_m").over(Window.partitionBy(*by).orderBy(order)) - F.col("_m")
     bins = bins.withColumn("_before", before).where(F.col("_before") < F.col("_need"))
-    edge = bins.groupBy(*by).agg(F.max_by(F.struct(F.col(col).alias("at"), "_before", "_m", "_need"), "_before").alias("_edge"))
-    bins = bins.join(edge, by).select(*by, col, (F.col("_edge.at") == F.col(col)).alias("_last"), (F.col("_edge._need") - F.col("_edge._before")).alias("_left"))
-    found = rows.drop("_left").join(bins, [*by, col])
-    return found.where("not _last").drop("_last", "_left"), found.where("_last").drop("_last")
+    edge = F.struct(F.col(col).alias("_at"), (F.col("_need") - F.col("_before")).alias("_left"), (F.col("_before") + F.col("_m") <= F.col("_need")).alias("_whole"))
+    return bins.groupBy(*by).agg(F.max_by(edge, "_before").alias("_edge")).select(*by, "_edge.*")
 
 
-def top(counts: DataFrame, by: list[str], key: str, k: int) -> DataFrame:
+def top(counts: DataFrame, by: list[str], key: str, k: int, scratch: Scratch | None = None) -> DataFrame:
     """The k most frequent of each group, ties to the smaller key. Histograms
     of the counts, then of the first two letters among ties, leave only the
-    ties of one beginning to be ranked."""
-    sure, ties = up_to(counts, by, "n", F.desc("n"), F.lit(k))
-    ties = ties.withColumn("_start", F.substring(key, 1, 2))
-    early, last = up_to(ties, by, "_start", F.asc("_start"), F.col("_left"))
-    ranked = last.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(key))).where(F.col("_r") <= F.col("_left"))
-    names = counts.columns
-    return sure.select(names).unionAll(early.select(names)).unionAll(ranked.select(names))
+    ties of one beginning to be ranked. Ties and the histograms' ends, a row a
+    group, are staged, so that plans stay small; ``counts`` is read three times."""
+    scratch, names = scratch or Scratch(counts.sparkSession, "top"), counts.columns
+    end = scratch.stage(edges(counts, by, "n", F.desc("n"), F.lit(k)), "end")
+    near = counts.join(F.broadcast(end), by)
+    sure = near.where((F.col("n") > F.col("_at")) | F.col("_whole") & (F.col("n") == F.col("_at"))).select(names)
+    ties = near.where(~F.col("_whole") & (F.col("n") == F.col("_at"))).select(*names, F.col("_left").alias("_need"), F.substring(key, 1, 2).alias("_start"))
+    ties = scratch.stage(ties, "ties")
+    start = scratch.stage(edges(ties, by, "_start", F.asc("_start"), F.col("_need")), "start")
+    near = ties.join(F.broadcast(start), by)
+    early = near.where((F.col("_start") < F.col("_at")) | F.col("_whole") & (F.col("_start") == F.col("_at"))).select(names)
+    last = near.where(~F.col("_whole") & (F.col("_start") == F.col("_at")))
+    last = last.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(key))).where((F.col("_r") <= k) & (F.col("_r") <= F.col("_left"))).select(names)
+    return sure.unionAll(early).unionAll(last)
 
 
 def gram_counts(counts: DataFrame, longest: int) -> DataFrame:
@@ -127,13 +135,14 @@ class Model:
         return self.langs[best], 1 / sum(math.exp(max(-700.0, s - sums[best])) for s in sums)
 
 
-def log_rows(rows: list, langs: list[str], key: str) -> dict[str, tuple]:
+def log_rows(rows: pa.Table, langs: list[str], key: str) -> dict[str, tuple]:
     """Counts to smoothed log frequencies, relative to the mean language, so
     that a key without evidence adds nothing."""
     at, total, of = {x: i for i, x in enumerate(langs)}, Counter(), {}
-    for r in rows:
-        total[r["lang"]] += r["n"]
-        of.setdefault(r[key], [0] * len(langs))[at[r["lang"]]] += r["n"]
+    for b in rows.to_batches(max_chunksize=BATCH_ROWS):
+        for lang, k, n in zip(*(b.column(c).to_pylist() for c in ("lang", key, "n"))):
+            total[lang] += n
+            of.setdefault(k, [0] * len(langs))[at[lang]] += n
     out = {}
     for k, counts in of.items():
         logs = [math.log((c + 0.5) / (total[x] + 0.5 * len(of))) for c, x in zip(counts, langs)]
@@ -150,13 +159,14 @@ def train(docs: DataFrame, words: int = WORDS, grams: int = GRAMS, longest: int
     small_batches(spark)
     scratch = Scratch(spark, "langid")
     counts = scratch.stage(word_counts(docs), "words")
-    kept = top(counts, ["lang"], "word", words).collect()
-    shapes = top(gram_counts(counts, longest), ["lang", "size"], "gram", grams).collect()
+    kept = top(counts, ["lang"], "word", words, scratch).toArrow()
+    shaped = scratch.stage(gram_counts(counts, longest), "grams")
+    shapes = top(shaped, ["lang", "size"], "gram", grams, scratch).toArrow()
     prior = {r["lang"]: r["n"] for r in docs.where("lang is not null and text is not null").groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    scratch.drop(counts)
-    langs = sorted({r["lang"] for r in kept})
+    remove_path(spark, scratch.root)
+    langs = sorted(pc.unique(kept["lang"]).to_pylist())
     n = sum(prior[x] for x in langs) or 1
-    by_size = [log_rows([r for r in shapes if r["size"] == s], langs, "gram") for s in range(1, longest + 1)]
+    by_size = [log_rows(shapes.filter(pc.equal(shapes["size"], s)), langs, "gram") for s in range(1, longest + 1)]
     return Model(langs, [math.log(prior[x] / n) for x in langs], log_rows(kept, langs, "word"), by_size)
 
 

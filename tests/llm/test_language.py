@@ -87,3 +87,11 @@ def test_most_frequent_by_histograms(spark):
     for k in (1, 7, 40, 90, 1000):
         want = [r for g in ("x", "y", "z", "few") for r in sorted((r for r in rows if r[0] == g), key=lambda r: (-r[2], r[1].encode()))[:k]]
         assert sorted(tuple(r) for r in language.top(df, ["g"], "w", k).collect()) == sorted(want)
+
+
+def test_plans_of_the_selection_stay_small(spark):
+    """Counts were worked out anew for each histogram and each part of the
+    result, in plans of some fifty exchanges."""
+    counts = language.word_counts(spark.createDataFrame([(EN, "en"), (DE, "de")], "text string, lang string"))
+    plan = language.top(counts, ["lang"], "word", 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") <= 1 and plan.count("Exchange hashpartitioning") <= 2, plan
