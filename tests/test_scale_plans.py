@@ -400,3 +400,19 @@ def test_streaming_stage_counts_from_observed_metrics(spark):
     assert counts["bronze"] == spark.read.parquet(out).count()
     assert counts["dead_letter"] == spark.read.parquet(dead).count()
     assert counts["bronze"] + counts["dead_letter"] == spark.read.parquet(msgs).count()
+
+
+def test_stage_counts_make_and_decode_messages_once(spark):
+    """All layers read the stored decode; before, each made its messages from
+    the events and decoded them anew."""
+    from sensorlake.plans.catalog import CATALOG
+    out = CATALOG["stage_counts"](spark, "/root/testdata/sf0.001")
+    assert not [f for f in out.inputFiles() if "events.parquet" in f]
+    assert {r["stage"]: r["row_count"] for r in out.collect()} == {r["stage"]: r["row_count"] for r in CATALOG["observed_counts"](spark, "/root/testdata/sf0.001").collect()}
+
+
+def test_decode_casts_each_number_once(spark):
+    from sensorlake.operators.decode import decoded
+    msgs = spark.createDataFrame([("k", '{"sensor_id": 1}')], "key string, value string").withColumn("timestamp", F.lit("2024-05-06 07:08:09").cast("timestamp"))
+    plan = decoded(msgs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get(_v") and plan.count("$.sensor_id, LongType") == 1, plan
