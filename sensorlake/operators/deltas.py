@@ -237,19 +237,21 @@ class DeltaStore:
         """Signed rows. The increment's ids are looked up in their buckets:
         unknown ids are added, later copies dropped, and only for copies as
         early as the stored one, or earlier, is the stored row fetched, from
-        the hours the index names."""
+        the hours the index names. Only those and the index entries found are
+        staged beside the increment; a new store has none to look up."""
         day, hour = F.date_format("ingested_at", "yyyy-MM-dd"), F.date_format("ingested_at", "HH")
         new = earliest_per_reading(rows).select(*[f.name for f in SILVER.fields], day.alias("day"), hour.alias("hour"), F.lit(batch).cast("long").alias("batch"))
+        plus = lambda df: df.select(F.lit(1).alias("sign"), *STORED.names)
+        if not path_exists(self.spark, f"{self.root}/index"):
+            return plus(new)
         new = stage_table(new, "increment")
         ids = new.select("reading_id", self.bucket().alias("bucket"))
         index = self.index_of([r["bucket"] for r in ids.select("bucket").distinct().collect()])
         known = index.join(bounded_broadcast(ids.select("reading_id")), "reading_id", "left_semi")
         entry = F.struct("ingested_at", *PLACE)
-        known = known.groupBy("reading_id").agg(F.max_by(entry, "batch").alias("at"))
-        met = stage_table(new.join(known, "reading_id", "left").where(F.col("at").isNull() | (F.col("ingested_at") <= F.col("at.ingested_at"))), "met")
-        plus = lambda df: df.select(F.lit(1).alias("sign"), *STORED.names)
-        added = plus(met.where("at is null"))
-        rivals = met.where("at is not null")
+        known = stage_table(known.groupBy("reading_id").agg(F.max_by(entry, "batch").alias("at")), "known")
+        added = plus(new.join(bounded_broadcast(known.select("reading_id")), "reading_id", "left_anti"))
+        rivals = stage_table(new.join(known, "reading_id").where(F.col("ingested_at") <= F.col("at.ingested_at")), "rivals")
         places = rivals.select(*[F.col(f"at.{c}").alias(c) for c in PLACE]).distinct()
         stored = self.stored_silver().where(F.col("day").isin([r["day"] for r in places.select("day").distinct().collect()]))
         wanted = bounded_broadcast(rivals.select("reading_id", *[F.col(f"at.{c}").alias(c) for c in PLACE]))
@@ -277,7 +279,7 @@ class DeltaStore:
 
     def apply_to_index(self, changes: DataFrame) -> None:
         entries = changes.where("sign > 0").select("reading_id", "ingested_at", "day", "hour", self.bucket().alias("bucket"), "batch")
-        (entries.repartition("bucket").sortWithinPartitions("bucket", "reading_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (entries.hint("rebalance", "bucket").sortWithinPartitions("bucket", "reading_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("bucket", "batch").parquet(f"{self.root}/index"))
 
     def mart_changes(self, name: str, changes: DataFrame) -> DataFrame:

@@ -162,3 +162,35 @@ def test_refresh_by_changed_folders(spark):
     silver = build_silver(_bronze(spark, first + second))
     assert rows(store.silver()) == rows(silver) and store.next_batch() == 2
     assert rows(store.mart(name)) == rows(gold.build_marts(silver, ds, dc, [name])[name])
+
+
+def test_a_run_stages_only_the_rivals_beside_its_increment(spark, monkeypatch):
+    staged, plain = [], deltas.stage_table
+
+    def record(df, name):
+        out = plain(df, name)
+        staged.append((name, out.count()))
+        return out
+    monkeypatch.setattr(deltas, "stage_table", record)
+    at = "2024-03-01T10:%02d:00+00:00"
+    store, _, _ = both_ways(spark, [[_row(f"r{i}", at % 30) for i in range(20)]], [])
+    assert not [name for name, _ in staged if name in ("increment", "known", "rivals")]   # a new store has nothing to look up
+    staged.clear()
+    second = [_row(f"s{i}", at % 30) for i in range(20)] + [_row("r1", at % 20), _row("r2", at % 40)]
+    store.run(build_silver(_bronze(spark, second), dedup=False), 1)
+    held = dict(staged)
+    assert (held["increment"], held["known"], held["rivals"], held["better"]) == (22, 2, 1, 1)
+    assert store.silver().count() == 40
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        store = deltas.DeltaStore(spark, scratch_path(spark, "deltas"), buckets=1)
+        rows_ = spark.range(0, 20_000, 1, 4).select(F.lit(1).alias("sign"), F.col("id").cast("string").alias("reading_id"), F.lit("2024-03-01 10:00:00").cast("timestamp").alias("ingested_at"),
+                                                    F.lit("2024-03-01").alias("day"), F.lit("10").alias("hour"), F.lit(0).cast("long").alias("batch"))
+        store.apply_to_index(rows_)
+        assert store.index_of([0]).count() == 20_000
+        assert store.index_of([0]).select(F.input_file_name()).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
